@@ -30,11 +30,12 @@ def parse_json(df: DataFrame, column: str, schema: StructType, flatten: bool = T
     """``from_json`` with a declared schema (PERMISSIVE: a bad record becomes
     nulls), optionally flattened into top-level columns."""
     parsed = F.from_json(_col(column).cast("string"), schema, JSON_OPTIONS)
-    name = alias or column
-    out = df.select(*keep, parsed.alias(name))
-    if not flatten:
-        return out
-    return out.select(*[F.col(c) for c in out.columns if c != name], f"{name}.*")
+    if flatten:
+        # inline(array(struct)) yields the fields as columns from one parse.
+        # A plain select of "struct.*" lets Catalyst push not-null filters on
+        # the fields below the projection, which parses every record twice.
+        return df.select(*keep, F.inline(F.array(parsed)))
+    return df.select(*keep, parsed.alias(alias or column))
 
 
 def json_value(cols: Sequence[str] | None = None, df: DataFrame | None = None) -> Column:

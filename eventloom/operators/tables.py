@@ -66,19 +66,22 @@ def train_positions(arrivals: DataFrame, ts: str, tie_break: str,
 
     An arrival first clears the platform it came from (previous station and
     direction, when both are known), then fills its own. Every arrival becomes
-    two updates (clear: seq 0, set: seq 1) and the latest update per platform
-    by (time, tie, seq) wins; a cleared platform keeps a null train."""
-    line = [F.col("line")] if by_line else []
-    clear = arrivals.filter(F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull()) \
-        .select(*line, F.col("prev_station_id").alias("station_id"),
-                _direction("prev_direction").alias("direction"),
-                F.lit(None).cast("string").alias("train_id"),
-                F.lit(None).cast("string").alias("train_status"),
-                F.col(ts), F.col(tie_break), F.lit(0).alias("seq"))
-    put = arrivals.select(*line, "station_id", _direction("direction").alias("direction"),
-                          "train_id", "train_status", F.col(ts), F.col(tie_break),
-                          F.lit(1).alias("seq"))
-    updates = clear.unionByName(put)
+    up to two updates (clear: seq 0, set: seq 1), made from one pass over the
+    input, and the latest update per platform by (time, tie, seq) wins; a
+    cleared platform keeps a null train."""
+    line = [F.col("line").alias("line")] if by_line else []
+    has_prev = F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull()
+    clear = F.when(has_prev, F.struct(
+        *line, F.col("prev_station_id").alias("station_id"),
+        _direction("prev_direction").alias("direction"),
+        F.lit(None).cast("string").alias("train_id"),
+        F.lit(None).cast("string").alias("train_status"),
+        F.col(ts).alias(ts), F.col(tie_break).alias(tie_break), F.lit(0).alias("seq")))
+    put = F.struct(*line, F.col("station_id").alias("station_id"),
+                   _direction("direction").alias("direction"),
+                   F.col("train_id").alias("train_id"), F.col("train_status").alias("train_status"),
+                   F.col(ts).alias(ts), F.col(tie_break).alias(tie_break), F.lit(1).alias("seq"))
+    updates = arrivals.select(F.inline(F.filter(F.array(clear, put), lambda u: u.isNotNull())))
     keys = (["line"] if by_line else []) + ["station_id", "direction"]
     return latest(updates, keys, [ts, tie_break, "seq"], ["train_id", "train_status"])
 

@@ -56,7 +56,9 @@ def assign_window(df: DataFrame, ts: str, size: str) -> DataFrame:
 
 def session_agg(df: DataFrame, ts: str, keys, gap: str, aggs: Sequence[Column],
                 ntz_out: bool = True) -> DataFrame:
-    """Sessions per key that close after ``gap`` without events."""
+    """Sessions per key that close after ``gap`` without events (Spark's
+    session windows; works on streams). For large batch inputs with hot keys
+    use :func:`sessions_bucketed`."""
     sw = F.session_window(F.col(ts), gap)
     g = df.groupBy(*_keys(keys), sw.alias("_s")).agg(*aggs)
     s, e = F.col("_s.start"), F.col("_s.end")
@@ -122,3 +124,49 @@ def previous_in_key(df: DataFrame, keys, ts: str, tie_break: Sequence[str],
         out_cols.append(F.when(F.col("_first"), F.col("_carry").getField(c))
                         .otherwise(F.col(prefix + c)).alias(prefix + c))
     return joined.select(*out_cols)
+
+
+def sessions_bucketed(df: DataFrame, ts: str, keys, gap_seconds: int,
+                      bucket: str = "1 hour", ntz_out: bool = True) -> DataFrame:
+    """Batch sessions per key (start, end = last event + gap, event count),
+    exact, without putting all events of one key into one task.
+
+    1. Sessions are built per (key, time bucket) with Spark's session window,
+       so a hot key is spread over its buckets.
+    2. Only the first and last session of a bucket can touch a neighbouring
+       bucket; those boundary sessions (at most two per key and bucket) are
+       merged per key like intervals: a new session starts where the start
+       lies after every earlier end (an event exactly one gap after the
+       previous one stays in the session).
+    3. Inner sessions are final as they are.
+    """
+    ks = [str(k) for k in _keys(keys)]
+    gap = f"{gap_seconds} seconds"
+    b = df.select(*ks, F.col(ts).alias("_ts"),
+                  F.window(F.col(ts), bucket).getField("start").alias("_b"))
+    s1 = (b.groupBy(*ks, "_b", F.session_window("_ts", gap).alias("_s"))
+          .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
+               F.count(F.lit(1)).alias("n")))
+    wb = Window.partitionBy(*ks, "_b")
+    s1 = s1.select(*ks, "_b", "_first", "_last", "n",
+                   ((F.col("_first") == F.min("_first").over(wb)) |
+                    (F.col("_first") == F.max("_first").over(wb))).alias("_edge"))
+    inner = s1.filter(~F.col("_edge")).select(*ks, "_first", "_last", "n")
+    edge = s1.filter(F.col("_edge"))
+    end = F.col("_last") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    wk = Window.partitionBy(*ks).orderBy("_first", "_last")
+    prev_end = F.max(end).over(wk.rowsBetween(Window.unboundedPreceding, -1))
+    marked = edge.select(*ks, "_first", "_last", "n",
+                         F.when(prev_end.isNull() | (F.col("_first") > prev_end), 1)
+                         .otherwise(0).alias("_new"))
+    grouped = marked.select(*ks, "_first", "_last", "n",
+                            F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0)).alias("_g"))
+    merged = grouped.groupBy(*ks, "_g").agg(F.min("_first").alias("_first"),
+                                            F.max("_last").alias("_last"),
+                                            F.sum("n").alias("n")).drop("_g")
+    out = inner.unionByName(merged)
+    s, e = F.col("_first"), F.col("_last") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    if ntz_out:
+        s, e = s.cast("timestamp_ntz"), e.cast("timestamp_ntz")
+    return out.select(*ks, s.alias("session_start"), e.alias("session_end"),
+                      F.col("n").cast("long").alias("n"))

@@ -769,7 +769,7 @@ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '5 minutes' AS sess
 FROM s GROUP BY user_id, sid""")
 def win_session(spark, sf):
     """Sessions per user closing after 5 minutes without events."""
-    return W.session_agg(clicks(spark, sf), "ts", "user_id", "5 minutes", [F.count(F.lit(1)).alias("n")])
+    return W.sessions_bucketed(clicks(spark, sf), "ts", "user_id", 300)
 
 
 @q("win_topk", f"""

@@ -187,3 +187,24 @@ def test_refused_joins(spark, tmp_path):
         J.join(stream, stream.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), "left")
     with pytest.raises(ValueError):
         J.join(table, table, "k2", None)
+
+
+def test_bucketed_sessions_equal_session_window(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("user_id", "ts")
+    # a dense hot key: one event a minute for five hours, chaining across buckets,
+    # plus events exactly one gap apart
+    hot = spark.range(0, 300).select(F.lit(-1).cast("long").alias("user_id"),
+                                     (F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+                                      + F.expr("make_dt_interval(0, 0, 0, 0)")
+                                      + F.col("id") * F.expr("INTERVAL 60 SECONDS")).alias("ts"))
+    edge = spark.createDataFrame([(-2, "2024-01-03 00:00:00"), (-2, "2024-01-03 00:05:00"),
+                                  (-2, "2024-01-03 00:10:00.000001")], "user_id long, t string") \
+        .select("user_id", F.col("t").cast("timestamp_ntz").alias("ts"))
+    df = ev.unionByName(hot).unionByName(edge)
+    want = W.session_agg(df, "ts", "user_id", "5 minutes", [F.count(F.lit(1)).alias("n")])
+    for bucket in ("10 minutes", "1 hour", "1 day"):
+        got = W.sessions_bucketed(df, "ts", "user_id", 300, bucket=bucket)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, bucket
+    hot_sessions = W.sessions_bucketed(df, "ts", "user_id", 300, bucket="10 minutes") \
+        .filter("user_id = -1").collect()
+    assert len(hot_sessions) == 1 and hot_sessions[0].n == 300
