@@ -55,3 +55,15 @@ def run_available(df: DataFrame, query_name: str, fmt: str = "parquet",
         if q.isActive:
             q.stop()
     return out, progress
+
+
+def dropped_by_watermark(progress: list) -> int:
+    """Rows the engine dropped as later than the watermark, summed over the
+    stateful operators of all reported micro-batches. For aggregations these
+    are rows at the state store's input, i.e. after the map-side partial
+    aggregate, so one count can stand for several late events."""
+    total = 0
+    for p in progress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
