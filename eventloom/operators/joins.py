@@ -48,6 +48,10 @@ def join(left: DataFrame, right: DataFrame, on, how: str,
             left_watermark is None or right_watermark is None or time_bound is None):
         raise JoinNotSupported(
             "outer stream-stream joins need watermarks on both sides and a time bound")
+    if ls and not rs:
+        right = broadcast_if_small(right)
+    elif rs and not ls:
+        left = broadcast_if_small(left)
     if left_watermark is not None and ls:
         left = left.withWatermark(*left_watermark)
     if right_watermark is not None and rs:
@@ -58,13 +62,21 @@ def join(left: DataFrame, right: DataFrame, on, how: str,
     return left.join(right, cond, how)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after counting it: above ``max_rows`` it is
-    returned unchanged and the join shuffles instead. Batch only."""
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
+                       max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast ``df`` only after measuring it: rows are counted and their
+    JSON size summed over at most ``max_rows`` + 1 rows; above either bound
+    it is returned unchanged and the join shuffles instead. For static sides
+    of stream joins, where AQE does not run."""
     if df.isStreaming:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    m = (df.limit(max_rows + 1)
+         .agg(F.count(F.lit(1)).alias("n"),
+              F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b"))
+         .first())
+    if m["n"] <= max_rows and (m["b"] or 0) <= max_bytes:
+        return F.broadcast(df)
+    return df
 
 
 def split_known(events: DataFrame, known: DataFrame, event_key: str,

@@ -17,6 +17,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast a join side only when its size is known, not estimated: the
+    # plan-time (estimate-based) threshold is off; AQE converts a join to a
+    # broadcast after the side's shuffle stage measured it below the adaptive
+    # threshold. Streams (no AQE) use joins.broadcast_if_small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # Merge session windows inside each map partition before the shuffle, so
     # a hot key ships sessions, not raw events.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
