@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions import avro
 from eventloom.functions.decode import change_record_value, json_value
 from eventloom.functions.scalars import json_get, line_of, train_id
 from eventloom.operators.windows import previous_in_key
@@ -30,6 +31,7 @@ MIXED = "redis-server"
 BALANCES = "customer-balances"
 RISK = "stedi-events"
 DRIFT = "clickevents-drift"
+CUSTOMERS_AVRO = "customers-avro"
 ARRIVALS_PREFIX = "org.chicago.cta.station.arrivals."
 STATIONS_TOPIC = "org.chicago.cta.stations.table.v1"
 SUMMARY_TOPIC = "TURNSTILE_SUMMARY"
@@ -41,6 +43,12 @@ EVENT_LINE = {"click": "red", "view": "blue", "purchase": "green",
               "error": "green", "signup": "orange"}
 DRIFT_START = "2024-01-16 00:00:00"
 
+# Avro schema of customer records (nullable fields as unions with null).
+CUSTOMER_AVRO = """{"type": "record", "name": "Customer", "fields": [
+  {"name": "c_custkey", "type": "long"}, {"name": "c_name", "type": "string"},
+  {"name": "c_nationkey", "type": ["null", "int"]}, {"name": "c_acctbal", "type": ["null", "double"]},
+  {"name": "c_mktsegment", "type": ["null", "string"]}]}"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -148,6 +156,8 @@ def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     balances = to_envelope(c, BALANCES,
                            change_record_value(F.col("c_name"), F.col("c_acctbal"), "CustomerBalance"),
                            key=F.lit("CustomerBalance"), offset="c_custkey")
+    avro_value = avro.encode_column(json_value(c.columns), CUSTOMER_AVRO, schema_id=1)
+    customers_avro = to_envelope(c, CUSTOMERS_AVRO, avro_value, key="c_custkey", offset="c_custkey")
     o = table(spark, sf_dir, "orders")
     risk = to_envelope(
         o.select("o_orderkey", "o_orderdate", email_of(F.col("o_custkey")).alias("customer"),
@@ -170,7 +180,7 @@ def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
                           json_value([F.col("station_id").alias("STATION_ID"),
                                       F.col("count").alias("COUNT")]),
                           key="station_id", offset="station_id")
-    return [clicks, fuel, drift, customers, mixed_c, mixed_l, balances, risk,
+    return [clicks, fuel, drift, customers, mixed_c, mixed_l, balances, customers_avro, risk,
             arr_topics, st_topic, summary]
 
 

@@ -378,6 +378,15 @@ def dec_two_level(spark, sf):
     return D.decode_two_level(_topic(spark, sf, FD.CUSTOMERS), CUSTOMER_RECORD)
 
 
+@q("dec_avro", "SELECT * FROM customer")
+def dec_avro(spark, sf):
+    """Registry-framed Avro messages decoded with a declared Avro schema
+    (spark-avro's from_avro where deployed; vectorised codec otherwise)."""
+    from eventloom.functions import avro
+    env = _topic(spark, sf, FD.CUSTOMERS_AVRO)
+    return env.select(F.inline(F.array(avro.decode_column(F.col("value"), FD.CUSTOMER_AVRO))))
+
+
 @q("enc_json", """
 SELECT CAST(c_custkey AS VARCHAR) AS key,
        CAST(json_object('c_custkey', c_custkey, 'c_name', c_name, 'c_mktsegment', c_mktsegment) AS VARCHAR) AS value

@@ -34,9 +34,34 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    _ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Make the package importable by Python workers in local mode (UDFs and
+    stateful functions reference it). On a cluster the package is deployed
+    the usual way (``--py-files eventloom.zip`` or installed on executors),
+    so nothing is written to a machine-local folder there."""
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="eventloom-pyfiles-"), "eventloom.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for d, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "eventloom", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster, build the session with

@@ -24,6 +24,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _as_binary(c: Column, df: DataFrame) -> Column:
+    # binary values (e.g. Avro) pass through; anything else is sent as text
+    probe = df.select(c.alias("_v")).schema["_v"].dataType
+    return c if probe.typeName() == "binary" else c.cast("string").cast("binary")
+
+
 def to_envelope(df: DataFrame, topic, value, key=None, timestamp=None,
                 offset=None, partitions: int = 8) -> DataFrame:
     """Produce rows of ``df`` as messages of ``topic``.
@@ -42,7 +48,7 @@ def to_envelope(df: DataFrame, topic, value, key=None, timestamp=None,
               else F.pmod(off_c, F.lit(partitions))).cast("int")
     return df.select(
         key_c.cast("binary").alias("key"),
-        _col(value).cast("string").cast("binary").alias("value"),
+        _as_binary(_col(value), df).alias("value"),
         topic_c.alias("topic"),
         part_c.alias("partition"),
         off_c.alias("offset"),

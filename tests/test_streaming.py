@@ -119,3 +119,33 @@ def test_late_rows_dropped_and_counted(spark):
     batch = W.windowed_agg(ev, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
     closed = W.closed_windows(batch, ev.select(F.max("ts")).scalar(), 10)
     assert same(spark.read.parquet(out), closed)
+
+
+def test_stream_stream_left_outer_with_watermarks(spark):
+    path = REG._click_replay(spark, SF)
+
+    def side():
+        return D.parse_json(read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=8),
+                            "value", CLICK_EVENT)
+
+    def shape(df, stream):
+        views = df.filter(F.col("event_type") == "view").select(
+            "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+        buys = df.filter(F.col("event_type") == "purchase").select(
+            F.col("event_id").alias("p_id"), F.col("user_id").alias("p_user"),
+            F.col("ts").cast("timestamp").alias("p_ts"))
+        cond = F.col("user_id") == F.col("p_user")
+        bound = (F.col("p_ts") >= F.col("ts")) & (F.col("p_ts") <= F.col("ts") + F.expr("INTERVAL 6 HOURS"))
+        if stream:
+            return J.join(views, buys, cond, "left", left_watermark=("ts", "1 minute"),
+                          right_watermark=("p_ts", "1 minute"), time_bound=bound)
+        return views.join(buys, cond & bound, "left")
+
+    s = shape(side(), True).select("event_id", "p_id")
+    out, _ = RN.run_available(s, REG._uid("t_outer"))
+    got = spark.read.parquet(out)
+    want = shape(REG.clicks(spark, SF), False).select("event_id", "p_id")
+    # every matched pair is emitted; unmatched rows only once closed
+    assert same(got.filter("p_id IS NOT NULL"), want.filter("p_id IS NOT NULL"))
+    unmatched = got.filter("p_id IS NULL")
+    assert unmatched.count() > 0 and unmatched.exceptAll(want.filter("p_id IS NULL")).count() == 0
