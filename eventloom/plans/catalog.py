@@ -44,6 +44,11 @@ def derive(spark: SparkSession, query_name: str, sql: str, reads: list[str],
             _READS.pop(query_name, None)
 
 
+def register_reader(query_name: str, views: list[str]) -> None:
+    """Record that a query started outside :func:`derive` reads ``views``."""
+    _READS[query_name] = set(views)
+
+
 def list_views(spark: SparkSession) -> DataFrame:
     """Views with their columns and types, plus running queries, as rows."""
     rows = []

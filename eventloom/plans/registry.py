@@ -978,7 +978,7 @@ def cat_drop(spark, sf):
     C.declare(spark, view, _topic(spark, sf, FD.CLICKS, stream=True), CLICK_EVENT)
     name = _uid("drop_reader")
     path = RN.sink_path(spark, name)
-    C._READS[name] = {view}
+    C.register_reader(name, [view])
     qy = (spark.sql(f"SELECT event_id FROM `{view}`").writeStream.queryName(name)
           .format("parquet").option("path", path)
           .option("checkpointLocation", RN.checkpoint_for(spark, name))

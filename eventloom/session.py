@@ -93,6 +93,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints, topic folders and sink output go below it)")
         root = tempfile.mkdtemp(prefix="eventloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
