@@ -126,6 +126,29 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("r_regionkey") == 2).alias("green"))
 
 
+def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A station table that grows with the data: one station per supplier,
+    two stops (directions), line flags from the supplier nation's region."""
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    snr = (s.join(n, s.s_nationkey == n.n_nationkey, "left")
+           .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
+    dirs = F.explode(F.array(F.lit("E"), F.lit("W"))).alias("direction_id")
+    return snr.select("*", dirs).select(
+        (F.col("s_suppkey") * 2 + F.when(F.col("direction_id") == "W", 1).otherwise(0))
+        .cast("int").alias("stop_id"),
+        "direction_id",
+        F.concat(F.col("s_name"), F.lit(" ("), F.col("direction_id"), F.lit(")")).alias("stop_name"),
+        F.col("s_name").alias("station_name"),
+        F.concat(F.col("s_name"), F.lit(" - "), F.coalesce(F.col("r_name"), F.lit("?"))).alias("station_descriptive_name"),
+        F.col("s_suppkey").cast("int").alias("station_id"),
+        F.col("s_suppkey").cast("int").alias("order"),
+        F.coalesce(F.col("r_regionkey").isin(0, 3), F.lit(False)).alias("red"),
+        F.coalesce(F.col("r_regionkey").isin(1, 3), F.lit(False)).alias("blue"),
+        F.coalesce(F.col("r_regionkey") == 2, F.lit(False)).alias("green"))
+
+
 def turnstile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return (e.select(json_get("props", "$.k", "int").alias("station_id"))

@@ -848,10 +848,15 @@ def tbl_filtered(spark, sf):
     return T.latest_where(clicks(spark, sf), "user_id", ["ts", "event_id"], F.col("event_type").like("p%"))
 
 
-@q("tbl_station_transform", STATIONS_T_SQL)
+@q("tbl_station_transform", """
+SELECT CAST(s_suppkey AS INTEGER) AS station_id, s_name AS station_name, CAST(s_suppkey AS INTEGER) AS "order",
+       CASE WHEN r_regionkey IN (0, 3) THEN 'red' WHEN r_regionkey IN (1, 3) THEN 'blue'
+            WHEN r_regionkey = 2 THEN 'green' END AS line
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def tbl_station_transform(spark, sf):
-    """Station rows reduced to id, name, order and line, keyed by station."""
-    return T.transform_stations(FD.stations(spark, sf))
+    """Station rows (two stops each) reduced to id, name, order and line,
+    one row per station."""
+    return T.transform_stations(FD.supplier_stations(spark, sf))
 
 
 def _arrivals_from_topics(spark, sf) -> DataFrame:
@@ -868,6 +873,10 @@ def tbl_train_position(spark, sf):
     return T.train_positions(_arrivals_from_topics(spark, sf), "ts", "event_id")
 
 
+# Weather shown before any reading arrived.
+WEATHER_DEFAULTS = {"temperature": 70.0, "status": "sunny"}
+
+
 @q("tbl_latest_global", """
 SELECT coalesce(value, 70.0) AS temperature, coalesce(event_type, 'sunny') AS status FROM (
   SELECT value, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)""")
@@ -875,7 +884,7 @@ def tbl_latest_global(spark, sf):
     """The latest single reading (temperature, status) with defaults."""
     w = clicks(spark, sf).select("ts", "event_id", F.col("value").alias("temperature"),
                                  F.col("event_type").alias("status"))
-    return T.latest_global(w, ["ts", "event_id"], {"temperature": 70.0, "status": "sunny"})
+    return T.latest_global(w, ["ts", "event_id"], WEATHER_DEFAULTS)
 
 
 @q("tbl_route_by_topic", f"""

@@ -34,7 +34,7 @@ def test_entry_smoke(spark):
 def test_every_survey_operator_registered():
     expected = set("""src_topic src_topic_pattern src_offsets src_bounded_batch src_text src_text_stream
     src_incremental src_csv_schema sink_topic sink_topic_raw sink_keyed_send sink_console sink_csv
-    sink_foreach dec_strings dec_json dec_envelope dec_base64 dec_two_level enc_json dec_rejects
+    sink_foreach dec_strings dec_json dec_envelope dec_base64 dec_two_level dec_avro enc_json dec_rejects
     dec_demux sel_star sel_rename sel_sanitize flt_ge flt_like_and flt_notnull flt_contains
     fn_upper_substr fn_split_item fn_slug fn_status_text fn_train_id fn_line_case fn_json_get
     fn_letter_count udf_processor join_ss_deposits join_ss_withdrawals join_ss_checkin join_ss_risk
