@@ -110,3 +110,29 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path below the checkpoint root, unique to this process run."""
     root = _checkpoint_root(spark)
     return "/".join([root, "eventloom", f"run-{os.getpid()}-{_RUN_ID}", *parts])
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 128 << 20,
+                 max_shuffle_partitions: int = 100_000) -> dict:
+    """Settings for a large cluster, to pass to the session builder.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` so a
+    task's data fits executor memory; AQE coalesces small shuffle partitions
+    and splits skewed ones from there. Streaming state keeps the partition
+    count of its first run, so start a checkpoint with the final setting.
+    """
+    slots = executors * cores_per_executor
+    parts = int(min(max(slots * 2, -(-input_bytes // target_partition_bytes)),
+                    max(max_shuffle_partitions, slots * 2)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        **RUNTIME_CONF,
+    }
