@@ -61,7 +61,7 @@ def _direction(c) -> Column:
 
 
 def train_positions(arrivals: DataFrame, ts: str, tie_break: str,
-                    by_line: bool = True) -> DataFrame:
+                    by_line: bool = True, keep_order: bool = False) -> DataFrame:
     """Which train stands at each (line, station, direction).
 
     An arrival first clears the platform it came from (previous station and
@@ -83,7 +83,10 @@ def train_positions(arrivals: DataFrame, ts: str, tie_break: str,
                    F.col(ts).alias(ts), F.col(tie_break).alias(tie_break), F.lit(1).alias("seq"))
     updates = arrivals.select(F.inline(F.filter(F.array(clear, put), lambda u: u.isNotNull())))
     keys = (["line"] if by_line else []) + ["station_id", "direction"]
-    return latest(updates, keys, [ts, tie_break, "seq"], ["train_id", "train_status"])
+    # keep_order: also return the winning update's order, so the repeated
+    # rows of a stream's update-mode output can be folded into the table
+    extra = [ts, tie_break, "seq"] if keep_order else []
+    return latest(updates, keys, [ts, tie_break, "seq"], ["train_id", "train_status", *extra])
 
 
 # The lines the status board knows, in display order.

@@ -149,3 +149,33 @@ def test_stream_stream_left_outer_with_watermarks(spark):
     assert same(got.filter("p_id IS NOT NULL"), want.filter("p_id IS NOT NULL"))
     unmatched = got.filter("p_id IS NULL")
     assert unmatched.count() > 0 and unmatched.exceptAll(want.filter("p_id IS NULL")).count() == 0
+
+
+def test_stream_two_level_decode(spark):
+    from eventloom.schemas import CUSTOMER_RECORD
+    s = D.decode_two_level(read_topic(spark, FD.bus(spark, SF), topics=FD.CUSTOMERS, stream=True),
+                           CUSTOMER_RECORD)
+    name = REG._uid("t_dec")
+    RN.run_available(s, name, fmt="memory")
+    assert same(spark.table(name), REG.QUERIES["dec_two_level"](spark, SF))
+
+
+def test_stream_histogram_complete_mode(spark):
+    s = A.histogram(stream_clicks(spark), "user_id", "event_type")
+    name = REG._uid("t_hist")
+    RN.run_available(s, name, fmt="memory", output_mode="complete")
+    assert same(spark.table(name), A.histogram(REG.clicks(spark, SF), "user_id", "event_type"))
+
+
+def test_stream_train_positions_fold_to_table(spark):
+    from eventloom.schemas import ARRIVAL
+    env = read_topic(spark, FD.bus(spark, SF), pattern=r"^org\.chicago\.cta\.station\.arrivals\.",
+                     stream=True)
+    arr = D.parse_json(env, "value", ARRIVAL, keep=[F.col("offset").alias("event_id"),
+                                                    F.col("timestamp").alias("ts")])
+    s = T.train_positions(arr, "ts", "event_id", keep_order=True)
+    name = REG._uid("t_pos")
+    RN.run_available(s, name, fmt="memory", output_mode="update")
+    folded = T.latest(spark.table(name), ["line", "station_id", "direction"], ["ts", "event_id", "seq"],
+                      ["train_id", "train_status"])
+    assert same(folded, REG.QUERIES["tbl_train_position"](spark, SF))
