@@ -17,7 +17,7 @@ from eventloom.functions.decode import change_record_value, json_value
 from eventloom.functions.scalars import json_get, line_of, train_id
 from eventloom.operators.windows import previous_in_key
 from eventloom.schemas import CLICK_EVENT
-from eventloom.session import scratch_path
+from eventloom.session import derived_path
 from eventloom.sources.topics import to_envelope, write_topic
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -207,18 +207,20 @@ def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             arr_topics, st_topic, summary]
 
 
-_BUS: dict = {}
+def table_paths(sf_dir: str, names=TABLES) -> list:
+    return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
 
 
 def bus(spark: SparkSession, sf_dir: str) -> str:
-    """Write every feed once into one file-backed topic folder; returns it."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _BUS:
-        path = scratch_path(spark, "bus", sf_dir.strip("/").replace("/", "_"))
+    """Write every feed once into one file-backed topic folder; returns it.
+    The folder is reused by later queries, runs and processes as long as the
+    tables and the code are unchanged."""
+    def build(path: str) -> None:
         feeds = _feeds(spark, sf_dir)
         allf = feeds[0]
         for f in feeds[1:]:
             allf = allf.unionByName(f)
         write_topic(allf, path, mode="overwrite")
-        _BUS[key] = path
-    return _BUS[key]
+
+    used = ["events", "customer", "nation", "region", "orders", "supplier"]
+    return derived_path(spark, "bus", table_paths(sf_dir, used), build)

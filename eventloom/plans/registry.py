@@ -28,7 +28,7 @@ from eventloom.plans import catalog as C
 from eventloom.plans import feeds as FD
 from eventloom.schemas import (ARRIVAL, CLICK_EVENT, CUSTOMER_RECORD, JSON_OPTIONS,
                                LOCATION_RECORD, RISK_EVENT)
-from eventloom.session import configure, scratch_path
+from eventloom.session import configure, derived_path, scratch_path
 from eventloom.sources import files as FS
 from eventloom.sources import incremental as INC
 from eventloom.sources.topics import read_topic, replay_files, start_at, to_envelope
@@ -169,13 +169,8 @@ def src_offsets(spark, sf):
 def _click_replay(spark, sf, pieces: int = 4) -> str:
     """The clickevents topic written as ``pieces`` successive file groups in
     time order (for streams that must see events in order)."""
-    key = ("replay", spark.sparkContext.applicationId, sf, pieces)
-    if key not in FD._BUS:
-        path = scratch_path(spark, "replay", f"clicks{pieces}", sf.strip("/").replace("/", "_"))
-        env = _topic(spark, sf, FD.CLICKS)
-        replay_files(env, path, "offset", pieces)
-        FD._BUS[key] = path
-    return FD._BUS[key]
+    return derived_path(spark, f"replay{pieces}", [FD.bus(spark, sf)],
+                        lambda path: replay_files(_topic(spark, sf, FD.CLICKS), path, "offset", pieces))
 
 
 @q("src_bounded_batch")
@@ -190,12 +185,8 @@ def src_bounded_batch(spark, sf):
 
 
 def _doc_lines(spark, sf) -> str:
-    key = ("lines", spark.sparkContext.applicationId, sf)
-    if key not in FD._BUS:
-        path = scratch_path(spark, "text", sf.strip("/").replace("/", "_"))
-        FS.write_lines(_t(spark, sf, "documents"), "text", path)
-        FD._BUS[key] = path
-    return FD._BUS[key]
+    return derived_path(spark, "doc_lines", FD.table_paths(sf, ["documents"]),
+                        lambda path: FS.write_lines(_t(spark, sf, "documents"), "text", path))
 
 
 @q("src_text", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
@@ -237,12 +228,10 @@ CUSTOMER_TABLE = StructType([
 @q("src_csv_schema", "SELECT * FROM customer")
 def src_csv_schema(spark, sf):
     """Headed CSV into a declared table; NOT NULL and key violations set aside."""
-    key = ("csv", spark.sparkContext.applicationId, sf)
-    if key not in FD._BUS:
-        path = scratch_path(spark, "csv", sf.strip("/").replace("/", "_"))
-        _t(spark, sf, "customer").write.mode("overwrite").option("header", True).csv(path)
-        FD._BUS[key] = path
-    good, _rejects = FS.read_csv_table(spark, FD._BUS[key], CUSTOMER_TABLE,
+    path = derived_path(spark, "customer_csv", FD.table_paths(sf, ["customer"]),
+                        lambda p: _t(spark, sf, "customer").write.mode("overwrite")
+                        .option("header", True).csv(p))
+    good, _rejects = FS.read_csv_table(spark, path, CUSTOMER_TABLE,
                                        key=["c_custkey"], order_by=["c_custkey"])
     return good
 

@@ -185,16 +185,17 @@ def replay_files(envelopes: DataFrame, path: str, order_col: str, pieces: int) -
     bounded memory), never a collect of the data.
     """
     if pieces <= 1:
-        write_topic(envelopes, path)
+        write_topic(envelopes, path, mode="overwrite")
         return []
     qs = [i / pieces for i in range(1, pieces)]
     bounds = envelopes.approxQuantile(order_col, qs, 0.0001)
     edges = [None, *bounds, None]
-    for lo, hi in zip(edges[:-1], edges[1:]):
+    for n, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
         part = envelopes
         if lo is not None:
             part = part.filter(F.col(order_col) >= F.lit(lo))
         if hi is not None:
             part = part.filter(F.col(order_col) < F.lit(hi))
-        write_topic(part, path)
+        # the first piece replaces what an interrupted earlier attempt left
+        write_topic(part, path, mode="overwrite" if n == 0 else "append")
     return bounds
