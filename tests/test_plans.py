@@ -66,3 +66,44 @@ def test_broadcast_only_after_runtime_measurement(spark):
 def test_bucketed_sessions_spread_a_key(spark):
     p = plan(W.sessions_bucketed(REG.clicks(spark, SF_SMALL), "ts", "user_id", 300))
     assert "hashpartitioning(user_id" in p and "_b" in p
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    from eventloom.plans import feeds as FD
+    from eventloom.sources.topics import to_envelope
+    from eventloom.functions.decode import json_value
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    # one customer gets most risk events (distinct scores, so the shuffle
+    # bytes are skewed too, not just the row count)
+    extra = spark.range(o.count() * 3).select(
+        (F.col("id") + 10_000_000).alias("o_orderkey"), F.lit(7).cast("long").alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"), (F.col("id") * 1.37 + 0.11).alias("o_totalprice"),
+        F.lit("1995-01-01").cast("timestamp_ntz").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"))
+    skewed = o.unionByName(extra).repartition(16)  # many map tasks: splits happen between them
+    risk = to_envelope(skewed.select("o_orderkey", FD.email_of(F.col("o_custkey")).alias("customer"),
+                                     F.col("o_totalprice").cast("float").alias("score"),
+                                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("riskDate")),
+                       FD.RISK, json_value(["customer", "score", "riskDate"]), key="customer",
+                       offset="o_orderkey")
+    cust = REG._topic(spark, SF_SMALL, FD.CUSTOMERS)
+    conf = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = REG.risk_join(cust, risk)
+        n = df.count()
+        df.collect()
+        final = plan(df)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert n == skewed.count()          # every event keeps its customer
+    assert "skew=true" in final
