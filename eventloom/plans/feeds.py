@@ -37,6 +37,15 @@ STATIONS_TOPIC = "org.chicago.cta.stations.table.v1"
 SUMMARY_TOPIC = "TURNSTILE_SUMMARY"
 STATION_MARKER = "org.chicago.cta.station"
 
+
+def arrival_topic(line: Column) -> Column:
+    """The one naming rule for arrival topics; producers and the subscription
+    pattern below both come from it, so they cannot drift apart."""
+    return F.concat(F.lit(ARRIVALS_PREFIX), line)
+
+
+ARRIVALS_PATTERN = "^" + ARRIVALS_PREFIX.replace(".", r"\.")
+
 # Event types of the events table stand in for train lines; "signup" maps to
 # a line the status board does not know, so its arrivals are discarded.
 EVENT_LINE = {"click": "red", "view": "blue", "purchase": "green",
@@ -190,7 +199,7 @@ def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         timestamp="o_orderdate", offset="o_orderkey")
     arr = arrivals(spark, sf_dir)
     arr_topics = to_envelope(
-        arr, F.concat(F.lit(ARRIVALS_PREFIX), F.col("line")),
+        arr, arrival_topic(F.col("line")),
         json_value(["station_id", "train_id", "direction", "line", "train_status",
                     "prev_station_id", "prev_direction"]),
         key="event_id", timestamp="ts", offset="event_id")

@@ -151,7 +151,7 @@ SELECT concat('org.chicago.cta.station.arrivals.', {LINE_SQL}) AS topic,
        CAST(event_id AS VARCHAR) AS key, event_id AS msg_offset FROM events""")
 def src_topic_pattern(spark, sf):
     """Subscribe to every topic matching a regex and keep the topic name."""
-    env = _topic(spark, sf, pattern=r"^org\.chicago\.cta\.station\.arrivals\.")
+    env = _topic(spark, sf, pattern=FD.ARRIVALS_PATTERN)
     return env.select("topic", F.col("key").cast("string").alias("key"),
                       F.col("offset").alias("msg_offset"))
 
@@ -849,7 +849,7 @@ def tbl_station_transform(spark, sf):
 
 
 def _arrivals_from_topics(spark, sf) -> DataFrame:
-    env = _topic(spark, sf, pattern=r"^org\.chicago\.cta\.station\.arrivals\.")
+    env = _topic(spark, sf, pattern=FD.ARRIVALS_PATTERN)
     return D.parse_json(env, "value", ARRIVAL,
                         keep=[F.col("offset").alias("event_id"),
                               F.col("timestamp").cast("timestamp_ntz").alias("ts")])

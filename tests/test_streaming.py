@@ -169,7 +169,7 @@ def test_stream_histogram_complete_mode(spark):
 
 def test_stream_train_positions_fold_to_table(spark):
     from eventloom.schemas import ARRIVAL
-    env = read_topic(spark, FD.bus(spark, SF), pattern=r"^org\.chicago\.cta\.station\.arrivals\.",
+    env = read_topic(spark, FD.bus(spark, SF), pattern=FD.ARRIVALS_PATTERN,
                      stream=True)
     arr = D.parse_json(env, "value", ARRIVAL, keep=[F.col("offset").alias("event_id"),
                                                     F.col("timestamp").alias("ts")])
