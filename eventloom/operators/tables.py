@@ -131,4 +131,5 @@ def status_board(stations: DataFrame, positions: DataFrame, entries: DataFrame)
         F.when(F.col("train_a").isNotNull(), status_text("_sa")).otherwise(F.lit("---")).alias("status_a"),
         F.coalesce("train_b", F.lit("---")).alias("train_b"),
         F.when(F.col("train_b").isNotNull(), status_text("_sb")).otherwise(F.lit("---")).alias("status_b"),
-        F.coalesce("entries", F.lit(0)).cast("long").alias("entries"))
+        F.coalesce("entries", F.lit(0)).cast("long").alias("entries")
+    ).orderBy("line", "order", "station_id")  # display order: line, then order on the line
