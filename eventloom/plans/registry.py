@@ -26,12 +26,12 @@ from eventloom.operators import tables as T
 from eventloom.operators import windows as W
 from eventloom.plans import catalog as C
 from eventloom.plans import feeds as FD
-from eventloom.schemas import (ARRIVAL, CLICK_EVENT, CUSTOMER_RECORD, JSON_OPTIONS,
-                               LOCATION_RECORD, RISK_EVENT)
+from eventloom.schemas import (ARRIVAL, CLICK_EVENT, CUSTOMER_RECORD, LOCATION_RECORD,
+                               RISK_EVENT)
 from eventloom.session import configure, derived_path, scratch_path
 from eventloom.sources import files as FS
 from eventloom.sources import incremental as INC
-from eventloom.sources.topics import read_topic, replay_files, start_at, to_envelope
+from eventloom.sources.topics import read_topic, replay_files
 from eventloom.streaming import runner as RN
 from eventloom.streaming import sinks as SK
 

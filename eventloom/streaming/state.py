@@ -66,13 +66,11 @@ def running_in_window_stream(df: DataFrame, ts: str, key: str, value: str, size_
     t = t.withWatermark(ts, watermark)
     t = t.withColumn("_t_us", F.unix_micros(F.col(ts)))
     t = t.withColumn("_w_us", F.col("_t_us") - F.pmod(F.col("_t_us"), F.lit(size_us)))
-    key_type = dict(df.dtypes)[key]
     fields = [StructField(key, df.schema[key].dataType), StructField("window_start_us", LongType()),
               *[StructField(c, df.schema[c].dataType) for c in tie],
               StructField("event_us", LongType()), StructField("current", DoubleType())]
     out_schema = StructType(fields)
     state_schema = StructType([StructField("total", DoubleType())])
-    del key_type
 
     def step(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
