@@ -11,15 +11,17 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.session import scratch_path
+from eventloom.session import _checkpoint_root
 
 
 def checkpoint_for(spark: SparkSession, query_name: str) -> str:
-    return scratch_path(spark, "checkpoints", query_name)
+    """Stable per query name (not per process), so a restarted driver
+    resumes the query from its offsets and state."""
+    return "/".join([_checkpoint_root(spark), "eventloom", "checkpoints", query_name])
 
 
 def sink_path(spark: SparkSession, query_name: str) -> str:
-    return scratch_path(spark, "sinks", query_name)
+    return "/".join([_checkpoint_root(spark), "eventloom", "sinks", query_name])
 
 
 def run_available(df: DataFrame, query_name: str, fmt: str = "parquet",

@@ -179,3 +179,35 @@ def test_stream_train_positions_fold_to_table(spark):
     folded = T.latest(spark.table(name), ["line", "station_id", "direction"], ["ts", "event_id", "seq"],
                       ["train_id", "train_status"])
     assert same(folded, REG.QUERIES["tbl_train_position"](spark, SF))
+
+
+def test_restart_from_checkpoint_resumes_state_exactly_once(spark):
+    from eventloom.session import scratch_path
+    from eventloom.sources.topics import write_topic
+    env = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS)
+    src = scratch_path(spark, REG._uid("resume_src"))
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    write_topic(env.filter(F.col("timestamp") < cut), src, mode="overwrite")
+    name = REG._uid("resume")
+    out = RN.sink_path(spark, name)
+
+    def run():
+        s = D.parse_json(read_topic(spark, src, topics=FD.CLICKS, stream=True, max_files_per_trigger=4),
+                         "value", CLICK_EVENT)
+        s = W.event_time(s, "ts", "10 seconds")
+        agg = W.windowed_agg(s, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
+        # same query name → same checkpoint folder → resumes offsets and state
+        return RN.run_available(agg, name, path=out)
+
+    assert RN.checkpoint_for(spark, name).endswith(f"/eventloom/checkpoints/{name}")
+
+    run()
+    first = spark.read.parquet(out).count()
+    write_topic(env.filter(F.col("timestamp") >= cut), src)   # new files arrive
+    run()
+    got = spark.read.parquet(out)
+    ev = REG.clicks(spark, SF)
+    batch = W.windowed_agg(ev, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
+    want = W.closed_windows(batch, ev.select(F.max("ts")).scalar(), 10)
+    assert 0 < first < got.count()
+    assert same(got, want)
