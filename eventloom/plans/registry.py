@@ -80,6 +80,11 @@ def risk_join(customer_env: DataFrame, risk_env: DataFrame) -> DataFrame:
     return J.join(risk, cust, F.col("customer") == F.col("email"), "inner")
 
 
+def _parallelism(spark) -> int:
+    """State partitions for the registered streams: one per core slot."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _uid(name: str) -> str:
     import uuid
     return f"{name}_{uuid.uuid4().hex[:8]}"
@@ -179,7 +184,8 @@ def src_bounded_batch(spark, sf):
     returns the rows each batch received."""
     path = _click_replay(spark, sf)
     s = read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=2)
-    _, progress = RN.run_available(D.cast_strings(s), _uid("bounded"), fmt="noop")
+    _, progress = RN.run_available(D.cast_strings(s), _uid("bounded"), fmt="noop",
+                                   state_partitions=_parallelism(spark))
     rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in progress]
     return spark.createDataFrame(rows, "batch_id long, rows long")
 
@@ -199,7 +205,7 @@ def src_text(spark, sf):
 def src_text_stream(spark, sf):
     """Follow a folder of text files as a stream of lines."""
     s = FS.read_text_stream(spark, _doc_lines(spark, sf), max_files_per_trigger=4)
-    out, _ = RN.run_available(s, _uid("text_stream"))
+    out, _ = RN.run_available(s, _uid("text_stream"), state_partitions=_parallelism(spark))
     return spark.read.parquet(out)
 
 
@@ -256,7 +262,7 @@ def sink_topic(spark, sf):
     env = SK.keyed_json(risk_join(cust, risk), "customer", "risk-information",
                         offset=F.lit(0))
     path = RN.sink_path(spark, _uid("risk_information"))
-    SK.to_topic(env, path, _uid("sink_topic"))
+    SK.to_topic(env, path, _uid("sink_topic"), state_partitions=_parallelism(spark))
     return _read_back(spark, path, "risk-information", RISK_OUT).drop("key")
 
 
@@ -267,7 +273,7 @@ def sink_topic_raw(spark, sf):
     fwd = s.select("key", "value", F.lit("clickevents-copy").alias("topic"), "partition",
                    "offset", "timestamp", "timestampType")
     path = RN.sink_path(spark, _uid("copy"))
-    SK.to_topic(fwd, path, _uid("sink_raw"))
+    SK.to_topic(fwd, path, _uid("sink_raw"), state_partitions=_parallelism(spark))
     return D.parse_json(read_topic(spark, path, topics="clickevents-copy"), "value", CLICK_EVENT)
 
 
@@ -281,7 +287,7 @@ def sink_keyed_send(spark, sf):
     s = R.sanitize(clicks(spark, sf, stream=True), ["user_id"])
     env = SK.keyed_json(s, "event_type", "clickevents-by-type", offset="event_id")
     path = RN.sink_path(spark, _uid("by_type"))
-    SK.to_topic(env, path, _uid("sink_keyed"))
+    SK.to_topic(env, path, _uid("sink_keyed"), state_partitions=_parallelism(spark))
     return _read_back(spark, path, "clickevents-by-type", SANITIZED)
 
 
@@ -292,7 +298,8 @@ def sink_console(spark, sf):
     s = _click_replay(spark, sf)
     stream = D.parse_json(read_topic(spark, s, topics=FD.CLICKS, stream=True,
                                      max_files_per_trigger=8), "value", CLICK_EVENT)
-    counts = SK.console_batches(stream, _uid("console"), num_rows=5)
+    counts = SK.console_batches(stream, _uid("console"), num_rows=5,
+                                state_partitions=_parallelism(spark))
     return spark.createDataFrame(counts, "batch_id long, rows long")
 
 
@@ -303,7 +310,7 @@ CSV_OPTS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"
 def sink_csv(spark, sf):
     """CSV files per micro-batch with a checkpoint, read back with a schema."""
     s = clicks(spark, sf, stream=True).select("event_id", "ts", "event_type", "value")
-    out, _ = SK.to_csv(s, _uid("csv"), options=CSV_OPTS)
+    out, _ = SK.to_csv(s, _uid("csv"), options=CSV_OPTS, state_partitions=_parallelism(spark))
     schema = StructType([StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
                          StructField("event_type", StringType()), StructField("value", DoubleType())])
     return spark.read.schema(schema).options(**CSV_OPTS).csv(out)
@@ -322,7 +329,7 @@ def sink_foreach(spark, sf):
 
     s = D.parse_json(read_topic(spark, _click_replay(spark, sf), topics=FD.CLICKS, stream=True,
                                 max_files_per_trigger=8), "value", CLICK_EVENT)
-    SK.for_each_batch(s, _uid("foreach"), write_counts)
+    SK.for_each_batch(s, _uid("foreach"), write_counts, state_partitions=_parallelism(spark))
     return spark.read.parquet(base).groupBy("event_type").agg(F.sum("n").cast("long").alias("n"))
 
 
@@ -804,7 +811,7 @@ def win_late(spark, sf):
                                 max_files_per_trigger=8), "value", CLICK_EVENT)
     s = W.event_time(s, "ts", "10 seconds")
     agg = W.windowed_agg(s, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
-    out, _ = RN.run_available(agg, _uid("late"))
+    out, _ = RN.run_available(agg, _uid("late"), state_partitions=_parallelism(spark))
     return spark.read.parquet(out)
 
 
@@ -951,7 +958,7 @@ def cat_derive(spark, sf):
 
     def sink(df, query_name):
         env = SK.keyed_json(df, "event_type", "popular-values", offset="event_id")
-        return SK.to_topic(env, path, query_name)
+        return SK.to_topic(env, path, query_name, state_partitions=_parallelism(spark))
 
     C.derive(spark, name, f"SELECT event_id, ts, event_type, value FROM `{view}` WHERE value >= 100",
              [view], sink)

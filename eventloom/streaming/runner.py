@@ -28,11 +28,15 @@ def run_available(df: DataFrame, query_name: str, fmt: str = "parquet",
                   output_mode: str = "append", partition_by: Sequence[str] = (),
                   options: Mapping[str, str] | None = None,
                   foreach_batch: Callable | None = None, trigger: Mapping | None = None,
-                  path: str | None = None, timeout_s: int = 1800) -> tuple[str, list]:
+                  path: str | None = None, timeout_s: int = 1800,
+                  state_partitions: int | None = None) -> tuple[str, list]:
     """Run ``df`` (a stream) until all input available at start is processed.
 
     Returns the sink path and the progress reports. ``foreach_batch`` takes
-    the place of a file sink (side effects, ``update`` mode tables)."""
+    the place of a file sink (side effects, ``update`` mode tables).
+    ``state_partitions`` sets the shuffle (and state store) partition count
+    the query's checkpoint is created with; the session's setting is only
+    changed while the query starts."""
     spark = df.sparkSession
     ck = checkpoint_for(spark, query_name)
     out = path or sink_path(spark, query_name)
@@ -47,7 +51,14 @@ def run_available(df: DataFrame, query_name: str, fmt: str = "parquet",
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w = w.trigger(**dict(trigger or {"availableNow": True}))
-    q = w.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     try:
         q.awaitTermination(timeout_s)
         if q.exception() is not None:

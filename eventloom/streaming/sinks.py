@@ -22,16 +22,16 @@ def keyed_json(df: DataFrame, key: str, topic: str, offset: str | None = None) -
 
 
 def to_topic(df: DataFrame, path: str, query_name: str,
-             kafka_options: Mapping[str, str] | None = None, trigger=None):
+             kafka_options: Mapping[str, str] | None = None, trigger=None, **kw):
     """Stream envelopes (key, value, topic …) into a topic with a checkpoint."""
     if kafka_options is not None:
         return run_available(df.select("key", "value", "topic"), query_name, fmt="kafka",
-                             options=kafka_options, trigger=trigger)
+                             options=kafka_options, trigger=trigger, **kw)
     return run_available(df, query_name, fmt="parquet", partition_by=("topic",),
-                         path=path, trigger=trigger)
+                         path=path, trigger=trigger, **kw)
 
 
-def console_batches(df: DataFrame, query_name: str, num_rows: int = 20, trigger=None):
+def console_batches(df: DataFrame, query_name: str, num_rows: int = 20, trigger=None, **kw):
     """Print each micro-batch like the console sink, but only ``num_rows`` rows
     reach the driver; returns per-batch row counts (counted on executors)."""
     counts: list = []
@@ -40,19 +40,19 @@ def console_batches(df: DataFrame, query_name: str, num_rows: int = 20, trigger=
         batch.show(num_rows, truncate=False)
         counts.append((int(batch_id), int(batch.count())))
 
-    run_available(df, query_name, foreach_batch=show, trigger=trigger)
+    run_available(df, query_name, foreach_batch=show, trigger=trigger, **kw)
     return counts
 
 
 def to_csv(df: DataFrame, query_name: str, options: Mapping[str, str] | None = None,
-           trigger=None):
+           trigger=None, **kw):
     """CSV files per micro-batch with a checkpoint (processingTime triggers on
     a cluster, availableNow in tests)."""
-    return run_available(df, query_name, fmt="csv", options=options, trigger=trigger)
+    return run_available(df, query_name, fmt="csv", options=options, trigger=trigger, **kw)
 
 
 def for_each_batch(df: DataFrame, query_name: str, fn: Callable[[DataFrame, int], None],
-                   trigger=None):
+                   trigger=None, **kw):
     """Side effect per micro-batch; ``fn`` gets the batch DataFrame and id and
     must be idempotent per id (a batch can be replayed after a failure)."""
-    return run_available(df, query_name, foreach_batch=fn, trigger=trigger)
+    return run_available(df, query_name, foreach_batch=fn, trigger=trigger, **kw)
