@@ -247,3 +247,23 @@ def test_kafka_source_is_gated_on_the_package(spark):
         assert "kafka" in str(e).lower()
     else:  # with the package, the envelope schema is Kafka's own
         assert df.columns[:5] == ["key", "value", "topic", "partition", "offset"]
+
+
+def test_station_csv_rejects_nulls_and_duplicate_keys(spark, tmp_path):
+    from eventloom.plans import feeds as FD
+    from eventloom.schemas import STATION
+    from eventloom.sources.files import read_csv_table
+    st = FD.supplier_stations(spark, "/root/testdata/sf0.001")
+    n = st.count()
+    bad = spark.createDataFrame(
+        [(None, "E", "x", "x", "x", 1, 1, True, False, False),        # stop_id missing
+         (0, "E", "dup", "dup", "dup", 0, 0, False, False, True)],    # stop_id 0 again
+        "stop_id int, direction_id string, stop_name string, station_name string, "
+        "station_descriptive_name string, station_id int, order int, red boolean, blue boolean, green boolean")
+    path = str(tmp_path / "stations_csv")
+    st.unionByName(bad).coalesce(1).write.option("header", True).csv(path)
+    good, rejects = read_csv_table(spark, path, STATION, key=["stop_id"], order_by=["order", "stop_id"])
+    assert good.count() == n - 1            # both rows with stop_id 0 are set aside
+    assert rejects.count() == 3
+    orders = [r.order for r in good.select("order").collect()]
+    assert orders == sorted(orders)
