@@ -211,3 +211,19 @@ def test_restart_from_checkpoint_resumes_state_exactly_once(spark):
     want = W.closed_windows(batch, ev.select(F.max("ts")).scalar(), 10)
     assert 0 < first < got.count()
     assert same(got, want)
+
+
+def test_upsert_latest_table_from_stream(spark):
+    from eventloom.session import scratch_path
+    from eventloom.streaming import tables as ST2
+    path = scratch_path(spark, REG._uid("latest_table"))
+    s = stream_clicks(spark)
+    ST2.upsert_latest(s, ["user_id"], ["ts", "event_id"], path, REG._uid("upsert"), buckets=16,
+                      state_partitions=8)
+    got = ST2.read_table(spark, path).select(*REG.clicks(spark, SF).columns)
+    want = T.latest(REG.clicks(spark, SF), "user_id", ["ts", "event_id"]).select(*got.columns)
+    assert same(got, want)
+    # replaying a batch changes nothing
+    batch = REG.clicks(spark, SF).filter("event_id < 500")
+    ST2.merge_batch(spark, batch, ["user_id"], ["ts", "event_id"], path, 16, 999)
+    assert same(ST2.read_table(spark, path).select(*got.columns), want)
