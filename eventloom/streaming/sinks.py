@@ -34,14 +34,14 @@ def to_topic(df: DataFrame, path: str, query_name: str,
 def console_batches(df: DataFrame, query_name: str, num_rows: int = 20, trigger=None, **kw):
     """Print each micro-batch like the console sink, but only ``num_rows`` rows
     reach the driver; returns per-batch row counts (counted on executors)."""
-    counts: list = []
+    counts: dict = {}
 
     def show(batch: DataFrame, batch_id: int) -> None:
         batch.show(num_rows, truncate=False)
-        counts.append((int(batch_id), int(batch.count())))
+        counts[int(batch_id)] = int(batch.count())  # a replayed batch replaces its count
 
     run_available(df, query_name, foreach_batch=show, trigger=trigger, **kw)
-    return counts
+    return sorted(counts.items())
 
 
 def to_csv(df: DataFrame, query_name: str, options: Mapping[str, str] | None = None,
