@@ -26,16 +26,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Topic names used by the pipelines.
 CLICKS = "clickevents"
 FUEL = "fuel-level"
-CUSTOMERS = "redis-customers"
-MIXED = "redis-server"
+CUSTOMERS = "customer-changes"
+MIXED = "change-feed"
 BALANCES = "customer-balances"
-RISK = "stedi-events"
+RISK = "risk-events"
 DRIFT = "clickevents-drift"
 CUSTOMERS_AVRO = "customers-avro"
-ARRIVALS_PREFIX = "org.chicago.cta.station.arrivals."
-STATIONS_TOPIC = "org.chicago.cta.stations.table.v1"
+ARRIVALS_PREFIX = "transit.station.arrivals."
+STATIONS_TOPIC = "transit.stations.table"
 SUMMARY_TOPIC = "TURNSTILE_SUMMARY"
-STATION_MARKER = "org.chicago.cta.station"
+STATION_MARKER = "transit.station"
 
 
 def arrival_topic(line: Column) -> Column:

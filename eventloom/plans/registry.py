@@ -152,7 +152,7 @@ def src_topic(spark, sf):
 
 
 @q("src_topic_pattern", f"""
-SELECT concat('org.chicago.cta.station.arrivals.', {LINE_SQL}) AS topic,
+SELECT concat('transit.station.arrivals.', {LINE_SQL}) AS topic,
        CAST(event_id AS VARCHAR) AS key, event_id AS msg_offset FROM events""")
 def src_topic_pattern(spark, sf):
     """Subscribe to every topic matching a regex and keep the topic name."""
@@ -884,10 +884,10 @@ def tbl_latest_global(spark, sf):
 
 
 @q("tbl_route_by_topic", f"""
-SELECT concat('org.chicago.cta.station.arrivals.', {LINE_SQL}) AS topic, event_id AS msg_offset,
+SELECT concat('transit.station.arrivals.', {LINE_SQL}) AS topic, event_id AS msg_offset,
        {LINE_SQL} AS route_line FROM events WHERE {LINE_SQL} IN ('blue', 'green', 'red')
 UNION ALL
-SELECT 'org.chicago.cta.stations.table.v1', station_id, line FROM ({STATIONS_T_SQL})
+SELECT 'transit.stations.table', station_id, line FROM ({STATIONS_T_SQL})
 WHERE line IN ('blue', 'green', 'red')
 UNION ALL
 SELECT 'TURNSTILE_SUMMARY', station_id, l.line FROM (SELECT DISTINCT {STATION_SQL} AS station_id FROM events),

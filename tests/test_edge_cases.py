@@ -115,10 +115,10 @@ def test_station_lines_and_colours(spark):
 
 
 def test_route_discards_unknown_lines(spark):
-    rows = [("org.chicago.cta.station.arrivals.x", 1, "red"), ("org.chicago.cta.station.arrivals.x", 2, "purple"),
+    rows = [("transit.station.arrivals.x", 1, "red"), ("transit.station.arrivals.x", 2, "purple"),
             ("TURNSTILE_SUMMARY", 3, None), ("weather", 4, "red")]
     bus = spark.createDataFrame(rows, "topic string, msg_offset long, line string")
-    r = sorted((x.msg_offset, x.route_line) for x in T.route_by_topic(bus, "org.chicago.cta.station",
+    r = sorted((x.msg_offset, x.route_line) for x in T.route_by_topic(bus, "transit.station",
                                                                      "TURNSTILE_SUMMARY").collect())
     assert r == [(1, "red"), (3, "blue"), (3, "green"), (3, "red")]
 
