@@ -12,7 +12,6 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import StructType
 
 from eventloom.schemas import ENVELOPE
@@ -103,6 +102,14 @@ def start_at(envelopes: DataFrame, starting="earliest") -> DataFrame:
     return envelopes.filter(F.col("timestamp") >= F.lit(starting).cast("timestamp"))
 
 
+def _epoch_millis(ts: str) -> int:
+    import datetime as dt
+    t = dt.datetime.fromisoformat(ts)
+    if t.tzinfo is None:
+        t = t.replace(tzinfo=dt.timezone.utc)
+    return int(t.timestamp() * 1000)
+
+
 def read_topic(spark: SparkSession, path: str | None = None, topics=None, pattern=None,
                starting="earliest", stream: bool = False,
                max_files_per_trigger: int | None = None,
@@ -123,8 +130,10 @@ def read_topic(spark: SparkSession, path: str | None = None, topics=None, patter
             r = r.option("subscribe", topics if isinstance(topics, str) else ",".join(topics))
         if pattern is not None:
             r = r.option("subscribePattern", pattern)
-        if isinstance(starting, str):
+        if starting in ("earliest", "latest"):
             r = r.option("startingOffsets", starting)
+        elif isinstance(starting, str):  # a time: first offset stamped at or after it
+            r = r.option("startingTimestamp", str(_epoch_millis(starting)))
         elif isinstance(starting, Mapping):
             import json
             r = r.option("startingOffsets", json.dumps(
@@ -156,25 +165,6 @@ def write_topic(envelopes: DataFrame, path: str, mode: str = "append") -> None:
     envelopes.select(*ENVELOPE_COLUMNS).write.mode(mode).partitionBy("topic").parquet(path)
 
 
-def write_topic_stream(envelopes: DataFrame, path: str | None, checkpoint: str,
-                       query_name: str, kafka_options: Mapping[str, str] | None = None,
-                       trigger: Mapping | None = None):
-    """Continuously produce envelopes (stream) into a topic; returns the query.
-
-    Each query needs its own checkpoint folder; two queries sharing one
-    silently skip each other's output.
-    """
-    if kafka_options is not None:
-        w = (envelopes.select("key", "value", "topic").writeStream
-             .format("kafka").options(**dict(kafka_options)))
-    else:
-        w = (envelopes.select(*ENVELOPE_COLUMNS).writeStream.format("parquet")
-             .partitionBy("topic").option("path", path))
-    w = (w.queryName(query_name).option("checkpointLocation", checkpoint)
-         .trigger(**dict(trigger or {"availableNow": True})))
-    return w.start()
-
-
 def replay_files(envelopes: DataFrame, path: str, order_col: str, pieces: int) -> list:
     """Write a topic as ``pieces`` files in ``order_col`` order, one after
     another, so a file stream replays them in time order.
