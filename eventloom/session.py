@@ -49,17 +49,22 @@ def _ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if not sc.master.startswith("local") or sc.applicationId in _SHIPPED:
         return
+    out = build_zip(os.path.join(tempfile.mkdtemp(prefix="eventloom-pyfiles-"), "eventloom.zip"))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
+def build_zip(out: str) -> str:
+    """Zip the package for ``--py-files`` (``python -m eventloom.session out.zip``)."""
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="eventloom-pyfiles-"), "eventloom.zip")
     with zipfile.ZipFile(out, "w") as z:
         for d, _dirs, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)
+    return out
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -200,3 +205,8 @@ def derived_path(spark: SparkSession, name: str, inputs: list, build) -> str:
         fs.create(p, True).close()
     _MEMO[key] = path
     return path
+
+
+if __name__ == "__main__":
+    import sys
+    print(build_zip(sys.argv[1] if len(sys.argv) > 1 else "eventloom.zip"))
