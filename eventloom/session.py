@@ -55,7 +55,7 @@ def _ship_package(spark: SparkSession) -> None:
 
 
 def build_zip(out: str) -> str:
-    """Zip the package for ``--py-files`` (``python -m eventloom.session out.zip``)."""
+    """Zip the package for ``--py-files`` (``python -m eventloom out.zip``)."""
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
     with zipfile.ZipFile(out, "w") as z:
@@ -205,8 +205,3 @@ def derived_path(spark: SparkSession, name: str, inputs: list, build) -> str:
         fs.create(p, True).close()
     _MEMO[key] = path
     return path
-
-
-if __name__ == "__main__":
-    import sys
-    print(build_zip(sys.argv[1] if len(sys.argv) > 1 else "eventloom.zip"))
