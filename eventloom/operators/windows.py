@@ -78,11 +78,17 @@ def windowed_top_k(df: DataFrame, ts: str, keys, value: str, k: int, size: str,
 
 def running_in_window(df: DataFrame, ts: str, keys, value: str, size: str,
                       tie_break: Sequence[str] = (), alias: str = "current",
-                      round_to: int = 2) -> DataFrame:
+                      round_to: int = 2, slide: str | None = None) -> DataFrame:
     """After each event, the running sum of its own tumbling window (the value
-    a windowed table shows right after the event). Window partitions are one
-    key's events within one window, so they stay bounded by the window size."""
-    tagged = assign_window(df, ts, size)
+    a windowed table shows right after the event); with ``slide``, one row per
+    hopping window the event falls in. Window partitions are one key's events
+    within one window, so they stay bounded by the window size."""
+    if slide is None:
+        tagged = assign_window(df, ts, size)
+    else:
+        ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
+        tagged = df.withColumn("_w", F.window(F.col(ts), size, slide)) \
+            .select(*df.columns, *_bounds(F.col("_w"), ntz))
     w = (Window.partitionBy(*_keys(keys), "window_start")
          .orderBy(F.col(ts), *[F.col(t) for t in tie_break])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -267,3 +267,21 @@ def test_station_csv_rejects_nulls_and_duplicate_keys(spark, tmp_path):
     assert rejects.count() == 3
     orders = [r.order for r in good.select("order").collect()]
     assert orders == sorted(orders)
+
+
+def test_running_value_in_hopping_windows_brute_force(spark):
+    import datetime as dt
+    rows = [(i, dt.datetime(2024, 1, 1, 0, 0, 0) + dt.timedelta(seconds=7 * i), "k" if i % 3 else "j", float(i))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz, k string, v double")
+    got = {(r.id, r.window_start): r.current for r in
+           W.running_in_window(df, "ts", "k", "v", "60 seconds", ["id"], slide="20 seconds").collect()}
+    want = {}
+    for i, t, k, v in rows:
+        sec = int((t - dt.datetime(2024, 1, 1)).total_seconds())
+        for start in range(sec - sec % 20 - 40, sec + 1, 20):
+            if start <= sec < start + 60:
+                ws = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=start)
+                want[(i, ws)] = round(sum(v2 for i2, t2, k2, v2 in rows if k2 == k and i2 <= i
+                                          and ws <= t2 < ws + dt.timedelta(seconds=60)), 2)
+    assert got == want
