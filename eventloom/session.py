@@ -189,7 +189,8 @@ def derived_path(spark: SparkSession, name: str, inputs: list, build) -> str:
 
     The folder name is a hash of the inputs' sizes and times and of this
     package's code, so changed inputs or code give a new folder. A folder
-    counts as present only once its marker file was written after the build.
+    counts as present only with its marker file, which is written before the
+    folder is moved into place.
     """
     import hashlib
     key = (spark.sparkContext.applicationId, name, tuple(inputs))
@@ -198,10 +199,22 @@ def derived_path(spark: SparkSession, name: str, inputs: list, build) -> str:
     parts = [name, _code_hash(), *[f"{i}={path_fingerprint(spark, i)}" for i in inputs]]
     digest = hashlib.sha1("|".join(parts).encode()).hexdigest()[:20]
     path = "/".join([_checkpoint_root(spark), "eventloom", "derived", f"{name}-{digest}"])
-    marker = path + "/_EVENTLOOM_COMPLETE"
-    if not REUSE_DERIVED or not path_exists(spark, marker):
-        build(path)  # must overwrite whatever a failed earlier attempt left
-        p, fs = _fs(spark, marker)
-        fs.create(p, True).close()
+    if not REUSE_DERIVED:
+        path = f"{path}-{_RUN_ID}"
+    marker = "_EVENTLOOM_COMPLETE"
+    if not path_exists(spark, f"{path}/{marker}"):
+        # Build in a private staging folder and move it into place, so the
+        # final folder only ever appears complete, even when several
+        # processes build it at once (the first move wins).
+        staging = f"{path}.staging-{uuid.uuid4().hex[:8]}"
+        build(staging)
+        m, fs = _fs(spark, f"{staging}/{marker}")
+        fs.create(m, True).close()
+        src, _ = _fs(spark, staging)
+        dst, _ = _fs(spark, path)
+        if fs.exists(dst) or not fs.rename(src, dst):
+            fs.delete(src, True)
+        if not fs.exists(dst.suffix("/" + marker)):
+            raise RuntimeError(f"derived folder {path} is incomplete")
     _MEMO[key] = path
     return path
