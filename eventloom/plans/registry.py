@@ -291,16 +291,17 @@ def sink_keyed_send(spark, sf):
     return _read_back(spark, path, "clickevents-by-type", SANITIZED)
 
 
-@q("sink_console")
+@q("sink_console", "SELECT count(*) AS rows FROM events")
 def sink_console(spark, sf):
     """Console sink: each micro-batch printed (first rows only reach the
-    driver); returns the rows per batch."""
+    driver); returns the number of rows the batches carried."""
     s = _click_replay(spark, sf)
     stream = D.parse_json(read_topic(spark, s, topics=FD.CLICKS, stream=True,
                                      max_files_per_trigger=8), "value", CLICK_EVENT)
     counts = SK.console_batches(stream, _uid("console"), num_rows=5,
                                 state_partitions=_parallelism(spark))
-    return spark.createDataFrame(counts, "batch_id long, rows long")
+    return spark.createDataFrame(counts, "batch_id long, rows long").agg(
+        F.sum("rows").cast("long").alias("rows"))
 
 
 CSV_OPTS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
@@ -975,7 +976,10 @@ def cat_list(spark, sf):
     return C.list_views(spark)
 
 
-@q("cat_drop")
+@q("cat_drop", """
+SELECT 'drop_while_running' AS step, 'refused' AS outcome
+UNION ALL SELECT 'drop_after_terminate', 'dropped'
+UNION ALL SELECT 'sink_rows_kept', CAST(count(*) AS VARCHAR) FROM events""")
 def cat_drop(spark, sf):
     """Drop is refused while a running query reads the view; after the query
     is terminated the drop succeeds and the written data stays."""
