@@ -49,11 +49,12 @@ def register_reader(query_name: str, views: list[str]) -> None:
     _READS[query_name] = set(views)
 
 
-def list_views(spark: SparkSession) -> DataFrame:
-    """Views with their columns and types, plus running queries, as rows."""
+def list_views(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
+    """Views (all, or the named ones) with their columns and types, plus
+    running queries, as rows."""
     rows = []
     for t in spark.catalog.listTables():
-        if not t.isTemporary:
+        if not t.isTemporary or (names is not None and t.name not in names):
             continue
         for c in spark.catalog.listColumns(t.name):
             rows.append(("view", t.name, c.name, c.dataType))

@@ -969,11 +969,16 @@ def cat_derive(spark, sf):
     return D.parse_json(read_topic(spark, path, topics="popular-values"), "value", schema)
 
 
-@q("cat_list")
+@q("cat_list", """
+SELECT 'view' AS kind, 'clickevents_declared' AS name, column_name AS "column",
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS type
+FROM (DESCRIBE SELECT * FROM events)""")
 def cat_list(spark, sf):
-    """Views with their columns and types, and running queries."""
+    """Columns and types of a declared stream (and running queries, none
+    once the stream queries above have finished)."""
     C.declare(spark, "clickevents_declared", _topic(spark, sf, FD.CLICKS), CLICK_EVENT)
-    return C.list_views(spark)
+    return C.list_views(spark, ["clickevents_declared"])
 
 
 @q("cat_drop", """
