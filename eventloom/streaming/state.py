@@ -57,7 +57,9 @@ def running_in_window_stream(df: DataFrame, ts: str, key: str, value: str, size_
 
     Groups are (key, window start); the state is one running sum, dropped by
     an event-time timeout when the watermark passes the window end. Within a
-    micro-batch, events are applied in (ts, tie-break) order."""
+    micro-batch, events are applied in (ts, tie-break) order, which needs one
+    group's rows of that micro-batch in memory at once: bound them with the
+    source's per-trigger limit (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)."""
     tie = list(tie_break)
     size_us = size_seconds * 1_000_000
     t = df
