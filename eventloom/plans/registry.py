@@ -539,9 +539,8 @@ def fn_letter_count(spark, sf):
 @q("udf_processor", "SELECT event_id, (event_id * 7919 + user_id) % 101 AS score FROM events")
 def udf_processor(spark, sf):
     """A user function applied to every record before the main step
-    (vectorised Python over Arrow batches)."""
-    return clicks(spark, sf).transform(
-        lambda df: df.select("event_id", S.click_score("event_id", "user_id").alias("score")))
+    (``df.transform`` with built-in expressions)."""
+    return clicks(spark, sf).transform(S.with_score).select("event_id", "score")
 
 
 # ---------------------------------------------------------------- joins

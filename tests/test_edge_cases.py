@@ -285,3 +285,10 @@ def test_running_value_in_hopping_windows_brute_force(spark):
                 want[(i, ws)] = round(sum(v2 for i2, t2, k2, v2 in rows if k2 == k and i2 <= i
                                           and ws <= t2 < ws + dt.timedelta(seconds=60)), 2)
     assert got == want
+
+
+def test_python_processor_agrees_with_builtin(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    a = ev.transform(S.with_score).select("event_id", "score")
+    b = ev.select("event_id", S.click_score("event_id", "user_id").alias("score"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
