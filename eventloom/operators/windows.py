@@ -78,21 +78,41 @@ def windowed_top_k(df: DataFrame, ts: str, keys, value: str, k: int, size: str,
 
 def running_in_window(df: DataFrame, ts: str, keys, value: str, size: str,
                       tie_break: Sequence[str] = (), alias: str = "current",
-                      round_to: int = 2, slide: str | None = None) -> DataFrame:
+                      round_to: int = 2, slide: str | None = None,
+                      split: str | None = None) -> DataFrame:
     """After each event, the running sum of its own tumbling window (the value
     a windowed table shows right after the event); with ``slide``, one row per
     hopping window the event falls in. Window partitions are one key's events
-    within one window, so they stay bounded by the window size."""
+    within one window, so they stay bounded by the window size; with ``split``
+    (e.g. "10 seconds") they are cut further into sub-buckets summed in
+    parallel, so even a hot key's window is not one sort."""
     if slide is None:
         tagged = assign_window(df, ts, size)
     else:
         ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
         tagged = df.withColumn("_w", F.window(F.col(ts), size, slide)) \
             .select(*df.columns, *_bounds(F.col("_w"), ntz))
-    w = (Window.partitionBy(*_keys(keys), "window_start")
-         .orderBy(F.col(ts), *[F.col(t) for t in tie_break])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return tagged.withColumn(alias, F.round(F.sum(value).over(w), round_to))
+    if split is None:
+        w = (Window.partitionBy(*_keys(keys), "window_start")
+             .orderBy(F.col(ts), *[F.col(t) for t in tie_break])
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return tagged.withColumn(alias, F.round(F.sum(value).over(w), round_to))
+    # Parallel prefix sum: running sums inside (key, window, sub-bucket)
+    # groups, plus the total of the window's earlier sub-buckets.
+    ks = [str(k) for k in _keys(keys)]
+    sub = tagged.withColumn("_sub", F.window(F.col(ts), split).getField("start"))
+    w_in = (Window.partitionBy(*ks, "window_start", "_sub")
+            .orderBy(F.col(ts), *[F.col(t) for t in tie_break])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = sub.withColumn("_run", F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(w_in))
+    totals = sub.groupBy(*ks, "window_start", "_sub").agg(
+        F.sum(F.coalesce(F.col(value), F.lit(0.0))).alias("_tot"))
+    w_sub = (Window.partitionBy(*ks, "window_start").orderBy("_sub")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    before = totals.select(*ks, "window_start", "_sub",
+                           F.coalesce(F.sum("_tot").over(w_sub), F.lit(0.0)).alias("_before"))
+    out = inner.join(before, [*ks, "window_start", "_sub"], "inner")
+    return out.select(*tagged.columns, F.round(F.col("_before") + F.col("_run"), round_to).alias(alias))
 
 
 def closed_windows(windows: DataFrame, max_event_time: Column, delay_seconds: int,

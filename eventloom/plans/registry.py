@@ -794,7 +794,8 @@ SELECT event_id, event_type, {_bucket(600)} AS window_start,
 FROM events""")
 def win_current(spark, sf):
     """After each event, the running value of its own 10-minute window."""
-    r = W.running_in_window(clicks(spark, sf), "ts", "event_type", "value", "10 minutes", ["event_id"])
+    r = W.running_in_window(clicks(spark, sf), "ts", "event_type", "value", "10 minutes", ["event_id"],
+                            split="1 minute")
     return r.select("event_id", "event_type", "window_start", "current")
 
 

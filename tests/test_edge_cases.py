@@ -292,3 +292,12 @@ def test_python_processor_agrees_with_builtin(spark):
     a = ev.transform(S.with_score).select("event_id", "score")
     b = ev.select("event_id", S.click_score("event_id", "user_id").alias("score"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_split_running_value_equals_plain(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    hot = ev.withColumn("event_type", F.lit("hot")).withColumn("event_id", F.col("event_id") + 1_000_000)
+    df = ev.unionByName(hot)
+    plain = W.running_in_window(df, "ts", "event_type", "value", "1 day", ["event_id"])
+    split = W.running_in_window(df, "ts", "event_type", "value", "1 day", ["event_id"], split="1 hour")
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
