@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.session import path_exists
+
 
 def last_mark(spark: SparkSession, state_path: str):
-    try:
-        marks = spark.read.parquet(state_path)
-    except Exception:  # no load has committed yet
+    """(last load number, its high-water mark); (0, None) before the first load."""
+    if not path_exists(spark, state_path):
         return 0, None
+    marks = spark.read.parquet(state_path)
     row = marks.agg(F.max("load_no").alias("n"),
                     F.max_by("mark", "load_no").alias("m")).first()
     return (row["n"] or 0), row["m"]
