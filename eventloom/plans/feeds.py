@@ -164,56 +164,102 @@ def turnstile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("station_id").agg(F.count(F.lit(1)).alias("count")))
 
 
-def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One derived topic as a lazy envelope DataFrame (nothing is written)."""
+    return FEEDS[name](spark, sf_dir)
+
+
+def _clicks(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    cols = [f.name for f in CLICK_EVENT.fields]
+    return to_envelope(e, CLICKS, json_value(cols), key="user_id", timestamp="ts", offset="event_id")
+
+
+def _fuel(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return to_envelope(e, FUEL, F.col("event_type"), key="user_id", timestamp="ts", offset="event_id")
+
+
+def _drift(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     cols = [f.name for f in CLICK_EVENT.fields]
-    clicks = to_envelope(e, CLICKS, json_value(cols), key="user_id", timestamp="ts", offset="event_id")
-    fuel = to_envelope(e, FUEL, F.col("event_type"), key="user_id", timestamp="ts", offset="event_id")
     drift_val = F.when(F.col("ts") >= F.lit(DRIFT_START).cast("timestamp_ntz"),
                        json_value(["event_id", "ts", F.col("user_id").alias("user_ref"),
-                                   "event_type", "value", "props"]))\
+                                   "event_type", "value", "props"])) \
         .otherwise(json_value(cols))
-    drift = to_envelope(e, DRIFT, drift_val, key="user_id", timestamp="ts", offset="event_id")
+    return to_envelope(e, DRIFT, drift_val, key="user_id", timestamp="ts", offset="event_id")
+
+
+_CUSTOMER_FIELDS = ["customerName", "email", "phone", "birthDay", "accountNumber", "location"]
+
+
+def _customers(spark, sf_dir):
     cr = customer_records(spark, sf_dir)
-    cust_json = json_value(["customerName", "email", "phone", "birthDay", "accountNumber", "location"])
-    customers = to_envelope(cr, CUSTOMERS, change_record_value(cust_json, F.lit(0.0), "Customer"),
-                            key=F.lit("Customer"), offset="c_custkey")
-    mixed_c = to_envelope(cr, MIXED, change_record_value(cust_json, F.lit(0.0), "Customer"),
+    return to_envelope(cr, CUSTOMERS, change_record_value(json_value(_CUSTOMER_FIELDS), F.lit(0.0), "Customer"),
+                       key=F.lit("Customer"), offset="c_custkey")
+
+
+def _mixed(spark, sf_dir):
+    cr = customer_records(spark, sf_dir)
+    mixed_c = to_envelope(cr, MIXED, change_record_value(json_value(_CUSTOMER_FIELDS), F.lit(0.0), "Customer"),
                           key=F.lit("Customer"), offset=F.col("c_custkey") * 2)
     lr = location_records(spark, sf_dir)
     mixed_l = to_envelope(lr, MIXED,
                           change_record_value(json_value(["accountNumber", "location"]), F.lit(0.0), "Location"),
                           key=F.lit("Location"), offset=F.col("o_orderkey") * 2 + 1)
+    return mixed_c.unionByName(mixed_l)
+
+
+def _balances(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return to_envelope(c, BALANCES, change_record_value(F.col("c_name"), F.col("c_acctbal"), "CustomerBalance"),
+                       key=F.lit("CustomerBalance"), offset="c_custkey")
+
+
+def _customers_avro(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    balances = to_envelope(c, BALANCES,
-                           change_record_value(F.col("c_name"), F.col("c_acctbal"), "CustomerBalance"),
-                           key=F.lit("CustomerBalance"), offset="c_custkey")
     avro_value = avro.encode_column(json_value(c.columns), CUSTOMER_AVRO, schema_id=1)
-    customers_avro = to_envelope(c, CUSTOMERS_AVRO, avro_value, key="c_custkey", offset="c_custkey")
+    return to_envelope(c, CUSTOMERS_AVRO, avro_value, key="c_custkey", offset="c_custkey")
+
+
+def _risk(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    risk = to_envelope(
+    return to_envelope(
         o.select("o_orderkey", "o_orderdate", email_of(F.col("o_custkey")).alias("customer"),
                  F.col("o_totalprice").cast("float").alias("score"),
                  F.date_format("o_orderdate", "yyyy-MM-dd").alias("riskDate")),
         RISK, json_value(["customer", "score", "riskDate"]), key="customer",
         timestamp="o_orderdate", offset="o_orderkey")
-    arr = arrivals(spark, sf_dir)
-    arr_topics = to_envelope(
-        arr, arrival_topic(F.col("line")),
+
+
+def _arrivals(spark, sf_dir):
+    return to_envelope(
+        arrivals(spark, sf_dir), arrival_topic(F.col("line")),
         json_value(["station_id", "train_id", "direction", "line", "train_status",
                     "prev_station_id", "prev_direction"]),
         key="event_id", timestamp="ts", offset="event_id")
+
+
+def _stations(spark, sf_dir):
     st = stations(spark, sf_dir).filter(F.col("direction_id") == "E").select(
         "station_id", "station_name", "order", line_of("red", "blue", "green").alias("line"))
-    st_topic = to_envelope(st, STATIONS_TOPIC, json_value(st.columns), key="station_id",
-                           offset="station_id")
+    return to_envelope(st, STATIONS_TOPIC, json_value(st.columns), key="station_id", offset="station_id")
+
+
+def _summary(spark, sf_dir):
     tc = turnstile_counts(spark, sf_dir)
-    summary = to_envelope(tc, SUMMARY_TOPIC,
-                          json_value([F.col("station_id").alias("STATION_ID"),
-                                      F.col("count").alias("COUNT")]),
-                          key="station_id", offset="station_id")
-    return [clicks, fuel, drift, customers, mixed_c, mixed_l, balances, customers_avro, risk,
-            arr_topics, st_topic, summary]
+    return to_envelope(tc, SUMMARY_TOPIC,
+                       json_value([F.col("station_id").alias("STATION_ID"), F.col("count").alias("COUNT")]),
+                       key="station_id", offset="station_id")
+
+
+FEEDS = {CLICKS: _clicks, FUEL: _fuel, DRIFT: _drift, CUSTOMERS: _customers, MIXED: _mixed,
+         BALANCES: _balances, CUSTOMERS_AVRO: _customers_avro, RISK: _risk, "arrivals": _arrivals,
+         STATIONS_TOPIC: _stations, SUMMARY_TOPIC: _summary}
+
+
+def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [f(spark, sf_dir) for f in FEEDS.values()]
 
 
 def table_paths(sf_dir: str, names=TABLES) -> list:
