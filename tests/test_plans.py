@@ -107,3 +107,25 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
     assert n == skewed.count()          # every event keeps its customer
     assert "skew=true" in final
+
+
+def test_broadcast_if_small_measures_before_hinting(spark):
+    from eventloom.operators.joins import broadcast_if_small
+    big = spark.range(0, 5000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k2")
+    p_small = plan(big.join(broadcast_if_small(small, max_rows=100), F.col("k") == F.col("k2")))
+    p_big = plan(big.join(broadcast_if_small(big.withColumnRenamed("k", "k2"), max_rows=100),
+                          F.col("k") == F.col("k2")))
+    assert "BroadcastHashJoin" in p_small
+    assert "BroadcastHashJoin" not in p_big and "SortMergeJoin" in p_big
+    p_bytes = plan(big.join(broadcast_if_small(small, max_rows=100, max_bytes=10), F.col("k") == F.col("k2")))
+    assert "BroadcastHashJoin" not in p_bytes
+
+
+def test_cluster_conf_sizes_partitions():
+    from eventloom.session import cluster_conf
+    c = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    small = cluster_conf(10**9, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
