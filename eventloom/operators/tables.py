@@ -60,15 +60,12 @@ def _direction(c) -> Column:
     return F.when(F.col(c) == "a", F.lit("a")).otherwise(F.lit("b"))
 
 
-def train_positions(arrivals: DataFrame, ts: str, tie_break: str,
-                    by_line: bool = True, keep_order: bool = False) -> DataFrame:
-    """Which train stands at each (line, station, direction).
-
-    An arrival first clears the platform it came from (previous station and
-    direction, when both are known), then fills its own. Every arrival becomes
-    up to two updates (clear: seq 0, set: seq 1), made from one pass over the
-    input, and the latest update per platform by (time, tie, seq) wins; a
-    cleared platform keeps a null train."""
+def platform_updates(arrivals: DataFrame, ts: str, tie_break: str,
+                     by_line: bool = True) -> DataFrame:
+    """Arrivals as platform updates: an arrival first clears the platform it
+    came from (previous station and direction, when both are known), then
+    fills its own. Each arrival becomes up to two updates (clear: seq 0,
+    set: seq 1) in one narrow pass; any direction but "a" counts as "b"."""
     line = [F.col("line").alias("line")] if by_line else []
     has_prev = F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull()
     clear = F.when(has_prev, F.struct(
@@ -82,6 +79,16 @@ def train_positions(arrivals: DataFrame, ts: str, tie_break: str,
                    F.col("train_id").alias("train_id"), F.col("train_status").alias("train_status"),
                    F.col(ts).alias(ts), F.col(tie_break).alias(tie_break), F.lit(1).alias("seq"))
     updates = arrivals.select(F.inline(F.filter(F.array(clear, put), lambda u: u.isNotNull())))
+    return updates
+
+
+def train_positions(arrivals: DataFrame, ts: str, tie_break: str,
+                    by_line: bool = True, keep_order: bool = False) -> DataFrame:
+    """Which train stands at each (line, station, direction): the latest
+    platform update by (time, tie, seq); a cleared platform keeps a null
+    train. On a stream, feed :func:`platform_updates` to a latest-value table
+    instead (``streaming.tables.upsert_latest``)."""
+    updates = platform_updates(arrivals, ts, tie_break, by_line)
     keys = (["line"] if by_line else []) + ["station_id", "direction"]
     # keep_order: also return the winning update's order, so the repeated
     # rows of a stream's update-mode output can be folded into the table

@@ -227,3 +227,28 @@ def test_upsert_latest_table_from_stream(spark):
     batch = REG.clicks(spark, SF).filter("event_id < 500")
     ST2.merge_batch(spark, batch, ["user_id"], ["ts", "event_id"], path, 16, 999)
     assert same(ST2.read_table(spark, path).select(*got.columns), want)
+
+
+def test_live_status_board_from_streams(spark):
+    """Dashboard fan-in: arrivals stream into a materialised positions table;
+    the board over the live tables equals the batch board."""
+    from eventloom.schemas import ARRIVAL
+    from eventloom.session import scratch_path
+    from eventloom.streaming import tables as ST2
+    from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+    bus = FD.bus(spark, SF)
+    env = read_topic(spark, bus, pattern=FD.ARRIVALS_PATTERN, stream=True, max_files_per_trigger=4)
+    arr = D.parse_json(env, "value", ARRIVAL, keep=[F.col("offset").alias("event_id"),
+                                                    F.col("timestamp").cast("timestamp_ntz").alias("ts")])
+    path = scratch_path(spark, REG._uid("positions"))
+    ST2.upsert_latest(T.platform_updates(arr, "ts", "event_id"), ["line", "station_id", "direction"],
+                      ["ts", "event_id", "seq"], path, REG._uid("positions"), buckets=8, state_partitions=8)
+    positions = ST2.read_table(spark, path)
+    st = D.parse_json(read_topic(spark, bus, topics=FD.STATIONS_TOPIC), "value",
+                      StructType([StructField("station_id", IntegerType()), StructField("station_name", StringType()),
+                                  StructField("order", IntegerType()), StructField("line", StringType())]))
+    cnt = D.parse_json(read_topic(spark, bus, topics=FD.SUMMARY_TOPIC), "value",
+                       StructType([StructField("STATION_ID", IntegerType()), StructField("COUNT", LongType())]))
+    cnt = cnt.select(F.col("STATION_ID").alias("station_id"), F.col("COUNT").alias("count"))
+    live = T.status_board(st, positions, cnt)
+    assert same(live, REG.QUERIES["tbl_status_board"](spark, SF))
