@@ -410,11 +410,10 @@ SELECT 'customer' AS kind, CAST(c_custkey AS VARCHAR) AS accountNumber FROM cust
 UNION ALL SELECT 'location', CAST(o_custkey AS VARCHAR) FROM orders""")
 def dec_demux(spark, sf):
     """One topic with two record kinds, split by a marker field."""
-    members = D.decode_change_members(_topic(spark, sf, FD.MIXED))
-    cust, loc = D.demux(members, "member", "customerName")
-    c = D.parse_json(cust, "member", CUSTOMER_RECORD).select(F.lit("customer").alias("kind"), "accountNumber")
-    lo = D.parse_json(loc, "member", LOCATION_RECORD).select(F.lit("location").alias("kind"), "accountNumber")
-    return c.unionByName(lo)
+    members = D.demux_tag(D.decode_change_members(_topic(spark, sf, FD.MIXED)), "member",
+                          "customerName", "customer", "location")
+    # both record kinds carry accountNumber, so one parse serves both sides
+    return D.parse_json(members, "member", LOCATION_RECORD, keep=["kind"]).select("kind", "accountNumber")
 
 
 # ---------------------------------------------------------------- projections, filters, scalars

@@ -301,3 +301,11 @@ def test_split_running_value_equals_plain(spark):
     plain = W.running_in_window(df, "ts", "event_type", "value", "1 day", ["event_id"])
     split = W.running_in_window(df, "ts", "event_type", "value", "1 day", ["event_id"], split="1 hour")
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_demux_tag_matches_two_way_split(spark):
+    df = spark.createDataFrame([("a customerName x",), ("loc",), ("customerName",)], "m string")
+    yes, no = D.demux(df, "m", "customerName")
+    tagged = D.demux_tag(df, "m", "customerName", "customer", "location")
+    assert sorted(r.m for r in tagged.filter("kind = 'customer'").collect()) == sorted(r.m for r in yes.collect())
+    assert sorted(r.m for r in tagged.filter("kind = 'location'").collect()) == sorted(r.m for r in no.collect())
