@@ -129,3 +129,19 @@ def test_cluster_conf_sizes_partitions():
     assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     small = cluster_conf(10**9, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from eventloom.plans import feeds as FD
+    from eventloom.functions import decode as D
+    from eventloom.schemas import CUSTOMER_RECORD, RISK_EVENT
+    from eventloom.sources.bucketed import save_bucketed
+    cust = D.decode_two_level(REG._topic(spark, SF_SMALL, FD.CUSTOMERS), CUSTOMER_RECORD) \
+        .select("email", "birthDay")
+    risk = D.parse_json(REG._topic(spark, SF_SMALL, FD.RISK), "value", RISK_EVENT)
+    save_bucketed(cust, "customers_b", ["email"], 4)
+    save_bucketed(risk.withColumnRenamed("customer", "email"), "risk_b", ["email"], 4)
+    j = spark.table("risk_b").join(spark.table("customers_b"), "email", "inner")
+    p = plan(j)
+    assert "SortMergeJoin" in p and "Exchange" not in p
+    assert j.count() == risk.count()
