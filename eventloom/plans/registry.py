@@ -3,8 +3,8 @@
 Each query takes (spark, sf_dir) and returns a DataFrame computed by Spark
 from the driver tables (directly, or from topics Spark derived from them);
 each oracle is DuckDB SQL over the same tables with the same column names.
-Operators without an oracle (sinks, catalog actions, rate-limited reads)
-return rows describing what they did.
+Sinks are read back and decoded, catalog actions return what they did; only
+the rate-limited read (per-batch row counts) has no oracle.
 """
 
 from __future__ import annotations
