@@ -252,3 +252,14 @@ def test_live_status_board_from_streams(spark):
     cnt = cnt.select(F.col("STATION_ID").alias("station_id"), F.col("COUNT").alias("count"))
     live = T.status_board(st, positions, cnt)
     assert same(live, REG.QUERIES["tbl_status_board"](spark, SF))
+
+
+def test_rate_limited_read_pulls_bounded_batches(spark):
+    path = REG._click_replay(spark, SF)
+    files = spark.read.parquet(f"{path}/topic={FD.CLICKS}").inputFiles()
+    s = read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=1)
+    _, progress = RN.run_available(D.cast_strings(s), REG._uid("bounded1"), fmt="noop")
+    rows = [p["numInputRows"] for p in progress if p["numInputRows"] > 0]
+    per_file = max(spark.read.parquet(f).count() for f in files)
+    assert len(rows) == len(files) and max(rows) <= per_file
+    assert sum(rows) == REG.clicks(spark, SF).count()
