@@ -42,8 +42,37 @@ def tumbling_sum(df, ts, keys, value, size, alias="total", round_to=2):
     return windowed_agg(df, ts, keys, [F.round(F.sum(value), round_to).alias(alias)], size)
 
 
-def hopping_sum(df, ts, keys, value, size, slide, alias="total", round_to=2):
-    return windowed_agg(df, ts, keys, [F.round(F.sum(value), round_to).alias(alias)], size, slide)
+def hopping_sum(df, ts, keys, value, size, slide, alias="total", round_to=2, panes=False):
+    """Sum per key per hopping window. ``panes``: aggregate per slide-sized
+    pane first and build each window from its panes, so every pane is
+    shuffled once instead of once per window it belongs to (for dense
+    streams); the size must be a multiple of the slide."""
+    if not panes:
+        return windowed_agg(df, ts, keys, [F.round(F.sum(value), round_to).alias(alias)], size, slide)
+    ks = [str(k) for k in _keys(keys)]
+    size_s, slide_s = _seconds(size), _seconds(slide)
+    if size_s % slide_s:
+        raise ValueError("pane aggregation needs size to be a multiple of slide")
+    ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
+    p = (df.groupBy(*ks, F.window(F.col(ts), slide).getField("start").alias("_pane"))
+         .agg(F.sum(value).alias("_s")))
+    n = size_s // slide_s
+    starts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
+                         lambda k: F.col("_pane") - F.make_dt_interval(secs=k * slide_s))
+    w = p.select(*ks, "_s", F.explode(starts).alias("window_start"))
+    g = w.groupBy("window_start", *ks).agg(F.round(F.sum("_s"), round_to).alias(alias))
+    end = F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s))
+    cols = [F.col("window_start"), end.alias("window_end")]
+    if ntz:
+        cols = [c.cast("timestamp_ntz").alias(n_) for c, n_ in zip(cols, ["window_start", "window_end"])]
+    return g.select(*cols, *ks, alias)
+
+
+def _seconds(interval: str) -> int:
+    n, unit = interval.split()
+    mult = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
+            "day": 86400, "days": 86400}[unit]
+    return int(n) * mult
 
 
 def assign_window(df: DataFrame, ts: str, size: str) -> DataFrame:

@@ -309,3 +309,13 @@ def test_demux_tag_matches_two_way_split(spark):
     tagged = D.demux_tag(df, "m", "customerName", "customer", "location")
     assert sorted(r.m for r in tagged.filter("kind = 'customer'").collect()) == sorted(r.m for r in yes.collect())
     assert sorted(r.m for r in tagged.filter("kind = 'location'").collect()) == sorted(r.m for r in no.collect())
+
+
+def test_pane_hopping_sum_equals_window_expansion(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    a = W.hopping_sum(ev, "ts", "event_type", "value", "60 seconds", "10 seconds")
+    b = W.hopping_sum(ev, "ts", "event_type", "value", "60 seconds", "10 seconds", panes=True)
+    assert a.dtypes == b.dtypes
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    with pytest.raises(ValueError):
+        W.hopping_sum(ev, "ts", "event_type", "value", "60 seconds", "7 seconds", panes=True)
