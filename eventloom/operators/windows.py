@@ -49,23 +49,33 @@ def hopping_sum(df, ts, keys, value, size, slide, alias="total", round_to=2, pan
     streams); the size must be a multiple of the slide."""
     if not panes:
         return windowed_agg(df, ts, keys, [F.round(F.sum(value), round_to).alias(alias)], size, slide)
+    return _from_panes(df, ts, keys, size, slide, F.sum(value), lambda c: F.round(F.sum(c), round_to), alias)
+
+
+def hopping_count(df, ts, keys, size, slide, alias="n", panes=False):
+    """Events per key per hopping window (``panes`` as in :func:`hopping_sum`)."""
+    if not panes:
+        return windowed_agg(df, ts, keys, [F.count(F.lit(1)).alias(alias)], size, slide)
+    return _from_panes(df, ts, keys, size, slide, F.count(F.lit(1)), lambda c: F.sum(c).cast("long"), alias)
+
+
+def _from_panes(df, ts, keys, size, slide, pane_agg: Column, combine, alias):
     ks = [str(k) for k in _keys(keys)]
     size_s, slide_s = _seconds(size), _seconds(slide)
     if size_s % slide_s:
         raise ValueError("pane aggregation needs size to be a multiple of slide")
     ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
     p = (df.groupBy(*ks, F.window(F.col(ts), slide).getField("start").alias("_pane"))
-         .agg(F.sum(value).alias("_s")))
-    n = size_s // slide_s
-    starts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
+         .agg(pane_agg.alias("_p")))
+    starts = F.transform(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1)),
                          lambda k: F.col("_pane") - F.make_dt_interval(secs=k * slide_s))
-    w = p.select(*ks, "_s", F.explode(starts).alias("window_start"))
-    g = w.groupBy("window_start", *ks).agg(F.round(F.sum("_s"), round_to).alias(alias))
-    end = F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s))
-    cols = [F.col("window_start"), end.alias("window_end")]
+    w = p.select(*ks, "_p", F.explode(starts).alias("window_start"))
+    g = w.groupBy("window_start", *ks).agg(combine(F.col("_p")).alias(alias))
+    start = F.col("window_start")
+    end = start + F.make_dt_interval(secs=F.lit(size_s))
     if ntz:
-        cols = [c.cast("timestamp_ntz").alias(n_) for c, n_ in zip(cols, ["window_start", "window_end"])]
-    return g.select(*cols, *ks, alias)
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    return g.select(start.alias("window_start"), end.alias("window_end"), *ks, alias)
 
 
 def _seconds(interval: str) -> int:

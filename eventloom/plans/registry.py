@@ -765,7 +765,7 @@ FROM e GROUP BY 1, 2, 3""")
 def win_hopping_keys(spark, sf):
     """Keys (with counts) per 30-second window every 5 seconds, prefix-filtered."""
     ev = clicks(spark, sf).filter(F.col("event_type").like("p%"))
-    return W.windowed_agg(ev, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "30 seconds", "5 seconds")
+    return W.hopping_count(ev, "ts", "event_type", "30 seconds", "5 seconds", panes=True)
 
 
 @q("win_session", """

@@ -319,3 +319,11 @@ def test_pane_hopping_sum_equals_window_expansion(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     with pytest.raises(ValueError):
         W.hopping_sum(ev, "ts", "event_type", "value", "60 seconds", "7 seconds", panes=True)
+
+
+def test_pane_hopping_count_equals_window_expansion(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    a = W.hopping_count(ev, "ts", "event_type", "30 seconds", "5 seconds")
+    b = W.hopping_count(ev, "ts", "event_type", "30 seconds", "5 seconds", panes=True)
+    assert a.dtypes == b.dtypes
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
