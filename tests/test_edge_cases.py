@@ -327,3 +327,34 @@ def test_pane_hopping_count_equals_window_expansion(spark):
     b = W.hopping_count(ev, "ts", "event_type", "30 seconds", "5 seconds", panes=True)
     assert a.dtypes == b.dtypes
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_kafka_start_timestamp_is_epoch_millis():
+    from eventloom.sources.topics import _epoch_millis
+    assert _epoch_millis("1970-01-01 00:00:01") == 1000
+    assert _epoch_millis("2024-01-16T00:00:00+01:00") == 1705359600000
+
+
+def test_derived_folder_built_once_and_reused(spark):
+    from eventloom import session
+    calls = []
+
+    def build(path):
+        calls.append(path)
+        spark.range(3).write.mode("overwrite").parquet(path)
+
+    inputs = ["/root/testdata/sf0.001/region.parquet"]
+    name = f"unit-{len(session._MEMO)}-{id(calls)}"
+    p1 = session.derived_path(spark, name, inputs, build)
+    session._MEMO.clear()                      # as a new process would
+    p2 = session.derived_path(spark, name, inputs, build)
+    assert p1 == p2 and len(calls) == 1 and spark.read.parquet(p2).count() == 3
+    assert session.path_exists(spark, p2 + "/_EVENTLOOM_COMPLETE")
+    session._MEMO.clear()
+    session.REUSE_DERIVED = False
+    try:
+        p3 = session.derived_path(spark, name, inputs, build)
+    finally:
+        session.REUSE_DERIVED = True
+        session._MEMO.clear()
+    assert p3 != p1 and len(calls) == 2
