@@ -52,8 +52,10 @@ def top_k_stream(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
 
 
 def running_in_window_stream(df: DataFrame, ts: str, key: str, value: str, size_seconds: int,
-                             tie_break: Sequence[str], watermark: str = "0 seconds") -> DataFrame:
-    """Per event, the running sum of its key's tumbling window so far.
+                             tie_break: Sequence[str], watermark: str = "0 seconds",
+                             slide_seconds: int | None = None) -> DataFrame:
+    """Per event, the running sum of its key's tumbling window so far (with
+    ``slide_seconds``: of each hopping window the event falls in).
 
     Groups are (key, window start); the state is one running sum, dropped by
     an event-time timeout when the watermark passes the window end. Within a
@@ -67,7 +69,15 @@ def running_in_window_stream(df: DataFrame, ts: str, key: str, value: str, size_
         t = t.withColumn(ts, F.col(ts).cast("timestamp"))
     t = t.withWatermark(ts, watermark)
     t = t.withColumn("_t_us", F.unix_micros(F.col(ts)))
-    t = t.withColumn("_w_us", F.col("_t_us") - F.pmod(F.col("_t_us"), F.lit(size_us)))
+    if slide_seconds is None:
+        t = t.withColumn("_w_us", F.col("_t_us") - F.pmod(F.col("_t_us"), F.lit(size_us)))
+    else:
+        # hopping: one row per window the event falls in
+        slide_us = slide_seconds * 1_000_000
+        last = F.col("_t_us") - F.pmod(F.col("_t_us"), F.lit(slide_us))
+        starts = F.transform(F.sequence(F.lit(0), F.lit(size_seconds // slide_seconds - 1)),
+                             lambda k: last - k.cast("long") * slide_us)
+        t = t.withColumn("_w_us", F.explode(starts))
     fields = [StructField(key, df.schema[key].dataType), StructField("window_start_us", LongType()),
               *[StructField(c, df.schema[c].dataType) for c in tie],
               StructField("event_us", LongType()), StructField("current", DoubleType())]

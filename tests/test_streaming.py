@@ -263,3 +263,15 @@ def test_rate_limited_read_pulls_bounded_batches(spark):
     per_file = max(spark.read.parquet(f).count() for f in files)
     assert len(rows) == len(files) and max(rows) <= per_file
     assert sum(rows) == REG.clicks(spark, SF).count()
+
+
+def test_stream_running_value_in_hopping_windows(spark):
+    s = ST.running_in_window_stream(stream_clicks(spark), "ts", "event_type", "value", 600, ["event_id"],
+                                    watermark="1 minute", slide_seconds=300)
+    out, _ = RN.run_available(s, REG._uid("t_current_hop"), state_partitions=8)
+    got = spark.read.parquet(out).select("event_id", "event_type", "window_start",
+                                         F.round("current", 1).alias("c"))
+    want = W.running_in_window(REG.clicks(spark, SF), "ts", "event_type", "value", "10 minutes", ["event_id"],
+                               slide="5 minutes").select("event_id", "event_type", "window_start",
+                                                         F.round("current", 1).alias("c"))
+    assert same(got, want)
