@@ -19,18 +19,38 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType,
                                StructField, StructType)
 
 
-def top_k_stream(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
-    """Running top-k per key: after each micro-batch, every key that received
-    values emits its current top k as rows (key, version, pos, value), where
-    ``version`` is the number of values seen; readers keep the highest
-    version per key. State per key is at most k values plus a counter."""
+def top_k_stream(df: DataFrame, key: str, value: str, k: int, ts: str | None = None,
+                 window_seconds: int | None = None, watermark: str = "0 seconds") -> DataFrame:
+    """Running top-k per key (or per key and tumbling window): after each
+    micro-batch, every group that received values emits its current top k as
+    rows (key[, window_start], version, pos, value), where ``version`` is the
+    number of values seen; readers keep the highest version per group. State
+    per group is at most k values plus a counter; windowed groups are dropped
+    by an event-time timeout once the watermark passes the window end."""
+    windowed = window_seconds is not None
+    src = df
+    group = [key]
+    if windowed:
+        if dict(df.dtypes)[ts] == "timestamp_ntz":
+            src = src.withColumn(ts, F.col(ts).cast("timestamp"))
+        size_us = window_seconds * 1_000_000
+        src = (src.withWatermark(ts, watermark)
+               .withColumn("_t_us", F.unix_micros(F.col(ts)))
+               .withColumn("_w_us", F.col("_t_us") - F.pmod(F.col("_t_us"), F.lit(size_us))))
+        group = [key, "_w_us"]
     key_type = dict((f.name, f.dataType) for f in df.schema.fields)[key]
-    out_schema = StructType([StructField(key, key_type), StructField("version", LongType()),
-                             StructField("pos", IntegerType()), StructField(value, DoubleType())])
+    out_fields = [StructField(key, key_type)]
+    if windowed:
+        out_fields.append(StructField("window_start_us", LongType()))
+    out_schema = StructType(out_fields + [StructField("version", LongType()),
+                                          StructField("pos", IntegerType()), StructField(value, DoubleType())])
     state_schema = StructType([StructField("vals", ArrayType(DoubleType())),
                                StructField("seen", LongType())])
 
     def step(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         vals = np.array(state.get[0] if state.exists else [], dtype="float64")
         seen = int(state.get[1]) if state.exists else 0
         for pdf in batches:
@@ -43,12 +63,23 @@ def top_k_stream(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
             vals = both
         vals = np.sort(vals)[::-1]
         state.update((vals.tolist(), seen))
-        yield pd.DataFrame({key: [keys[0]] * len(vals), "version": [seen] * len(vals),
-                            "pos": np.arange(1, len(vals) + 1, dtype="int32"), value: vals})
+        if windowed:
+            state.setTimeoutTimestamp(int((keys[1] + window_seconds * 1_000_000) // 1000) + 1)
+        out = {key: [keys[0]] * len(vals)}
+        if windowed:
+            out["window_start_us"] = [keys[1]] * len(vals)
+        out.update({"version": [seen] * len(vals),
+                    "pos": np.arange(1, len(vals) + 1, dtype="int32"), value: vals})
+        yield pd.DataFrame(out)
 
-    return (df.select(key, F.col(value).cast("double").alias(value)).groupBy(key)
-            .applyInPandasWithState(step, out_schema, state_schema, "update",
-                                    GroupStateTimeout.NoTimeout))
+    cols = [*group, F.col(value).cast("double").alias(value)] + ([ts] if windowed else [])
+    timeout = GroupStateTimeout.EventTimeTimeout if windowed else GroupStateTimeout.NoTimeout
+    res = (src.select(*cols).groupBy(*group)
+           .applyInPandasWithState(step, out_schema, state_schema, "update", timeout))
+    if windowed:
+        res = res.select(key, F.timestamp_micros("window_start_us").cast("timestamp_ntz").alias("window_start"),
+                         "version", "pos", value)
+    return res
 
 
 def running_in_window_stream(df: DataFrame, ts: str, key: str, value: str, size_seconds: int,

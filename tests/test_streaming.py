@@ -275,3 +275,14 @@ def test_stream_running_value_in_hopping_windows(spark):
                                slide="5 minutes").select("event_id", "event_type", "window_start",
                                                          F.round("current", 1).alias("c"))
     assert same(got, want)
+
+
+def test_stream_windowed_top_k(spark):
+    s = ST.top_k_stream(stream_clicks(spark), "event_type", "value", 3, ts="ts", window_seconds=86400,
+                        watermark="1 hour")
+    name = REG._uid("t_wtopk")
+    RN.run_available(s, name, fmt="memory", output_mode="update", state_partitions=8)
+    got = T.latest(spark.table(name), ["event_type", "window_start", "pos"], ["version"], ["value"])
+    want = W.windowed_top_k(REG.clicks(spark, SF), "ts", "event_type", "value", 3, "1 day") \
+        .select("event_type", "window_start", "pos", "value")
+    assert same(got.select(*want.columns), want)
