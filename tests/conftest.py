@@ -7,7 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
+SF_SMALL = os.environ.get("EVENTLOOM_TEST_SF", "/root/testdata/sf0.001")
 SF_MID = "/root/testdata/sf0.01"
 
 
