@@ -120,8 +120,8 @@ def read_topic(spark: SparkSession, path: str | None = None, topics=None, patter
     With ``kafka_options`` (``kafka.bootstrap.servers`` …) the Kafka source
     is used and subscription, start offsets and rate limits become its own
     options. Otherwise ``path`` holds envelope parquet files; in streaming
-    mode new files are picked up in arrival order and ``starting`` must be
-    ``"earliest"``.
+    mode new files are picked up in arrival order, and a start given as
+    offsets or a time filters the messages before it.
     """
     if kafka_options is not None:
         reader = spark.readStream if stream else spark.read
@@ -142,8 +142,8 @@ def read_topic(spark: SparkSession, path: str | None = None, topics=None, patter
             r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         return r.load()
     if stream:
-        if starting not in (None, "earliest"):
-            raise ValueError("file-backed streams always start at the earliest file")
+        if starting == "latest":
+            raise ValueError("file-backed streams cannot start at 'latest'; give offsets or a time")
         r = spark.readStream.format("parquet")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -152,8 +152,9 @@ def read_topic(spark: SparkSession, path: str | None = None, topics=None, patter
             no_topic = StructType([f for f in ENVELOPE.fields if f.name != "topic"])
             df = r.schema(no_topic).load(f"{path}/topic={topics}") \
                 .withColumn("topic", F.lit(topics))
-            return df.select(*ENVELOPE_COLUMNS)
-        df = r.schema(ENVELOPE).load(path)
+            # offsets and times are fixed filters, so they hold on every restart
+            return start_at(df, starting).select(*ENVELOPE_COLUMNS)
+        df = start_at(r.schema(ENVELOPE).load(path), starting)
     else:
         df = spark.read.schema(ENVELOPE).parquet(path)
         df = start_at(df, starting)

@@ -286,3 +286,20 @@ def test_stream_windowed_top_k(spark):
     want = W.windowed_top_k(REG.clicks(spark, SF), "ts", "event_type", "value", 3, "1 day") \
         .select("event_type", "window_start", "pos", "value")
     assert same(got.select(*want.columns), want)
+
+
+def test_stream_starts_at_time_and_offsets(spark):
+    start = "2024-01-16 00:00:00"
+    s = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS, stream=True, starting=start)
+    name = REG._uid("t_start")
+    RN.run_available(D.cast_strings(s).select("key", "offset"), name, fmt="memory")
+    batch = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS, starting=start)
+    assert same(spark.table(name), D.cast_strings(batch).select("key", "offset"))
+    p0 = {"clickevents": {0: 5000}}
+    s2 = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS, stream=True, starting=p0)
+    name2 = REG._uid("t_start2")
+    RN.run_available(s2.select("partition", "offset"), name2, fmt="memory")
+    got = spark.table(name2)
+    assert got.filter("partition = 0 AND offset < 5000").count() == 0
+    assert got.filter("partition <> 0").count() == \
+        read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS).filter("partition <> 0").count()
