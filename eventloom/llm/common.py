@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom import session
@@ -49,7 +50,7 @@ def chunks(batch: pa.RecordBatch, text: str, max_bytes: int = CHUNK_BYTES) -> It
     n = len(col)
     if not n:
         return
-    ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64))
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64))
     at = 0
     while at < n:
         before = ends[at - 1] if at else 0
@@ -60,7 +61,7 @@ def chunks(batch: pa.RecordBatch, text: str, max_bytes: int = CHUNK_BYTES) -> It
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a column, one after another, and their offsets; null is empty."""
-    col = pa.compute.fill_null(col.cast(pa.large_binary()), b"")
+    col = pc.fill_null(col.cast(pa.large_binary()), b"")
     off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
     raw = col.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8)[off[0]:off[-1]] if raw is not None else np.empty(0, np.uint8)

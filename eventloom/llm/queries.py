@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bpe, pii
+from eventloom.llm import bpe, decontam, license, pii, warc
 from eventloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,18 +17,36 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op6_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.report(table(spark, sf_dir, "documents"))
+
+
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op3_pii": op3_pii,
+    "op6_license": op6_license,
+    "op8_decontam": op8_decontam,
     "op9_bpe": op9_bpe,
 }
 
 #: DuckDB SQL where it can express the operator's result.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc": warc.REPORT_SQL,
+    "op8_decontam": decontam.report_sql(),
+}
