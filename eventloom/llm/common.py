@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom import session
 
@@ -99,3 +100,29 @@ class RowIds:
 def sha256_hex(data: bytes) -> str:
     import hashlib
     return hashlib.sha256(data).hexdigest()
+
+
+def row_key(docs: DataFrame) -> Column:
+    """The document's id; for a null id a hash of its text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+
+#: Bits of a bitmap of ids: a prime near 2^23, so 1 MB whatever the data.
+BITMAP = 8_388_593
+
+
+def bitmap(df: DataFrame, col: str) -> np.ndarray:
+    """Which remainders mod BITMAP occur in a column. At most BITMAP/64 rows
+    reach the driver."""
+    bit = F.pmod(F.col(col), F.lit(BITMAP))
+    words = (df.select((bit / 64).cast("long").alias("w"), F.expr(f"shiftleft(1L, cast(pmod({col}, {BITMAP}) % 64 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")))
+    out = np.zeros(BITMAP // 64 + 1, np.int64)
+    for r in words.collect():
+        out[r["w"]] = r["b"]
+    return out
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values.astype(np.int64) % BITMAP
+    return (bits[at >> 6] >> (at & 63) & 1).astype(bool)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import RowIds, chunks, input_bytes, per_chunk, text_buffer
+from eventloom.llm.common import RowIds, chunks, input_bytes, per_chunk, row_key, text_buffer
 from eventloom.llm.words import ALNUM, LOWER, Words, gram_hashes, within
 
 #: Words of a window, and of the grams whose minimum stands for it.
@@ -213,11 +213,8 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     (a word or two) occurs in clean prose. Documents keep their row if their id
     is not among those with such a hit; rows that share an id are judged
     together, and rows with a null id are judged by themselves."""
-    found = scan(docs.withColumn("doc_id", _row_key(docs)), items)
+    found = scan(docs.withColumn("doc_id", row_key(docs)), items)
     bad = found.filter(F.exists("spans", lambda s: s["n"] == LENGTH)).select(F.col("doc_id").alias("_key"))
-    return (docs.withColumn("_key", _row_key(docs)).join(bad.distinct(), "_key", "left_anti")
+    return (docs.withColumn("_key", row_key(docs)).join(bad.distinct(), "_key", "left_anti")
             .select(*docs.columns))
 
-
-def _row_key(docs: DataFrame) -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))

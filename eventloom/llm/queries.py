@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bpe, decontam, license, pii, quality, toxicity, warc
+from eventloom.llm import bagminhash, bpe, decontam, forest, license, pii, quality, toxicity, warc
 from eventloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,14 +49,20 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_pii": op3_pii,
+    "op4_forest": op4_forest,
     "op5_quality": op5_quality,
     "op6_license": op6_license,
     "op7_toxicity": op7_toxicity,
     "op8_decontam": op8_decontam,
     "op9_bpe": op9_bpe,
+    "op10_bagminhash": op10_bagminhash,
 }
 
 #: DuckDB SQL where it can express the operator's result.
