@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bagminhash, bpe, decontam, forest, license, pii, quality, toxicity, warc
+from eventloom.llm import bagminhash, bpe, decontam, forest, license, lm, pii, quality, toxicity, warc
 from eventloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_lm": op2_lm,
     "op3_pii": op3_pii,
     "op4_forest": op4_forest,
     "op5_quality": op5_quality,
