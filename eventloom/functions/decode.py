@@ -86,13 +86,14 @@ def decode_change_members(df: DataFrame, value_col: str = "value",
     """Change-record envelope → ``key`` (decoded), first member as text and
     its score. Members that are not base64 come out as null."""
     rec = F.from_json(_col(value_col).cast("string"), CHANGE_RECORD)
-    staged = df.select(*keep, rec.alias("_r"))
+    # explode(array(struct)) keeps later filters above the parse (see parse_json)
+    staged = df.select(*keep, F.explode(F.array(rec)).alias("_r"))
     return staged.select(
         *keep,
         decode_base64(F.col("_r.key")).alias("key"),
         first_entry("_r.zSetEntries", "element").alias("encoded"),
         first_entry("_r.zSetEntries", "score").alias("score"),
-    ).select(*keep, "key", decode_base64("encoded").alias("member"), "encoded", "score")
+    ).select(*keep, "key", F.explode(F.array(decode_base64("encoded"))).alias("member"), "encoded", "score")
 
 
 def decode_two_level(df: DataFrame, inner_schema: StructType, value_col: str = "value",
@@ -102,29 +103,36 @@ def decode_two_level(df: DataFrame, inner_schema: StructType, value_col: str = "
     return parse_json(members, "member", inner_schema, keep=keep)
 
 
+def flag_rejects(df: DataFrame, required: Sequence[str], alias: str = "is_reject") -> DataFrame:
+    """Every row with a flag: whether some required field did not parse. One
+    scan and one parse serve both outputs; split on the flag at the sinks."""
+    ok = F.lit(True)
+    for c in required:
+        ok = ok & F.col(c).isNotNull()
+    return df.withColumn(alias, ~ok)
+
+
 def split_rejects(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows where every required field parsed, and the rest (the rejects).
-
-    Both outputs come from one plan; nothing stops on a bad record."""
-    ok = None
-    for c in required:
-        t = F.col(c).isNotNull()
-        ok = t if ok is None else ok & t
-    return df.filter(ok), df.filter(~ok)
+    Each output is a plan of its own; :func:`flag_rejects` needs one for both."""
+    flagged = flag_rejects(df, required, "_reject")
+    return (flagged.filter(~F.col("_reject")).drop("_reject"),
+            flagged.filter(F.col("_reject")).drop("_reject"))
 
 
-def demux(df: DataFrame, column: str, marker: str) -> tuple[DataFrame, DataFrame]:
-    """Split one stream of two record kinds by a marker substring."""
+def demux(df: DataFrame, column: str, marker: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split one stream of two record kinds by a marker substring: records with
+    it, records without it, and the rejects, whose ``column`` did not decode."""
     has = F.col(column).contains(marker)
-    return df.filter(has), df.filter(~has)
+    return df.filter(has), df.filter(~has), df.filter(F.col(column).isNull())
 
 
 def demux_tag(df: DataFrame, column: str, marker: str, with_marker: str, without_marker: str,
               alias: str = "kind") -> DataFrame:
     """The same split in one pass: a ``kind`` column names each record's side,
-    so both kinds come from one scan and one parse."""
-    kind = F.when(F.col(column).contains(marker), F.lit(with_marker)).otherwise(F.lit(without_marker))
-    return df.withColumn(alias, kind)
+    so both kinds come from one scan and one parse. Rejects have a null kind."""
+    has = F.col(column).contains(marker)
+    return df.withColumn(alias, F.when(has, F.lit(with_marker)).when(~has, F.lit(without_marker)))
 
 
 def from_avro_value(c, json_format_schema: str, framed: bool = True) -> Column:

@@ -1,10 +1,9 @@
 """Equi joins for stream–stream, stream–table and table–table inputs.
 
-The join type is always explicit. Broadcasting is left to Catalyst, which
-broadcasts a side only when its measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides on
-the key; AQE re-decides with runtime sizes and splits skewed partitions.
-:func:`broadcast_if_small` exists for lookups whose size is checked first.
+The join type is always explicit. A side whose files are small is broadcast;
+the size is read from the file listing, so no job runs while a plan is built.
+All other joins are left to the engine, which decides from its own estimates,
+re-decides with runtime sizes, and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.session import _fs
+
 _STREAM_STATIC_OK = {
     # (left is stream, right is stream) -> allowed join types
     (True, False): {"inner", "left", "left_outer", "left_semi", "left_anti"},
@@ -62,28 +63,30 @@ def join(left: DataFrame, right: DataFrame, on, how: str,
     return left.join(right, cond, how)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000,
-                       max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast ``df`` only after measuring it: rows are counted and their
-    JSON size summed over at most ``max_rows`` + 1 rows; above either bound
-    it is returned unchanged and the join shuffles instead. For static sides
-    of stream joins, where AQE does not run."""
+def broadcast_if_small(df: DataFrame, max_file_bytes: int = 8 << 20) -> DataFrame:
+    """Hint a broadcast of a table whose files sum to at most ``max_file_bytes``.
+
+    Only file metadata is read. A table that is not read from files is
+    returned unchanged, and the engine decides."""
     if df.isStreaming:
         return df
-    m = (df.limit(max_rows + 1)
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b"))
-         .first())
-    if m["n"] <= max_rows and (m["b"] or 0) <= max_bytes:
-        return F.broadcast(df)
-    return df
+    files = df.inputFiles()
+    if not files:
+        return df
+    spark, total = df.sparkSession, 0
+    for f in files:
+        p, fs = _fs(spark, f)
+        total += int(fs.getFileStatus(p).getLen())
+        if total > max_file_bytes:
+            return df
+    return F.broadcast(df)
 
 
 def split_known(events: DataFrame, known: DataFrame, event_key: str,
                 known_key: str) -> tuple[DataFrame, DataFrame]:
     """Events whose key exists in ``known`` and the rejects whose key does not
     (semi / anti joins: no columns of ``known`` are carried)."""
-    cond = F.col(event_key) == known[known_key]
-    keys = known.select(known_key)
+    cond = events[event_key] == known[known_key]
+    keys = broadcast_if_small(known.select(known_key))
     return (events.join(keys, cond, "left_semi"),
             events.join(keys, cond, "left_anti"))

@@ -48,3 +48,8 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def containing(df: DataFrame, column: str, text: str, negate: bool = False) -> DataFrame:
     c = F.col(column).contains(text)
     return df.filter(~c if negate else c)
+
+
+def tag_containing(df: DataFrame, column: str, text: str, alias: str) -> DataFrame:
+    """Both sides of :func:`containing` in one pass, as a flag (null for null)."""
+    return df.withColumn(alias, F.col(column).contains(text))

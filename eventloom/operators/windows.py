@@ -85,12 +85,22 @@ def _seconds(interval: str) -> int:
     return int(n) * mult
 
 
+def bucket_start(df: DataFrame, ts: str, seconds: int) -> Column:
+    """Start of the ``seconds`` wide bucket that holds ``ts``, of its own type.
+    Plain arithmetic: unlike ``window`` it keeps rows whose time is null."""
+    t = F.col(ts)
+    width = seconds * 1_000_000
+    start = F.timestamp_micros(F.floor(F.unix_micros(t.cast("timestamp")) / width).cast("long") * width)
+    return start.cast(dict(df.dtypes)[ts])
+
+
 def assign_window(df: DataFrame, ts: str, size: str) -> DataFrame:
-    """Tag every event with its tumbling window; no aggregation."""
-    w = F.window(F.col(ts), size)
-    out = df.withColumn("_w", w)
-    ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
-    return out.select(*df.columns, *_bounds(F.col("_w"), ntz))
+    """Tag every event with its tumbling window; no aggregation. Rows without
+    an event time stay, with null bounds."""
+    seconds = _seconds(size)
+    start = bucket_start(df, ts, seconds)
+    return df.select(*df.columns, start.alias("window_start"),
+                     (start + F.make_dt_interval(secs=F.lit(seconds))).alias("window_end"))
 
 
 def session_agg(df: DataFrame, ts: str, keys, gap: str, aggs: Sequence[Column],
@@ -139,19 +149,30 @@ def running_in_window(df: DataFrame, ts: str, keys, value: str, size: str,
     # Parallel prefix sum: running sums inside (key, window, sub-bucket)
     # groups, plus the total of the window's earlier sub-buckets.
     ks = [str(k) for k in _keys(keys)]
-    sub = tagged.withColumn("_sub", F.window(F.col(ts), split).getField("start"))
+    sub = tagged.withColumn("_sub", bucket_start(tagged, ts, _seconds(split)))
     w_in = (Window.partitionBy(*ks, "window_start", "_sub")
             .orderBy(F.col(ts), *[F.col(t) for t in tie_break])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = sub.withColumn("_run", F.sum(F.coalesce(F.col(value), F.lit(0.0))).over(w_in))
-    totals = sub.groupBy(*ks, "window_start", "_sub").agg(
-        F.sum(F.coalesce(F.col(value), F.lit(0.0))).alias("_tot"))
+    inner = sub.withColumn("_run", F.sum(value).over(w_in))
+    totals = sub.groupBy(*ks, "window_start", "_sub").agg(F.sum(value).alias("_tot"))
     w_sub = (Window.partitionBy(*ks, "window_start").orderBy("_sub")
              .rowsBetween(Window.unboundedPreceding, -1))
-    before = totals.select(*ks, "window_start", "_sub",
-                           F.coalesce(F.sum("_tot").over(w_sub), F.lit(0.0)).alias("_before"))
-    out = inner.join(before, [*ks, "window_start", "_sub"], "inner")
-    return out.select(*tagged.columns, F.round(F.col("_before") + F.col("_run"), round_to).alias(alias))
+    before = totals.select(*ks, "window_start", "_sub", F.sum("_tot").over(w_sub).alias("_before"))
+    out = _join_null_safe(inner, before, [*ks, "window_start", "_sub"])
+    # null until the window's first value, as in the plain form
+    total = F.coalesce(F.col("_before") + F.col("_run"), F.col("_run"), F.col("_before"))
+    return out.select(*tagged.columns, F.round(total, round_to).alias(alias))
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on ``on`` in which null meets null; key columns come from the left."""
+    r = right.select(*[F.col(c).alias(f"_on_{i}") for i, c in enumerate(on)],
+                     *[c for c in right.columns if c not in on])
+    cond = None
+    for i, c in enumerate(on):
+        t = left[c].eqNullSafe(r[f"_on_{i}"])
+        cond = t if cond is None else cond & t
+    return left.join(r, cond, "left").drop(*[f"_on_{i}" for i in range(len(on))])
 
 
 def closed_windows(windows: DataFrame, max_event_time: Column, delay_seconds: int,
@@ -175,7 +196,7 @@ def previous_in_key(df: DataFrame, keys, ts: str, tie_break: Sequence[str],
     """
     ks = [str(k) for k in _keys(keys)]
     order = [F.col(ts), *[F.col(t) for t in tie_break]]
-    b = df.withColumn("_bucket", F.window(F.col(ts), bucket).getField("start"))
+    b = df.withColumn("_bucket", bucket_start(df, ts, _seconds(bucket)))
     w_in = Window.partitionBy(*ks, "_bucket").orderBy(*order)
     inner = b.select(*b.columns, *[F.lag(c).over(w_in).alias(prefix + c) for c in cols],
                      (F.row_number().over(w_in) == 1).alias("_first"))
@@ -183,7 +204,7 @@ def previous_in_key(df: DataFrame, keys, ts: str, tie_break: Sequence[str],
             .agg(F.max_by(F.struct(*cols), F.struct(*[ts, *tie_break])).alias("_last")))
     w_b = Window.partitionBy(*ks).orderBy("_bucket")
     carry = last.select(*ks, "_bucket", F.lag("_last").over(w_b).alias("_carry"))
-    joined = inner.join(carry, [*ks, "_bucket"], "left")
+    joined = _join_null_safe(inner, carry, [*ks, "_bucket"])
     out_cols = [F.col(c) for c in df.columns]
     for c in cols:
         out_cols.append(F.when(F.col("_first"), F.col("_carry").getField(c))
@@ -191,47 +212,29 @@ def previous_in_key(df: DataFrame, keys, ts: str, tie_break: Sequence[str],
     return joined.select(*out_cols)
 
 
-def sessions_bucketed(df: DataFrame, ts: str, keys, gap_seconds: int,
-                      bucket: str = "1 hour", ntz_out: bool = True) -> DataFrame:
+def sessions_bucketed(df: DataFrame, ts: str, keys, gap_seconds: int, ntz_out: bool = True) -> DataFrame:
     """Batch sessions per key (start, end = last event + gap, event count),
     exact, without putting all events of one key into one task.
 
-    1. Sessions are built per (key, time bucket) with Spark's session window,
-       so a hot key is spread over its buckets.
-    2. Only the first and last session of a bucket can touch a neighbouring
-       bucket; those boundary sessions (at most two per key and bucket) are
-       merged per key like intervals: a new session starts where the start
-       lies after every earlier end (an event exactly one gap after the
-       previous one stays in the session).
-    3. Inner sessions are final as they are.
+    Events of one key inside one gap-wide bucket are closer than the gap, so
+    they always share a session: they are pre-aggregated to (first, last,
+    count), which combines map-side. Sessions are then runs of a key's buckets
+    whose distance is at most the gap; a key brings at most one row per
+    gap-wide bucket to that step, however many events it has. Rows without an
+    event time belong to no session.
     """
     ks = [str(k) for k in _keys(keys)]
-    gap = f"{gap_seconds} seconds"
-    b = df.select(*ks, F.col(ts).alias("_ts"),
-                  F.window(F.col(ts), bucket).getField("start").alias("_b"))
-    s1 = (b.groupBy(*ks, "_b", F.session_window("_ts", gap).alias("_s"))
-          .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
-               F.count(F.lit(1)).alias("n")))
-    wb = Window.partitionBy(*ks, "_b")
-    s1 = s1.select(*ks, "_b", "_first", "_last", "n",
-                   ((F.col("_first") == F.min("_first").over(wb)) |
-                    (F.col("_first") == F.max("_first").over(wb))).alias("_edge"))
-    inner = s1.filter(~F.col("_edge")).select(*ks, "_first", "_last", "n")
-    edge = s1.filter(F.col("_edge"))
-    end = F.col("_last") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
-    wk = Window.partitionBy(*ks).orderBy("_first", "_last")
-    prev_end = F.max(end).over(wk.rowsBetween(Window.unboundedPreceding, -1))
-    marked = edge.select(*ks, "_first", "_last", "n",
-                         F.when(prev_end.isNull() | (F.col("_first") > prev_end), 1)
-                         .otherwise(0).alias("_new"))
-    grouped = marked.select(*ks, "_first", "_last", "n",
-                            F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0)).alias("_g"))
-    merged = grouped.groupBy(*ks, "_g").agg(F.min("_first").alias("_first"),
-                                            F.max("_last").alias("_last"),
-                                            F.sum("n").alias("n")).drop("_g")
-    out = inner.unionByName(merged)
-    s, e = F.col("_first"), F.col("_last") + F.expr(f"INTERVAL {gap_seconds} SECONDS")
+    timed = df.filter(F.col(ts).isNotNull())
+    p = (timed.groupBy(*ks, bucket_start(timed, ts, gap_seconds).alias("_b"))
+         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("n")))
+    gap = F.make_dt_interval(secs=F.lit(gap_seconds))
+    wk = Window.partitionBy(*ks).orderBy("_b")
+    new = F.when(F.col("_first") <= F.lag("_last").over(wk) + gap, 0).otherwise(1)
+    runs = (p.withColumn("_new", new)
+            .withColumn("_g", F.sum("_new").over(wk.rowsBetween(Window.unboundedPreceding, 0))))
+    out = runs.groupBy(*ks, "_g").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+                                      F.sum("n").alias("n"))
+    s, e = F.col("_first"), F.col("_last") + gap
     if ntz_out:
         s, e = s.cast("timestamp_ntz"), e.cast("timestamp_ntz")
-    return out.select(*ks, s.alias("session_start"), e.alias("session_end"),
-                      F.col("n").cast("long").alias("n"))
+    return out.select(*ks, s.alias("session_start"), e.alias("session_end"), F.col("n").cast("long").alias("n"))

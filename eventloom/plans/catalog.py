@@ -8,7 +8,10 @@ sink of its own and keeps a checkpoint named after it).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from eventloom.functions.decode import parse_json
@@ -18,10 +21,6 @@ class CatalogError(RuntimeError):
     pass
 
 
-# Query name → the views it reads; kept for the drop check.
-_READS: dict[str, set] = {}
-
-
 def declare(spark: SparkSession, name: str, envelopes: DataFrame, schema: StructType,
             value_col: str = "value") -> DataFrame:
     """Give a topic a name, columns and a format (JSON here): the decoded
@@ -31,22 +30,17 @@ def declare(spark: SparkSession, name: str, envelopes: DataFrame, schema: Struct
     return spark.table(name)
 
 
-def derive(spark: SparkSession, query_name: str, sql: str, reads: list[str],
-           sink, **sink_kwargs):
-    """A persistent query: run ``sql`` over declared (streaming) views and
-    write it continuously through ``sink(df, query_name=…, **kwargs)``."""
-    df = spark.sql(sql)
-    _READS[query_name] = set(reads)
-    try:
-        return sink(df, query_name=query_name, **sink_kwargs)
-    finally:
-        if not any(q.name == query_name for q in spark.streams.active):
-            _READS.pop(query_name, None)
+def derive(spark: SparkSession, query_name: str, sql: str, sink, **sink_kwargs):
+    """A persistent query: run ``sql`` over declared (streaming) views and hand
+    it to ``sink(df, query_name=…, **kwargs)``, which starts it. What the sink
+    returns (the running query's handle) is returned."""
+    return sink(spark.sql(sql), query_name=query_name, **sink_kwargs)
 
 
-def register_reader(query_name: str, views: list[str]) -> None:
-    """Record that a query started outside :func:`derive` reads ``views``."""
-    _READS[query_name] = set(views)
+def reads(query: StreamingQuery) -> set[str]:
+    """Names of the views a running query reads, from its analysed plan."""
+    plan = query._jsq.streamingQuery().analyzedPlan().toString()
+    return {m.lower() for m in re.findall(r"SubqueryAlias (?:\w+\.)*(\w+)", plan)}
 
 
 def list_views(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
@@ -65,10 +59,9 @@ def list_views(spark: SparkSession, names: list[str] | None = None) -> DataFrame
 
 
 def drop_view(spark: SparkSession, name: str) -> None:
-    """Drop a view; refused while a running query reads it. Data already
-    written by earlier queries stays where it is."""
-    active = {q.name for q in spark.streams.active}
-    users = [qn for qn, views in _READS.items() if name in views and qn in active]
+    """Drop a view; refused while a running query, however started, reads it.
+    Data already written by earlier queries stays where it is."""
+    users = [q.name or str(q.id) for q in spark.streams.active if name.lower() in reads(q)]
     if users:
         raise CatalogError(f"cannot drop {name}: read by running queries {users}; "
                            f"terminate them first")
@@ -79,6 +72,5 @@ def terminate(spark: SparkSession, query_name: str) -> bool:
     for q in spark.streams.active:
         if q.name == query_name:
             q.stop()
-            _READS.pop(query_name, None)
             return True
     return False

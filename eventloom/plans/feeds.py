@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.functions import avro
 from eventloom.functions.decode import change_record_value, json_value
-from eventloom.functions.scalars import json_get, line_of, train_id
+from eventloom.functions.scalars import json_get, train_id
+from eventloom.operators.joins import broadcast_if_small
+from eventloom.operators.tables import transform_stations
 from eventloom.operators.windows import previous_in_key
 from eventloom.schemas import CLICK_EVENT
 from eventloom.session import derived_path
@@ -31,7 +32,6 @@ MIXED = "change-feed"
 BALANCES = "customer-balances"
 RISK = "risk-events"
 DRIFT = "clickevents-drift"
-CUSTOMERS_AVRO = "customers-avro"
 ARRIVALS_PREFIX = "transit.station.arrivals."
 STATIONS_TOPIC = "transit.stations.table"
 SUMMARY_TOPIC = "TURNSTILE_SUMMARY"
@@ -52,11 +52,11 @@ EVENT_LINE = {"click": "red", "view": "blue", "purchase": "green",
               "error": "green", "signup": "orange"}
 DRIFT_START = "2024-01-16 00:00:00"
 
-# Avro schema of customer records (nullable fields as unions with null).
-CUSTOMER_AVRO = """{"type": "record", "name": "Customer", "fields": [
-  {"name": "c_custkey", "type": "long"}, {"name": "c_name", "type": "string"},
-  {"name": "c_nationkey", "type": ["null", "int"]}, {"name": "c_acctbal", "type": ["null", "double"]},
-  {"name": "c_mktsegment", "type": ["null", "string"]}]}"""
+DEPOSITS = "bank-deposits"
+WITHDRAWALS = "bank-withdrawals"
+ATM = "atm-visits"
+VEHICLES = "vehicle-status"
+CHECKINS = "vehicle-checkins"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +64,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def email_of(custkey: Column) -> Column:
-    return F.concat(F.lit("customer"), custkey.cast("string"), F.lit("@test.com"))
+    return F.concat(F.lit("customer"), custkey.cast("string"), F.lit("@example.org"))
 
 
 def birth_day_of(custkey: Column) -> Column:
@@ -76,11 +76,11 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer records (the inner JSON of the change feed), one per customer."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
+    return c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey"),
         F.col("c_name").alias("customerName"),
         email_of(F.col("c_custkey")).alias("email"),
-        F.concat(F.lit("801555"), F.lpad(F.pmod(F.col("c_custkey"), F.lit(10000)).cast("string"), 4, "0")).alias("phone"),
+        F.concat(F.lit("555010"), F.lpad(F.pmod(F.col("c_custkey"), F.lit(10000)).cast("string"), 4, "0")).alias("phone"),
         birth_day_of(F.col("c_custkey")).alias("birthDay"),
         F.col("c_custkey").cast("string").alias("accountNumber"),
         F.col("n_name").alias("location"))
@@ -90,7 +90,7 @@ def location_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current-location records: each order places its customer in a nation."""
     o = table(spark, sf_dir, "orders")
     n = table(spark, sf_dir, "nation")
-    return o.join(n, F.pmod(o.o_orderkey, F.lit(25)) == n.n_nationkey, "left").select(
+    return o.join(broadcast_if_small(n), F.pmod(o.o_orderkey, F.lit(25)) == n.n_nationkey, "left").select(
         F.col("o_orderkey"), F.col("o_custkey").cast("string").alias("accountNumber"),
         F.col("n_name").alias("location"))
 
@@ -119,7 +119,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     region 4 none)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    nr = n.join(r, n.n_regionkey == r.r_regionkey, "left")
+    nr = n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey, "left")
     dirs = F.explode(F.array(F.lit("E"), F.lit("W"))).alias("direction_id")
     return nr.select("*", dirs).select(
         (F.col("n_nationkey") * 2 + F.when(F.col("direction_id") == "W", 1).otherwise(0))
@@ -141,8 +141,8 @@ def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    snr = (s.join(n, s.s_nationkey == n.n_nationkey, "left")
-           .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
+    snr = (s.join(broadcast_if_small(n), s.s_nationkey == n.n_nationkey, "left")
+           .join(broadcast_if_small(r), F.col("n_regionkey") == r.r_regionkey, "left"))
     dirs = F.explode(F.array(F.lit("E"), F.lit("W"))).alias("direction_id")
     return snr.select("*", dirs).select(
         (F.col("s_suppkey") * 2 + F.when(F.col("direction_id") == "W", 1).otherwise(0))
@@ -216,12 +216,6 @@ def _balances(spark, sf_dir):
                        key=F.lit("CustomerBalance"), offset="c_custkey")
 
 
-def _customers_avro(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    avro_value = avro.encode_column(json_value(c.columns), CUSTOMER_AVRO, schema_id=1)
-    return to_envelope(c, CUSTOMERS_AVRO, avro_value, key="c_custkey", offset="c_custkey")
-
-
 def _risk(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return to_envelope(
@@ -241,8 +235,7 @@ def _arrivals(spark, sf_dir):
 
 
 def _stations(spark, sf_dir):
-    st = stations(spark, sf_dir).filter(F.col("direction_id") == "E").select(
-        "station_id", "station_name", "order", line_of("red", "blue", "green").alias("line"))
+    st = transform_stations(stations(spark, sf_dir)).select("station_id", "station_name", "order", "line")
     return to_envelope(st, STATIONS_TOPIC, json_value(st.columns), key="station_id", offset="station_id")
 
 
@@ -253,29 +246,68 @@ def _summary(spark, sf_dir):
                        key="station_id", offset="station_id")
 
 
-FEEDS = {CLICKS: _clicks, FUEL: _fuel, DRIFT: _drift, CUSTOMERS: _customers, MIXED: _mixed,
-         BALANCES: _balances, CUSTOMERS_AVRO: _customers_avro, RISK: _risk, "arrivals": _arrivals,
-         STATIONS_TOPIC: _stations, SUMMARY_TOPIC: _summary}
+def _deposits(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_custkey").cast("string").alias("accountNumber"),
+        F.col("o_totalprice").cast("float").alias("amount"),
+        F.date_format("o_orderdate", "MMM d, yyyy, h:mm:ss a").alias("dateAndTime"))
+    return to_envelope(o, DEPOSITS, json_value(["accountNumber", "amount", "dateAndTime"]),
+                       key="accountNumber", timestamp="o_orderdate", offset="o_orderkey")
+
+
+def _withdrawals(spark, sf_dir):
+    w = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("transactionId"), "l_linenumber",
+        F.col("l_extendedprice").alias("amount"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("at"))
+    return to_envelope(w, WITHDRAWALS, json_value(["transactionId", "l_linenumber", "amount"]),
+                       key="transactionId", offset="at")
+
+
+def _atm(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("atmTransactionId"), "o_orderkey", "o_orderdate",
+        F.col("o_custkey").cast("string").alias("accountNumber"), F.col("o_orderdate").alias("transactionDate"))
+    return to_envelope(o, ATM, json_value(["atmTransactionId", "accountNumber", "transactionDate"]),
+                       key="atmTransactionId", timestamp="o_orderdate", offset="o_orderkey")
 
 
-def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [f(spark, sf_dir) for f in FEEDS.values()]
+def _vehicles(spark, sf_dir):
+    v = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("statusTruckNumber"),
+        F.col("l_quantity").cast("int").alias("milesFromShop"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("at"))
+    return to_envelope(v, VEHICLES, json_value(["l_orderkey", "l_linenumber", "statusTruckNumber", "milesFromShop"]),
+                       key="statusTruckNumber", offset="at")
+
+
+def _checkins(spark, sf_dir):
+    c = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.col("s_suppkey").cast("string").alias("checkinTruckNumber"), F.col("s_name").alias("locationName"))
+    return to_envelope(c, CHECKINS, json_value(["checkinTruckNumber", "locationName"]),
+                       key="checkinTruckNumber", offset="s_suppkey")
+
+
+ARRIVALS = "arrivals"  # all arrival topics
+FEEDS = {CLICKS: _clicks, FUEL: _fuel, DRIFT: _drift, CUSTOMERS: _customers, MIXED: _mixed,
+         BALANCES: _balances, RISK: _risk, ARRIVALS: _arrivals, STATIONS_TOPIC: _stations,
+         SUMMARY_TOPIC: _summary, DEPOSITS: _deposits, WITHDRAWALS: _withdrawals, ATM: _atm,
+         VEHICLES: _vehicles, CHECKINS: _checkins}
+
+#: Tables each feed is derived from.
+FEED_TABLES = {CLICKS: ["events"], FUEL: ["events"], DRIFT: ["events"], CUSTOMERS: ["customer", "nation"],
+               MIXED: ["customer", "nation", "orders"], BALANCES: ["customer"], RISK: ["orders"],
+               ARRIVALS: ["events"], STATIONS_TOPIC: ["nation", "region"], SUMMARY_TOPIC: ["events"],
+               DEPOSITS: ["orders"], WITHDRAWALS: ["lineitem"], ATM: ["orders"], VEHICLES: ["lineitem"],
+               CHECKINS: ["supplier"]}
 
 
 def table_paths(sf_dir: str, names=TABLES) -> list:
     return [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in names]
 
 
-def bus(spark: SparkSession, sf_dir: str) -> str:
-    """Write every feed once into one file-backed topic folder; returns it.
-    The folder is reused by later queries, runs and processes as long as the
-    tables and the code are unchanged."""
-    def build(path: str) -> None:
-        feeds = _feeds(spark, sf_dir)
-        allf = feeds[0]
-        for f in feeds[1:]:
-            allf = allf.unionByName(f)
-        write_topic(allf, path, mode="overwrite")
-
-    used = ["events", "customer", "nation", "region", "orders", "supplier"]
-    return derived_path(spark, "bus", table_paths(sf_dir, used), build)
+def bus(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Write one feed, when first wanted, into a file-backed topic folder;
+    returns the folder. It is reused by later queries, runs and processes as
+    long as the feed's tables and the code are unchanged."""
+    return derived_path(spark, f"bus-{name.rstrip('.')}", table_paths(sf_dir, FEED_TABLES[name]),
+                        lambda path: write_topic(feed(spark, sf_dir, name), path, mode="overwrite"))

@@ -3,8 +3,7 @@
 Each query takes (spark, sf_dir) and returns a DataFrame computed by Spark
 from the driver tables (directly, or from topics Spark derived from them);
 each oracle is DuckDB SQL over the same tables with the same column names.
-Sinks are read back and decoded, catalog actions return what they did; only
-the rate-limited read (per-batch row counts) has no oracle.
+Sinks are read back and decoded, catalog actions return what they did.
 """
 
 from __future__ import annotations
@@ -31,7 +30,7 @@ from eventloom.schemas import (ARRIVAL, CLICK_EVENT, CUSTOMER_RECORD, LOCATION_R
 from eventloom.session import configure, derived_path, scratch_path
 from eventloom.sources import files as FS
 from eventloom.sources import incremental as INC
-from eventloom.sources.topics import read_topic, replay_files
+from eventloom.sources.topics import read_topic, replay, replay_slices
 from eventloom.streaming import runner as RN
 from eventloom.streaming import sinks as SK
 
@@ -60,8 +59,18 @@ def _t(spark, sf, name):
 
 
 def _topic(spark, sf, topics=None, pattern=None, stream=False, **kw):
-    return read_topic(spark, FD.bus(spark, sf), topics=topics, pattern=pattern,
-                      stream=stream, **kw)
+    """One topic's folder, or with ``pattern`` that of all arrival topics."""
+    folder = FD.bus(spark, sf, topics if pattern is None else FD.ARRIVALS)
+    return read_topic(spark, folder, topics=topics, pattern=pattern, stream=stream, **kw)
+
+
+def _run_and_read(spark, df: DataFrame, name: str, **kw) -> DataFrame:
+    """Run a stream over all available input into files, and read them back.
+    The checkpoint of such a one-off run is dropped."""
+    name = _uid(name)
+    out, _ = RN.run_available(df, name, state_partitions=_parallelism(spark), **kw)
+    RN.drop_checkpoint(spark, name)
+    return spark.read.schema(df.schema).parquet(out)
 
 
 def clicks(spark, sf, stream=False) -> DataFrame:
@@ -69,14 +78,15 @@ def clicks(spark, sf, stream=False) -> DataFrame:
     return D.parse_json(_topic(spark, sf, FD.CLICKS, stream=stream), "value", CLICK_EVENT)
 
 
-def risk_join(customer_env: DataFrame, risk_env: DataFrame) -> DataFrame:
+def risk_join(customer_env: DataFrame, risk_env: DataFrame, keep=()) -> DataFrame:
     """Flagship: change-record customers (envelope → base64 → JSON) joined with
-    risk-score events by e-mail; batch or stream."""
+    risk-score events by e-mail; batch or stream. ``keep``: envelope columns of
+    the risk events to carry along."""
     cust = D.decode_two_level(customer_env, CUSTOMER_RECORD)
     cust = R.not_null(cust, ["email", "birthDay"]).select(
         "email", S.split_item("birthDay", "-", 0).alias("birthYear"))
-    risk = D.parse_json(risk_env, "value", RISK_EVENT)
-    risk = R.not_null(risk, ["customer", "score"]).select("customer", "score")
+    risk = D.parse_json(risk_env, "value", RISK_EVENT, keep=list(keep))
+    risk = R.not_null(risk, ["customer", "score"]).select("customer", "score", *keep)
     return J.join(risk, cust, F.col("customer") == F.col("email"), "inner")
 
 
@@ -90,7 +100,7 @@ def _uid(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:8]}"
 
 
-EMAIL_SQL = "concat('customer', {k}, '@test.com')"
+EMAIL_SQL = "concat('customer', {k}, '@example.org')"
 BIRTHDAY_SQL = "strftime(DATE '1940-01-01' + CAST(({k} * 37) % 21915 AS INTEGER), '%Y-%m-%d')"
 LINE_SQL = ("CASE event_type WHEN 'click' THEN 'red' WHEN 'view' THEN 'blue' "
             "WHEN 'purchase' THEN 'green' WHEN 'error' THEN 'green' WHEN 'signup' THEN 'orange' END")
@@ -105,7 +115,7 @@ SELECT {EMAIL_SQL.format(k='o_custkey')} AS customer, CAST(o_totalprice AS FLOAT
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 CUSTOMER_RECORD_SQL = f"""
 SELECT c_name AS customerName, {EMAIL_SQL.format(k='c_custkey')} AS email,
-       '801555' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS phone,
+       '555010' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS phone,
        {BIRTHDAY_SQL.format(k='c_custkey')} AS birthDay,
        CAST(c_custkey AS VARCHAR) AS accountNumber, n_name AS location
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"""
@@ -171,23 +181,23 @@ def src_offsets(spark, sf):
     return env.select(F.col("key").cast("string").alias("key"), F.col("offset").alias("msg_offset"))
 
 
-def _click_replay(spark, sf, pieces: int = 4) -> str:
-    """The clickevents topic written as ``pieces`` successive file groups in
-    time order (for streams that must see events in order)."""
-    return derived_path(spark, f"replay{pieces}", [FD.bus(spark, sf)],
-                        lambda path: replay_files(_topic(spark, sf, FD.CLICKS), path, "offset", pieces))
-
-
-@q("src_bounded_batch")
+@q("src_bounded_batch", "SELECT CAST(count(*) AS BIGINT) AS rows, true AS within_limit FROM events")
 def src_bounded_batch(spark, sf):
-    """Pull at most n files per micro-batch (``maxOffsetsPerTrigger`` on Kafka);
-    returns the rows each batch received."""
-    path = _click_replay(spark, sf)
-    s = read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=2)
-    _, progress = RN.run_available(D.cast_strings(s), _uid("bounded"), fmt="noop",
-                                   state_partitions=_parallelism(spark))
-    rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in progress]
-    return spark.createDataFrame(rows, "batch_id long, rows long")
+    """Pull at most n files per micro-batch (``maxOffsetsPerTrigger`` on Kafka):
+    each batch writes its rows and files under its id; the rows of all batches
+    and whether each kept within the limit are returned."""
+    limit = 2
+    base = scratch_path(spark, _uid("bounded"))
+    s = _topic(spark, sf, FD.CLICKS, stream=True, max_files_per_trigger=limit)
+    s = s.select("offset", F.input_file_name().alias("file"))
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        (batch.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("file").alias("files"))
+         .write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}"))
+
+    SK.for_each_batch(s, _uid("bounded"), count, state_partitions=_parallelism(spark))
+    return spark.read.parquet(base).agg(F.sum("rows").cast("long").alias("rows"),
+                                        (F.max("files") <= limit).alias("within_limit"))
 
 
 def _doc_lines(spark, sf) -> str:
@@ -204,9 +214,7 @@ def src_text(spark, sf):
 @q("src_text_stream", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def src_text_stream(spark, sf):
     """Follow a folder of text files as a stream of lines."""
-    s = FS.read_text_stream(spark, _doc_lines(spark, sf), max_files_per_trigger=4)
-    out, _ = RN.run_available(s, _uid("text_stream"), state_partitions=_parallelism(spark))
-    return spark.read.parquet(out)
+    return _run_and_read(spark, FS.read_text_stream(spark, _doc_lines(spark, sf)), "text_stream")
 
 
 @q("src_incremental", """
@@ -231,15 +239,16 @@ CUSTOMER_TABLE = StructType([
     StructField("c_mktsegment", StringType(), True)])
 
 
-@q("src_csv_schema", "SELECT * FROM customer")
+@q("src_csv_schema", "SELECT *, false AS is_reject FROM customer")
 def src_csv_schema(spark, sf):
     """Headed CSV into a declared table; NOT NULL and key violations set aside."""
     path = derived_path(spark, "customer_csv", FD.table_paths(sf, ["customer"]),
                         lambda p: _t(spark, sf, "customer").write.mode("overwrite")
                         .option("header", True).csv(p))
-    good, _rejects = FS.read_csv_table(spark, path, CUSTOMER_TABLE,
-                                       key=["c_custkey"], order_by=["c_custkey"])
-    return good
+    good, rejects = FS.read_csv_table(spark, path, CUSTOMER_TABLE,
+                                      key=["c_custkey"], order_by=["c_custkey"])
+    return (good.withColumn("is_reject", F.lit(False))
+            .unionByName(rejects.select(*good.columns).withColumn("is_reject", F.lit(True))))
 
 
 # ---------------------------------------------------------------- sinks
@@ -259,8 +268,9 @@ def sink_topic(spark, sf):
     checkpoint; the topic is read back and decoded."""
     cust = _topic(spark, sf, FD.CUSTOMERS, stream=True)
     risk = _topic(spark, sf, FD.RISK, stream=True)
-    env = SK.keyed_json(risk_join(cust, risk), "customer", "risk-information",
-                        offset=F.lit(0))
+    joined = risk_join(cust, risk, keep=["offset", "timestamp"])
+    env = SK.keyed_json(joined, "customer", "risk-information", offset="offset", timestamp="timestamp",
+                        cols=["customer", "score", "email", "birthYear"])
     path = RN.sink_path(spark, _uid("risk_information"))
     SK.to_topic(env, path, _uid("sink_topic"), state_partitions=_parallelism(spark))
     return _read_back(spark, path, "risk-information", RISK_OUT).drop("key")
@@ -291,17 +301,14 @@ def sink_keyed_send(spark, sf):
     return _read_back(spark, path, "clickevents-by-type", SANITIZED)
 
 
-@q("sink_console", "SELECT count(*) AS rows FROM events")
+@q("sink_console", "SELECT CAST(count(*) AS BIGINT) AS rows FROM events")
 def sink_console(spark, sf):
     """Console sink: each micro-batch printed (first rows only reach the
     driver); returns the number of rows the batches carried."""
-    s = _click_replay(spark, sf)
-    stream = D.parse_json(read_topic(spark, s, topics=FD.CLICKS, stream=True,
-                                     max_files_per_trigger=8), "value", CLICK_EVENT)
-    counts = SK.console_batches(stream, _uid("console"), num_rows=5,
-                                state_partitions=_parallelism(spark))
-    return spark.createDataFrame(counts, "batch_id long, rows long").agg(
-        F.sum("rows").cast("long").alias("rows"))
+    base = scratch_path(spark, _uid("console"))
+    SK.console_batches(clicks(spark, sf, stream=True), _uid("console"), base, num_rows=5,
+                       state_partitions=_parallelism(spark))
+    return spark.read.parquet(base).agg(F.sum("rows").cast("long").alias("rows"))
 
 
 CSV_OPTS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
@@ -328,8 +335,7 @@ def sink_foreach(spark, sf):
         (batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
          .write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}"))
 
-    s = D.parse_json(read_topic(spark, _click_replay(spark, sf), topics=FD.CLICKS, stream=True,
-                                max_files_per_trigger=8), "value", CLICK_EVENT)
+    s = clicks(spark, sf, stream=True)
     SK.for_each_batch(s, _uid("foreach"), write_counts, state_partitions=_parallelism(spark))
     return spark.read.parquet(base).groupBy("event_type").agg(F.sum("n").cast("long").alias("n"))
 
@@ -375,15 +381,6 @@ def dec_two_level(spark, sf):
     return D.decode_two_level(_topic(spark, sf, FD.CUSTOMERS), CUSTOMER_RECORD)
 
 
-@q("dec_avro", "SELECT * FROM customer")
-def dec_avro(spark, sf):
-    """Registry-framed Avro messages decoded with a declared Avro schema
-    (spark-avro's from_avro where deployed; vectorised codec otherwise)."""
-    from eventloom.functions import avro
-    env = _topic(spark, sf, FD.CUSTOMERS_AVRO)
-    return env.select(F.inline(F.array(avro.decode_column(F.col("value"), FD.CUSTOMER_AVRO))))
-
-
 @q("enc_json", """
 SELECT CAST(c_custkey AS VARCHAR) AS key,
        CAST(json_object('c_custkey', c_custkey, 'c_name', c_name, 'c_mktsegment', c_mktsegment) AS VARCHAR) AS value
@@ -400,9 +397,7 @@ def dec_rejects(spark, sf):
     """After producer drift renamed a required field, the records missing it
     are set aside as rejects; the rest flows on."""
     parsed = D.parse_json(_topic(spark, sf, FD.DRIFT), "value", CLICK_EVENT)
-    good, bad = D.split_rejects(parsed, ["user_id"])
-    return (good.select("event_id", "user_id", F.lit(False).alias("is_reject"))
-            .unionByName(bad.select("event_id", "user_id", F.lit(True).alias("is_reject"))))
+    return D.flag_rejects(parsed, ["user_id"]).select("event_id", "user_id", "is_reject")
 
 
 @q("dec_demux", """
@@ -459,11 +454,9 @@ def flt_notnull(spark, sf):
 
 @q("flt_contains", "SELECT page_id, contains(url, '.example.com') AS matched FROM pages")
 def flt_contains(spark, sf):
-    """Substring filter and its negation."""
+    """Substring filter and its negation, from one scan; a null url is neither."""
     p = _t(spark, sf, "pages").select("page_id", "url")
-    yes = R.containing(p, "url", ".example.com").select("page_id", F.lit(True).alias("matched"))
-    no = R.containing(p, "url", ".example.com", negate=True).select("page_id", F.lit(False).alias("matched"))
-    return yes.unionByName(no)
+    return R.tag_containing(p, "url", ".example.com", "matched").select("page_id", "matched")
 
 
 @q("fn_upper_substr", "SELECT page_id, upper(substring(url, 12)) AS uri_tail FROM pages")
@@ -544,23 +537,31 @@ def udf_processor(spark, sf):
 
 # ---------------------------------------------------------------- joins
 
+DEPOSIT = StructType([StructField("accountNumber", StringType()), StructField("amount", FloatType()),
+                      StructField("dateAndTime", StringType())])
+WITHDRAWAL = StructType([StructField("transactionId", StringType()), StructField("l_linenumber", IntegerType()),
+                         StructField("amount", DoubleType())])
+ATM_VISIT = StructType([StructField("atmTransactionId", StringType()), StructField("accountNumber", StringType()),
+                        StructField("transactionDate", TimestampNTZType())])
+VEHICLE = StructType([StructField("l_orderkey", LongType()), StructField("l_linenumber", IntegerType()),
+                      StructField("statusTruckNumber", StringType()), StructField("milesFromShop", IntegerType())])
+CHECKIN = StructType([StructField("checkinTruckNumber", StringType()), StructField("locationName", StringType())])
+
+
 @q("join_ss_deposits", f"""
 SELECT CAST(o_custkey AS VARCHAR) AS accountNumber, CAST(o_totalprice AS FLOAT) AS amount,
        o_orderdate AS depositTime, c_name AS customerName, {EMAIL_SQL.format(k='c_custkey')} AS email
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def join_ss_deposits(spark, sf):
-    """Deposits × customers by account number; deposit times arrive as text
-    like ``Sep 29, 2020, 10:06:23 AM`` and are parsed back."""
-    o = _t(spark, sf, "orders")
-    dep = o.select(F.col("o_custkey").cast("string").alias("accountNumber"),
-                   F.col("o_totalprice").cast("float").alias("amount"),
-                   F.date_format("o_orderdate", "MMM d, yyyy, h:mm:ss a").alias("dateAndTime"))
-    cust = FD.customer_records(spark, sf).select("customerName", "email",
-                                                 F.col("accountNumber").alias("customerNumber"))
+    """Deposits × customers by account number, both streams; deposit times
+    arrive as text like ``Sep 29, 2020, 10:06:23 AM`` and are parsed back."""
+    dep = D.parse_json(_topic(spark, sf, FD.DEPOSITS, stream=True), "value", DEPOSIT)
+    cust = D.decode_two_level(_topic(spark, sf, FD.CUSTOMERS, stream=True), CUSTOMER_RECORD).select(
+        "customerName", "email", F.col("accountNumber").alias("customerNumber"))
     j = J.join(dep, cust, F.col("accountNumber") == F.col("customerNumber"), "inner")
-    return j.select("accountNumber", "amount",
-                    S.parse_bank_time("dateAndTime").cast("timestamp_ntz").alias("depositTime"),
-                    "customerName", "email")
+    return _run_and_read(spark, j.select(
+        "accountNumber", "amount", S.parse_bank_time("dateAndTime").cast("timestamp_ntz").alias("depositTime"),
+        "customerName", "email"), "deposits")
 
 
 @q("join_ss_withdrawals", """
@@ -568,14 +569,19 @@ SELECT CAST(l_orderkey AS VARCHAR) AS transactionId, l_linenumber, l_extendedpri
        CAST(o_custkey AS VARCHAR) AS accountNumber, o_orderdate AS transactionDate
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def join_ss_withdrawals(spark, sf):
-    """Withdrawals × ATM visits by transaction id."""
-    w = _t(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("transactionId"),
-                                         "l_linenumber", F.col("l_extendedprice").alias("amount"))
-    atm = _t(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("atmTransactionId"),
-                                         F.col("o_custkey").cast("string").alias("accountNumber"),
-                                         F.col("o_orderdate").alias("transactionDate"))
+    """Withdrawals × ATM visits by transaction id, both streams, written as
+    keyed JSON to a topic that is read back."""
+    w = D.parse_json(_topic(spark, sf, FD.WITHDRAWALS, stream=True), "value", WITHDRAWAL, keep=["offset"])
+    atm = D.parse_json(_topic(spark, sf, FD.ATM, stream=True), "value", ATM_VISIT)
     j = J.join(w, atm, F.col("transactionId") == F.col("atmTransactionId"), "inner")
-    return j.drop("atmTransactionId")
+    fields = ["transactionId", "l_linenumber", "amount", "accountNumber", "transactionDate"]
+    env = SK.keyed_json(j, "accountNumber", "withdrawals-location", offset="offset", cols=fields)
+    name = _uid("withdrawals")
+    path = RN.sink_path(spark, name)
+    SK.to_topic(env, path, name, state_partitions=_parallelism(spark))
+    RN.drop_checkpoint(spark, name)
+    out = StructType([f for f in [*WITHDRAWAL.fields, *ATM_VISIT.fields] if f.name in fields])
+    return D.parse_json(read_topic(spark, path, topics="withdrawals-location"), "value", out).select(*fields)
 
 
 @q("join_ss_checkin", """
@@ -584,13 +590,11 @@ SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS statusTruckNumber
        s_name AS locationName
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 def join_ss_checkin(spark, sf):
-    """Vehicle status × check-ins by truck number."""
-    st = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
-                                          F.col("l_suppkey").cast("string").alias("statusTruckNumber"),
-                                          F.col("l_quantity").cast("int").alias("milesFromShop"))
-    ck = _t(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("checkinTruckNumber"),
-                                          F.col("s_name").alias("locationName"))
-    return J.join(st, ck, F.col("statusTruckNumber") == F.col("checkinTruckNumber"), "inner")
+    """Vehicle status × check-ins by truck number, both streams."""
+    st = D.parse_json(_topic(spark, sf, FD.VEHICLES, stream=True), "value", VEHICLE)
+    ck = D.parse_json(_topic(spark, sf, FD.CHECKINS, stream=True), "value", CHECKIN)
+    return _run_and_read(spark, J.join(st, ck, F.col("statusTruckNumber") == F.col("checkinTruckNumber"), "inner"),
+                         "checkin")
 
 
 @q("join_ss_risk", RISK_SQL)
@@ -599,9 +603,9 @@ def join_ss_risk(spark, sf):
     return risk_join(_topic(spark, sf, FD.CUSTOMERS), _topic(spark, sf, FD.RISK))
 
 
-def _locations(spark, sf) -> DataFrame:
-    members = D.decode_change_members(_topic(spark, sf, FD.MIXED))
-    cust, loc = D.demux(members, "member", "customerName")
+def _locations(spark, sf, stream=False) -> DataFrame:
+    members = D.decode_change_members(_topic(spark, sf, FD.MIXED, stream=stream))
+    cust, loc, _rejects = D.demux(members, "member", "customerName")
     home = D.parse_json(cust, "member", CUSTOMER_RECORD).select(
         "customerName", F.col("accountNumber").alias("homeAccountNumber"),
         F.col("location").alias("homeLocation"))
@@ -619,8 +623,8 @@ JOIN customer ON o_custkey = c_custkey LEFT JOIN nation home ON c_nationkey = ho
 
 @q("join_ss_location", LOCATION_SQL)
 def join_ss_location(spark, sf):
-    """Current × home location per account, after demultiplexing one topic."""
-    return _locations(spark, sf)
+    """Current × home location per account, as streams, after demultiplexing one topic."""
+    return _run_and_read(spark, _locations(spark, sf, stream=True), "location")
 
 
 @q("join_travel", f"SELECT * FROM ({LOCATION_SQL}) WHERE location <> homeLocation")
@@ -629,41 +633,34 @@ def join_travel(spark, sf):
     return _locations(spark, sf).filter(F.col("location") != F.col("homeLocation"))
 
 
-def _non_building(spark, sf):
-    c = _t(spark, sf, "customer")
-    return c.filter(F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_name", "c_mktsegment")
-
-
 @q("join_st_left", """
-SELECT event_id, user_id, c_name, c_mktsegment FROM events
-LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c ON user_id = c_custkey""")
+SELECT event_id, user_id, s_name, s_acctbal FROM events LEFT JOIN supplier ON user_id = s_suppkey""")
 def join_st_left(spark, sf):
-    """Stream × table, left outer (the stream on the left)."""
-    ev = clicks(spark, sf).select("event_id", "user_id")
-    j = J.join(ev, _non_building(spark, sf), F.col("user_id") == F.col("c_custkey"), "left")
-    return j.select("event_id", "user_id", "c_name", "c_mktsegment")
+    """Stream × table, left outer (the stream on the left; some users have no supplier)."""
+    ev = clicks(spark, sf, stream=True).select("event_id", "user_id")
+    j = J.join(ev, _t(spark, sf, "supplier"), F.col("user_id") == F.col("s_suppkey"), "left")
+    return _run_and_read(spark, j.select("event_id", "user_id", "s_name", "s_acctbal"), "st_left")
 
 
 @q("join_st_inner", """
-SELECT event_id, user_id, c_name, c_mktsegment FROM events
-JOIN customer ON user_id = c_custkey WHERE c_mktsegment <> 'BUILDING'""")
+SELECT event_id, user_id, s_name, s_acctbal FROM events JOIN supplier ON user_id = s_suppkey""")
 def join_st_inner(spark, sf):
     """Stream × table, inner."""
-    ev = clicks(spark, sf).select("event_id", "user_id")
-    j = J.join(ev, _non_building(spark, sf), F.col("user_id") == F.col("c_custkey"), "inner")
-    return j.select("event_id", "user_id", "c_name", "c_mktsegment")
+    ev = clicks(spark, sf, stream=True).select("event_id", "user_id")
+    j = J.join(ev, _t(spark, sf, "supplier"), F.col("user_id") == F.col("s_suppkey"), "inner")
+    return _run_and_read(spark, j.select("event_id", "user_id", "s_name", "s_acctbal"), "st_inner")
 
 
 @q("join_full", """
 WITH latest AS (SELECT user_id, event_id, event_type FROM events
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
-SELECT user_id, event_id, event_type, c_custkey, c_name FROM latest
-FULL OUTER JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c ON user_id = c_custkey""")
+SELECT user_id, event_id, event_type, doc_id, quality FROM latest FULL OUTER JOIN labels ON user_id = doc_id""")
 def join_full(spark, sf):
-    """Table × table full outer: latest click per user × customers."""
+    """Table × table full outer: latest click per user × labels, which know
+    some of the users' ids and others besides."""
     lt = T.latest(clicks(spark, sf), "user_id", ["ts", "event_id"], ["event_id", "event_type"])
-    j = J.join(lt, _non_building(spark, sf), F.col("user_id") == F.col("c_custkey"), "full")
-    return j.select("user_id", "event_id", "event_type", "c_custkey", "c_name")
+    j = J.join(lt, _t(spark, sf, "labels"), F.col("user_id") == F.col("doc_id"), "full")
+    return j.select("user_id", "event_id", "event_type", "doc_id", "quality")
 
 
 @q("join_rejects", f"""
@@ -809,15 +806,62 @@ WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVA
 def win_late(spark, sf):
     """Streaming hourly counts with a 10-second watermark, append mode: a
     window is emitted once the watermark passes its end, later rows are
-    dropped by the engine. Replayed in time order."""
-    s = D.parse_json(read_topic(spark, _click_replay(spark, sf), topics=FD.CLICKS, stream=True,
-                                max_files_per_trigger=8), "value", CLICK_EVENT)
-    s = W.event_time(s, "ts", "10 seconds")
-    agg = W.windowed_agg(s, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
-    out, _ = RN.run_available(agg, _uid("late"), state_partitions=_parallelism(spark))
+    dropped by the engine. The topic is replayed in slices of event time, each
+    one micro-batch of the same checkpointed query."""
+    slices = replay_slices(_topic(spark, sf, FD.CLICKS), scratch_path(spark, _uid("slices")), 4)
+    topic, name = scratch_path(spark, _uid("replay")), _uid("late")
+    out = RN.sink_path(spark, name)
+
+    def step() -> None:
+        s = D.parse_json(read_topic(spark, topic, topics=FD.CLICKS, stream=True), "value", CLICK_EVENT)
+        s = W.event_time(s, "ts", "10 seconds")
+        agg = W.windowed_agg(s, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
+        RN.run_available(agg, name, path=out, state_partitions=_parallelism(spark))
+
+    replay(slices, topic, step)
     return spark.read.parquet(out)
 
 
+CLOSED = "(SELECT max(ts) FROM events) - INTERVAL '10 seconds'"
+
+
+def _timed_clicks(spark, sf) -> DataFrame:
+    return W.event_time(clicks(spark, sf, stream=True), "ts", "10 seconds")
+
+
+@q("win_tumbling_stream", f"""
+SELECT {_bucket(10)} AS window_start, {_bucket(10)} + INTERVAL '10 seconds' AS window_end, event_type,
+       round(sum(value), 2) AS total FROM events GROUP BY 1, 2, 3
+HAVING {_bucket(10)} + INTERVAL '10 seconds' <= {CLOSED}""")
+def win_tumbling_stream(spark, sf):
+    """Streaming sum per key and 10-second window; windows the watermark closed."""
+    return _run_and_read(spark, W.tumbling_sum(_timed_clicks(spark, sf), "ts", "event_type", "value", "10 seconds"),
+                         "tumbling")
+
+
+@q("win_hopping_stream", f"""
+WITH e AS (SELECT {_bucket(10)} - k * INTERVAL '10 seconds' AS window_start, event_type, value
+           FROM events, range(6) t(k))
+SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, event_type, round(sum(value), 2) AS total
+FROM e WHERE window_start + INTERVAL '60 seconds' <= {CLOSED} GROUP BY 1, 2, 3""")
+def win_hopping_stream(spark, sf):
+    """Streaming sum per key in 60-second windows every 10 seconds; closed windows."""
+    return _run_and_read(spark, W.hopping_sum(_timed_clicks(spark, sf), "ts", "event_type", "value",
+                                              "60 seconds", "10 seconds"), "hopping")
+
+
+@q("win_session_stream", f"""
+WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts)
+                                      <= INTERVAL '5 minutes' THEN 0 ELSE 1 END AS brk FROM events),
+s AS (SELECT user_id, ts, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL '5 minutes' AS session_end, count(*) AS n
+FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL '5 minutes' <= {CLOSED}""")
+def win_session_stream(spark, sf):
+    """Streaming sessions per user (5-minute gap); sessions the watermark closed."""
+    return _run_and_read(spark, W.session_agg(_timed_clicks(spark, sf), "ts", "user_id", "5 minutes",
+                                              [F.count(F.lit(1)).alias("n")]), "session")
+
+
 # ---------------------------------------------------------------- tables
 
 LATEST_SQL = """SELECT * FROM events
@@ -898,7 +942,9 @@ SELECT 'TURNSTILE_SUMMARY', station_id, l.line FROM (SELECT DISTINCT {STATION_SQ
 def tbl_route_by_topic(spark, sf):
     """Messages of all topics routed to lines: station and arrival messages
     by their line (unknown lines dropped), summaries to every line."""
-    env = _topic(spark, sf)
+    env = _topic(spark, sf, pattern=FD.ARRIVALS_PATTERN)
+    for name in (FD.STATIONS_TOPIC, FD.SUMMARY_TOPIC):
+        env = env.unionByName(_topic(spark, sf, name))
     bus = env.select("topic", F.col("offset").alias("msg_offset"),
                      F.get_json_object(F.col("value").cast("string"), "$.line").alias("line"))
     r = T.route_by_topic(bus, FD.STATION_MARKER, FD.SUMMARY_TOPIC)
@@ -961,28 +1007,18 @@ def cat_derive(spark, sf):
 
     def sink(df, query_name):
         env = SK.keyed_json(df, "event_type", "popular-values", offset="event_id")
-        return SK.to_topic(env, path, query_name, state_partitions=_parallelism(spark))
+        return RN.start(env, query_name, path=path, partition_by=("topic",), trigger={"processingTime": "1 second"},
+                        state_partitions=_parallelism(spark))
 
-    C.derive(spark, name, f"SELECT event_id, ts, event_type, value FROM `{view}` WHERE value >= 100",
-             [view], sink)
-    spark.catalog.dropTempView(view)
+    query = C.derive(spark, name, f"SELECT event_id, ts, event_type, value FROM `{view}` WHERE value >= 100", sink)
+    query.processAllAvailable()  # the query itself runs on until it is terminated
+    C.terminate(spark, name)
+    C.drop_view(spark, view)
     schema = StructType([StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
                          StructField("event_type", StringType()), StructField("value", DoubleType())])
     return D.parse_json(read_topic(spark, path, topics="popular-values"), "value", schema)
 
 
-@q("cat_list", """
-SELECT 'view' AS kind, 'clickevents_declared' AS name, column_name AS "column",
-       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-            WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS type
-FROM (DESCRIBE SELECT * FROM events)""")
-def cat_list(spark, sf):
-    """Columns and types of a declared stream (and running queries, none
-    once the stream queries above have finished)."""
-    C.declare(spark, "clickevents_declared", _topic(spark, sf, FD.CLICKS), CLICK_EVENT)
-    return C.list_views(spark, ["clickevents_declared"])
-
-
 @q("cat_drop", """
 SELECT 'drop_while_running' AS step, 'refused' AS outcome
 UNION ALL SELECT 'drop_after_terminate', 'dropped'
@@ -994,11 +1030,8 @@ def cat_drop(spark, sf):
     C.declare(spark, view, _topic(spark, sf, FD.CLICKS, stream=True), CLICK_EVENT)
     name = _uid("drop_reader")
     path = RN.sink_path(spark, name)
-    C.register_reader(name, [view])
-    qy = (spark.sql(f"SELECT event_id FROM `{view}`").writeStream.queryName(name)
-          .format("parquet").option("path", path)
-          .option("checkpointLocation", RN.checkpoint_for(spark, name))
-          .trigger(processingTime="1 second").start())
+    qy = RN.start(spark.sql(f"SELECT event_id FROM `{view}`"), name, path=path,
+                  trigger={"processingTime": "1 second"})
     steps = []
     try:
         qy.processAllAvailable()

@@ -8,8 +8,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# SQL settings every query in this package relies on. All are runtime
-# settable, so they can be applied to a session someone else built.
+# SQL settings of sessions that this package builds.
 RUNTIME_CONF = {
     # Event times are stored as TIMESTAMP_NTZ; casts to TIMESTAMP (needed for
     # watermarks) must round-trip exactly, which only a zone without DST does.
@@ -17,10 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast a join side only when its size is known, not estimated: the
-    # plan-time (estimate-based) threshold is off; AQE converts a join to a
-    # broadcast after the side's shuffle stage measured it below the adaptive
-    # threshold. Streams (no AQE) use joins.broadcast_if_small.
+    # Broadcast a join side only when its size is known, not estimated: lookups
+    # are hinted after their files' size was read (joins.broadcast_if_small), and
+    # AQE converts a join once the side's shuffle stage measured it small.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # Merge session windows inside each map partition before the shuffle, so
@@ -31,9 +29,10 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+    """Prepare a session that someone else built: only the time zone, on which
+    results depend, is set; all else stays as its owner wants it."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     _ship_package(spark)
     return spark
 
@@ -75,12 +74,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g")
+         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
          # State of streaming aggregations and joins lives in RocksDB, which
          # spills to local disk instead of holding every key on the heap.
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
-    for k, v in (extra or {}).items():
+    for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -118,8 +117,7 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 128 << 20,
-                 max_shuffle_partitions: int = 100_000) -> dict:
+                 target_partition_bytes: int = 128 << 20) -> dict:
     """Settings for a large cluster, to pass to the session builder.
 
     Scan splits and shuffle partitions aim at ``target_partition_bytes`` so a
@@ -128,8 +126,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     count of its first run, so start a checkpoint with the final setting.
     """
     slots = executors * cores_per_executor
-    parts = int(min(max(slots * 2, -(-input_bytes // target_partition_bytes)),
-                    max(max_shuffle_partitions, slots * 2)))
+    parts = int(max(slots * 2, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -156,12 +153,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def path_fingerprint(spark: SparkSession, path: str) -> str:
-    """Size and modification time of a file or folder, for cache keys."""
+    """Hash of the path, length and time of every file below a path, for cache keys."""
+    import hashlib
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return "missing"
-    summary = fs.getContentSummary(p)
-    return f"{summary.getLength()}:{summary.getFileCount()}:{fs.getFileStatus(p).getModificationTime()}"
+    h, files = hashlib.sha1(), []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next()
+        files.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    h.update("\n".join(sorted(files)).encode())
+    return h.hexdigest()
 
 
 def _code_hash() -> str:

@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from eventloom.session import path_exists
 
 
+def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int, upper: int,
+              partitions: int, properties: dict | None = None) -> DataFrame:
+    """A database table as the source of a load, read in ``partitions`` ranges
+    of ``column``. Needs the database's JDBC driver on the cluster (untested
+    here: no driver and no database)."""
+    return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper,
+                           numPartitions=partitions, properties=properties or {})
+
+
 def last_mark(spark: SparkSession, state_path: str):
     """(last load number, its high-water mark); (0, None) before the first load."""
     if not path_exists(spark, state_path):

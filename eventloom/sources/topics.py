@@ -166,27 +166,29 @@ def write_topic(envelopes: DataFrame, path: str, mode: str = "append") -> None:
     envelopes.select(*ENVELOPE_COLUMNS).write.mode(mode).partitionBy("topic").parquet(path)
 
 
-def replay_files(envelopes: DataFrame, path: str, order_col: str, pieces: int) -> list:
-    """Write a topic as ``pieces`` files in ``order_col`` order, one after
-    another, so a file stream replays them in time order.
-
-    A file source orders files by modification time; files written in one job
-    share it and can be read out of order, so each piece is its own write.
-    Bounds are quantiles of ``order_col`` computed by Spark (approximate,
-    bounded memory), never a collect of the data.
-    """
-    if pieces <= 1:
-        write_topic(envelopes, path, mode="overwrite")
-        return []
-    qs = [i / pieces for i in range(1, pieces)]
-    bounds = envelopes.approxQuantile(order_col, qs, 0.0001)
-    edges = [None, *bounds, None]
-    for n, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
-        part = envelopes
-        if lo is not None:
-            part = part.filter(F.col(order_col) >= F.lit(lo))
-        if hi is not None:
-            part = part.filter(F.col(order_col) < F.lit(hi))
-        # the first piece replaces what an interrupted earlier attempt left
-        write_topic(part, path, mode="overwrite" if n == 0 else "append")
-    return bounds
+def replay_slices(envelopes: DataFrame, staging: str, pieces: int) -> list[DataFrame]:
+    """A topic cut into ``pieces`` slices by message time, oldest first.
+
+    Bounds are quantiles computed by Spark (bounded memory); the topic is
+    written once, a folder per slice. Messages without a time go first."""
+    at = F.col("timestamp").cast("double")
+    bounds = envelopes.select(at.alias("t")).approxQuantile("t", [i / pieces for i in range(1, pieces)], 0.001)
+    slice_no = F.lit(0)
+    for b in sorted(set(bounds)):
+        slice_no = slice_no + F.when(at >= b, 1).otherwise(0)
+    envelopes.withColumn("_slice", slice_no).write.mode("overwrite").partitionBy("_slice").parquet(staging)
+    spark = envelopes.sparkSession
+    cut = spark.read.parquet(staging)
+    return [cut.filter(F.col("_slice") == i).select(*ENVELOPE_COLUMNS) for i in range(len(set(bounds)) + 1)]
+
+
+def replay(slices: Iterable[DataFrame], path: str, step) -> None:
+    """Append one slice after the other to a file-backed topic and call
+    ``step()`` after each, which runs a stream over what is new.
+
+    A stream whose checkpoint outlives the steps takes a whole slice as one
+    micro-batch, whatever its number of files, so its watermark only moves
+    between slices and nothing that is in time order counts as late."""
+    for one in slices:
+        write_topic(one, path)
+        step()

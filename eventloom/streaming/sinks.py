@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.decode import json_value
@@ -13,12 +12,17 @@ from eventloom.sources.topics import to_envelope
 from eventloom.streaming.runner import run_available
 
 
-def keyed_json(df: DataFrame, key: str, topic: str, offset: str | None = None) -> DataFrame:
-    """Rows as envelopes: ``key`` as text, the whole row as a JSON value."""
-    off = (F.col(offset) if isinstance(offset, str) else offset) if offset is not None else F.lit(0)
-    msgs = df.select(F.col(key).cast("string").alias("key"),
-                     json_value(df.columns).alias("value"), off.cast("long").alias("_offset"))
-    return to_envelope(msgs, topic, "value", key="key", offset="_offset")
+def keyed_json(df: DataFrame, key: str, topic: str, offset: str | Column, timestamp: str | Column | None = None,
+               cols: Sequence[str] | None = None) -> DataFrame:
+    """Rows as envelopes: ``key`` as text, the row (or ``cols``) as a JSON value,
+    and the source's offset and time, by which the new topic can be started at
+    a position."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    msgs = df.select(F.col(key).cast("string").alias("key"), json_value(cols or df.columns).alias("value"),
+                     col(offset).cast("long").alias("_offset"),
+                     *([] if timestamp is None else [col(timestamp).alias("_time")]))
+    return to_envelope(msgs, topic, "value", key="key", offset="_offset",
+                       **({} if timestamp is None else {"timestamp": "_time"}))
 
 
 def to_topic(df: DataFrame, path: str, query_name: str,
@@ -31,17 +35,21 @@ def to_topic(df: DataFrame, path: str, query_name: str,
                          path=path, trigger=trigger, **kw)
 
 
-def console_batches(df: DataFrame, query_name: str, num_rows: int = 20, trigger=None, **kw):
+def console_batches(df: DataFrame, query_name: str, counts: str, num_rows: int = 20, trigger=None, **kw):
     """Print each micro-batch like the console sink, but only ``num_rows`` rows
-    reach the driver; returns per-batch row counts (counted on executors)."""
-    counts: dict = {}
-
+    reach the driver. The batch is kept while it is shown and counted, so it is
+    computed once; its row count is written to ``counts`` under its batch id,
+    so a replayed batch replaces its count."""
     def show(batch: DataFrame, batch_id: int) -> None:
-        batch.show(num_rows, truncate=False)
-        counts[int(batch_id)] = int(batch.count())  # a replayed batch replaces its count
-
-    run_available(df, query_name, foreach_batch=show, trigger=trigger, **kw)
-    return sorted(counts.items())
+        batch = batch.persist()
+        try:
+            batch.show(num_rows, truncate=False)
+            (batch.agg(F.count(F.lit(1)).alias("rows"))
+             .write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
+
+    return run_available(df, query_name, foreach_batch=show, trigger=trigger, **kw)
 
 
 def to_csv(df: DataFrame, query_name: str, options: Mapping[str, str] | None = None,

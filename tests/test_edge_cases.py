@@ -32,8 +32,8 @@ def change(element=None, entries="one"):
     return json.dumps(rec)
 
 
-CUST = {"customerName": "Sam Test", "email": "sam.test@test.com", "phone": "8015551212",
-        "birthDay": "2001-01-03"}
+CUST = {"customerName": "Ines Vale", "email": "ines.vale@example.org", "phone": "5550100123",
+        "birthDay": "1988-11-20"}
 
 
 def test_two_level_decode_survives_bad_records(spark):
@@ -44,32 +44,31 @@ def test_two_level_decode_survives_bad_records(spark):
     out = D.decode_two_level(df, CUSTOMER_RECORD)
     assert out.count() == len(rows)
     good = R.not_null(out, ["email", "birthDay"]).collect()
-    assert [(r.email, r.birthDay) for r in good] == [("sam.test@test.com", "2001-01-03")]
+    assert [(r.email, r.birthDay) for r in good] == [("ines.vale@example.org", "1988-11-20")]
     yr = R.not_null(out, ["email"]).select(S.split_item("birthDay", "-", 0)).first()[0]
-    assert yr == "2001"
+    assert yr == "1988"
 
 
-def test_reference_sample_element_decodes(spark):
-    # The base64 element of the message sample in the flagship script's comment.
-    el = ("eyJjdXN0b21lck5hbWUiOiJTYW0gVGVzdCIsImVtYWlsIjoic2FtLnRlc3RAdGVzdC5jb20iLCJwaG9uZSI6Ij"
-          "gwMTU1NTEyMTIiLCJiaXJ0aERheSI6IjIwMDEtMDEtMDMifQ==")
-    df = spark.createDataFrame([(change(el),)], "value string")
+def test_element_encoded_by_the_library_decodes(spark):
+    df = spark.createDataFrame([(json.dumps(CUST),)], "m string").select(
+        D.change_record_value(F.col("m"), F.lit(0.0), "Customer").alias("value"))
     r = D.decode_two_level(df, CUSTOMER_RECORD).first()
-    assert (r.customerName, r.email, r.birthDay) == ("Sam Test", "sam.test@test.com", "2001-01-03")
+    assert (r.customerName, r.email, r.birthDay) == (CUST["customerName"], CUST["email"], CUST["birthDay"])
 
 
 def test_demux_does_not_double_rows(spark):
-    cust = dict(CUST, accountNumber="814840107", location="France")
-    loc = {"accountNumber": "814840107", "location": "Spain"}
+    cust = dict(CUST, accountNumber="700800900", location="Norway")
+    loc = {"accountNumber": "700800900", "location": "Kenya"}
     rows = [(change(b64(json.dumps(cust))),), (change(b64(json.dumps(loc))),),
             (change(b64(json.dumps(loc))),)]
     members = D.decode_change_members(spark.createDataFrame(rows, "value string"))
-    c, lo = D.demux(members, "member", "customerName")
+    c, lo, rejects = D.demux(members, "member", "customerName")
+    assert rejects.count() == 0
     home = D.parse_json(c, "member", CUSTOMER_RECORD).select(
         F.col("accountNumber").alias("acc"), F.col("location").alias("home"))
     cur = D.parse_json(lo, "member", LOCATION_RECORD)
     j = J.join(cur, home, F.col("accountNumber") == F.col("acc"), "inner")
-    assert sorted((r.location, r.home) for r in j.collect()) == [("Spain", "France")] * 2
+    assert sorted((r.location, r.home) for r in j.collect()) == [("Kenya", "Norway")] * 2
 
 
 def test_threshold_edges(spark):
@@ -202,42 +201,12 @@ def test_bucketed_sessions_equal_session_window(spark):
         .select("user_id", F.col("t").cast("timestamp_ntz").alias("ts"))
     df = ev.unionByName(hot).unionByName(edge)
     want = W.session_agg(df, "ts", "user_id", "5 minutes", [F.count(F.lit(1)).alias("n")])
-    for bucket in ("10 minutes", "1 hour", "1 day"):
-        got = W.sessions_bucketed(df, "ts", "user_id", 300, bucket=bucket)
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, bucket
-    hot_sessions = W.sessions_bucketed(df, "ts", "user_id", 300, bucket="10 minutes") \
-        .filter("user_id = -1").collect()
+    got = W.sessions_bucketed(df, "ts", "user_id", 300)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    hot_sessions = got.filter("user_id = -1").collect()
     assert len(hot_sessions) == 1 and hot_sessions[0].n == 300
 
 
-def test_avro_map_of_records_round_trip_and_rejects(spark):
-    from eventloom.functions import avro
-    schema = json.dumps({"type": "record", "name": "ClickEventAttributes", "fields": [
-        {"name": "email", "type": "string"}, {"name": "timestamp", "type": "string"},
-        {"name": "uri", "type": "string"}, {"name": "number", "type": "int"},
-        {"name": "tags", "type": {"type": "array", "items": "string"}},
-        {"name": "attributes", "type": {"type": "map", "values": {
-            "type": "record", "name": "Attribute",
-            "fields": [{"name": "element", "type": "string"}, {"name": "content", "type": ["null", "string"]}]}}}]})
-    recs = [{"email": "a@b.c", "timestamp": "2020-01-01T00:00:00", "uri": "http://x", "number": -7,
-             "tags": ["p", "q"], "attributes": {"k1": {"element": "e1", "content": None},
-                                                "k2": {"element": "e2", "content": "c2"}}},
-            {"email": "d@e.f", "timestamp": "2020-01-02T00:00:00", "uri": "http://y", "number": 123456,
-             "tags": [], "attributes": {}}]
-    df = spark.createDataFrame([(json.dumps(r),) for r in recs], "j string")
-    enc = df.select(avro.encode_column(F.col("j"), schema, schema_id=7).alias("v"))
-    heads = [bytes(r.v[:5]) for r in enc.collect()]
-    assert all(h == b"\x00\x00\x00\x00\x07" for h in heads)
-    bad = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x07\x99"),)], "v binary")
-    dec = enc.unionByName(bad).select(avro.decode_column(F.col("v"), schema).alias("r"))
-    rows = [r.r for r in dec.collect()]
-    assert rows[2] is None
-    got = rows[0].asDict(recursive=True)
-    assert got["number"] == -7 and got["tags"] == ["p", "q"]
-    assert got["attributes"] == {"k1": {"element": "e1", "content": None}, "k2": {"element": "e2", "content": "c2"}}
-    assert rows[1].number == 123456 and rows[1].attributes == {}
-
-
 def test_kafka_source_is_gated_on_the_package(spark):
     from eventloom.sources.topics import read_topic
     try:
@@ -304,11 +273,13 @@ def test_split_running_value_equals_plain(spark):
 
 
 def test_demux_tag_matches_two_way_split(spark):
-    df = spark.createDataFrame([("a customerName x",), ("loc",), ("customerName",)], "m string")
-    yes, no = D.demux(df, "m", "customerName")
+    df = spark.createDataFrame([("a customerName x",), ("loc",), ("customerName",), (None,)], "m string")
+    yes, no, rejects = D.demux(df, "m", "customerName")
     tagged = D.demux_tag(df, "m", "customerName", "customer", "location")
     assert sorted(r.m for r in tagged.filter("kind = 'customer'").collect()) == sorted(r.m for r in yes.collect())
     assert sorted(r.m for r in tagged.filter("kind = 'location'").collect()) == sorted(r.m for r in no.collect())
+    # a member that did not decode is neither kind, in both forms
+    assert rejects.count() == tagged.filter("kind IS NULL").count() == 1
 
 
 def test_pane_hopping_sum_equals_window_expansion(spark):
@@ -358,3 +329,49 @@ def test_derived_folder_built_once_and_reused(spark):
         session.REUSE_DERIVED = True
         session._MEMO.clear()
     assert p3 != p1 and len(calls) == 2
+
+
+def _null_events(spark):
+    rows = [(1, "k", "2024-01-01 00:00:01", 1.0), (2, "k", "2024-01-01 00:01:30", None), (3, "k", None, 5.0),
+            (4, None, "2024-01-01 00:00:02", None), (5, None, "2024-01-01 00:02:00", 2.0), (6, None, None, None),
+            (7, "k", "2024-01-02 00:00:00", 4.0)]
+    return spark.createDataFrame(rows, "event_id long, event_type string, t string, value double") \
+        .select("event_id", "event_type", F.col("t").cast("timestamp_ntz").alias("ts"), "value")
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_window_tags_keep_rows_without_time(spark):
+    df = _null_events(spark)
+    got = W.assign_window(df, "ts", "30 seconds")
+    assert got.count() == df.count()
+    assert {r.event_id for r in got.filter("window_start IS NULL").collect()} == {3, 6}
+    timed = df.select("event_id", F.window("ts", "30 seconds").getField("start").cast("timestamp_ntz").alias("window_start"))
+    assert same(got.filter("ts IS NOT NULL").select("event_id", "window_start"), timed)
+
+
+def test_split_running_value_keeps_null_keys_and_values(spark):
+    df = _null_events(spark)
+    plain = W.running_in_window(df, "ts", "event_type", "value", "10 minutes", ["event_id"])
+    split = W.running_in_window(df, "ts", "event_type", "value", "10 minutes", ["event_id"], split="1 minute")
+    assert plain.count() == df.count() and same(plain, split)
+
+
+def test_previous_in_key_carries_over_null_keys(spark):
+    from pyspark.sql import Window
+    df = _null_events(spark).filter("ts IS NOT NULL")
+    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
+    want = df.withColumn("prev_event_id", F.lag("event_id").over(w))
+    for bucket in ("1 minute", "1 day"):
+        assert same(W.previous_in_key(df, "event_type", "ts", ["event_id"], ["event_id"], bucket=bucket), want)
+    assert W.previous_in_key(_null_events(spark), "event_type", "ts", ["event_id"], ["event_id"]).count() == 7
+
+
+def test_flagged_rejects_equal_the_split(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
+    good, bad = D.split_rejects(df, ["y"])
+    flagged = D.flag_rejects(df, ["y"])
+    assert same(flagged.filter("is_reject").drop("is_reject"), bad)
+    assert same(flagged.filter("NOT is_reject").drop("is_reject"), good)

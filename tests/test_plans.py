@@ -65,7 +65,8 @@ def test_broadcast_only_after_runtime_measurement(spark):
 
 def test_bucketed_sessions_spread_a_key(spark):
     p = plan(W.sessions_bucketed(REG.clicks(spark, SF_SMALL), "ts", "user_id", 300))
-    assert "hashpartitioning(user_id" in p and "_b" in p
+    # raw events are aggregated per gap-wide bucket before they are shuffled
+    assert p.rindex("partial_min") > p.rindex("hashpartitioning(user_id")
 
 
 def test_hot_key_join_is_split_by_aqe(spark):
@@ -109,39 +110,40 @@ def test_hot_key_join_is_split_by_aqe(spark):
     assert "skew=true" in final
 
 
-def test_broadcast_if_small_measures_before_hinting(spark):
+def test_broadcast_if_small_reads_file_sizes_only(spark):
     from eventloom.operators.joins import broadcast_if_small
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k2")
-    p_small = plan(big.join(broadcast_if_small(small, max_rows=100), F.col("k") == F.col("k2")))
-    p_big = plan(big.join(broadcast_if_small(big.withColumnRenamed("k", "k2"), max_rows=100),
-                          F.col("k") == F.col("k2")))
-    assert "BroadcastHashJoin" in p_small
-    assert "BroadcastHashJoin" not in p_big and "SortMergeJoin" in p_big
-    p_bytes = plan(big.join(broadcast_if_small(small, max_rows=100, max_bytes=10), F.col("k") == F.col("k2")))
-    assert "BroadcastHashJoin" not in p_bytes
+    nation = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    cond = F.col("o_custkey") == F.col("n_nationkey")
+    assert "BroadcastHashJoin" in plan(orders.join(broadcast_if_small(nation), cond))
+    assert "BroadcastHashJoin" not in plan(orders.join(broadcast_if_small(nation, max_file_bytes=10), cond))
+
+
+def test_lookups_do_not_shuffle_the_large_side(spark):
+    from eventloom.plans import feeds as FD
+    p = plan(FD.location_records(spark, SF_SMALL))
+    assert "BroadcastHashJoin" in p and "hashpartitioning" not in p
+    p = plan(REG.QUERIES["join_rejects"](spark, SF_SMALL))
+    assert "BroadcastHashJoin LeftAnti" in p.replace("[", " [") or "LeftAnti, BuildRight" in p
+
+
+def test_one_scan_and_one_parse_for_flagged_outputs(spark):
+    p = plan(REG.QUERIES["dec_rejects"](spark, SF_SMALL))
+    assert p.count("FileScan") == 1 and p.count("from_json(") == 1
+    assert plan(REG.QUERIES["flt_contains"](spark, SF_SMALL)).count("FileScan") == 1
+
+
+def test_demuxed_sides_parse_each_envelope_once(spark):
+    p = plan(REG.QUERIES["join_travel"](spark, SF_SMALL))
+    # two sides, each with one envelope parse and one member parse
+    assert p.count("from_json(") == 4
 
 
 def test_cluster_conf_sizes_partitions():
     from eventloom.session import cluster_conf
     c = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    # 128 MB per partition at any size
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (128 << 20))
     assert c["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     small = cluster_conf(10**9, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
-
-
-def test_bucketed_tables_join_without_shuffle(spark):
-    from eventloom.plans import feeds as FD
-    from eventloom.functions import decode as D
-    from eventloom.schemas import CUSTOMER_RECORD, RISK_EVENT
-    from eventloom.sources.bucketed import save_bucketed
-    cust = D.decode_two_level(REG._topic(spark, SF_SMALL, FD.CUSTOMERS), CUSTOMER_RECORD) \
-        .select("email", "birthDay")
-    risk = D.parse_json(REG._topic(spark, SF_SMALL, FD.RISK), "value", RISK_EVENT)
-    save_bucketed(cust, "customers_b", ["email"], 4)
-    save_bucketed(risk.withColumnRenamed("customer", "email"), "risk_b", ["email"], 4)
-    j = spark.table("risk_b").join(spark.table("customers_b"), "email", "inner")
-    p = plan(j)
-    assert "SortMergeJoin" in p and "Exchange" not in p
-    assert j.count() == risk.count()

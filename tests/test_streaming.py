@@ -20,9 +20,7 @@ SF = SF_MID
 
 
 def stream_clicks(spark):
-    path = REG._click_replay(spark, SF)
-    return D.parse_json(read_topic(spark, path, topics=FD.CLICKS, stream=True,
-                                   max_files_per_trigger=8), "value", CLICK_EVENT)
+    return REG.clicks(spark, SF, stream=True)
 
 
 def same(a, b):
@@ -96,7 +94,7 @@ def test_stream_stream_flagship_equals_batch(spark):
 def test_late_rows_dropped_and_counted(spark):
     from eventloom.session import scratch_path
     from eventloom.sources.topics import write_topic
-    env = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS)
+    env = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS)
     path = scratch_path(spark, REG._uid("late_replay"))
     cut = "2024-01-20 00:00:00"
     on_time = env.filter(F.col("timestamp") < F.lit(cut).cast("timestamp"))
@@ -122,11 +120,8 @@ def test_late_rows_dropped_and_counted(spark):
 
 
 def test_stream_stream_left_outer_with_watermarks(spark):
-    path = REG._click_replay(spark, SF)
-
     def side():
-        return D.parse_json(read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=8),
-                            "value", CLICK_EVENT)
+        return stream_clicks(spark)
 
     def shape(df, stream):
         views = df.filter(F.col("event_type") == "view").select(
@@ -153,7 +148,7 @@ def test_stream_stream_left_outer_with_watermarks(spark):
 
 def test_stream_two_level_decode(spark):
     from eventloom.schemas import CUSTOMER_RECORD
-    s = D.decode_two_level(read_topic(spark, FD.bus(spark, SF), topics=FD.CUSTOMERS, stream=True),
+    s = D.decode_two_level(read_topic(spark, FD.bus(spark, SF, FD.CUSTOMERS), topics=FD.CUSTOMERS, stream=True),
                            CUSTOMER_RECORD)
     name = REG._uid("t_dec")
     RN.run_available(s, name, fmt="memory")
@@ -169,7 +164,7 @@ def test_stream_histogram_complete_mode(spark):
 
 def test_stream_train_positions_fold_to_table(spark):
     from eventloom.schemas import ARRIVAL
-    env = read_topic(spark, FD.bus(spark, SF), pattern=FD.ARRIVALS_PATTERN,
+    env = read_topic(spark, FD.bus(spark, SF, FD.ARRIVALS), pattern=FD.ARRIVALS_PATTERN,
                      stream=True)
     arr = D.parse_json(env, "value", ARRIVAL, keep=[F.col("offset").alias("event_id"),
                                                     F.col("timestamp").alias("ts")])
@@ -184,7 +179,7 @@ def test_stream_train_positions_fold_to_table(spark):
 def test_restart_from_checkpoint_resumes_state_exactly_once(spark):
     from eventloom.session import scratch_path
     from eventloom.sources.topics import write_topic
-    env = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS)
+    env = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS)
     src = scratch_path(spark, REG._uid("resume_src"))
     cut = F.lit("2024-01-15 00:00:00").cast("timestamp")
     write_topic(env.filter(F.col("timestamp") < cut), src, mode="overwrite")
@@ -236,18 +231,17 @@ def test_live_status_board_from_streams(spark):
     from eventloom.session import scratch_path
     from eventloom.streaming import tables as ST2
     from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
-    bus = FD.bus(spark, SF)
-    env = read_topic(spark, bus, pattern=FD.ARRIVALS_PATTERN, stream=True, max_files_per_trigger=4)
+    env = read_topic(spark, FD.bus(spark, SF, FD.ARRIVALS), pattern=FD.ARRIVALS_PATTERN, stream=True, max_files_per_trigger=4)
     arr = D.parse_json(env, "value", ARRIVAL, keep=[F.col("offset").alias("event_id"),
                                                     F.col("timestamp").cast("timestamp_ntz").alias("ts")])
     path = scratch_path(spark, REG._uid("positions"))
     ST2.upsert_latest(T.platform_updates(arr, "ts", "event_id"), ["line", "station_id", "direction"],
                       ["ts", "event_id", "seq"], path, REG._uid("positions"), buckets=8, state_partitions=8)
     positions = ST2.read_table(spark, path)
-    st = D.parse_json(read_topic(spark, bus, topics=FD.STATIONS_TOPIC), "value",
+    st = D.parse_json(read_topic(spark, FD.bus(spark, SF, FD.STATIONS_TOPIC), topics=FD.STATIONS_TOPIC), "value",
                       StructType([StructField("station_id", IntegerType()), StructField("station_name", StringType()),
                                   StructField("order", IntegerType()), StructField("line", StringType())]))
-    cnt = D.parse_json(read_topic(spark, bus, topics=FD.SUMMARY_TOPIC), "value",
+    cnt = D.parse_json(read_topic(spark, FD.bus(spark, SF, FD.SUMMARY_TOPIC), topics=FD.SUMMARY_TOPIC), "value",
                        StructType([StructField("STATION_ID", IntegerType()), StructField("COUNT", LongType())]))
     cnt = cnt.select(F.col("STATION_ID").alias("station_id"), F.col("COUNT").alias("count"))
     live = T.status_board(st, positions, cnt)
@@ -255,7 +249,7 @@ def test_live_status_board_from_streams(spark):
 
 
 def test_rate_limited_read_pulls_bounded_batches(spark):
-    path = REG._click_replay(spark, SF)
+    path = FD.bus(spark, SF, FD.CLICKS)
     files = spark.read.parquet(f"{path}/topic={FD.CLICKS}").inputFiles()
     s = read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=1)
     _, progress = RN.run_available(D.cast_strings(s), REG._uid("bounded1"), fmt="noop")
@@ -290,16 +284,145 @@ def test_stream_windowed_top_k(spark):
 
 def test_stream_starts_at_time_and_offsets(spark):
     start = "2024-01-16 00:00:00"
-    s = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS, stream=True, starting=start)
+    s = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS, stream=True, starting=start)
     name = REG._uid("t_start")
     RN.run_available(D.cast_strings(s).select("key", "offset"), name, fmt="memory")
-    batch = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS, starting=start)
+    batch = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS, starting=start)
     assert same(spark.table(name), D.cast_strings(batch).select("key", "offset"))
     p0 = {"clickevents": {0: 5000}}
-    s2 = read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS, stream=True, starting=p0)
+    s2 = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS, stream=True, starting=p0)
     name2 = REG._uid("t_start2")
     RN.run_available(s2.select("partition", "offset"), name2, fmt="memory")
     got = spark.table(name2)
     assert got.filter("partition = 0 AND offset < 5000").count() == 0
     assert got.filter("partition <> 0").count() == \
-        read_topic(spark, FD.bus(spark, SF), topics=FD.CLICKS).filter("partition <> 0").count()
+        read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS).filter("partition <> 0").count()
+
+
+def test_limited_run_raises_instead_of_returning_partial_output(spark):
+    import pytest
+    with pytest.raises(RN.NotFinished):
+        RN.run_available(stream_clicks(spark), REG._uid("limited"), timeout_s=0.01, trigger={"processingTime": "1 second"})
+
+
+def test_started_query_outlives_triggers_until_stopped(spark):
+    import time
+    from eventloom.session import scratch_path
+    from eventloom.sources.topics import write_topic
+    env = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS)
+    src = scratch_path(spark, REG._uid("running_src"))
+    write_topic(env.filter("offset < 100"), src)
+    name = REG._uid("running")
+    q = RN.start(read_topic(spark, src, topics=FD.CLICKS, stream=True), name, path=RN.sink_path(spark, name),
+                 trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        time.sleep(3)
+        assert q.isActive
+        write_topic(env.filter("offset >= 100 and offset < 300"), src)
+        q.processAllAvailable()
+        assert q.isActive and spark.read.parquet(RN.sink_path(spark, name)).count() == 300
+    finally:
+        q.stop()
+
+
+def test_all_progress_reports_are_kept(spark):
+    path = FD.bus(spark, SF, FD.CLICKS)
+    files = len(spark.read.parquet(f"{path}/topic={FD.CLICKS}").inputFiles())
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        s = read_topic(spark, path, topics=FD.CLICKS, stream=True, max_files_per_trigger=1)
+        _, progress = RN.run_available(D.cast_strings(s), REG._uid("reports"), fmt="noop")
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert sum(p["numInputRows"] > 0 for p in progress) == files
+
+
+def test_replay_of_many_files_per_slice_loses_nothing(spark):
+    from eventloom.session import scratch_path
+    from eventloom.sources.topics import replay, replay_slices
+    env = read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS)
+    slices = [s.repartition(24) for s in replay_slices(env, scratch_path(spark, REG._uid("cut")), 3)]
+    topic, name = scratch_path(spark, REG._uid("many")), REG._uid("many")
+    dropped = []
+
+    def step():
+        s = D.parse_json(read_topic(spark, topic, topics=FD.CLICKS, stream=True), "value", CLICK_EVENT)
+        agg = W.windowed_agg(W.event_time(s, "ts", "10 seconds"), "ts", "event_type",
+                             [F.count(F.lit(1)).alias("n")], "1 hour")
+        _, progress = RN.run_available(agg, name, path=RN.sink_path(spark, name), state_partitions=8)
+        dropped.append(RN.dropped_by_watermark(progress))
+
+    replay(slices, topic, step)
+    assert len(spark.read.parquet(topic).inputFiles()) >= 72 and not any(dropped)
+    ev = REG.clicks(spark, SF)
+    batch = W.windowed_agg(ev, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
+    assert same(spark.read.parquet(RN.sink_path(spark, name)), W.closed_windows(batch, ev.select(F.max("ts")).scalar(), 10))
+
+
+def test_latest_table_survives_a_crash_at_every_file_step(spark, monkeypatch):
+    import pytest
+    from eventloom.session import scratch_path
+    from eventloom.streaming import tables as ST2
+    ev = REG.clicks(spark, SF).filter("event_id < 400").persist()
+    first, second = ev.filter("event_id < 200"), ev.filter("event_id >= 200")
+    want_old = T.latest(first, "user_id", ["ts", "event_id"])
+    want = T.latest(ev, "user_id", ["ts", "event_id"])
+    merge = lambda p, b, n: ST2.merge_batch(spark, b, ["user_id"], ["ts", "event_id"], p, 2, n, "q")
+    steps = ["_buckets_written", "latest", "_publish", "_drop_old"]
+    for fail_at in steps:
+        path = scratch_path(spark, REG._uid("crash"))
+        merge(path, first, 0)
+        real = getattr(ST2, fail_at)
+
+        def crash(*a, **k):
+            raise OSError("crash")
+        monkeypatch.setattr(ST2, fail_at, crash)
+        with pytest.raises(OSError):
+            merge(path, second, 1)
+        monkeypatch.setattr(ST2, fail_at, real)
+        seen = ST2.read_table(spark, path).select(*want.columns)
+        assert same(seen, want if fail_at == "_drop_old" else want_old), fail_at
+        merge(path, second, 1)  # the replayed batch
+        assert same(ST2.read_table(spark, path).select(*want.columns), want), fail_at
+
+
+def test_latest_table_grows_its_buckets_with_its_rows(spark, monkeypatch):
+    from eventloom.session import scratch_path
+    from eventloom.streaming import tables as ST2
+    monkeypatch.setattr(ST2, "BUCKET_ROWS", 20)
+    path = scratch_path(spark, REG._uid("grow"))
+    ev = REG.clicks(spark, SF)
+    for n in range(4):
+        ST2.merge_batch(spark, ev.filter(F.col("event_id") % 4 == n), ["event_id"], ["ts"], path, 2, n, "q")
+    assert ST2._load(spark, path, 4)["buckets"] == 16
+    assert same(ST2.read_table(spark, path).select(*ev.columns), ev)
+
+
+def test_bounded_state_joins_with_watermarks(spark):
+    views = stream_clicks(spark).filter("event_type = 'view'").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    buys = stream_clicks(spark).filter("event_type = 'purchase'").select(
+        F.col("user_id").alias("buyer"), F.col("ts").cast("timestamp").alias("b_ts"))
+    bound = (F.col("b_ts") >= F.col("ts")) & (F.col("b_ts") <= F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    j = J.join(views, buys, F.col("user_id") == F.col("buyer"), "inner", ("ts", "1 minute"), ("b_ts", "1 minute"), bound)
+    out, _ = RN.run_available(j, REG._uid("t_bound"), state_partitions=8)
+    ev = REG.clicks(spark, SF)
+    v = ev.filter("event_type = 'view'").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    b = ev.filter("event_type = 'purchase'").select(F.col("user_id").alias("buyer"), F.col("ts").cast("timestamp").alias("b_ts"))
+    assert same(spark.read.parquet(out), v.join(b, (F.col("user_id") == F.col("buyer")) & bound))
+
+
+def test_drop_guard_sees_readers_it_was_not_told_of(spark):
+    import pytest
+    from eventloom.plans import catalog as C
+    view, name = REG._uid("guarded"), REG._uid("guard_reader")
+    C.declare(spark, view, read_topic(spark, FD.bus(spark, SF, FD.CLICKS), topics=FD.CLICKS, stream=True), CLICK_EVENT)
+    q = (spark.table(view).select("event_id").writeStream.queryName(name).format("noop")
+         .option("checkpointLocation", RN.checkpoint_for(spark, name)).start())
+    try:
+        with pytest.raises(C.CatalogError):
+            C.drop_view(spark, view)
+    finally:
+        q.stop()
+    C.drop_view(spark, view)
