@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import bitmap, in_bitmap, materialise, per_chunk, row_key, text_buffer
+from eventloom.llm.common import bitmap, in_bitmap, materialise, per_chunk, row_key, text_buffer, wrapped
 from eventloom.llm.words import ALNUM, Words, gram_hashes, mix, within
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -267,5 +267,5 @@ def report(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """One document of each class, that with the smallest id; the same columns.
     Rows that repeat an id stay or go together."""
-    kept = near_classes(docs).filter("key = class_id").select(F.col("key").alias("_key")).distinct()
-    return docs.withColumn("_key", row_key(docs)).join(kept, "_key", "left_semi").select(*docs.columns)
+    kept = near_classes(docs).filter("key = class_id").select("key").distinct()
+    return wrapped(docs).select("row", "key").join(kept, "key", "left_semi").select("row.*")

@@ -126,3 +126,10 @@ def bitmap(df: DataFrame, col: str) -> np.ndarray:
 def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     at = values.astype(np.int64) % BITMAP
     return (bits[at >> 6] >> (at & 63) & 1).astype(bool)
+
+
+def wrapped(docs: DataFrame) -> DataFrame:
+    """(row, key, doc_id, text): the whole row in one column, so that no other
+    column's name can clash with those an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       row_key(docs).alias("key"), F.col("doc_id"), F.col("text"))

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import RowIds, chunks, input_bytes, per_chunk, row_key, text_buffer
-from eventloom.llm.words import ALNUM, LOWER, Words, gram_hashes, within
+from eventloom.llm.common import RowIds, chunks, input_bytes, per_chunk, text_buffer, wrapped
+from eventloom.llm.words import ALNUM, LOWER, Words, gram_hashes, mix, within
 
 #: Words of a window, and of the grams whose minimum stands for it.
 LENGTH, GRAM = 10, 6
@@ -105,7 +105,6 @@ _HITS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.i
 
 def _marker_rows(rid: np.ndarray, ids: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
     n, null = len(rid), pa.nulls
-    from eventloom.llm.words import mix
     own = mix(rid.view(np.uint64) + np.uint64(1)).view(np.int64)
     return pa.RecordBatch.from_arrays([
         pa.array(rid), ids.cast(pa.int64()), pa.array(counts.astype(np.int64)), null(n, pa.int64()),
@@ -213,8 +212,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     (a word or two) occurs in clean prose. Documents keep their row if their id
     is not among those with such a hit; rows that share an id are judged
     together, and rows with a null id are judged by themselves."""
-    found = scan(docs.withColumn("doc_id", row_key(docs)), items)
-    bad = found.filter(F.exists("spans", lambda s: s["n"] == LENGTH)).select(F.col("doc_id").alias("_key"))
-    return (docs.withColumn("_key", row_key(docs)).join(bad.distinct(), "_key", "left_anti")
-            .select(*docs.columns))
-
+    rows = wrapped(docs)
+    found = scan(rows.select(F.col("key").alias("doc_id"), "text"), items)
+    bad = found.filter(F.exists("spans", lambda s: s["n"] == LENGTH)).select(F.col("doc_id").alias("key")).distinct()
+    return rows.select("row", "key").join(bad, "key", "left_anti").select("row.*")

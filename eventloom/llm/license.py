@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import RowIds, chunks, text_buffer
-from eventloom.llm.words import ALNUM, Words, hash_words, mix
+from eventloom.llm.words import ALNUM, Words, gram_hashes, hash_words, mix
 
 #: The contract's phrases and labels (fixed values).
 BASE = {
@@ -75,7 +75,6 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
-    from eventloom.llm.words import gram_hashes
     return gram_hashes(h, GRAM)
 
 

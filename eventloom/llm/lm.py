@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import chunks, input_bytes, materialise, shared_folder, text_buffer
 from eventloom.llm.eliasfano import EliasFano, map_arrays, write_arrays
 from eventloom.llm.words import NONSPACE, Words, mix
+from eventloom.session import _fs
 
 ORDER = 3
 MU = tuple(2.0 ** i for i in range(-1, 11))
@@ -155,7 +156,7 @@ class Trie:
         """Arrays and sequences of one shard's level (from 1)."""
         key = (level, shard)
         if key not in self._open:
-            r = self.files[level - 1].get(shard)
+            r = self.files[level - 1].get(shard) if level <= len(self.files) else None
             if r is None:
                 self._open[key] = None
             else:
@@ -183,8 +184,7 @@ class Trie:
     def word_ids(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Id (-1: unknown), count and probability byte of each token."""
         distinct, back = np.unique(h, return_inverse=True)
-        ids, counts = np.full((2, len(distinct)), -1, np.int64)
-        counts[:] = 0
+        ids, counts = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
         byte = np.full(len(distinct), quantise(np.array([1 / (self.total + self.words + 1)]))[0])
         for s, at in self.by_shard(shard_of(distinct, self.shards)):
             a = self.part(1, s)
@@ -373,11 +373,10 @@ def build_grams(counted: DataFrame, folder: str, level: int, reach: int, parents
     return _listed(counted, build, f"lm-level{level}")
 
 
-def train(docs: DataFrame, order: int = ORDER) -> Trie:
+def train(docs: DataFrame, order: int = ORDER, least_shards: int = LEAST_SHARDS) -> Trie:
     """The trie of all n-grams up to ``order`` words of ``docs.text``."""
-    from eventloom.session import _fs
     spark = docs.sparkSession
-    shards = max(LEAST_SHARDS, input_bytes(docs) // SHARD_BYTES)
+    shards = max(least_shards, input_bytes(docs) // SHARD_BYTES)
     folder = shared_folder(spark, "lm")
     path, fs = _fs(spark, folder)
     fs.mkdirs(path)

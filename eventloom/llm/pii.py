@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import per_chunk
+from eventloom.llm.common import per_chunk, wrapped
 
 KINDS = ("email", "ip", "card", "phone", "iban")
 
@@ -178,8 +178,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def mask(docs: DataFrame) -> DataFrame:
     """Documents with personal data replaced; same columns, ``n_chars`` kept true."""
-    found = detect(docs, masked="_masked")
+    found = detect(wrapped(docs).select("row", "text"), masked="masked")
+    kind = docs.schema
     return found.select(*[
-        F.col("_masked").alias(c) if c == "text"
-        else F.char_length("_masked").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(c) for c in docs.columns])
+        F.col("masked").alias(c) if c == "text"
+        else F.char_length("masked").cast(kind[c].dataType).alias(c) if c == "n_chars"
+        else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import materialise, per_chunk, text_buffer
+from eventloom.llm.common import materialise, per_chunk, text_buffer, wrapped
 from eventloom.llm.words import ALNUM, Words
 
 TRAIN_ROWS = 20_000
@@ -245,5 +245,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """Documents that score below ``limit``; the same columns."""
-    scored = detect(docs, fit(docs, labels))
-    return scored.filter(F.col("toxicity") < limit).select(*docs.columns)
+    scored = detect(wrapped(docs).select("row", "text"), fit(docs, labels))
+    return scored.filter(F.col("toxicity") < limit).select("row.*")

@@ -32,10 +32,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import materialise, shared_folder
+from eventloom.session import _fs
 
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 64 << 20
 MIN_REVISIT = 100
@@ -90,8 +91,9 @@ def filesystem(path: str):
 class BundleWriter:
     """Writes records into frames, and the seek table at the end."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, frame_bytes: int = FRAME_BYTES):
         import zstandard
+        self._frame_bytes = frame_bytes
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         self._fs, inner = filesystem(self.path)
         self._out = self._fs.open_output_stream(inner, compression=None)  # the name must not add a second layer
@@ -102,7 +104,7 @@ class BundleWriter:
 
     def add(self, rec: bytes) -> tuple[int, int, int]:
         """Frame, offset and length of the record."""
-        if self._held and self._held + len(rec) > FRAME_BYTES:
+        if self._held and self._held + len(rec) > self._frame_bytes:
             self._flush()
         place = (len(self._table), self._held, len(rec))
         self._frame.append(rec)
@@ -174,10 +176,10 @@ def planned(pages: DataFrame) -> DataFrame:
     return base.join(firsts, "payload_digest", "left").withColumn("refers_to", refers).drop("first")
 
 
-def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
+def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Write all pages as bundles below ``folder``; the index, one row a record."""
     spark = pages.sparkSession
-    path, fs = _hadoop(spark, folder)
+    path, fs = _fs(spark, folder)
     fs.mkdirs(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +197,7 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
             for i in range(len(batch)):
                 v = {n: c[i].as_py() for n, c in col.items()}
                 if bundle is None:
-                    bundle = BundleWriter(folder)
+                    bundle = BundleWriter(folder, frame_bytes)
                 key, ref = v["page_id"], v["refers_to"]
                 url = v["url"].replace("\r", "%0D").replace("\n", "%0A")
                 place = bundle.add(record("" if key is None else str(key), url, v["payload"], v["payload_digest"],
@@ -209,11 +211,6 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     return materialise(planned(pages).mapInArrow(run, INDEX), "warc-index")
 
 
-def _hadoop(spark: SparkSession, folder: str):
-    from eventloom.session import _fs
-    return _fs(spark, folder)
-
-
 RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
            "refers_to long, payload binary")
 
