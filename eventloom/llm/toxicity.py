@@ -2,9 +2,12 @@
 
 Token scores are log-odds of toxic against clean use under an informative
 Dirichlet prior (the pooled token shares, worth ``PRIOR`` tokens), for tokens
-whose log-odds exceed ``Z`` of its standard deviations; every token pays
-``DRIFT``. All maximal-scoring segments of a text are found in one pass over
-the tokens that score above zero, as the rest only adds drift between them.
+whose log-odds are at least ``LEAST`` (20 times likelier in toxic texts) and
+exceed ``Z`` of its standard deviations; every word pays ``DRIFT``. Tokens are
+words and, as insults are inflected, the first bytes of longer words
+(``STEMS``); a word scores as the best of its tokens. All maximal-scoring
+segments of a text are found in one pass over the words that score above zero,
+as the rest only adds drift between them.
 
 Segments are calibrated by extreme-value theory: with lambda the positive root
 of E[exp(lambda s)] = 1 over clean tokens and K fitted on clean documents, a
@@ -37,7 +40,9 @@ from eventloom.llm.common import materialise, per_chunk, text_buffer, wrapped
 from eventloom.llm.words import ALNUM, Words
 
 TRAIN_ROWS = 20_000
-PRIOR, Z, DRIFT, CLIP = 5_000.0, 4.0, 0.5, 6.0
+PRIOR, Z, LEAST, DRIFT, CLIP = 5_000.0, 4.0, 3.0, 0.5, 6.0
+#: Prefix lengths, in bytes, that are tokens besides the words.
+STEMS = (4, 6)
 #: Tokens that a model holds at most: those with the largest z (bounds its broadcast).
 MODEL_TOKENS = 100_000
 
@@ -57,12 +62,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, fol
                        .select("text", "y"), f"train-{label}")
 
 
+def _tokens(w: Words):
+    """(hashes, word number) of each kind of token."""
+    yield w.hashes, np.arange(len(w))
+    for k in STEMS:
+        h, longer = w.prefixes(k)
+        at = np.flatnonzero(longer)
+        yield h[at], at
+
+
 def _counts(part: pa.RecordBatch) -> pa.RecordBatch:
     """Per slice: token hash, uses in toxic and in clean texts."""
     w = Words(*text_buffer(part.column(0)), ALNUM)
     y = np.asarray(part.column(1).to_numpy(zero_copy_only=False), np.int64)[w.doc_of()]
-    h, at = np.unique(w.hashes, return_inverse=True)
-    toxic = np.bincount(at, weights=y, minlength=len(h)).astype(np.int64)
+    kinds = list(_tokens(w))
+    h, at = np.unique(np.concatenate([k[0] for k in kinds]), return_inverse=True)
+    toxic = np.bincount(at, weights=np.concatenate([y[k[1]] for k in kinds]), minlength=len(h)).astype(np.int64)
     both = np.bincount(at, minlength=len(h))
     return pa.RecordBatch.from_arrays(
         [pa.array(h.view(np.int64)), pa.array(toxic), pa.array(both - toxic)], names=["h", "toxic", "clean"])
@@ -76,12 +91,15 @@ class Model:
         self.hashes, self.scores = hashes[order], scores[order]
         self.rate, self.k, self.curve = 1.0, 1.0, (0.0, 0.0)
 
-    def token_scores(self, h: np.ndarray) -> np.ndarray:
-        """Scores above zero of listed tokens; others 0 (they only pay drift)."""
-        if not len(self.hashes):
-            return np.zeros(len(h))
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.scores[at], 0.0)
+    def word_scores(self, w: Words) -> np.ndarray:
+        """The best listed token of each word; 0 without one (it only pays drift)."""
+        out = np.zeros(len(w))
+        if len(self.hashes):
+            for h, word in _tokens(w):
+                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+                hit = np.flatnonzero(self.hashes[at] == h)
+                out[word[hit]] = np.maximum(out[word[hit]], self.scores[at[hit]])
+        return out
 
 
 def segments(place: list[int], score: list[float]) -> list[tuple[int, int, float]]:
@@ -108,7 +126,7 @@ def segments(place: list[int], score: list[float]) -> list[tuple[int, int, float
 
 def _doc_segments(model: Model, w: Words):
     """(text number, segments) of the texts that have any."""
-    s = model.token_scores(w.hashes)
+    s = model.word_scores(w)
     at = np.flatnonzero(s > 0)
     if len(at):
         doc = np.searchsorted(w.bounds, at, "right") - 1
@@ -126,7 +144,9 @@ def evidence(model: Model, n: int, segs: list[tuple[int, int, float]]) -> float:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     sample = training_rows(docs, labels, "toxic", rows)
     counts = materialise(
-        sample.mapInArrow(per_chunk(_counts), "h long, toxic long, clean long")
+        # a text that was copied many times is one witness
+        sample.dropDuplicates(["text", "y"]).select("text", "y")
+        .mapInArrow(per_chunk(_counts), "h long, toxic long, clean long")
         .groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "toxic-counts")
     n_t, n_c = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
     n_t, n_c = float(n_t), float(n_c)
@@ -139,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     with_prior = counts.withColumns({"a": F.col("toxic") + prior, "b": F.col("clean") + prior})
     odds = (F.log(F.col("a") / (n_t + PRIOR - F.col("a"))) - F.log(F.col("b") / (n_c + PRIOR - F.col("b"))))
     scored = with_prior.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / F.col("a") + 1 / F.col("b")))
-    top = (scored.filter((F.col("z") >= Z) & (F.col("odds") > DRIFT))
+    top = (scored.filter((F.col("z") >= Z) & (F.col("odds") >= LEAST))
            .orderBy(F.desc("z"), "h").limit(MODEL_TOKENS).select("h", "odds", "b").toPandas())
     model = Model(top["h"].to_numpy(np.int64).view(np.uint64),
                   np.minimum(top["odds"].to_numpy(float), CLIP) - DRIFT)

@@ -90,6 +90,15 @@ class Words:
         """The text each word belongs to."""
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
 
+    def prefixes(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words' first k bytes, and which words are longer than that."""
+        longer = self.ends - self.starts > k
+        h = np.full(len(self.starts), k, np.uint64)
+        last = len(self.data) - 1
+        for j in range(k):
+            h = h * np.uint64(0xD6E8FEB86659FD93) + _CODE[self.data[np.minimum(self.starts + j, last)]]
+        return mix(h), longer
+
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rolling k-word hashes by start word, and which starts stay inside one text."""
         n = len(self.hashes) - k + 1
