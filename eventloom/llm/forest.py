@@ -117,35 +117,22 @@ def usable(vectors: DataFrame) -> DataFrame:
             .withColumns({"k1": F.xxhash64(v), "k2": F.xxhash64(F.lit(1), v), "d": F.size(v)}))
 
 
-def _matrix(values: pa.Array, d: int) -> np.ndarray:
-    return np.asarray(values.flatten(), np.float64).reshape(-1, d)
+def _blocks(vectors: DataFrame, n: int, size: int, what: str) -> DataFrame:
+    """One row per block of about ``size`` vectors of one length, however the
+    rows are partitioned: keys and components side by side."""
+    blocks = max(1, -(-n // size))
+    return (vectors.withColumn(what, F.pmod(F.xxhash64("k1"), F.lit(blocks)).cast("int"))
+            .groupBy(what, "d").agg(F.collect_list(F.struct("k1", "k2", "v")).alias("x"))
+            .select(what, "d", *[F.col(f"x.{c}").alias(f"{what}_{c}") for c in ("k1", "k2", "v")]))
 
 
-def _blobs(rows: int, what: str):
-    """Rows of one length → blobs of at most ``rows`` vectors."""
-    def run(batches):
-        held: dict[int, list] = {}
-        for batch in batches:
-            d = np.asarray(batch.column(0))
-            for one in np.unique(d).tolist():
-                part = batch.filter(pa.array(d == one))
-                for i in range(0, len(part), rows):
-                    keys = held.setdefault(one, [])
-                    keys.append(part.slice(i, rows))
-                    if sum(map(len, keys)) >= rows:
-                        yield pack(one, held.pop(one))
-        for one, parts in held.items():
-            yield pack(one, parts)
-
-    def pack(d, parts):
-        t = pa.Table.from_batches(parts).combine_chunks()
-        cell = lambda x: pa.array([x.tobytes()], pa.binary())
-        keys = [cell(np.asarray(t.column(c).to_numpy(), np.int64)) for c in ("k1", "k2")]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([d], pa.int32()), *keys, cell(_matrix(t.column("v").combine_chunks(), d))],
-            names=["d", f"{what}1", f"{what}2", f"{what}_matrix"])
-
-    return run
+def _cell(batch: pa.RecordBatch, i: int, name: str) -> np.ndarray:
+    return np.asarray(batch.column(batch.schema.get_field_index(name))[i].values)
+
+
+def _matrix(batch: pa.RecordBatch, i: int, name: str, d: int) -> np.ndarray:
+    values = batch.column(batch.schema.get_field_index(name))[i].values
+    return np.asarray(values.flatten(), np.float64).reshape(-1, d)
 
 
 def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame:
@@ -162,33 +149,26 @@ def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
     queries = asked.groupBy("k1", "k2").agg(F.first("v").alias("v"), F.first("d").alias("d"))
     n_rows, n_queries = distinct.count(), queries.count()
 
-    def spread(df: DataFrame, n: int, size: int) -> DataFrame:
-        return df.select("d", "k1", "k2", "v").repartition(max(1, -(-n // size)), "k1")
-
-    segments = spread(distinct, n_rows, SEGMENT).mapInArrow(
-        _blobs(SEGMENT, "s"), "d int, s1 binary, s2 binary, s_matrix binary")
-    groups = spread(queries, n_queries, GROUP).mapInArrow(
-        _blobs(GROUP, "q"), "d int, q1 binary, q2 binary, q_matrix binary").withColumn(
-        "slot", F.pmod(F.xxhash64("q1"), F.lit(max(1, -(-n_queries // GROUP)))).cast("int"))
-    slots = max(1, -(-n_queries // GROUP))
+    segments = _blocks(distinct.select("k1", "k2", "v", "d"), n_rows, SEGMENT, "segment")
+    groups = _blocks(queries, n_queries, GROUP, "slot")
     # the query set against all rows, in blocks: each segment goes to every slot
-    met = (segments.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-           .join(groups, ["slot", "d"]).repartition("s1", "q1"))
+    slots = F.sequence(F.lit(0), F.lit(max(1, -(-n_queries // GROUP)) - 1))
+    met = (segments.withColumn("slot", F.explode(slots)).join(groups, ["slot", "d"])
+           .repartition(F.col("segment"), F.col("slot")))
 
     def search(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                d = r["d"]
-                cells = {c: np.frombuffer(r[c], np.int64) for c in ("s1", "s2", "q1", "q2")}
-                forest = Forest(np.frombuffer(r["s_matrix"], np.float64).reshape(-1, d), longest)
-                q, s, score = forest.search(np.frombuffer(r["q_matrix"], np.float64).reshape(-1, d), top + 1)
+            for i in range(len(batch)):
+                d = batch.column(batch.schema.get_field_index("d"))[i].as_py()
+                s1, s2, q1, q2 = (_cell(batch, i, c) for c in ("segment_k1", "segment_k2", "slot_k1", "slot_k2"))
+                index = Forest(_matrix(batch, i, "segment_v", d), longest)
+                q, s, score = index.search(_matrix(batch, i, "slot_v", d), top + 1)
                 q, s = q.astype(np.int64), s.astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells["q1"][q]), pa.array(cells["q2"][q]), pa.array(cells["s1"][s]),
-                     pa.array(cells["s2"][s]), pa.array(score.astype(float))], names=["q1", "q2", "k1", "k2", "score"])
+                    [pa.array(q1[q]), pa.array(q2[q]), pa.array(s1[s]), pa.array(s2[s]), pa.array(score.astype(float))],
+                    names=["q1", "q2", "k1", "k2", "score"])
 
-    found = met.select("d", "s1", "s2", "s_matrix", "q1", "q2", "q_matrix").mapInArrow(
-        search, "q1 long, q2 long, k1 long, k2 long, score double")
+    found = met.drop("slot", "segment").mapInArrow(search, "q1 long, q2 long, k1 long, k2 long, score double")
     ids = distinct.select("k1", "k2", "ids")
     found = found.join(ids, ["k1", "k2"]).withColumn("first", F.col("ids")[0])
     best = W.partitionBy("q1", "q2").orderBy(F.desc("score"), "first")
