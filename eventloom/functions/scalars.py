@@ -1,4 +1,5 @@
-"""Scalar column functions (all built-in Spark expressions, codegen'd)."""
+"""Scalar column functions: built-in Spark expressions, and one pandas UDF
+(``click_score``) that shows the same processor for Python-only logic."""
 
 from __future__ import annotations
 

@@ -68,7 +68,7 @@ def _run_and_read(spark, df: DataFrame, name: str, **kw) -> DataFrame:
     """Run a stream over all available input into files, and read them back.
     The checkpoint of such a one-off run is dropped."""
     name = _uid(name)
-    out, _ = RN.run_available(df, name, state_partitions=_parallelism(spark), **kw)
+    out, _ = RN.run_available(df, name, path=scratch_path(spark, name), state_partitions=_parallelism(spark), **kw)
     RN.drop_checkpoint(spark, name)
     return spark.read.schema(df.schema).parquet(out)
 
@@ -271,7 +271,7 @@ def sink_topic(spark, sf):
     joined = risk_join(cust, risk, keep=["offset", "timestamp"])
     env = SK.keyed_json(joined, "customer", "risk-information", offset="offset", timestamp="timestamp",
                         cols=["customer", "score", "email", "birthYear"])
-    path = RN.sink_path(spark, _uid("risk_information"))
+    path = scratch_path(spark, _uid("risk_information"))
     SK.to_topic(env, path, _uid("sink_topic"), state_partitions=_parallelism(spark))
     return _read_back(spark, path, "risk-information", RISK_OUT).drop("key")
 
@@ -282,7 +282,7 @@ def sink_topic_raw(spark, sf):
     s = _topic(spark, sf, FD.CLICKS, stream=True)
     fwd = s.select("key", "value", F.lit("clickevents-copy").alias("topic"), "partition",
                    "offset", "timestamp", "timestampType")
-    path = RN.sink_path(spark, _uid("copy"))
+    path = scratch_path(spark, _uid("copy"))
     SK.to_topic(fwd, path, _uid("sink_raw"), state_partitions=_parallelism(spark))
     return D.parse_json(read_topic(spark, path, topics="clickevents-copy"), "value", CLICK_EVENT)
 
@@ -296,7 +296,7 @@ def sink_keyed_send(spark, sf):
     """Re-key each (sanitized) click by its type and send it on."""
     s = R.sanitize(clicks(spark, sf, stream=True), ["user_id"])
     env = SK.keyed_json(s, "event_type", "clickevents-by-type", offset="event_id")
-    path = RN.sink_path(spark, _uid("by_type"))
+    path = scratch_path(spark, _uid("by_type"))
     SK.to_topic(env, path, _uid("sink_keyed"), state_partitions=_parallelism(spark))
     return _read_back(spark, path, "clickevents-by-type", SANITIZED)
 
@@ -318,7 +318,8 @@ CSV_OPTS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"
 def sink_csv(spark, sf):
     """CSV files per micro-batch with a checkpoint, read back with a schema."""
     s = clicks(spark, sf, stream=True).select("event_id", "ts", "event_type", "value")
-    out, _ = SK.to_csv(s, _uid("csv"), options=CSV_OPTS, state_partitions=_parallelism(spark))
+    out, _ = SK.to_csv(s, _uid("csv"), options=CSV_OPTS, path=scratch_path(spark, _uid("csv_rows")),
+                       state_partitions=_parallelism(spark))
     schema = StructType([StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
                          StructField("event_type", StringType()), StructField("value", DoubleType())])
     return spark.read.schema(schema).options(**CSV_OPTS).csv(out)
@@ -577,7 +578,7 @@ def join_ss_withdrawals(spark, sf):
     fields = ["transactionId", "l_linenumber", "amount", "accountNumber", "transactionDate"]
     env = SK.keyed_json(j, "accountNumber", "withdrawals-location", offset="offset", cols=fields)
     name = _uid("withdrawals")
-    path = RN.sink_path(spark, name)
+    path = scratch_path(spark, name)
     SK.to_topic(env, path, name, state_partitions=_parallelism(spark))
     RN.drop_checkpoint(spark, name)
     out = StructType([f for f in [*WITHDRAWAL.fields, *ATM_VISIT.fields] if f.name in fields])
@@ -810,7 +811,7 @@ def win_late(spark, sf):
     one micro-batch of the same checkpointed query."""
     slices = replay_slices(_topic(spark, sf, FD.CLICKS), scratch_path(spark, _uid("slices")), 4)
     topic, name = scratch_path(spark, _uid("replay")), _uid("late")
-    out = RN.sink_path(spark, name)
+    out = scratch_path(spark, name)
 
     def step() -> None:
         s = D.parse_json(read_topic(spark, topic, topics=FD.CLICKS, stream=True), "value", CLICK_EVENT)
@@ -1002,7 +1003,7 @@ def cat_derive(spark, sf):
     writing its own topic; the topic is read back."""
     view = _uid("clickevents_live")
     C.declare(spark, view, _topic(spark, sf, FD.CLICKS, stream=True), CLICK_EVENT)
-    path = RN.sink_path(spark, _uid("popular"))
+    path = scratch_path(spark, _uid("popular"))
     name = _uid("popular_values")
 
     def sink(df, query_name):
@@ -1029,7 +1030,7 @@ def cat_drop(spark, sf):
     view = _uid("clicks_to_drop")
     C.declare(spark, view, _topic(spark, sf, FD.CLICKS, stream=True), CLICK_EVENT)
     name = _uid("drop_reader")
-    path = RN.sink_path(spark, name)
+    path = scratch_path(spark, name)
     qy = RN.start(spark.sql(f"SELECT event_id FROM `{view}`"), name, path=path,
                   trigger={"processingTime": "1 second"})
     steps = []

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType,
-                               FloatType, IntegerType, LongType, MapType,
+                               FloatType, IntegerType, LongType,
                                StringType, StructField, StructType,
                                TimestampNTZType, TimestampType)
 
@@ -32,6 +32,9 @@ CLICK_EVENT = _s(("event_id", LongType()), ("ts", TimestampNTZType()),
                  ("user_id", LongType()), ("event_type", StringType()),
                  ("value", DoubleType()), ("props", StringType()))
 
+# Fixed values from here on: field names and types of the records that the
+# pipelines exchange.
+
 # Change record of a key-value store captured into a topic; the sorted-set
 # members arrive base64 encoded in zSetEntries[].element.
 CHANGE_RECORD = _s(("key", StringType()), ("value", StringType()),
@@ -78,21 +81,7 @@ STATION = StructType([
     StructField("green", BooleanType(), False),
 ])
 
-STATION_TRANSFORMED = _s(("station_id", IntegerType()), ("station_name", StringType()),
-                         ("order", IntegerType()), ("line", StringType()))
-
 ARRIVAL = _s(("station_id", IntegerType()), ("train_id", StringType()),
              ("direction", StringType()), ("line", StringType()),
              ("train_status", StringType()), ("prev_station_id", IntegerType()),
              ("prev_direction", StringType()))
-
-TURNSTILE = _s(("station_id", IntegerType()), ("station_name", StringType()),
-               ("line", StringType()))
-
-WEATHER = _s(("temperature", DoubleType()), ("status", StringType()))
-
-CLICK_ATTRIBUTES = _s(("email", StringType()), ("timestamp", StringType()),
-                      ("uri", StringType()), ("number", IntegerType()),
-                      ("attributes", MapType(StringType(),
-                                             _s(("element", StringType()),
-                                                ("content", StringType())))))

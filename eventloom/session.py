@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -97,7 +98,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                                "(checkpoints, topic folders and sink output go below it)")
         root = tempfile.mkdtemp(prefix="eventloom-")
@@ -116,6 +117,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "eventloom", f"run-{os.getpid()}-{_RUN_ID}", *parts])
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this process wrote below the checkpoint root for its own
+    queries (one-off sinks, intermediate tables). Call it when their results
+    have been read; checkpoints and derived folders that later runs reuse stay."""
+    path, fs = _fs(spark, scratch_path(spark))
+    fs.delete(path, True)
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 128 << 20) -> dict:
     """Settings for a large cluster, to pass to the session builder.

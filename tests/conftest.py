@@ -14,11 +14,12 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     import tempfile
-    from eventloom.session import build_session
+    from eventloom.session import build_session, drop_scratch
     # tests keep their catalog tables in a private warehouse folder
     s = build_session(master="local[*]", shuffle_partitions=8,
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="eventloom-wh-")})
     yield s
+    drop_scratch(s)
     s.stop()
 
 
