@@ -23,95 +23,132 @@ def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     return at
 
 
-class EliasFano:
+def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     """A non-decreasing sequence: low bits packed, high bits in unary."""
-
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
-        self.n, self.low_bits, self.low, self.high, self.ones, self.zeros = n, low_bits, low, high, ones, zeros
+    values, n = values.astype(np.uint64), len(values)
+    bits = max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1)
+    low = np.zeros((n * bits >> 6) + 2, np.uint64)
+    if bits and n:
+        part = values & np.uint64((1 << bits) - 1)
+        at = np.arange(n, dtype=np.int64) * bits
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        _or_into(low, word, part << shift)
+        over = (at & 63) + bits > 64
+        _or_into(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
+    top = (values >> np.uint64(bits)).astype(np.int64)
+    high = np.zeros(((int(top[-1]) if n else 0) + n + 1 >> 6) + 1, np.uint64)
+    at = top + np.arange(n, dtype=np.int64)
+    _or_into(high, at >> 6, _ONE << (at & 63).astype(np.uint64))
+    return {"n": np.array([n], np.int64), "bits": np.array([bits], np.int64), "low": low, "high": high}
+
+
+class Shelf:
+    """Encoded sequences side by side. A question names its sequence, so many
+    are answered by the same few array operations."""
+
+    def __init__(self, n, bits, low_at, low, high_at, high, ones):
+        """``low_at`` and ``high_at`` (one entry more) are where each sequence's
+        words begin; ``ones`` counts the set bits before each word of ``high``."""
+        self.n, self.bits, self.low_at, self.low = n, bits, low_at, low
+        self.high_at, self.high, self.ones = high_at, high, ones
+        self.zeros = Zeros(ones)
+        self.ones_at = np.concatenate([[0], np.cumsum(n)])
+        self.zeros_at = high_at * 64 - self.ones_at
 
     @staticmethod
-    def build(values: np.ndarray, universe: int) -> "EliasFano":
-        values, n = values.astype(np.uint64), len(values)
-        bits = max(0, (max(universe, 1) // max(n, 1)).bit_length() - 1)
-        low = np.zeros((n * bits >> 6) + 2, np.uint64)
-        if bits and n:
-            part = values & np.uint64((1 << bits) - 1)
-            at = np.arange(n, dtype=np.int64) * bits
-            word, shift = at >> 6, (at & 63).astype(np.uint64)
-            _or_into(low, word, part << shift)
-            over = (at & 63) + bits > 64
-            _or_into(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
-        top = (values >> np.uint64(bits)).astype(np.int64)
-        size = (int(top[-1]) if n else 0) + n + 1
-        high = np.zeros((size >> 6) + 1, np.uint64)
-        at = top + np.arange(n, dtype=np.int64)
-        _or_into(high, at >> 6, _ONE << (at & 63).astype(np.uint64))
-        count = np.bitwise_count(high).astype(np.int64)
-        before = np.concatenate([[0], np.cumsum(count)[:-1]])
-        zeros = np.arange(len(high), dtype=np.int64) * 64 - before
-        return EliasFano(n, bits, low, high, before.astype(np.uint32), zeros.astype(np.uint32))
-
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        if not self.low_bits:
-            return np.zeros(len(i), np.uint64)
-        at = i * self.low_bits
-        word, shift = at >> 6, (at & 63).astype(np.uint64)
+    def of(*sequences: dict[str, np.ndarray]) -> "Shelf":
+        at = lambda name: np.concatenate([[0], np.cumsum([len(x[name]) for x in sequences])]).astype(np.int64)
+        join = lambda name: np.concatenate([x[name] for x in sequences])
+        high = join("high")
+        return Shelf(join("n"), join("bits"), at("low"), join("low"), at("high"), high, set_before([high])[0])
+
+    def _low(self, seq: np.ndarray, i: np.ndarray) -> np.ndarray:
+        bits = self.bits[seq]
+        at = i * bits
+        word, shift = (at >> 6) + self.low_at[seq], (at & 63).astype(np.uint64)
         out = self.low[word] >> shift
-        over = (at & 63) + self.low_bits > 64
-        if over.any():
+        over = np.flatnonzero((at & 63) + bits > 64)
+        if len(over):
             out[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
-        return out & np.uint64((1 << self.low_bits) - 1)
-
-    def _ones_before_zero(self, h: np.ndarray) -> np.ndarray:
-        """How many values have a high part of at most h."""
-        word = np.searchsorted(self.zeros, h.astype(np.uint32), "right") - 1
-        place = _select_in_word(~self.high[word], h - self.zeros[word])
-        return np.minimum(word * 64 + place - h, self.n)
-
-    def access(self, i: np.ndarray) -> np.ndarray:
-        """The values at places ``i``."""
-        word = np.searchsorted(self.ones, i.astype(np.uint32), "right") - 1
-        place = _select_in_word(self.high[word], i - self.ones[word])
-        return (word * 64 + place - i).astype(np.uint64) << np.uint64(self.low_bits) | self._low(i)
-
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """The place of each value, or -1. Quickest if ``values`` ascend."""
+        return out & ((_ONE << bits.astype(np.uint64)) - _ONE)
+
+    def _ones_before_zero(self, seq: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """How many values of a sequence have a high part of at most h."""
+        zero = self.zeros_at[seq] + h
+        word = self.zeros.word(zero)
+        place = _select_in_word(~self.high[word], zero - self.zeros.before(word))
+        return np.minimum(word * 64 + place - zero - self.ones_at[seq], self.n[seq])
+
+    def access(self, seq: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """The i-th value of each sequence asked."""
+        one = self.ones_at[seq] + i
+        word = np.searchsorted(self.ones, one.astype(np.uint64), "right") - 1
+        place = _select_in_word(self.high[word], one - self.ones[word].astype(np.int64))
+        top = (word - self.high_at[seq]) * 64 + place - i
+        return top.astype(np.uint64) << self.bits[seq].astype(np.uint64) | self._low(seq, i)
+
+    def find(self, seq: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The place of each value in its sequence, or -1. Quickest if ascending."""
         out = np.full(len(values), -1, np.int64)
-        if not self.n:
-            return out
         values = values.astype(np.uint64)
-        h = values >> np.uint64(self.low_bits)
-        last = len(self.high) * 64 - self.n - 1  # higher parts hold nothing
-        on = np.flatnonzero(h <= np.uint64(last))
-        h = h[on].astype(np.int64)
-        end = self._ones_before_zero(h)
-        start = np.zeros(len(h), np.int64)
-        some = h > 0
-        start[some] = self._ones_before_zero(h[some] - 1)
-        want = values[on] & np.uint64((1 << self.low_bits) - 1)
+        bits = self.bits[seq].astype(np.uint64)
+        top = values >> bits
+        last = self.zeros_at[seq + 1] - self.zeros_at[seq] - 1  # higher parts hold nothing
+        on = np.flatnonzero((self.n[seq] > 0) & (top <= last.astype(np.uint64)))
+        h, seq = top[on].astype(np.int64), seq[on]
+        hi = self._ones_before_zero(seq, h)
+        lo = np.zeros(len(h), np.int64)
+        some = np.flatnonzero(h > 0)
+        lo[some] = self._ones_before_zero(seq[some], h[some] - 1)
+        end = hi.copy()
+        want = values[on] & ((_ONE << bits[on]) - _ONE)
         # binary search for the successor among values of one high part
-        lo, hi = start, end.copy()
         live = np.flatnonzero(lo < hi)
         while len(live):
             mid = (lo[live] + hi[live]) >> 1
-            less = self._low(mid) < want[live]
+            less = self._low(seq[live], mid) < want[live]
             lo[live[less]] = mid[less] + 1
             hi[live[~less]] = mid[~less]
             live = live[lo[live] < hi[live]]
         at = np.flatnonzero(lo < end)
-        hit = at[self._low(lo[at]) == want[at]]
+        hit = at[self._low(seq[at], lo[at]) == want[at]]
         out[on[hit]] = lo[hit]
         return out
 
-    def arrays(self, name: str) -> dict[str, np.ndarray]:
-        head = np.array([self.n, self.low_bits], np.int64)
-        return {f"{name}.{k}": v for k, v in (("head", head), ("low", self.low), ("high", self.high),
-                                              ("ones", self.ones), ("zeros", self.zeros))}
 
-    @staticmethod
-    def load(arrays: dict[str, np.ndarray], name: str) -> "EliasFano":
-        n, bits = (int(x) for x in arrays[f"{name}.head"])
-        return EliasFano(n, bits, *(arrays[f"{name}.{k}"] for k in ("low", "high", "ones", "zeros")))
+class Zeros:
+    """Clear bits before each word, as 64 per word less the set ones; held only
+    for every ``STEP``-th word, so that the mapped arrays stay compact."""
+
+    STEP = 64
+
+    def __init__(self, ones: np.ndarray):
+        self.ones = ones
+        at = np.arange(0, len(ones), self.STEP)
+        self.sample = at * 64 - ones[::self.STEP].astype(np.int64)
+
+    def before(self, word: np.ndarray) -> np.ndarray:
+        return word * 64 - self.ones[word].astype(np.int64)
+
+    def word(self, zero: np.ndarray) -> np.ndarray:
+        """The last word with at most ``zero`` clear bits before it."""
+        lo = (np.searchsorted(self.sample, zero, "right") - 1) * self.STEP
+        step = self.STEP // 2
+        while step:
+            nxt = np.minimum(lo + step, len(self.ones) - 1)
+            lo = np.where(self.before(nxt) <= zero, nxt, lo)
+            step //= 2
+        return lo
+
+
+def set_before(parts) -> list[np.ndarray]:
+    """For runs of words that follow each other, the set bits before each word."""
+    out, total = [], 0
+    for high in parts:
+        count = np.bitwise_count(high).astype(np.uint64)
+        out.append(np.concatenate([[np.uint64(0)], np.cumsum(count, dtype=np.uint64)[:-1]]) + np.uint64(total))
+        total += int(count.sum())
+    return out
 
 
 def _or_into(words: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
@@ -121,20 +158,25 @@ def _or_into(words: np.ndarray, at: np.ndarray, bits: np.ndarray) -> None:
         words[at[first]] |= np.bitwise_or.reduceat(bits, first)
 
 
-def write_arrays(path: str, arrays: dict[str, np.ndarray]) -> None:
-    """One file: a JSON line of names, types and places, then the arrays."""
+def write_arrays(path: str, arrays: dict) -> None:
+    """One file: a JSON line of names, types and places, then the arrays. An
+    array may come as a list of runs, which are written one after the other."""
     from eventloom.llm.warc import filesystem
     fs, inner = filesystem(path)
+    runs = {name: a if isinstance(a, list) else [a] for name, a in arrays.items()}
     head, at = [], 0
-    for name, a in arrays.items():
-        head.append((name, a.dtype.str, len(a), at))
-        at += -(-a.nbytes // 64) * 64
+    for name, a in runs.items():
+        size = sum(x.nbytes for x in a)
+        head.append((name, a[0].dtype.str, sum(map(len, a)), at))
+        at += -(-size // 64) * 64
     line = json.dumps(head).encode()
     line = line.ljust(-(-(len(line) + 1) // 64) * 64 - 1) + b"\n"
     with fs.open_output_stream(inner, compression=None) as out:
         out.write(line)
-        for a in arrays.values():
-            out.write(a.tobytes().ljust(-(-a.nbytes // 64) * 64, b"\0"))
+        for a in runs.values():
+            for x in a:
+                out.write(np.ascontiguousarray(x).data)
+            out.write(b"\0" * (-sum(x.nbytes for x in a) % 64))
 
 
 def map_arrays(path: str) -> dict[str, np.ndarray]:

@@ -12,11 +12,12 @@ Smoothing is by a Dirichlet prior around the shorter context's estimate:
 P(w|c) = (n(cw) + mu P(w|c')) / (n(c) + mu). Level 1 is (n+1)/(N+V+1). Every
 shard picks its mu from ``MU`` by the leave-one-out likelihood of its own counts.
 
-The trie is cut into shards by the first word's hash, each one file per level
-in the shared folder. Counting: map tasks sum equal n-grams of many texts and
+The trie is cut into shards by the first word's hash. Shards are built one by
+one; ``VOLUME`` of them then share a file per level in the shared folder, whose
+sequences are asked together. Counting: map tasks sum equal n-grams of many texts and
 send one packed block per shard; one task per shard sums those, so a word or
 pair that holds a third of all rows arrives as one entry per block. The number
-of shards grows with the input, which bounds such a task. Shards are written
+of shards grows with the input, which bounds such a task. Files are written
 under names of their own and known only from the committed list, so lost tasks
 leave nothing behind that is read. Scoring maps the files and looks up whole
 slices of documents at once. Nothing is pruned.
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import chunks, input_bytes, materialise, shared_folder, text_buffer
-from eventloom.llm.eliasfano import EliasFano, map_arrays, write_arrays
+from eventloom.llm.eliasfano import Shelf, encode, map_arrays, set_before, write_arrays
 from eventloom.llm.words import NONSPACE, Words, mix
 from eventloom.session import _fs
 
@@ -46,8 +47,10 @@ ORDER = 3
 MU = tuple(2.0 ** i for i in range(-1, 11))
 #: Input file bytes per shard (the least number of shards keeps cores busy).
 SHARD_BYTES, LEAST_SHARDS = 16 << 20, 12
+#: Shards whose sequences share a file.
+VOLUME = 64
 #: Text and tokens that a task handles at once.
-SLICE_BYTES, HELD_TOKENS = 4 << 20, 1_500_000
+SLICE_BYTES, HELD_TOKENS = 3 << 20, 1_000_000
 END = mix(np.array([0x656E64], np.uint64))[0]
 #: One byte holds a log10 of 0 to -LEAST.
 LEAST = 12.0
@@ -106,14 +109,12 @@ def unpack(block: bytes, columns: int) -> tuple[np.ndarray, ...]:
 
 def merged(blocks: list[bytes], columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Keys, summed counts, and a key's other column (equal in all blocks)."""
-    parts = [unpack(b, columns) for b in blocks]
-    keys = np.concatenate([p[0] for p in parts])
+    keys, *cols = (np.concatenate(c) for c in zip(*[unpack(b, columns) for b in blocks]))
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    counts = np.add.reduceat(np.concatenate([p[1] for p in parts])[order].astype(np.int64), first)
-    other = np.concatenate([p[2] for p in parts])[order][first] if columns > 1 else None
-    return keys[first], counts, other
+    counts = np.add.reduceat(cols[0][order], first, dtype=np.int64)
+    return keys[first], counts, cols[1][order[first]] if columns > 1 else None
 
 
 def blocks(shard: np.ndarray, key: np.ndarray, other: np.ndarray | None = None):
@@ -137,34 +138,33 @@ def _rows(found) -> pa.RecordBatch:
 # --- the trie --------------------------------------------------------------
 
 class Trie:
-    """The shard files of each level, opened when first needed."""
+    """The volumes of each level, opened when first needed."""
 
-    def __init__(self, shards: int, levels: list[list[dict]]):
-        self.shards = shards
-        self.files = [{r["shard"]: r for r in level} for level in levels]
+    def __init__(self, shards: int, levels: list[list[dict]], entries: dict[int, int], tokens: int):
+        """``levels``: the volume files; ``entries``: words per shard."""
+        self.shards, self.total = shards, tokens
+        self.files = [{r["volume"]: r["path"] for r in level} for level in levels]
         size = np.zeros(shards + 1, np.int64)
-        for r in levels[0] if levels else []:
-            size[r["shard"] + 1] = r["entries"]
+        for shard, n in entries.items():
+            size[shard + 1] = n
         self.offset = np.cumsum(size)
-        self.total = sum(r["tokens"] for r in levels[0]) if levels else 0
         self.words = int(self.offset[-1])
         if self.words >= 1 << 32:
             raise ValueError("word ids need more than 32 bits")
         self._open: dict[tuple[int, int], dict] = {}
 
-    def part(self, level: int, shard: int) -> dict | None:
-        """Arrays and sequences of one shard's level (from 1)."""
-        key = (level, shard)
+    def part(self, level: int, volume: int) -> dict | None:
+        """Arrays and sequences of one volume of a level (from 1)."""
+        key = (level, volume)
         if key not in self._open:
-            r = self.files[level - 1].get(shard) if level <= len(self.files) else None
-            if r is None:
-                self._open[key] = None
-            else:
-                a = map_arrays(r["path"])
-                a["keys"] = EliasFano.load(a, "keys")
-                if level > 1:
-                    a["begin"] = EliasFano.load(a, "begin")
-                self._open[key] = a | {"reach": r["reach"]}
+            path = self.files[level - 1].get(volume) if level <= len(self.files) else None
+            self._open[key] = None
+            if path is not None:
+                a = map_arrays(path)
+                shelf = lambda name: Shelf(*(np.asarray(a[f"{name}.{x}"]) if x in ("n", "bits", "low_at", "high_at")
+                                             else a[f"{name}.{x}"]
+                                             for x in ("n", "bits", "low_at", "low", "high_at", "high", "ones")))
+                self._open[key] = a | {"keys": shelf("keys")} | ({"begin": shelf("begin")} if level > 1 else {})
         return self._open[key]
 
     def __getstate__(self):
@@ -173,27 +173,31 @@ class Trie:
     def __setstate__(self, state):
         self.__dict__.update(state, _open={})
 
-    def by_shard(self, shard: np.ndarray):
-        """(shard, places) for every shard that occurs; places where it is -1 are left out."""
-        order = np.argsort(shard, kind="stable")
-        order = order[np.searchsorted(shard[order], 0):]
-        for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+    def by_volume(self, shard: np.ndarray):
+        """(volume, places) for every volume that occurs; shards of -1 are left out."""
+        volume = np.where(shard < 0, -1, shard // VOLUME)
+        order = np.argsort(volume, kind="stable")
+        order = order[np.searchsorted(volume[order], 0):]
+        for at in np.split(order, np.flatnonzero(np.diff(volume[order])) + 1):
             if len(at):
-                yield int(shard[at[0]]), at
+                yield int(volume[at[0]]), at
 
     def word_ids(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Id (-1: unknown), count and probability byte of each token."""
         distinct, back = np.unique(h, return_inverse=True)
         ids, counts = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
         byte = np.full(len(distinct), quantise(np.array([1 / (self.total + self.words + 1)]))[0])
-        for s, at in self.by_shard(shard_of(distinct, self.shards)):
-            a = self.part(1, s)
+        shard = shard_of(distinct, self.shards)
+        for v, at in self.by_volume(shard):
+            a = self.part(1, v)
             if a:
-                found = a["keys"].find(distinct[at])
-                ok = found >= 0
-                ids[at[ok]] = found[ok] + self.offset[s]
-                counts[at[ok]] = a["counts"][found[ok]]
-                byte[at[ok]] = a["probability"][found[ok]]
+                seq = shard[at] - v * VOLUME
+                found = a["keys"].find(seq, distinct[at])
+                ok = np.flatnonzero(found >= 0)
+                entry = a["entry_at"][seq[ok]] + found[ok]
+                ids[at[ok]] = found[ok] + self.offset[shard[at[ok]]]
+                counts[at[ok]] = a["counts"][entry]
+                byte[at[ok]] = a["probability"][entry]
         return ids[back], counts[back], byte[back]
 
     def by_id(self, ids: np.ndarray) -> np.ndarray:
@@ -202,26 +206,33 @@ class Trie:
 
     def step(self, level: int, shard: np.ndarray, parent: np.ndarray, child: np.ndarray):
         """Successor search: the place of ``child`` among the successors of the
-        context ``parent`` of its shard. Returns place in the level, place
+        context ``parent`` of its shard. Returns place in the shard's level, place
         relative to the context, probability byte, and the context's back-off byte."""
         place, rank = np.full((2, len(shard)), -1, np.int64)
         byte, back = np.zeros((2, len(shard)), np.uint8)
         known = (parent >= 0) & (shard >= 0)
-        for s, at in self.by_shard(np.where(known, shard, -1)):
-            a = self.part(level, s)
+        for v, at in self.by_volume(np.where(known, shard, -1)):
+            a = self.part(level, v)
             if not a:
                 continue
-            back[at] = a["backoff"][parent[at]]
-            at = at[(child[at] >= 0) & (child[at] < a["reach"])]
-            key = parent[at].astype(np.uint64) * np.uint64(a["reach"]) + child[at].astype(np.uint64)
-            distinct, inverse = np.unique(key, return_inverse=True)
-            found = a["keys"].find(distinct)
+            reach, context_at = int(a["reach"][0]), np.asarray(a["context_at"])
+            context = context_at[shard[at] - v * VOLUME] + parent[at]
+            back[at] = a["backoff"][context]
+            on = np.flatnonzero((child[at] >= 0) & (child[at] < reach))
+            at, context = at[on], context[on].astype(np.uint64)
+            if int(context_at[-1]) * reach < 1 << 64:  # equal questions are asked once
+                one, inverse = np.unique(context * np.uint64(reach) + child[at].astype(np.uint64), return_inverse=True)
+                context, succ = (one // np.uint64(reach)).astype(np.int64), one % np.uint64(reach)
+            else:
+                context, succ, inverse = context.astype(np.int64), child[at].astype(np.uint64), np.arange(len(at))
+            seq = np.searchsorted(context_at, context, "right") - 1
+            local = context - context_at[seq]
+            found = a["keys"].find(seq, local.astype(np.uint64) * np.uint64(reach) + succ)
             ok = np.flatnonzero(found >= 0)
-            begin = a["begin"].access((distinct[ok] // np.uint64(a["reach"])).astype(np.int64)).astype(np.int64)
-            relative = np.full(len(distinct), -1, np.int64)
-            relative[ok] = found[ok] - begin
-            bytes_ = np.zeros(len(distinct), np.uint8)
-            bytes_[ok] = a["probability"][found[ok]]
+            relative = np.full(len(found), -1, np.int64)
+            relative[ok] = found[ok] - a["begin"].access(seq[ok], local[ok]).astype(np.int64)
+            bytes_ = np.zeros(len(found), np.uint8)
+            bytes_[ok] = a["probability"][a["entry_at"][seq[ok]] + found[ok]]
             place[at], rank[at], byte[at] = found[inverse], relative[inverse], bytes_[inverse]
         return place, rank, byte, back
 
@@ -300,7 +311,7 @@ def count_grams(docs: DataFrame, shared, level: int) -> DataFrame:
     return docs.mapInArrow(run, "shard int, block binary")
 
 
-FILES = "shard int, path string, entries long, tokens long, reach long, widest long"
+FILES = "shard int, path string, entries long, tokens long, widest long"
 
 
 def _listed(counted: DataFrame, build, name: str) -> list[dict]:
@@ -309,47 +320,77 @@ def _listed(counted: DataFrame, build, name: str) -> list[dict]:
     return [r.asDict() for r in done.orderBy("shard").collect()]
 
 
-def _file(folder: str, level: int, shard: int) -> str:
-    return f"{folder}/level{level}-{shard}-{uuid.uuid4().hex[:12]}.trie"
+def _file(folder: str, level: int, part: str) -> str:
+    return f"{folder}/level{level}-{part}-{uuid.uuid4().hex[:12]}.trie"
+
+
+def _sequence(name: str, values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
+    return {f"{name}.{k}": a for k, a in encode(values, universe).items()}
 
 
 def build_words(counted: DataFrame, folder: str) -> list[dict]:
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
         keys, counts, _ = merged(rows["block"].tolist(), 1)
-        path = _file(folder, 1, shard)
-        write_arrays(path, EliasFano.build(keys, 1 << 64).arrays("keys") | {"counts": counts.astype(np.uint32)})
-        return pd.DataFrame([(shard, path, len(keys), int(counts.sum()), 0, 0)],
-                            columns=["shard", "path", "entries", "tokens", "reach", "widest"])
+        path = _file(folder, 1, f"s{shard}")
+        write_arrays(path, _sequence("keys", keys, 1 << 64) | {"counts": counts.astype(np.uint32)})
+        return pd.DataFrame([(shard, path, len(keys), int(counts.sum()), 0)],
+                            columns=["shard", "path", "entries", "tokens", "widest"])
 
     return _listed(counted, build, "lm-words")
 
 
-def price_words(spark, files: list[dict], folder: str) -> list[dict]:
-    """Add probability bytes to level 1, now that N and V are known."""
+def bind(spark, files: list[dict], folder: str, level: int, reach: int) -> list[dict]:
+    """Put VOLUME shards' arrays of a level end to end in one file (copied run
+    by run, so a task holds little of them), and drop the shards' own files.
+    Level 1 gets its probability bytes here, now that N and V are known."""
     total, words = sum(f["tokens"] for f in files), sum(f["entries"] for f in files)
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        r = rows.iloc[0]
-        a = map_arrays(r["path"])
-        path = _file(folder, 1, int(r["shard"]))
-        p = (a["counts"].astype(float) + 1) / (total + words + 1)
-        write_arrays(path, a | {"probability": quantise(p)})
-        return rows.assign(path=path)
-
-    return _listed(spark.createDataFrame([tuple(f.values()) for f in files], FILES), build, "lm-priced")
-
-
-def smooth(counts: np.ndarray, totals: np.ndarray, lower: np.ndarray) -> float:
-    """The mu of MU under which the counts, each left out once, are likeliest."""
-    best = (-np.inf, MU[0])
-    for mu in MU:
+        volume = int(rows["shard"].iloc[0]) // VOLUME
+        shards = {int(r.shard) - volume * VOLUME: map_arrays(r.path) for r in rows.itertuples()}
+        none = encode(np.empty(0, np.uint64), 1)
+        runs = lambda name, empty: [shards[i][name] if i in shards else empty for i in range(VOLUME)]
+        ends = lambda parts: np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+        out: dict = {}
+        for seq in ("keys", "begin") if level > 1 else ("keys",):
+            part = {k: runs(f"{seq}.{k}", none[k]) for k in none}
+            out |= {f"{seq}.{k}": np.concatenate(part[k]) for k in ("n", "bits")}
+            out |= {f"{seq}.low_at": ends(part["low"]), f"{seq}.low": part["low"], f"{seq}.high_at": ends(part["high"]),
+                    f"{seq}.high": part["high"], f"{seq}.ones": set_before(part["high"])}
+        if level == 1:
+            out["counts"] = runs("counts", np.empty(0, np.uint32))
+            out["probability"] = [quantise((c.astype(float) + 1) / (total + words + 1)) for c in out["counts"]]
+        else:
+            out["probability"] = runs("probability", np.empty(0, np.uint8))
+            out["backoff"] = runs("backoff", np.empty(0, np.uint8))
+            out["context_at"], out["reach"] = ends(out["backoff"]), np.array([reach], np.int64)
+        out["entry_at"] = ends(out["probability"])
+        path = _file(folder, level, f"v{volume}")
+        write_arrays(path, out)
+        return pd.DataFrame([(volume, path)], columns=["volume", "path"])
+
+    listed = spark.createDataFrame([tuple(f[c.split()[0]] for c in FILES.split(", ")) for f in files], FILES)
+    done = materialise(listed.groupBy((F.col("shard") / VOLUME).cast("int").alias("volume"))
+                       .applyInPandas(build, "volume int, path string"), f"lm-volumes{level}")
+    bound = [r.asDict() for r in done.collect()]
+    for f in files:
+        path, fs = _fs(spark, f["path"])
+        fs.delete(path, False)
+    return bound
+
+
+def smooth(counts: np.ndarray, totals: np.ndarray, lower: np.ndarray, grid: tuple = MU) -> float:
+    """The mu of ``grid`` under which the counts, each left out once, are likeliest."""
+    best = (-np.inf, grid[0])
+    for mu in grid:
         p = (counts - 1 + mu * lower) / (totals - 1 + mu)
         best = max(best, (float((counts * np.log(p)).sum()), mu))
     return best[1]
 
 
-def build_grams(counted: DataFrame, folder: str, level: int, reach: int, parents: dict[int, int]) -> list[dict]:
+def build_grams(counted: DataFrame, folder: str, level: int, reach: int, parents: dict[int, int],
+                grid: tuple) -> list[dict]:
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
         keys, counts, lower = merged(rows["block"].tolist(), 2)
@@ -357,23 +398,22 @@ def build_grams(counted: DataFrame, folder: str, level: int, reach: int, parents
         n = parents[shard]
         totals = np.bincount(context, weights=counts, minlength=n)
         low = 10.0 ** LOG10[lower]
-        mu = smooth(counts, totals[context], low)
+        mu = smooth(counts, totals[context], low, grid)
         p = (counts + mu * low) / (totals[context] + mu)
         sizes = np.bincount(context, minlength=n)
         begin = np.concatenate([[0], np.cumsum(sizes)])
         child = keys & np.uint64(0xFFFFFFFF)
         sequence = context.astype(np.uint64) * np.uint64(reach) + child
-        path = _file(folder, level, shard)
-        write_arrays(path, EliasFano.build(sequence, n * reach).arrays("keys")
-                     | EliasFano.build(begin, len(keys) + 1).arrays("begin")
+        path = _file(folder, level, f"s{shard}")
+        write_arrays(path, _sequence("keys", sequence, n * reach) | _sequence("begin", begin, len(keys) + 1)
                      | {"probability": quantise(p), "backoff": quantise(mu / (totals + mu))})
-        return pd.DataFrame([(shard, path, len(keys), int(counts.sum()), reach, int(sizes.max()))],
-                            columns=["shard", "path", "entries", "tokens", "reach", "widest"])
+        return pd.DataFrame([(shard, path, len(keys), int(counts.sum()), int(sizes.max()))],
+                            columns=["shard", "path", "entries", "tokens", "widest"])
 
     return _listed(counted, build, f"lm-level{level}")
 
 
-def train(docs: DataFrame, order: int = ORDER, least_shards: int = LEAST_SHARDS) -> Trie:
+def train(docs: DataFrame, order: int = ORDER, least_shards: int = LEAST_SHARDS, grid: tuple = MU) -> Trie:
     """The trie of all n-grams up to ``order`` words of ``docs.text``."""
     spark = docs.sparkSession
     shards = max(least_shards, input_bytes(docs) // SHARD_BYTES)
@@ -382,14 +422,15 @@ def train(docs: DataFrame, order: int = ORDER, least_shards: int = LEAST_SHARDS)
     fs.mkdirs(path)
     texts = docs.select("text")
     files = build_words(count_words(texts, shards), folder)
-    levels = [price_words(spark, files, folder)] if files else []
+    entries, tokens = {f["shard"]: f["entries"] for f in files}, sum(f["tokens"] for f in files)
+    levels = [bind(spark, files, folder, 1, 0)] if files else []
     for level in range(2, order + 1 if files else 0):
-        shared = spark.sparkContext.broadcast(Trie(shards, levels))
-        last = levels[-1]
-        reach = sum(f["entries"] for f in last) if level == 2 else max([f["widest"] for f in last], default=1)
-        levels.append(build_grams(count_grams(texts, shared, level), folder, level, max(reach, 1),
-                                  {f["shard"]: f["entries"] for f in last}))
-    return Trie(shards, levels)
+        shared = spark.sparkContext.broadcast(Trie(shards, levels, entries, tokens))
+        reach = max(1, sum(entries.values()) if level == 2 else max([f["widest"] for f in files], default=1))
+        parents = {f["shard"]: f["entries"] for f in files}
+        files = build_grams(count_grams(texts, shared, level), folder, level, reach, parents, grid)
+        levels.append(bind(spark, files, folder, level, reach) if files else [])
+    return Trie(shards, levels, entries, tokens)
 
 
 def score(docs: DataFrame, trie: Trie, text: str = "text") -> DataFrame:
