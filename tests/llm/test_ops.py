@@ -140,7 +140,16 @@ def test_trie_scores_equal_plain_dictionaries(spark, order):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9, abs=1e-9)
 
 
-def test_lm_report_is_independent_of_shards_for_counts_and_helps(spark):
+def test_trie_of_many_shards_and_volumes(spark):
+    """With one mu for all shards, the cut into shards and volumes changes nothing."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    texts = spark.createDataFrame([(r.text,) for r in docs.collect()], "text string")
+    one, many = (sorted((r.text, round(r.score, 6)) for r in lm.score(
+        texts, lm.train(texts, 3, least_shards=n, grid=(4.0,))).collect()) for n in (1, 150))
+    assert one == many
+
+
+def test_lm_report_holds_out_and_beats_the_base(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op2_lm"](spark, SMALL).collect()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 7 == 2) for i, r in got.items())
     assert sum(r.score for r in got.values()) > sum(r.base_score for r in got.values())
@@ -157,15 +166,22 @@ def test_lm_edges(spark):
 
 
 def test_elias_fano_finds_what_it_holds():
-    from eventloom.llm.eliasfano import EliasFano
+    from eventloom.llm.eliasfano import Shelf, encode
     r = np.random.default_rng(5)
-    for universe, n in ((1 << 64, 700), (50, 400), (10 ** 9, 1), (1 << 40, 3000), (7, 0)):
-        v = np.sort(r.integers(0, min(universe, 1 << 63), n).astype(np.uint64))
-        e = EliasFano.build(v, universe)
-        assert (e.access(np.arange(n)) == v).all()
+    held = [(u, np.sort(r.integers(0, min(u, 1 << 63), n).astype(np.uint64)))
+            for u, n in ((1 << 64, 700), (50, 400), (7, 0), (10 ** 9, 1), (1 << 40, 3000), (10 ** 6, 9))]
+    shelf = Shelf.of(*(encode(v, u) for u, v in held))
+    asks, seqs, want = [], [], []
+    for k, (_, v) in enumerate(held):
+        assert (shelf.access(np.full(len(v), k), np.arange(len(v))) == v).all()
         ask = np.concatenate([v, r.integers(0, 1 << 62, 100).astype(np.uint64), np.array([0, 2 ** 64 - 1], np.uint64)])
         at, known = np.searchsorted(v, ask), set(v.tolist())
-        assert e.find(ask).tolist() == [int(i) if int(x) in known else -1 for i, x in zip(at, ask)]
+        asks.append(ask)
+        seqs.append(np.full(len(ask), k))
+        want += [int(i) if int(x) in known else -1 for i, x in zip(at, ask)]
+    mixed = r.permutation(len(want))
+    got = shelf.find(np.concatenate(seqs)[mixed], np.concatenate(asks)[mixed])
+    assert got.tolist() == [want[i] for i in mixed]
 
 
 # --- 3: PII ------------------------------------------------------------------
