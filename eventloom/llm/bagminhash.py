@@ -15,10 +15,13 @@ Texts with the same words in the same order are one node, collapsed before
 anything else. Signatures are cut into bands; nodes meet in buckets of equal
 bands. Each node of a bucket is paired with the bucket's hub (its smallest node
 by hash), pairs are verified exactly on their shingle multisets, and verified
-pairs joined to classes. Then every pair of a bucket whose two nodes still lie
-in different classes is verified too, so no link that a bucket holds is lost,
-while pairs inside a class, which can't change it, are never listed.
-A pair whose sizes differ too much to reach the threshold is left out at once.
+pairs joined to classes. Buckets that then still hold several classes go on,
+with a count of how many elements each node shares with any other of them: a
+pair that can't reach the threshold with those, or by its sizes, is left out at
+once. They get a second hub per bucket, and at last every other pair of a
+bucket whose two nodes still lie in different classes is verified. So no link
+that a bucket holds is lost, while pairs inside a class, which can't change it,
+are never listed.
 
 Null and empty texts have no shingles and are near nothing: each id is a class
 of its own. Rows with a null id stand under a hash of their text. Repeated rows
@@ -36,7 +39,10 @@ from eventloom.llm.common import bitmap, in_bitmap, materialise, per_chunk, row_
 from eventloom.llm.words import ALNUM, Words, gram_hashes, mix, within
 
 SHINGLE, THRESHOLD = 5, 0.8
-COMPONENTS, ROWS = 128, 4
+#: Texts meet in a band with the probability s^ROWS: of pairs at the threshold
+#: 0.06 % share none of the bands, while texts that only share a passage (0.3)
+#: meet in 0.3 % of pairs, so that a frequent passage fills no buckets.
+COMPONENTS, ROWS = 320, 8
 BANDS = COMPONENTS // ROWS
 _GOLD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 NEVER = np.iinfo(np.int64).max
@@ -215,6 +221,57 @@ def classes(edges: DataFrame, name: str) -> DataFrame:
         state = now
 
 
+def _fits(a: str, b: str):
+    """Whether sizes allow the threshold."""
+    return F.least(a, b) >= THRESHOLD * F.greatest(a, b)
+
+
+def _may_share(n_a: str, n_b: str, s_a: str, s_b: str):
+    """Whether two multisets can overlap enough: near ones share at least
+    t / (1 + t) of their sizes' sum, and none shares more than its shareable part."""
+    return F.least(s_a, s_b) >= THRESHOLD / (1 + THRESHOLD) * (F.col(n_a) + F.col(n_b)) - 1e-6
+
+
+def _hubs(place: DataFrame, order) -> DataFrame:
+    """Each bucket of two or more nodes with its first node by ``order``."""
+    kept = [c for c in ("node", "n", "s", "class") if c in place.columns]
+    return (place.groupBy("bucket")
+            .agg(F.min(F.struct(order.alias("h"), *kept)).alias("hub"), F.count("*").alias("size"))
+            .filter("size > 1")
+            .select("bucket", *[F.col(f"hub.{c}").alias("hub" if c == "node" else f"hub_{c}") for c in kept]))
+
+
+def _to_hubs(joined: DataFrame) -> DataFrame:
+    """(a, b), smaller first: each node with the hubs of its buckets."""
+    return (joined.filter((F.col("hub") != F.col("node")) & _fits("n", "hub_n") & _may_share("n", "hub_n", "s", "hub_s"))
+            .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
+
+
+def _mixed(shared: DataFrame, label: DataFrame, name: str) -> DataFrame:
+    """(bucket, node, n, class) of the buckets that hold several classes."""
+    held = (shared.join(label, "node", "left")
+            .withColumn("class", F.coalesce("class", "node")))
+    several = held.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y")
+    return materialise(held.join(several.select("bucket"), "bucket"), name)
+
+
+def shareable(bags: DataFrame) -> DataFrame:
+    """(node, s): how many of a node's elements occur in another of ``bags``."""
+    def elements(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                bag = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(bag), batch.column(0)[i].as_py(), np.int64)), pa.array(bag)],
+                    names=["node", "element"])
+
+    own = (bags.mapInArrow(elements, "node long, element long")
+           .groupBy("element").agg(F.count("*").alias("texts"), F.min("node").alias("node"))
+           .filter("texts = 1").groupBy("node").agg(F.count("*").alias("own")))
+    size = (F.octet_length("bag") / 8).cast("long")
+    return bags.join(own, "node", "left").select("node", (size - F.coalesce("own", F.lit(0))).alias("s"))
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, key, node, class_id, n): one row per document. ``node`` is the
     smallest id of equal texts, ``class_id`` that of the near-duplicate class."""
@@ -223,35 +280,35 @@ def near_classes(docs: DataFrame) -> DataFrame:
     nodes = materialise(
         signed.filter("n > 0").groupBy("k1", "k2")
         .agg(F.min("key").alias("node"), F.max("n").alias("n"), F.first("bands").alias("bands")), "nodes")
-    place = nodes.select("n", "node", F.explode("bands").alias("bucket"))
-    hubs = (place.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node"), F.col("n"))).alias("hub"),
-                                        F.count("*").alias("size")).filter("size > 1")
-            .select("bucket", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")))
-    shared = materialise(place.join(hubs, "bucket"), "buckets")  # buckets of two or more
-
-    def fits(a: str, b: str):
-        return F.least(a, b) >= THRESHOLD * F.greatest(a, b)
-
-    star = materialise(shared.filter((F.col("hub") != F.col("node")) & fits("n", "hub_n"))
-                       .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    touched = shared.select("node").distinct()
-    bags = multisets(docs, touched)
-    first = materialise(verified(star, bags), "first-links")
-    label = classes(first, "first-classes")
-
-    # buckets that still hold several classes: the pairs across them
-    held = shared.select("bucket", "node", "n").join(label, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    mixed = held.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y").select("bucket")
-    held = materialise(held.join(mixed, "bucket"), "mixed")
-    left = held.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("class").alias("ac"))
-    right = held.select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("class").alias("bc"))
-    across = (left.join(right, "bucket").filter((F.col("ac") != F.col("bc")) & (F.col("a") < F.col("b")) & fits("an", "bn"))
-              .select("a", "b").distinct())
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = materialise(across.join(done, ["a", "b"], "left_anti"), "across")
-    more = across.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    second = verified(across, multisets(docs, more))
-    label = classes(first.union(second), "classes")
+    # s: how much of a node others may share; all of it, until that is counted
+    place = nodes.select("n", F.col("n").alias("s"), "node", F.explode("bands").alias("bucket"))
+    shared = materialise(place.join(_hubs(place, F.xxhash64("node")), "bucket"), "buckets")
+    star = materialise(_to_hubs(shared), "star")
+    first = materialise(verified(star, multisets(docs, shared.select("node").distinct())), "links1")
+
+    mixed = _mixed(shared.select("bucket", "node", "n"), classes(first, "classes1"), "mixed1")
+    bags = materialise(multisets(docs, mixed.select("node").distinct()), "mixed-bags")
+    able = materialise(shareable(bags), "shareable")
+    mixed = mixed.join(able, "node").filter(F.col("s") >= THRESHOLD * F.col("n"))
+    # other hubs: an order of each bucket's own, so that a node meets many
+    hubs = _hubs(mixed, F.xxhash64("node", "bucket"))
+    again = _to_hubs(mixed.join(hubs, "bucket").filter(F.col("class") != F.col("hub_class"))).join(star, ["a", "b"], "left_anti")
+    again = materialise(again, "star2")
+    second = materialise(first.union(verified(again, bags)), "links2")
+
+    mixed = _mixed(mixed.drop("class"), classes(second, "classes2"), "mixed2")
+    # a pair that shares several buckets is listed in the first of them; a node is in BANDS buckets at most
+    own = mixed.groupBy("node").agg(F.collect_set("bucket").alias("in"))
+    mixed = mixed.join(own, "node")
+    left, right = (mixed.select("bucket", F.col("node").alias(x), *[F.col(c).alias(x + c) for c in ("n", "s", "class", "in")])
+                   for x in "ab")
+    across = (left.join(right, "bucket")
+              .filter((F.col("aclass") != F.col("bclass")) & (F.col("a") < F.col("b")) & _fits("an", "bn")
+                      & _may_share("an", "bn", "as", "bs")
+                      & (F.array_min(F.array_intersect("ain", "bin")) == F.col("bucket")))
+              .select("a", "b").distinct().join(star.union(again), ["a", "b"], "left_anti"))
+    across = materialise(across, "across")
+    label = classes(second.union(verified(across, bags)), "classes")
     return (signed.select("doc_id", "key", "k1", "k2", "n")
             .join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left")
             .withColumn("node", F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("key")))
