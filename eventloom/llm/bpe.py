@@ -53,7 +53,7 @@ def pretokens(text: str) -> list[str]:
 
 #: Pretokens remembered in each of a worker's two cache generations, and the
 #: longest that is remembered; memory only, results do not depend on them.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 100_000, 48
 
 
 def byte_letters() -> dict[str, int]:
