@@ -3,15 +3,16 @@
 Each tree hashes a vector to a string of 64 bits, the signs of its products
 with random directions, and is the sorted array of these strings. A query
 descends in every tree to the entries that share its longest prefix, then all
-trees ascend together, one prefix length at a time, until the entries under
-the prefixes number ``REACH`` times the rows. Those entries are scored exactly,
-in double precision.
+trees ascend together, one prefix length at a time, until the different rows
+under the prefixes are ``REACH`` of all rows (and twice the neighbours wanted
+at least). Those rows are scored exactly, in double precision. A segment of at
+most ``SMALL`` rows is scored whole: that costs no more than hashing a query.
 
 Inner product becomes angle by one more coordinate, which pads every vector to
 the largest length in the table.
 
-The index is cut into segments of ``SEGMENT`` distinct vectors, so that each
-tree's arrays stay small; every segment holds a forest over its own rows, and
+The index is cut, per vector length, into segments of ``SEGMENT`` distinct
+vectors, so that each tree's arrays stay small; every segment holds a forest over its own rows, and
 the stated query set (rows whose id is divisible by ``EVERY``) is put to every
 segment in groups of ``GROUP``. Per query and segment at most TOP + 1 rows
 leave a task. All rows are indexed; directions are fixed by a seed.
@@ -37,6 +38,8 @@ TOP, EVERY = 20, 20
 TREES, BITS, REACH = 64, 64, 0.9
 SEGMENT, GROUP = 8192, 1024
 SEED = 20
+#: Rows of a segment that is scored whole; a query's strings take as many products.
+SMALL = TREES * BITS
 #: Prefix lengths that the ascent visits.
 DEPTHS = (64, 48, 32, 24, 20, *range(18, -1, -1))
 
@@ -59,7 +62,10 @@ class Forest:
     """Sorted hash strings of one segment, per tree."""
 
     def __init__(self, x: np.ndarray, longest: float):
-        self.x, self.planes = x, directions(x.shape[1])
+        self.x, self.order = x, None
+        if len(x) <= SMALL:
+            return
+        self.planes = directions(x.shape[1])
         pad = np.sqrt(np.maximum(longest ** 2 - (x * x).sum(1), 0.0))
         codes = strings(np.concatenate([x, pad[:, None]], 1) / longest, self.planes)
         self.order = np.argsort(codes, axis=0, kind="stable").astype(np.int32)
@@ -73,27 +79,36 @@ class Forest:
         hi = np.stack([np.searchsorted(self.codes[:, t], high[:, t], "right") for t in range(TREES)], 1)
         return lo, hi
 
-    def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, row, score) of the k best candidates of each query."""
+    def candidates(self, queries: np.ndarray, k: int):
+        """The rows to score of each query, in turn."""
         n, m = len(self.x), len(queries)
+        if self.order is None:
+            yield from (np.arange(n) for _ in range(m))
+            return
         unit = queries / np.sqrt((queries * queries).sum(1))[:, None]
         q = strings(np.concatenate([unit, np.zeros((m, 1))], 1), self.planes)
-        lo, hi = np.zeros((2, m, TREES), np.int64)
+        order = [np.ascontiguousarray(self.order[:, t]) for t in range(TREES)]
+        need = min(n, max(REACH * n, 2 * k))
+        found: list[np.ndarray | None] = [None] * m
         waiting = np.arange(m)
-        need = max(REACH * n, 2 * k)
         for depth in DEPTHS:
             a, b = self.ranges(q[waiting], depth)
-            lo[waiting], hi[waiting] = a, b
-            waiting = waiting[(b - a).sum(1) < need]
+            # the trees repeat rows, so only as many entries can be as many rows
+            for at in np.flatnonzero((b - a).sum(1) >= need).tolist():
+                seen = np.zeros(n, bool)
+                for t, lo, hi in zip(range(TREES), a[at].tolist(), b[at].tolist()):
+                    seen[order[t][lo:hi]] = True
+                if np.count_nonzero(seen) >= need:
+                    found[waiting[at]] = np.flatnonzero(seen)
+            waiting = waiting[[found[i] is None for i in waiting]]
             if not len(waiting):
                 break
+        yield from found
+
+    def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, row, score) of the k best candidates of each query."""
         out = ([], [], [])
-        order = [np.ascontiguousarray(self.order[:, t]) for t in range(TREES)]
-        for i in range(m):
-            seen = np.zeros(n, bool)
-            for t, a, b in zip(range(TREES), lo[i].tolist(), hi[i].tolist()):
-                seen[order[t][a:b]] = True
-            rows = np.flatnonzero(seen)
+        for i, rows in enumerate(self.candidates(queries, k)):
             near = self.x[rows] @ queries[i]
             if len(rows) > 2 * k:  # a few more than k, as products in blocks round differently
                 some = np.argpartition(-near, 2 * k)[:2 * k]
@@ -117,13 +132,16 @@ def usable(vectors: DataFrame) -> DataFrame:
             .withColumns({"k1": F.xxhash64(v), "k2": F.xxhash64(F.lit(1), v), "d": F.size(v)}))
 
 
-def _blocks(vectors: DataFrame, n: int, size: int, what: str) -> DataFrame:
+def _blocks(vectors: DataFrame, size: int, what: str) -> tuple[DataFrame, DataFrame]:
     """One row per block of about ``size`` vectors of one length, however the
-    rows are partitioned: keys and components side by side."""
-    blocks = max(1, -(-n // size))
-    return (vectors.withColumn(what, F.pmod(F.xxhash64("k1"), F.lit(blocks)).cast("int"))
-            .groupBy(what, "d").agg(F.collect_list(F.struct("k1", "k2", "v")).alias("x"))
-            .select(what, "d", *[F.col(f"x.{c}").alias(f"{what}_{c}") for c in ("k1", "k2", "v")]))
+    rows are partitioned: keys and components side by side. And the number of
+    blocks of each length (few rows: so many lengths take the square in components)."""
+    blocks = vectors.groupBy("d").agg(F.ceil(F.count("*") / size).alias(f"{what}s"))
+    cut = (vectors.join(F.broadcast(blocks), "d")
+           .withColumn(what, F.pmod(F.xxhash64("k1"), F.col(f"{what}s")).cast("int"))
+           .groupBy(what, "d").agg(F.collect_list(F.struct("k1", "k2", "v")).alias("x"))
+           .select(what, "d", *[F.col(f"x.{c}").alias(f"{what}_{c}") for c in ("k1", "k2", "v")]))
+    return cut, blocks
 
 
 def _cell(batch: pa.RecordBatch, i: int, name: str) -> np.ndarray:
@@ -147,14 +165,13 @@ def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
                                  F.first("d").alias("d")), "distinct-vectors")
     asked = rows.filter(F.col("vec_id") % every == 0)
     queries = asked.groupBy("k1", "k2").agg(F.first("v").alias("v"), F.first("d").alias("d"))
-    n_rows, n_queries = distinct.count(), queries.count()
-
-    segments = _blocks(distinct.select("k1", "k2", "v", "d"), n_rows, SEGMENT, "segment")
-    groups = _blocks(queries, n_queries, GROUP, "slot")
-    # the query set against all rows, in blocks: each segment goes to every slot
-    slots = F.sequence(F.lit(0), F.lit(max(1, -(-n_queries // GROUP)) - 1))
-    met = (segments.withColumn("slot", F.explode(slots)).join(groups, ["slot", "d"])
-           .repartition(F.col("segment"), F.col("slot")))
+
+    segments, _ = _blocks(distinct.select("k1", "k2", "v", "d"), SEGMENT, "segment")
+    groups, slots = _blocks(queries, GROUP, "slot")
+    # the query set against all rows, in blocks: each segment goes to every slot of its length
+    every_slot = F.explode(F.sequence(F.lit(0), (F.col("slots") - 1).cast("int")))
+    met = (segments.join(F.broadcast(slots), "d").withColumn("slot", every_slot).drop("slots")
+           .join(groups, ["slot", "d"]).repartition(F.col("segment"), F.col("slot"), F.col("d")))
 
     def search(batches):
         for batch in batches:

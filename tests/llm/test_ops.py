@@ -279,6 +279,46 @@ def test_forest_edges(spark):
     assert rows(forest.neighbours(df.filter("false"))) == []
 
 
+def all_neighbours(vectors, top=20, every=20):
+    """The nearest of every query among all vectors of its length, ties by id."""
+    out = []
+    for q in (i for i in vectors if i % every == 0):
+        scores = [(-float((np.array(v) * np.array(vectors[q])).sum()), i) for i, v in vectors.items()
+                  if i != q and len(v) == len(vectors[q])]
+        out += [(q, r + 1, i, pytest.approx(-s, abs=1e-12)) for r, (s, i) in enumerate(sorted(scores)[:top])]
+    return sorted(out, key=lambda x: x[:2])
+
+
+def units(seed, n, d, near=0):
+    """Unit vectors, of which the first ``near`` hardly differ."""
+    x = np.random.default_rng(seed).standard_normal((n, d))
+    x[:near] = x[0] + 1e-9 * x[:near]
+    return (x / np.sqrt((x * x).sum(1))[:, None]).tolist()
+
+
+def test_small_tables_and_rare_lengths_lose_no_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(forest, "SEGMENT", 64)  # the many vectors of one length must not cut up the few of another
+    vectors = dict(enumerate(units(1, 40, 8) + units(2, 300, 5)))
+    df = spark.createDataFrame([(i, v) for i, v in vectors.items()], "vec_id long, embedding array<double>")
+    few = {i: v for i, v in vectors.items() if i < 40}
+    for these, table in ((few, df.filter("vec_id < 40")), (vectors, df)):
+        got = sorted(rows(forest.neighbours(table)), key=lambda x: x[:2])
+        assert got == all_neighbours(these)
+    segments, _ = forest._blocks(forest.usable(df), 64, "segment")
+    assert [r.n for r in segments.filter("d = 8").selectExpr("size(segment_k1) n").collect()] == [40]
+
+
+@pytest.mark.parametrize("small", [0, 4096])
+def test_near_copies_do_not_end_the_ascent(monkeypatch, small):
+    monkeypatch.setattr(forest, "SMALL", small, raising=False)
+    x = np.array(units(3, 900, 16, near=15))
+    q, found, _ = forest.Forest(x, 1.0).search(x[:3], 21)
+    assert np.bincount(q).tolist() == [21] * 3
+    for i in range(3):
+        want = np.argsort(-(x @ x[i]))[:21]
+        assert len(set(want) & set(found[q == i])) >= 19
+
+
 # --- 5 and 7: classifiers ----------------------------------------------------
 
 def auc(scored, truth):
