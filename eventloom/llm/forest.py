@@ -21,7 +21,7 @@ Equal vectors are indexed once, with their TOP + 1 smallest ids: no query can
 report more of them. Vectors that are null, zero, or hold null or non-finite
 components take no part, nor do rows without an id; of rows that repeat an id
 the smallest vector counts. Queries meet vectors of their own length only.
-Ties go to the smaller id. Empty tables give no rows; other columns are not read.
+Ties go to the smaller id, also where a segment's best are cut. Empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -61,8 +61,10 @@ def strings(x: np.ndarray, planes: np.ndarray) -> np.ndarray:
 class Forest:
     """Sorted hash strings of one segment, per tree."""
 
-    def __init__(self, x: np.ndarray, longest: float):
+    def __init__(self, x: np.ndarray, longest: float, ids: np.ndarray | None = None):
+        """``ids``: what decides between rows that score alike (else their place)."""
         self.x, self.order = x, None
+        self.ids = np.arange(len(x)) if ids is None else ids
         if len(x) <= SMALL:
             return
         self.planes = directions(x.shape[1])
@@ -108,14 +110,15 @@ class Forest:
     def search(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, row, score) of the k best candidates of each query."""
         out = ([], [], [])
+        length = lambda x: np.sqrt((x * x).sum(1))
+        slack = 4 * queries.shape[1] * np.finfo(float).eps * length(self.x).max() * length(queries)
         for i, rows in enumerate(self.candidates(queries, k)):
             near = self.x[rows] @ queries[i]
-            if len(rows) > 2 * k:  # a few more than k, as products in blocks round differently
-                some = np.argpartition(-near, 2 * k)[:2 * k]
-                rows = rows[some]
+            if len(rows) > k:  # all that tie with the last, as products in blocks round differently
+                rows = rows[near >= np.partition(near, -k)[-k] - slack[i]]
             # summed in one fixed order, so that equal vectors score alike everywhere
             near = (self.x[rows] * queries[i]).sum(1)
-            best = np.lexsort((rows, -near))[:k]
+            best = np.lexsort((self.ids[rows], -near))[:k]
             out[0].append(np.full(len(best), i))
             out[1].append(rows[best])
             out[2].append(near[best])
@@ -134,13 +137,13 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def _blocks(vectors: DataFrame, size: int, what: str) -> tuple[DataFrame, DataFrame]:
     """One row per block of about ``size`` vectors of one length, however the
-    rows are partitioned: keys and components side by side. And the number of
+    rows are partitioned: keys, components and smallest ids side by side. And the number of
     blocks of each length (few rows: so many lengths take the square in components)."""
     blocks = vectors.groupBy("d").agg(F.ceil(F.count("*") / size).alias(f"{what}s"))
     cut = (vectors.join(F.broadcast(blocks), "d")
            .withColumn(what, F.pmod(F.xxhash64("k1"), F.col(f"{what}s")).cast("int"))
-           .groupBy(what, "d").agg(F.collect_list(F.struct("k1", "k2", "v")).alias("x"))
-           .select(what, "d", *[F.col(f"x.{c}").alias(f"{what}_{c}") for c in ("k1", "k2", "v")]))
+           .groupBy(what, "d").agg(F.collect_list(F.struct("k1", "k2", "v", "id")).alias("x"))
+           .select(what, "d", *[F.col(f"x.{c}").alias(f"{what}_{c}") for c in ("k1", "k2", "v", "id")]))
     return cut, blocks
 
 
@@ -164,9 +167,9 @@ def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
         .groupBy("k1", "k2").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.first("v").alias("v"),
                                  F.first("d").alias("d")), "distinct-vectors")
     asked = rows.filter(F.col("vec_id") % every == 0)
-    queries = asked.groupBy("k1", "k2").agg(F.first("v").alias("v"), F.first("d").alias("d"))
+    queries = asked.groupBy("k1", "k2").agg(F.first("v").alias("v"), F.first("d").alias("d"), F.min("vec_id").alias("id"))
 
-    segments, _ = _blocks(distinct.select("k1", "k2", "v", "d"), SEGMENT, "segment")
+    segments, _ = _blocks(distinct.select("k1", "k2", "v", "d", F.col("ids")[0].alias("id")), SEGMENT, "segment")
     groups, slots = _blocks(queries, GROUP, "slot")
     # the query set against all rows, in blocks: each segment goes to every slot of its length
     every_slot = F.explode(F.sequence(F.lit(0), (F.col("slots") - 1).cast("int")))
@@ -178,7 +181,7 @@ def neighbours(vectors: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
             for i in range(len(batch)):
                 d = batch.column(batch.schema.get_field_index("d"))[i].as_py()
                 s1, s2, q1, q2 = (_cell(batch, i, c) for c in ("segment_k1", "segment_k2", "slot_k1", "slot_k2"))
-                index = Forest(_matrix(batch, i, "segment_v", d), longest)
+                index = Forest(_matrix(batch, i, "segment_v", d), longest, _cell(batch, i, "segment_id"))
                 q, s, score = index.search(_matrix(batch, i, "slot_v", d), top + 1)
                 q, s = q.astype(np.int64), s.astype(np.int64)
                 yield pa.RecordBatch.from_arrays(

@@ -304,7 +304,7 @@ def test_small_tables_and_rare_lengths_lose_no_neighbour(spark, monkeypatch):
     for these, table in ((few, df.filter("vec_id < 40")), (vectors, df)):
         got = sorted(rows(forest.neighbours(table)), key=lambda x: x[:2])
         assert got == all_neighbours(these)
-    segments, _ = forest._blocks(forest.usable(df), 64, "segment")
+    segments, _ = forest._blocks(forest.usable(df).withColumn("id", F.col("vec_id")), 64, "segment")
     assert [r.n for r in segments.filter("d = 8").selectExpr("size(segment_k1) n").collect()] == [40]
 
 
@@ -319,6 +319,17 @@ def test_near_copies_do_not_end_the_ascent(monkeypatch, small):
         assert len(set(want) & set(found[q == i])) >= 19
 
 
+def test_equal_scores_are_cut_by_id(spark):
+    signs = np.random.default_rng(4).choice([-1.0, 1.0], (400, 24))
+    signs[:, :10] = 1.0
+    signs[0] = [1.0] * 10 + [0.0] * 14  # scores 10 with all
+    vectors = dict(enumerate(signs.tolist()))
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>").filter("vec_id = 0 or vec_id % 20 != 0")
+    vectors = {i: v for i, v in vectors.items() if i == 0 or i % 20}
+    got = sorted(rows(forest.neighbours(df)), key=lambda x: x[:2])
+    assert got == all_neighbours(vectors) and [r[2] for r in got] == [*range(1, 20), 21]
+
+
 # --- 5 and 7: classifiers ----------------------------------------------------
 
 def auc(scored, truth):
