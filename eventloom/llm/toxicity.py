@@ -3,7 +3,9 @@
 Token scores are log-odds of toxic against clean use under an informative
 Dirichlet prior (the pooled token shares, worth ``PRIOR`` tokens), for tokens
 whose log-odds are at least ``LEAST`` (20 times likelier in toxic texts) and
-exceed ``Z`` of its standard deviations; every word pays ``DRIFT``. Tokens are
+whose root log-likelihood ratio is at least ``Z``: that grows with every use in
+toxic texts only, and with clean text that does without the token. Every word
+pays ``DRIFT``. Tokens are
 words and, as insults are inflected, the first bytes of longer words
 (``STEMS``); a word scores as the best of its tokens. All maximal-scoring
 segments of a text are found in one pass over the words that score above zero,
@@ -43,7 +45,7 @@ TRAIN_ROWS = 20_000
 PRIOR, Z, LEAST, DRIFT, CLIP = 5_000.0, 4.0, 3.0, 0.5, 6.0
 #: Prefix lengths, in bytes, that are tokens besides the words.
 STEMS = (4, 6)
-#: Tokens that a model holds at most: those with the largest z (bounds its broadcast).
+#: Tokens that a model holds at most: those with the largest ratio (bounds its broadcast).
 MODEL_TOKENS = 100_000
 
 
@@ -141,6 +143,18 @@ def evidence(model: Model, n: int, segs: list[tuple[int, int, float]]) -> float:
     return sum(max(0.0, (model.rate * s - math.log(model.k * max(n, 1))) / math.log(10)) for _, _, s in segs)
 
 
+def likelihood_ratio(n_t: float, n_c: float) -> Column:
+    """G-squared of a token's uses: how much likelier they are by shares of their
+    own in the ``n_t`` toxic and ``n_c`` clean tokens than by one share in both."""
+    uses = F.col("toxic") + F.col("clean")
+    total = F.lit(0.0)
+    for name, n in (("toxic", n_t), ("clean", n_c)):
+        expected = uses * (n / (n_t + n_c))
+        for seen, due in ((F.col(name), expected), (n - F.col(name), n - expected)):
+            total = total + F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
+    return 2 * total
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     sample = training_rows(docs, labels, "toxic", rows)
     counts = materialise(
@@ -158,9 +172,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     prior = (F.col("toxic") + F.col("clean")) * (PRIOR / (n_t + n_c))
     with_prior = counts.withColumns({"a": F.col("toxic") + prior, "b": F.col("clean") + prior})
     odds = (F.log(F.col("a") / (n_t + PRIOR - F.col("a"))) - F.log(F.col("b") / (n_c + PRIOR - F.col("b"))))
-    scored = with_prior.withColumn("odds", odds).withColumn("z", F.col("odds") / F.sqrt(1 / F.col("a") + 1 / F.col("b")))
-    top = (scored.filter((F.col("z") >= Z) & (F.col("odds") >= LEAST))
-           .orderBy(F.desc("z"), "h").limit(MODEL_TOKENS).select("h", "odds", "b").toPandas())
+    scored = with_prior.withColumn("odds", odds).withColumn("ratio", likelihood_ratio(n_t, n_c))
+    top = (scored.filter((F.col("ratio") >= Z * Z) & (F.col("odds") >= LEAST))
+           .orderBy(F.desc("ratio"), "h").limit(MODEL_TOKENS).select("h", "odds", "b").toPandas())
     model = Model(top["h"].to_numpy(np.int64).view(np.uint64),
                   np.minimum(top["odds"].to_numpy(float), CLIP) - DRIFT)
     share = top["b"].to_numpy(float)[np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))] / (n_c + PRIOR)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from compare import compare
 from eventloom.llm import bagminhash, bpe, decontam, forest, license, lm, pii, quality, queries, toxicity, warc
+from eventloom.llm.words import hash_words
 from llm.data import SMALL, edge_docs, edge_rows, items, labels, no_docs, prose, words
 
 
@@ -368,6 +369,23 @@ def test_scores_do_not_see_labels_of_held_out_rows(spark):
         assert some(op.report(docs, lab)) == some(op.report(docs, flipped))
 
 
+@pytest.mark.parametrize("clean_words", [600, 3000])
+def test_rare_words_of_toxic_texts_only_are_found(spark, clean_words):
+    r, vocabulary = random.Random(11), prose(12, 400).split()
+    ids = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
+    docs, lab = [], []
+    for n, i in enumerate(ids[:300]):
+        text = r.choices(vocabulary, k=30 if n < 30 else clean_words)
+        if n < 12:  # one use in each of 12 texts
+            text[7] = "zwack"
+        docs.append((i, " ".join(text)))
+        lab.append((i, int(n < 30)))
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(lab, "doc_id long, toxic int"))
+    assert hash_words("zwack")[0] in model.hashes
+    assert not set(hash_words(" ".join(vocabulary))) & set(model.hashes)
+
+
 def plain_segments(scores):
     """Maximal-scoring segments by their recursive definition."""
     def split(a, b):
