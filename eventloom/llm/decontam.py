@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import RowIds, chunks, input_bytes, per_chunk, text_buffer, wrapped
+from eventloom.llm.common import RowIds, chunks, input_bytes, materialise, per_chunk, text_buffer, wrapped
 from eventloom.llm.words import ALNUM, LOWER, Words, gram_hashes, mix, within
 
 #: Words of a window, and of the grams whose minimum stands for it.
@@ -120,11 +120,12 @@ def _window_rows(w: Words, rid: np.ndarray, at: np.ndarray, n: int, fp: np.ndarr
         pa.array(_window_texts(w, at, n), pa.string())], schema=_HITS)
 
 
-def _scanner(shared):
-    def promising(fp: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        low = fp & np.uint64(BITS - 1)
-        return (bits[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
+def promising(fp: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    low = fp & np.uint64(BITS - 1)
+    return (bits[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)
+
 
+def _scanner(shared):
     def run(batches):
         rows = RowIds()
         bits, lengths = shared.value
@@ -153,12 +154,13 @@ def covered(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), zero, step, lambda acc: acc["words"])
 
 
-def scan(docs: DataFrame, items: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, items: DataFrame, windows: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, n_words, and the confirmed ``spans`` (array of start,
-    n) and ``items`` (sorted array of item ids)."""
+    n) and ``items`` (sorted array of item ids). ``windows``: those of the items
+    that count, if not all."""
     spark = docs.sparkSession
     # Both uses of the windows recompute them: the test side is small next to the documents.
-    windows = item_windows(items)
+    windows = item_windows(items) if windows is None else windows
     shared = spark.sparkContext.broadcast(fingerprint_bitmap(windows))
     fields = "rid long, doc_id long, n_words long, start long, n int, fp long, window string"
     hits = docs.select("doc_id", "text").mapInArrow(_scanner(shared), fields)
@@ -205,14 +207,53 @@ FROM d LEFT JOIN pos ON pos.doc_id IS NOT DISTINCT FROM d.doc_id
 LEFT JOIN its ON its.doc_id IS NOT DISTINCT FROM d.doc_id"""
 
 
+def _window_words(part: pa.RecordBatch) -> pa.RecordBatch:
+    """Each window with the hash of each of its words."""
+    text = part.column(part.schema.get_field_index("window"))
+    w = Words(*text_buffer(text), ALNUM)
+    return pa.RecordBatch.from_arrays(
+        [text.take(pa.array(w.doc_of())), pa.array(w.hashes.view(np.int64))], names=["window", "h"])
+
+
+def by_chance(docs: DataFrame, short: DataFrame) -> DataFrame:
+    """The windows of ``short`` that the documents would hold at least once if their
+    words were dealt out at random: N times the product of the words' shares, over
+    all N words of all documents, is 1 or more."""
+    of = short.select("window").distinct().mapInArrow(per_chunk(_window_words, "window"), "window string, h long")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        fingerprint_bitmap(of.select(F.col("h").alias("fp"), F.lit(1).alias("n")))[0])
+
+    def count(part: pa.RecordBatch) -> pa.RecordBatch:
+        """Uses of the words whose bit is set; the number of all words under null."""
+        h = Words(*text_buffer(part.column(0)), ALNUM).hashes
+        some, uses = np.unique(h[promising(h, shared.value)], return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([None, *some.view(np.int64).tolist()], pa.int64()), pa.array([len(h), *uses.tolist()], pa.int64())],
+            names=["h", "uses"])
+
+    counts = materialise(docs.select("text").mapInArrow(per_chunk(count), "h long, uses long")
+                         .groupBy("h").agg(F.sum("uses").alias("uses")), "word-uses")
+    total = float(counts.filter("h is null").agg(F.sum("uses")).first()[0] or 1)
+    share = F.coalesce(F.log(F.col("uses") / F.lit(max(total, 1.0))), F.lit(-1e9))
+    return (of.join(counts, "h", "left").groupBy("window").agg(F.sum(share).alias("share"))
+            .filter(F.col("share") + float(np.log(max(total, 1.0))) > -1e-6).select("window"))
+
+
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents free of full windows of an item; the same columns.
+    """Documents that hold no window of an item; the same columns.
 
-    Only full windows condemn a document here: an item shorter than a window
-    (a word or two) occurs in clean prose. Documents keep their row if their id
-    is not among those with such a hit; rows that share an id are judged
-    together, and rows with a null id are judged by themselves."""
+    An item shorter than a window condemns a document like any other, unless
+    its words would meet by chance in these documents (``by_chance``), as a
+    single word always does. Documents keep their row if their id is not among
+    those with a hit; rows that share an id are judged together, and rows with
+    a null id are judged by themselves."""
     rows = wrapped(docs)
-    found = scan(rows.select(F.col("key").alias("doc_id"), "text"), items)
-    bad = found.filter(F.exists("spans", lambda s: s["n"] == LENGTH)).select(F.col("doc_id").alias("key")).distinct()
+    windows = item_windows(items)
+    short = windows.filter(F.col("n") < LENGTH)
+    if not short.isEmpty():
+        excused = by_chance(docs, short)
+        windows = materialise(windows.join(excused, (windows["window"] == excused["window"]) & (F.col("n") < LENGTH),
+                                           "left_anti"), "decontam-windows")
+    found = scan(rows.select(F.col("key").alias("doc_id"), "text"), items, windows)
+    bad = found.filter(F.size("spans") > 0).select(F.col("doc_id").alias("key")).distinct()
     return rows.select("row", "key").join(bad, "key", "left_anti").select("row.*")

@@ -490,6 +490,19 @@ def test_clean_drops_only_documents_with_full_windows(spark):
     assert {r.doc_id for r in kept.collect()} == {3, 4, None, 5, 6, 7, 8, 10, 11}
 
 
+def test_clean_drops_copies_of_short_items(spark):
+    r, vocabulary = random.Random(13), prose(14, 300).split()
+    five, nine, pair = "who painted the red door", "name the three rivers that meet at the coast", " ".join(vocabulary[:2])
+    docs = [(i, " ".join(r.choices(vocabulary, k=2000))) for i in range(60)]
+    docs[3] = (3, docs[3][1] + " " + five)
+    docs[4] = (4, nine.upper() + ". " + docs[4][1])
+    docs[5] = (5, docs[5][1] + " " + five.replace("red", vocabulary[9]))  # no copy
+    bench = [(1, five), (2, nine), (3, vocabulary[5]), (4, pair)]  # a word and a pair that meet by chance
+    kept = decontam.clean(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(bench, "item_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(60) if i not in (3, 4)]
+
+
 # --- 9: BPE --------------------------------------------------------------------
 
 def test_bpe_equals_the_library(spark):
