@@ -3,10 +3,11 @@
 All rolling word pairs of every document are hashed and joined by Spark to the
 positions of the same pairs in a fixed set of license templates. A pair at
 word p of a document and place t of a template votes for the diagonal p - t;
-votes are counted by (document, template, diagonal). Diagonals of one template
-that lie at most ``SHIFT`` words apart and whose spans follow each other are
-merged, which bridges an added or missing word. A merged span is verified: it
-must have met enough different places of the template within its length. The
+votes are counted by (document, template, diagonal). Each diagonal of a template
+is merged with those at most ``SHIFT`` words above it, which bridges an added or
+missing word; diagonals further off never count, however many lie between. A
+merged span is verified: it must have met enough different places of the
+template within its length. A notice may so be listed more than once. The
 base phrases must meet all their places on one diagonal.
 
 Null and empty texts have no words, places or labels and score 0. Repeated
@@ -111,16 +112,15 @@ def scan(docs: DataFrame) -> DataFrame:
              .repartition("rid")
              .groupBy("rid", "template", "label", "base", "places", "length", "diagonal")
              .agg(F.collect_set("place").alias("met"), F.max("doc_id").alias("doc_id"), F.max("pos").alias("pos")))
-    # merge neighbouring diagonals of one template whose spans overlap
-    of = W.partitionBy("rid", "template").orderBy("diagonal")
-    step = F.when(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(of) > SHIFT), 1).otherwise(0)
-    merged = (votes.withColumn("step", F.coalesce(step, F.lit(0)))
-              .withColumn("part", F.sum("step").over(of.rowsBetween(W.unboundedPreceding, 0)))
-              .groupBy("rid", "template", "label", "base", "places", "length", "part")
-              .agg(F.max("doc_id").alias("doc_id"), F.max("pos").alias("pos"),
-                   F.min(F.col("diagonal") + F.array_min("met")).alias("start"),
-                   F.max(F.col("diagonal") + F.array_max("met") + GRAM).alias("end"),
-                   F.size(F.array_distinct(F.flatten(F.collect_list("met")))).alias("places_met")))
+    # each diagonal of a notice with those at most SHIFT above it, which bounds the span
+    near = W.partitionBy("rid", "template").orderBy("diagonal").rangeBetween(0, SHIFT)
+    own = votes.withColumns({"start": F.col("diagonal") + F.array_min("met"),
+                             "end": F.col("diagonal") + F.array_max("met") + GRAM})
+    taken = lambda alone, together: F.when(F.col("base"), alone).otherwise(together.over(near))
+    merged = own.withColumns({
+        "start": taken(F.col("start"), F.min("start")), "end": taken(F.col("end"), F.max("end")),
+        "all_met": taken(F.array("met"), F.collect_list("met"))})
+    merged = merged.withColumn("places_met", F.size(F.array_distinct(F.flatten("all_met"))))
     share = F.col("places_met") / F.col("places")
     verified = F.when(F.col("base"), share == 1.0).otherwise(
         (share >= SHARE) & (F.col("end") - F.col("start") <= F.col("length") + SHIFT))

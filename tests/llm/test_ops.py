@@ -447,6 +447,14 @@ def test_license_diagonals_merge_over_a_missing_word(spark):
     assert got[1].score == 1.0 > got[2].score >= license.SHARE
 
 
+def test_license_repeats_do_not_swallow_a_notice(spark):
+    apache = "Licensed under the Apache License, Version 2.0"
+    texts = ["CC BY, CC BY, CC BY-NC 4.0", apache + ", 2.0, 2.0, 2.0", "cc by cc by cc by nc 4", "CC BY-NC 4.0, 4.0, 4.0"]
+    got = {r.doc_id: r.labels for r in license.report(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: "cc-by,cc-by-nc", 1: "apache,apache-2.0", 2: "cc-by", 3: "cc-by,cc-by-nc"}
+
+
 # --- 8: decontamination -------------------------------------------------------
 
 def plain_hits(text, benchmark):
