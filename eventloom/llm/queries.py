@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bagminhash, bpe, decontam, forest, license, lm, pii, quality, toxicity, warc
+from eventloom.llm import bagminhash, bpe, decontam, forest, license, lm, phrases, pii, quality, toxicity, warc
 from eventloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,6 +57,10 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.report(table(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_lm": op2_lm,
@@ -68,10 +72,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontam": op8_decontam,
     "op9_bpe": op9_bpe,
     "op10_bagminhash": op10_bagminhash,
+    "op13_phrases": op13_phrases,
 }
 
 #: DuckDB SQL where it can express the operator's result.
 ORACLES: dict[str, str] = {
     "op1_warc": warc.REPORT_SQL,
     "op8_decontam": decontam.report_sql(),
+    "op13_phrases": phrases.REPORT_SQL,
 }
