@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bagminhash, bpe, decontam, forest, license, lm, phrases, pii, quality, toxicity, warc
+from eventloom.llm import bagminhash, bpe, covertree, decontam, forest, license, lm, phrases, pii, quality, toxicity, warc
 from eventloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -57,6 +57,10 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.report(table(spark, sf_dir, "documents"))
 
 
+def op11_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.mine(table(spark, sf_dir, "embeddings"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.report(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontam": op8_decontam,
     "op9_bpe": op9_bpe,
     "op10_bagminhash": op10_bagminhash,
+    "op11_covertree": op11_covertree,
     "op13_phrases": op13_phrases,
 }
 
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_warc": warc.REPORT_SQL,
     "op8_decontam": decontam.report_sql(),
+    "op11_covertree": covertree.REPORT_SQL,
     "op13_phrases": phrases.REPORT_SQL,
 }
