@@ -9,13 +9,15 @@ every shard once. Lengths interleave: pairs of the words that are frequent
 from the start are counted while other words still are. The scans end when no
 phrase is left whose cycle isn't full.
 
-A scan tells which phrases are due by an activation map: ``CELLS`` cells, each
-the set of scans after which some phrase hashed to it became frequent. Phrases
-that share a cell may be counted too early or too often, never too seldom, and
-each shard's count of a phrase is the same whenever it is taken. So a phrase's
-frequency is the sum, over shards, of its count in that shard, and is exact
-for all that reach LEAST. The map's size is fixed; with many more frequent
-phrases than cells more is counted than is due, and the results stay the same.
+Scans count 64-bit hashes, and tell which are due by an activation map:
+``CELLS`` cells, each the set of scans after which some phrase hashed to it
+became frequent; a phrase's set is what its two cells share. Phrases that share
+cells or a hash may be counted too early or too often, never too seldom. The
+counts stand in a table bucketed by hash, so that no activation shuffles them
+again. A last scan of all texts counts, as text, the phrases whose hash was
+found frequent, and those alone: so the frequencies are exact for all that
+reach LEAST. The map's size is fixed; with many more frequent phrases than
+cells more is counted than is due, and the results stay the same.
 
 Words are lower-cased (A-Z only), divided by blanks and tabs inside pieces,
 which end at ``.,;:!?`` and line ends; phrases stay inside a piece. Counts are
@@ -48,7 +50,7 @@ LEAST, LONGEST, TOP = 10, 3, 2000
 COVERED = 50
 SHARDS = 3
 #: Cells of an activation map (two bytes each), a power of two.
-CELLS = 1 << 22
+CELLS = 1 << 23
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -57,8 +59,9 @@ _WORD[list(b" \t")] = False
 _PART = np.ones(256, bool)
 _PART[0x20] = False
 
-COUNTS = "lang string, len int, phrase string, n long"
-_COUNTS = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+NAMED = "lang string, len int, phrase string, n long"
+_NAMED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+_HASHED = pa.schema([("len", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
 
 
 def _lang_hashes(langs: list[str]) -> np.ndarray:
@@ -70,15 +73,9 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
 
 
-def phrase_hashes(phrases: pa.Array, lang: np.ndarray) -> np.ndarray:
-    """Hashes of phrases of one or two words, each with its language's hash."""
-    data, off = text_buffer(phrases)
-    w = Words(data, off, _PART)
-    first = mix(w.hashes[w.bounds[:-1]] ^ lang)
-    two = w.counts == 2
-    out = first.copy()
-    out[two] = _pair(first[two], mix(w.hashes[w.bounds[:-1][two] + 1] ^ lang[two]))
-    return out
+def _sets(cells: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The activation sets of hashes: what their two cells share."""
+    return cells[h & np.uint64(CELLS - 1)] & cells[h >> np.uint64(64 - CELLS.bit_length() + 1)]
 
 
 def _due(a: np.ndarray, b: np.ndarray, scan: int, shards: int) -> np.ndarray:
@@ -109,115 +106,133 @@ class _Chunk:
         own = Words(*text_buffer(self.names), np.ones(256, bool)).hashes
         self.hashes = mix(own[self.ids] ^ _lang_hashes(self.langs.to_pylist())[self.lang]) if len(w) else own
 
-    def rows(self, at: np.ndarray, n: np.ndarray, length: int) -> pa.RecordBatch:
-        """Counts of the phrases that start at the given words."""
+    def phrases(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Start words and hashes of all phrases of a length."""
+        ok = np.ones(max(0, len(self.ids) - length + 1), bool)
+        for j in range(length - 1):
+            ok &= self.joined[j:j + len(ok)]
+        at = np.flatnonzero(ok)
+        h = self.hashes[at]
+        for j in range(1, length):
+            h = _pair(h, self.hashes[at + j])
+        return at, h
+
+    def rows(self, at: np.ndarray, length: int) -> pa.RecordBatch:
+        """Counts, as text, of the phrases that start at the given words."""
+        v, key = max(1, len(self.names)), self.ids[at] * len(self.langs) + self.lang[at]
+        for j in range(1, length):
+            key = np.unique(key, return_inverse=True)[1] * v + self.ids[at + j]
+        _, first, times = np.unique(key, return_index=True, return_counts=True)
+        at = at[first]
         parts = [self.names.take(pa.array(self.ids[at + j])) for j in range(length)]
         phrase = parts[0] if length == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
         return pa.RecordBatch.from_arrays(
             [self.langs.take(pa.array(self.lang[at])).cast(pa.string()), pa.array(np.full(len(at), length, np.int32)),
-             phrase.cast(pa.string()), pa.array(n.astype(np.int64))], schema=_COUNTS)
+             phrase.cast(pa.string()), pa.array(times.astype(np.int64))], schema=_NAMED)
+
+
+def _hashed(h: np.ndarray, length: int) -> pa.RecordBatch:
+    h, times = np.unique(h, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), length, np.int32)), pa.array(h.view(np.int64)),
+                                       pa.array(times.astype(np.int64))], schema=_HASHED)
 
 
 def _scanner(scan: int, shards: int, maps: dict):
+    """Counts, by hash, of the phrases that are due in a scan."""
     def count(part: pa.RecordBatch):
         c = _Chunk(part)
-        n, v = len(c.ids), max(1, len(c.names))
-        if not n:
-            return
         if scan < shards:
-            _, at, times = np.unique(c.ids * len(c.langs) + c.lang, return_index=True, return_counts=True)
-            yield c.rows(at, times, 1)
-        if 1 not in maps or n < 2:
-            return
-        mask = maps[1][c.hashes & np.uint64(CELLS - 1)]
-        at = np.flatnonzero(c.joined & _due(mask[:-1], mask[1:], scan, shards))
-        if len(at):
-            _, first, times = np.unique((c.ids[at] * len(c.langs) + c.lang[at]) * v + c.ids[at + 1],
-                                        return_index=True, return_counts=True)
-            yield c.rows(at[first], times, 2)
-        if 2 not in maps or n < 3:
-            return
-        at = np.flatnonzero(c.joined[:-1] & c.joined[1:] & (mask[:-2] != 0) & (mask[1:-1] != 0) & (mask[2:] != 0))
-        sets = [maps[2][_pair(c.hashes[at + j], c.hashes[at + j + 1]) & np.uint64(CELLS - 1)] for j in (0, 1)]
-        at = at[_due(*sets, scan, shards)]
-        if len(at):
-            _, pair = np.unique((c.ids[at] * len(c.langs) + c.lang[at]) * v + c.ids[at + 1], return_inverse=True)
-            _, first, times = np.unique(pair * v + c.ids[at + 2], return_index=True, return_counts=True)
-            yield c.rows(at[first], times, 3)
+            yield _hashed(c.hashes, 1)
+        for k in sorted(maps):
+            # a phrase of k + 1 words has two parts of k words, one word apart
+            at, h = c.phrases(k)
+            sets = np.zeros(len(c.ids) + 1, np.uint16)
+            sets[at] = _sets(maps[k], h)
+            at, h = c.phrases(k + 1)
+            yield _hashed(h[_due(sets[at], sets[at + 1], scan, shards)], k + 1)
     return per_chunk(count)
 
 
-def _cells(batches):
-    for b in batches:
-        col = lambda c: b.column(b.schema.get_field_index(c))
-        langs = col("lang").dictionary_encode()
-        codes = _lang_hashes(langs.dictionary.to_pylist())[np.asarray(langs.indices)] if len(b) else np.empty(0, np.uint64)
-        cell = (phrase_hashes(col("phrase"), codes) & np.uint64(CELLS - 1)).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [col("len"), pa.array(cell), pa.array(np.left_shift(1, np.asarray(col("act"))).astype(np.int32))],
-            names=["len", "cell", "acts"])
+def _namer(maps: dict):
+    """Counts, as text, of the phrases whose hash was found frequent; and of all words per language (length 0)."""
+    def count(part: pa.RecordBatch):
+        c = _Chunk(part)
+        n = np.bincount(c.lang, minlength=len(c.langs))
+        yield pa.RecordBatch.from_arrays([c.langs.cast(pa.string()), pa.array(np.zeros(len(n), np.int32)),
+                                          pa.array([""] * len(n), pa.string()), pa.array(n.astype(np.int64))], schema=_NAMED)
+        for k in sorted(maps):
+            at, h = c.phrases(k)
+            yield c.rows(at[_sets(maps[k], h) != 0], k)
+    return per_chunk(count)
 
 
 class Counter:
-    """Counts of phrases by scans over shards of the texts."""
+    """Frequencies of phrases by scans over shards of the texts."""
 
     def __init__(self, docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS):
-        # a word's activation set has a bit per scan, and all three lengths take at most 3 cycles
+        # activation sets have a bit per scan: 16 hold the cycles of three lengths
         if not 2 <= longest <= 3 or not 1 <= shards <= 5:
             raise ValueError("phrases of 2 or 3 words, 1 to 5 shards")
         self.spark, self.least, self.longest, self.shards = docs.sparkSession, least, longest, shards
         self.folder = shared_folder(self.spark, "phrases")
+        self.table = "phrases_" + self.folder.rsplit("-", 1)[1]
         shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int")
         docs.select("lang", "text", "doc_id").withColumn("shard", shard).drop("doc_id") \
             .write.partitionBy("shard").parquet(f"{self.folder}/texts")
+        self.texts = self.spark.read.schema("lang string, text string, shard int").parquet(f"{self.folder}/texts")
         self.scans = 0
         self.last = {1: 0, 2: 0}  # the last scan after which a phrase of a length became frequent
         maps: dict = {}
-        while self.scans < shards or any(a and self.scans < a + shards for a in self.last.values()):
-            self._scan(maps)
-            # words are counted after one cycle, pairs one cycle after the last word got frequent
-            open_ = [k for k in range(1, longest) if self.scans <= shards + (self.last[1] if k > 1 else 0)]
-            maps = {**maps, **self._activate(open_)}
+        try:
+            while self.scans < shards or any(a and self.scans < a + shards for a in self.last.values()):
+                self._scan(maps)
+                # words are counted after one cycle, pairs one cycle after the last word got frequent
+                open_ = [k for k in range(1, longest) if self.scans <= shards + (self.last[1] if k > 1 else 0)]
+                maps = {**maps, **self._activate(open_)}
+            found = self._activate(list(range(1, longest + 1)))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        named = self.texts.select("lang", "text").mapInArrow(_namer(found), NAMED)
+        (named.groupBy("lang", "len", "phrase").agg(F.sum("n").alias("f"))
+         .filter((F.col("len") == 0) | (F.col("f") >= least)).write.parquet(f"{self.folder}/named"))
+        self.named = self.spark.read.schema("lang string, len int, phrase string, f long").parquet(f"{self.folder}/named")
 
     def _scan(self, maps: dict) -> None:
-        texts = (self.spark.read.schema("lang string, text string, shard int").parquet(f"{self.folder}/texts")
-                 .filter(F.col("shard") == self.scans % self.shards).select("lang", "text"))
-        found = texts.mapInArrow(_scanner(self.scans, self.shards, maps), COUNTS)
-        (found.groupBy("lang", "len", "phrase").agg(F.sum("n").alias("n"))
-         .write.partitionBy("len").parquet(f"{self.folder}/counts/scan={self.scans}"))
+        texts = self.texts.filter(F.col("shard") == self.scans % self.shards).select("lang", "text")
+        found = texts.mapInArrow(_scanner(self.scans, self.shards, maps), "len int, h long, n long")
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (found.groupBy("len", "h").agg(F.sum("n").alias("n")).withColumn("scan", F.lit(self.scans))
+         .write.mode("append").bucketBy(buckets, "len", "h").option("path", f"{self.folder}/counts")
+         .saveAsTable(self.table))
         self.scans += 1
 
-    def counts(self) -> DataFrame:
-        """(lang, phrase, n, scan, len) of all scans so far."""
-        return (self.spark.read.schema("lang string, phrase string, n long, scan int, len int")
-                .parquet(f"{self.folder}/counts"))
-
     def _activate(self, lengths: list[int]) -> dict:
         """The activation maps of these lengths: at most CELLS rows a length reach the driver."""
         if not lengths:
             return {}
         so_far = [F.sum(F.when(F.col("scan") <= i, F.col("n"))) for i in range(self.scans)]
         act = F.coalesce(*[F.when(x >= self.least, F.lit(i + 1)) for i, x in enumerate(so_far)])
-        frequent = (self.counts().filter(F.col("len").isin(lengths)).groupBy("lang", "len", "phrase")
+        frequent = (self.spark.table(self.table).filter(F.col("len").isin(lengths)).groupBy("len", "h")
                     .agg(act.alias("act")).filter("act is not null"))
-        cells = (frequent.mapInArrow(_cells, "len int, cell int, acts int")
+        both = F.array(F.expr(f"cast(h & {CELLS - 1} as int)"),
+                       F.expr(f"cast(shiftrightunsigned(h, {64 - CELLS.bit_length() + 1}) as int)"))
+        cells = (frequent.select("len", F.explode(both).alias("cell"), F.expr("shiftleft(1, act)").alias("acts"))
                  .groupBy("len", "cell").agg(F.bit_or("acts").alias("acts")).toArrow())
         maps, length, acts = {}, np.asarray(cells["len"]), np.asarray(cells["acts"])
         for k in np.unique(length).tolist():
             maps[k] = np.zeros(CELLS, np.uint16)
             maps[k][np.asarray(cells["cell"])[length == k]] = acts[length == k]
-            self.last[k] = int(np.bitwise_or.reduce(acts[length == k])).bit_length() - 1
+            if k in self.last:
+                self.last[k] = int(np.bitwise_or.reduce(acts[length == k])).bit_length() - 1
         return maps
 
     def frequencies(self) -> DataFrame:
-        """(lang, len, phrase, f): exact for every phrase with f >= ``least``; all others are left out."""
-        shard = F.col("scan") % self.shards
-        return (self.counts().groupBy("lang", "len", "phrase", shard.alias("shard")).agg(F.max("n").alias("n"))
-                .groupBy("lang", "len", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= self.least))
+        """(lang, len, phrase, f): every phrase with f >= ``least``."""
+        return self.named.filter("len > 0")
 
     def totals(self) -> DataFrame:
         """(lang, n): all word occurrences."""
-        return self.counts().filter("len = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+        return self.named.filter("len = 0").select("lang", F.col("f").alias("n"))
 
 
 def candidates(frequencies: DataFrame) -> DataFrame:
