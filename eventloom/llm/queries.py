@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import bagminhash, bpe, covertree, decontam, forest, license, lm, phrases, pii, quality, toxicity, warc
+from eventloom.llm import bagminhash, bpe, covertree, decontam, forest, license, lm, phrases, pii, quality, toxicity, warc, wrapper
 from eventloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -61,6 +61,10 @@ def op11_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op12_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.report(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_bagminhash": op10_bagminhash,
     "op11_covertree": op11_covertree,
+    "op12_wrapper": op12_wrapper,
     "op13_phrases": op13_phrases,
 }
 
