@@ -16,8 +16,9 @@ cells or a hash may be counted too early or too often, never too seldom. The
 counts stand in a table bucketed by hash, so that no activation shuffles them
 again. A last scan of all texts counts, as text, the phrases whose hash was
 found frequent, and those alone: so the frequencies are exact for all that
-reach LEAST. The map's size is fixed; with many more frequent phrases than
-cells more is counted than is due, and the results stay the same.
+reach LEAST. A map has ``PER`` cells a phrase, up to the fixed ``CELLS``; with
+more frequent phrases than that more is counted than is due, and the results
+stay the same.
 
 Words are lower-cased (A-Z only), divided by blanks and tabs inside pieces,
 which end at ``.,;:!?`` and line ends; phrases stay inside a piece. Counts are
@@ -33,6 +34,7 @@ doc_id (which deals rows to shards, and may be null), lang and text are read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +51,9 @@ LEAST, LONGEST, TOP = 10, 3, 2000
 #: A candidate is dropped if a longer one has this percentage of its occurrences.
 COVERED = 50
 SHARDS = 3
-#: Cells of an activation map (two bytes each), a power of two.
-CELLS = 1 << 23
+#: Bits of a cell's number, and cells of an activation map: at most (two bytes each), and per phrase.
+BITS = 23
+CELLS, PER = 1 << BITS, 8
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -73,9 +76,28 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + b)
 
 
+class Map:
+    """An activation map, kept as the cells that are not empty."""
+
+    def __init__(self, cell: np.ndarray, acts: np.ndarray):
+        size = 1 << max(6, int(len(cell) * PER // 2 - 1).bit_length())
+        self.size = min(CELLS, size)
+        self.cell, self.acts = cell.astype(np.int32) & (self.size - 1), acts.astype(np.uint16)
+
+    def cells(self) -> np.ndarray:
+        out = np.zeros(self.size, np.uint16)
+        np.bitwise_or.at(out, self.cell, self.acts)
+        return out
+
+
 def _sets(cells: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The activation sets of hashes: what their two cells share."""
-    return cells[h & np.uint64(CELLS - 1)] & cells[h >> np.uint64(64 - CELLS.bit_length() + 1)]
+    low = np.uint64(len(cells) - 1)
+    return cells[h & low] & cells[h >> np.uint64(64 - BITS) & low]
+
+
+def _opened(maps: dict) -> Iterator[tuple[int, np.ndarray]]:
+    return ((k, maps[k].cells()) for k in sorted(maps))
 
 
 def _due(a: np.ndarray, b: np.ndarray, scan: int, shards: int) -> np.ndarray:
@@ -139,31 +161,39 @@ def _hashed(h: np.ndarray, length: int) -> pa.RecordBatch:
 
 def _scanner(scan: int, shards: int, maps: dict):
     """Counts, by hash, of the phrases that are due in a scan."""
-    def count(part: pa.RecordBatch):
+    def count(part: pa.RecordBatch, opened: list):
         c = _Chunk(part)
         if scan < shards:
             yield _hashed(c.hashes, 1)
-        for k in sorted(maps):
+        for k, cells in opened:
             # a phrase of k + 1 words has two parts of k words, one word apart
             at, h = c.phrases(k)
             sets = np.zeros(len(c.ids) + 1, np.uint16)
-            sets[at] = _sets(maps[k], h)
+            sets[at] = _sets(cells, h)
             at, h = c.phrases(k + 1)
             yield _hashed(h[_due(sets[at], sets[at + 1], scan, shards)], k + 1)
-    return per_chunk(count)
+
+    def run(batches):
+        opened = list(_opened(maps))
+        return per_chunk(lambda part: count(part, opened))(batches)
+    return run
 
 
 def _namer(maps: dict):
     """Counts, as text, of the phrases whose hash was found frequent; and of all words per language (length 0)."""
-    def count(part: pa.RecordBatch):
+    def count(part: pa.RecordBatch, opened: list):
         c = _Chunk(part)
         n = np.bincount(c.lang, minlength=len(c.langs))
         yield pa.RecordBatch.from_arrays([c.langs.cast(pa.string()), pa.array(np.zeros(len(n), np.int32)),
                                           pa.array([""] * len(n), pa.string()), pa.array(n.astype(np.int64))], schema=_NAMED)
-        for k in sorted(maps):
+        for k, cells in opened:
             at, h = c.phrases(k)
-            yield c.rows(at[_sets(maps[k], h) != 0], k)
-    return per_chunk(count)
+            yield c.rows(at[_sets(cells, h) != 0], k)
+
+    def run(batches):
+        opened = list(_opened(maps))
+        return per_chunk(lambda part: count(part, opened))(batches)
+    return run
 
 
 class Counter:
@@ -214,14 +244,12 @@ class Counter:
         act = F.coalesce(*[F.when(x >= self.least, F.lit(i + 1)) for i, x in enumerate(so_far)])
         frequent = (self.spark.table(self.table).filter(F.col("len").isin(lengths)).groupBy("len", "h")
                     .agg(act.alias("act")).filter("act is not null"))
-        both = F.array(F.expr(f"cast(h & {CELLS - 1} as int)"),
-                       F.expr(f"cast(shiftrightunsigned(h, {64 - CELLS.bit_length() + 1}) as int)"))
+        both = F.array(F.expr(f"cast(h & {CELLS - 1} as int)"), F.expr(f"cast(shiftrightunsigned(h, {64 - BITS}) as int)"))
         cells = (frequent.select("len", F.explode(both).alias("cell"), F.expr("shiftleft(1, act)").alias("acts"))
                  .groupBy("len", "cell").agg(F.bit_or("acts").alias("acts")).toArrow())
         maps, length, acts = {}, np.asarray(cells["len"]), np.asarray(cells["acts"])
         for k in np.unique(length).tolist():
-            maps[k] = np.zeros(CELLS, np.uint16)
-            maps[k][np.asarray(cells["cell"])[length == k]] = acts[length == k]
+            maps[k] = Map(np.asarray(cells["cell"])[length == k], acts[length == k])
             if k in self.last:
                 self.last[k] = int(np.bitwise_or.reduce(acts[length == k])).bit_length() - 1
         return maps

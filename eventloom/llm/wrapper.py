@@ -408,8 +408,8 @@ def choose(root: Node) -> Node:
                    and 4 * sum(map(mass, found)) >= total and total), None)
     if chosen is None:
         x = root
-        while (inner := max((k for k in x.kids if k.key != "#"), key=mass, default=None)) is not None \
-                and mass(inner) >= HOLDS * mass(x) and not (inner.rep and inner.key != "()") and _holds_blocks(inner):
+        while (inner := max((k for k in x.kids if k.key not in ("#", "()")), key=mass, default=None)) is not None \
+                and mass(inner) >= HOLDS * mass(x) and not inner.rep and _holds_blocks(inner):
             x = inner
         chosen = [x]
 
