@@ -29,6 +29,7 @@ from eventloom.schemas import (ARRIVAL, CLICK_EVENT, CUSTOMER_RECORD, LOCATION_R
                                RISK_EVENT)
 from eventloom.session import configure, derived_path, scratch_path
 from eventloom.sources import files as FS
+from eventloom.sources import following as FW
 from eventloom.sources import incremental as INC
 from eventloom.sources.topics import read_topic, replay, replay_slices
 from eventloom.streaming import runner as RN
@@ -183,21 +184,23 @@ def src_offsets(spark, sf):
 
 @q("src_bounded_batch", "SELECT CAST(count(*) AS BIGINT) AS rows, true AS within_limit FROM events")
 def src_bounded_batch(spark, sf):
-    """Pull at most n files per micro-batch (``maxOffsetsPerTrigger`` on Kafka):
-    each batch writes its rows and files under its id; the rows of all batches
-    and whether each kept within the limit are returned."""
-    limit = 2
-    base = scratch_path(spark, _uid("bounded"))
-    s = _topic(spark, sf, FD.CLICKS, stream=True, max_files_per_trigger=limit)
-    s = s.select("offset", F.input_file_name().alias("file"))
+    """Pull at most n messages per micro-batch (here a sixth of the topic, less
+    than a file holds): each batch writes its number of rows under its id; the
+    rows of all batches and whether each kept within the limit are returned."""
+    path = FD.bus(spark, sf, FD.CLICKS)
+    limit = max(1, read_topic(spark, path, topics=FD.CLICKS).count() // 6)
+    name = _uid("bounded")
+    base = scratch_path(spark, name)
 
     def count(batch: DataFrame, batch_id: int) -> None:
-        (batch.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("file").alias("files"))
+        (batch.agg(F.count(F.lit(1)).alias("rows"))
          .write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}"))
 
-    SK.for_each_batch(s, _uid("bounded"), count, state_partitions=_parallelism(spark))
-    return spark.read.parquet(base).agg(F.sum("rows").cast("long").alias("rows"),
-                                        (F.max("files") <= limit).alias("within_limit"))
+    s = FW.pull_messages(spark, path, limit, RN.checkpoint_for(spark, name), topic=FD.CLICKS)
+    RN.run_caught_up(s, name, foreach_batch=count)
+    RN.drop_checkpoint(spark, name)
+    return spark.read.schema("rows long, batch_id long").parquet(base).agg(
+        F.sum("rows").alias("rows"), ((F.max("rows") <= limit) & (F.count(F.lit(1)) >= 6)).alias("within_limit"))
 
 
 def _doc_lines(spark, sf) -> str:
@@ -217,6 +220,20 @@ def src_text_stream(spark, sf):
     return _run_and_read(spark, FS.read_text_stream(spark, _doc_lines(spark, sf)), "text_stream")
 
 
+@q("src_text_follow", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
+def src_text_follow(spark, sf):
+    """Follow text files that are appended to: the lines of files cut anywhere,
+    then, when the stream starts again, of what was added to the same files."""
+    whole, name = _doc_lines(spark, sf), _uid("follow")
+    grown, out = scratch_path(spark, f"{name}-files"), scratch_path(spark, name)
+    lines = FW.follow_lines(spark, grown, RN.checkpoint_for(spark, name))
+    for share in (0.4, 1.0):
+        FW.publish_files(spark, whole, grown, share)
+        RN.run_caught_up(lines, name, path=out)
+    RN.drop_checkpoint(spark, name)
+    return spark.read.schema(lines.schema).parquet(out).select("value")
+
+
 @q("src_incremental", """
 SELECT event_id, ts, user_id, event_type, value, props,
        CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END AS load_no
@@ -233,6 +250,34 @@ def src_incremental(spark, sf):
     return INC.read_loaded(spark, target).select(*ev.columns, F.col("load_no").cast("int"))
 
 
+@q("src_incremental_stream", """
+SELECT 'db-events' AS topic, event_id AS mark, event_type AS label, value AS amount,
+       CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END AS load_no FROM events
+UNION ALL SELECT 'db-customer', c_custkey, c_name, c_acctbal, 1 FROM customer""")
+def src_incremental_stream(spark, sf):
+    """A running incremental load of two whitelisted tables, whose marks are the
+    stream's offset: the events as they stood on Jan 16 and the customers; then,
+    when the stream starts again, the events added since."""
+    ev, name = _t(spark, sf, "events"), _uid("increments")
+    base = scratch_path(spark, name)
+    before = F.col("ts") < F.lit(FD.DRIFT_START).cast("timestamp_ntz")
+    tables = {"events": (f"{base}/events", "event_id"), "customer": (f"{sf.rstrip('/')}/customer.parquet", "c_custkey")}
+    fields = StructType([StructField("event_type", StringType()), StructField("value", DoubleType()),
+                         StructField("c_name", StringType()), StructField("c_acctbal", DoubleType())])
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        rows = D.parse_json(batch, "value", fields, keep=["topic", F.col("offset").alias("mark")])
+        (rows.select("topic", "mark", F.coalesce("event_type", "c_name").alias("label"), F.coalesce("value", "c_acctbal").alias("amount"))
+         .write.mode("overwrite").parquet(f"{base}/loads/load_no={batch_id + 1}"))
+
+    stream = FW.follow_tables(spark, tables, RN.checkpoint_for(spark, name), prefix="db-")
+    for part in (ev.filter(before), ev.filter(~before)):
+        part.write.mode("append").parquet(f"{base}/events")
+        RN.run_caught_up(stream, name, foreach_batch=load)
+    RN.drop_checkpoint(spark, name)
+    return spark.read.schema("topic string, mark long, label string, amount double, load_no int").parquet(f"{base}/loads")
+
+
 CUSTOMER_TABLE = StructType([
     StructField("c_custkey", LongType(), False), StructField("c_name", StringType(), False),
     StructField("c_nationkey", IntegerType(), True), StructField("c_acctbal", DoubleType(), True),

@@ -130,6 +130,25 @@ def run_available(df: DataFrame, query_name: str, timeout_s: float | None = None
         spark.streams.removeListener(seen)
 
 
+def run_caught_up(df: DataFrame, query_name: str, path: str | None = None, **kw) -> tuple[str, list]:
+    """:func:`start` the stream, let it run batch after batch until its sources
+    have nothing new, and stop it. For sources that bound a batch by what they
+    admit, of which an ``availableNow`` run would take one batch only."""
+    spark = df.sparkSession
+    seen = _Reports()
+    spark.streams.addListener(seen)
+    try:
+        q = start(df, query_name, path=path, trigger={"processingTime": "0 seconds"}, **kw)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        seen.ended[str(q.runId)].wait(60)
+        return path or sink_path(spark, query_name), list(seen.reports[str(q.runId)])
+    finally:
+        spark.streams.removeListener(seen)
+
+
 def dropped_by_watermark(progress: list) -> int:
     """Rows the engine dropped as later than the watermark, summed over the
     stateful operators of all reported micro-batches. For aggregations these
