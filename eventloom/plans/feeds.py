@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.decode import change_record_value, json_value
+from eventloom.functions.resolution import framed
 from eventloom.functions.scalars import json_get, train_id
 from eventloom.operators.joins import broadcast_if_small
 from eventloom.operators.tables import transform_stations
@@ -57,6 +58,7 @@ WITHDRAWALS = "bank-withdrawals"
 ATM = "atm-visits"
 VEHICLES = "vehicle-status"
 CHECKINS = "vehicle-checkins"
+VERSIONS = "clickevents-versions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -287,18 +289,34 @@ def _checkins(spark, sf_dir):
                        key="checkinTruckNumber", offset="s_suppkey")
 
 
+def _versions(spark, sf_dir):
+    """Clicks written by producers of several ages, each body with its schema's id."""
+    e = table(spark, sf_dir, "events").withColumn("age", (F.col("event_id") % 5).cast("int"))
+    k = json_get("props", "$.k", "int")
+    body = (F.when(F.col("age") == 0, F.to_json(F.struct(
+                "event_id", F.col("user_id").cast("int").alias("user_id"), "event_type", F.col("value").cast("long").alias("value"))))
+            .when(F.col("age") == 1, F.to_json(F.struct(
+                "event_id", F.col("user_id").alias("user_ref"), "event_type", "value", F.lit("app").alias("channel"))))
+            .when(F.col("age") == 2, F.to_json(F.struct(
+                "event_id", "user_id", "event_type", "value", F.lit("web").alias("channel"),
+                F.create_map(F.lit("k"), F.struct(k.alias("n"))).alias("counts"))))
+            .otherwise(F.to_json(F.struct("event_id", "user_id", F.length("event_type").alias("event_type")))))
+    return to_envelope(e.withColumn("body", framed(body, F.col("age") + 1)), VERSIONS, "body", key="user_id", timestamp="ts",
+                       offset="event_id")
+
+
 ARRIVALS = "arrivals"  # all arrival topics
 FEEDS = {CLICKS: _clicks, FUEL: _fuel, DRIFT: _drift, CUSTOMERS: _customers, MIXED: _mixed,
          BALANCES: _balances, RISK: _risk, ARRIVALS: _arrivals, STATIONS_TOPIC: _stations,
          SUMMARY_TOPIC: _summary, DEPOSITS: _deposits, WITHDRAWALS: _withdrawals, ATM: _atm,
-         VEHICLES: _vehicles, CHECKINS: _checkins}
+         VEHICLES: _vehicles, CHECKINS: _checkins, VERSIONS: _versions}
 
 #: Tables each feed is derived from.
 FEED_TABLES = {CLICKS: ["events"], FUEL: ["events"], DRIFT: ["events"], CUSTOMERS: ["customer", "nation"],
                MIXED: ["customer", "nation", "orders"], BALANCES: ["customer"], RISK: ["orders"],
                ARRIVALS: ["events"], STATIONS_TOPIC: ["nation", "region"], SUMMARY_TOPIC: ["events"],
                DEPOSITS: ["orders"], WITHDRAWALS: ["lineitem"], ATM: ["orders"], VEHICLES: ["lineitem"],
-               CHECKINS: ["supplier"]}
+               CHECKINS: ["supplier"], VERSIONS: ["events"]}
 
 
 def table_paths(sf_dir: str, names=TABLES) -> list:

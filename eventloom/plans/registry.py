@@ -17,8 +17,10 @@ from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType,
                                TimestampNTZType)
 
 from eventloom.functions import decode as D
+from eventloom.functions import resolution as RS
 from eventloom.functions import scalars as S
 from eventloom.operators import aggregates as A
+from eventloom.operators import asof as AO
 from eventloom.operators import joins as J
 from eventloom.operators import relational as R
 from eventloom.operators import tables as T
@@ -446,6 +448,52 @@ def dec_rejects(spark, sf):
     return D.flag_rejects(parsed, ["user_id"]).select("event_id", "user_id", "is_reject")
 
 
+def _record(*fields: dict) -> dict:
+    return {"type": "record", "name": "click", "fields": list(fields)}
+
+
+def _field(name: str, of, **more) -> dict:
+    return {"name": name, "type": of, **more}
+
+
+#: Writers' schemas of the versioned click topic, by id: an integer user and whole
+#: values; a renamed user; counts as a map of records; a type nobody can read.
+CLICK_VERSIONS = {
+    1: _record(_field("event_id", "long"), _field("user_id", "int"), _field("event_type", "string"), _field("value", ["null", "long"])),
+    2: _record(_field("event_id", "long"), _field("user_ref", "long"), _field("event_type", "string"),
+               _field("value", ["null", "double"]), _field("channel", "string")),
+    3: _record(_field("event_id", "long"), _field("user_id", "long"), _field("event_type", "string"),
+               _field("value", ["null", "double"]), _field("channel", "string"),
+               _field("counts", {"type": "map", "values": {"type": "record", "name": "count", "fields": [_field("n", ["null", "int"])]}})),
+    4: _record(_field("event_id", "long"), _field("user_id", "long"), _field("event_type", "long")),
+}
+CLICK_READER = _record(
+    _field("event_id", "long"), _field("user_id", "long", aliases=["user_ref"]), _field("event_type", "string"),
+    _field("value", ["null", "double"], default=None), _field("channel", "string", default="none"),
+    _field("counts", {"type": "map", "values": {"type": "record", "name": "count", "fields": [
+        _field("n", ["null", "long"]), _field("unit", "string", default="one")]}}, default={}))
+
+
+@q("dec_schema_versions", f"""
+SELECT event_id AS msg_offset, CAST(event_id % 5 + 1 AS BIGINT) AS schema_id,
+       CASE WHEN event_id % 5 < 3 THEN event_id END AS event_id,
+       CASE WHEN event_id % 5 < 3 THEN user_id END AS user_id,
+       CASE WHEN event_id % 5 < 3 THEN event_type END AS event_type,
+       CASE WHEN event_id % 5 = 0 THEN CAST(trunc(value) AS DOUBLE) WHEN event_id % 5 < 3 THEN value END AS value,
+       CASE event_id % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'app' WHEN 2 THEN 'web' END AS channel,
+       CASE WHEN event_id % 5 = 2 THEN CAST({STATION_SQL} AS BIGINT) END AS k,
+       CASE WHEN event_id % 5 = 2 THEN 'one' END AS unit,
+       CASE event_id % 5 WHEN 3 THEN 'event_type: long can''t be read as string' WHEN 4 THEN 'unknown schema 5' END AS reason
+FROM events""")
+def dec_schema_versions(spark, sf):
+    """One topic, written under several schema versions, read as one; messages
+    of versions that don't fit, or are unknown, set aside with the reason."""
+    read = RS.read_versions(_topic(spark, sf, FD.VERSIONS), "value", CLICK_VERSIONS, CLICK_READER,
+                            keep=[F.col("offset").alias("msg_offset")])
+    return read.select("msg_offset", "schema_id", "event_id", "user_id", "event_type", "value", "channel",
+                       F.col("counts")["k"]["n"].alias("k"), F.col("counts")["k"]["unit"].alias("unit"), "reason")
+
+
 @q("dec_demux", """
 SELECT 'customer' AS kind, CAST(c_custkey AS VARCHAR) AS accountNumber FROM customer
 UNION ALL SELECT 'location', CAST(o_custkey AS VARCHAR) FROM orders""")
@@ -697,6 +745,59 @@ def join_st_inner(spark, sf):
     return _run_and_read(spark, j.select("event_id", "user_id", "s_name", "s_acctbal"), "st_inner")
 
 
+ASOF_SQL = """
+WITH e AS (SELECT event_id, user_id, ts FROM events WHERE event_type IN ('view', 'click')),
+c AS (SELECT user_id, ts AS changed_at, value AS last_value, event_type = 'error' AS gone FROM events
+      WHERE event_type IN ('purchase', 'error')
+      QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+SELECT event_id, e.user_id, ts, CASE WHEN NOT gone THEN changed_at END AS changed_at,
+       CASE WHEN NOT gone THEN last_value END AS last_value
+FROM e ASOF {how} JOIN c ON e.user_id = c.user_id AND e.ts >= c.changed_at"""
+
+
+def _purchases(ev: DataFrame) -> DataFrame:
+    """The changing table: a user's last purchase; an error deletes it."""
+    return ev.filter(F.col("event_type").isin("purchase", "error")).select(
+        "user_id", F.col("ts").alias("changed_at"), F.col("value").alias("last_value"), "event_id",
+        (F.col("event_type") == "error").alias("gone"))
+
+
+def _looks(ev: DataFrame) -> DataFrame:
+    return ev.filter(F.col("event_type").isin("view", "click")).select("event_id", "user_id", "ts")
+
+
+def _asof(spark, sf, how) -> DataFrame:
+    ev = clicks(spark, sf)
+    return AO.as_of(_looks(ev), _purchases(ev), "user_id", "ts", "changed_at", ["changed_at", "last_value"], how,
+                    tie_break=["event_id"], deleted=F.col("gone"))
+
+
+@q("join_asof_left", ASOF_SQL.format(how="LEFT"))
+def join_asof_left(spark, sf):
+    """Events × a table as it stood at each event's time, left outer."""
+    return _asof(spark, sf, "left")
+
+
+@q("join_asof_inner", f"SELECT * FROM ({ASOF_SQL.format(how='')}) WHERE changed_at IS NOT NULL")
+def join_asof_inner(spark, sf):
+    """Events × a table as it stood at each event's time, inner."""
+    return _asof(spark, sf, "inner")
+
+
+@q("join_asof_stream", ASOF_SQL.format(how="LEFT"))
+def join_asof_stream(spark, sf):
+    """A stream of events × a table that changes while it runs."""
+    name = _uid("asof")
+    path = scratch_path(spark, name)
+    looks = _looks(clicks(spark, sf, stream=True))
+    AO.stream_as_of(looks, lambda: _purchases(clicks(spark, sf)), name, path, "user_id", "ts", "changed_at",
+                    ["changed_at", "last_value"], "left", tie_break=["event_id"], deleted=F.col("gone"),
+                    state_partitions=_parallelism(spark))
+    RN.drop_checkpoint(spark, name)
+    return spark.read.schema("event_id long, user_id long, ts timestamp_ntz, changed_at timestamp_ntz, last_value double,"
+                             " batch_id long").parquet(path).drop("batch_id")
+
+
 @q("join_full", """
 WITH latest AS (SELECT user_id, event_id, event_type FROM events
                 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
