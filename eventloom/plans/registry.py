@@ -33,9 +33,11 @@ from eventloom.session import configure, derived_path, scratch_path
 from eventloom.sources import files as FS
 from eventloom.sources import following as FW
 from eventloom.sources import incremental as INC
-from eventloom.sources.topics import read_topic, replay, replay_slices
+from eventloom.sources.topics import read_topic, replay, replay_slices, write_topic
+from eventloom.streaming import compaction as CP
 from eventloom.streaming import runner as RN
 from eventloom.streaming import sinks as SK
+from eventloom.streaming import tables as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1031,6 +1033,49 @@ def tbl_compact(spark, sf):
     return T.compact(cl, "user_id", ["ts", "event_id"], "payload", ["event_id", "event_type", "payload"])
 
 
+COMPACT_SQL = f"SELECT user_id, event_id, event_type, props AS payload FROM ({LATEST_SQL}) WHERE event_type <> 'error'"
+
+
+def _with_tombstones(env: DataFrame) -> DataFrame:
+    """The click topic with errors as messages without a value, offsets in event order."""
+    is_error = F.get_json_object(F.col("value").cast("string"), "$.event_type") == "error"
+    return env.withColumn("value", F.when(~is_error, F.col("value")))
+
+
+@q("tbl_compact_topic", COMPACT_SQL)
+def tbl_compact_topic(spark, sf):
+    """A stored topic compacted twice, with messages appended in between: the
+    last message of every key, keys whose last one is a tombstone deleted."""
+    env = _with_tombstones(_topic(spark, sf, FD.CLICKS))
+    path = scratch_path(spark, _uid("compacted"))
+    before = F.col("timestamp") < F.lit(FD.DRIFT_START).cast("timestamp")
+    for part in (env.filter(before), env.filter(~before)):
+        write_topic(part, path)
+        CP.compact_topic(spark, path, FD.CLICKS, retention_seconds=0)
+    log = CP.read_log(spark, path, FD.CLICKS)
+    clicks_ = D.parse_json(log.filter("value is not null"), "value", CLICK_EVENT)
+    return clicks_.select("user_id", "event_id", "event_type", F.col("props").alias("payload"))
+
+
+@q("tbl_compact_stream", COMPACT_SQL)
+def tbl_compact_stream(spark, sf):
+    """The same as a table that a stream keeps: a tombstone deletes its key, and
+    older values that come later don't bring it back (the newer half of the
+    events is merged first; the stream starts again for the older half)."""
+    cl = clicks(spark, sf)
+    cl = cl.select("user_id", "event_id", "event_type", "ts", F.when(F.col("event_type") != "error", F.col("props")).alias("payload"))
+    name = _uid("compact_stream")
+    base = scratch_path(spark, name)
+    before = F.col("ts") < F.lit(FD.DRIFT_START).cast("timestamp_ntz")
+    for part in (cl.filter(~before), cl.filter(before)):
+        part.write.mode("append").parquet(f"{base}/changes")
+        s = spark.readStream.schema(cl.schema).parquet(f"{base}/changes")
+        ST.upsert_latest(s, ["user_id"], ["ts", "event_id"], f"{base}/table", name, buckets=8, deleted="payload",
+                         state_partitions=_parallelism(spark))
+    RN.drop_checkpoint(spark, name)
+    return ST.read_table(spark, f"{base}/table").select("user_id", "event_id", "event_type", "payload")
+
+
 @q("tbl_filtered", f"""
 SELECT user_id, event_id, ts, event_type, value, props FROM ({LATEST_SQL}) WHERE event_type LIKE 'p%'""")
 def tbl_filtered(spark, sf):

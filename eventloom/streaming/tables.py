@@ -10,6 +10,12 @@ before the switch leaves the old version as it was, and the replayed batch
 writes a version of its own. The manifest also holds each query's last merged
 batch, so a batch that was published is not merged twice.
 
+With ``deleted`` (a column whose null marks a deletion) a deleted key leaves the
+table that readers see, but its row stays as a tombstone, so that an older
+value that arrives late, after a restart or once the buckets were dealt anew,
+doesn't bring it back. Tombstones older than ``retention_seconds`` before the
+newest event merged so far are removed when their bucket is next written.
+
 Buckets are counted by the data: when they hold more than ``BUCKET_ROWS`` rows
 on average, the next merge writes the whole table with twice as many.
 """
@@ -70,9 +76,11 @@ def _buckets_written(spark: SparkSession, folder: str) -> list[int]:
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, keys: Sequence[str], order: Sequence[str],
-                path: str, buckets: int, batch_id: int, query: str = "batch") -> None:
+                path: str, buckets: int, batch_id: int, query: str = "batch", deleted: str | None = None,
+                retention_seconds: int | None = None) -> None:
     """Merge one batch of changes into the table at ``path``. ``buckets`` is
-    the number a new table starts with."""
+    the number a new table starts with. ``retention_seconds`` needs the first
+    of ``order`` to be the event time."""
     cols = list(batch.columns)
     numbers = _manifests(spark, path)
     now = _load(spark, path, numbers[-1]) if numbers else {"buckets": buckets, "folders": {}, "rows": {}, "merged": {}}
@@ -96,17 +104,27 @@ def merge_batch(spark: SparkSession, batch: DataFrame, keys: Sequence[str], orde
         current = spark.read.schema(batch.schema).parquet(*old).withColumn(BUCKET, _bucket_of(keys, n))
         changes = current.select(*cols, BUCKET).unionByName(changes.select(*cols, BUCKET))
     out = f"{version}/rows"
-    (latest(changes, list(keys), list(order), [c for c in cols if c not in keys] + [BUCKET])
-     .write.partitionBy(BUCKET).parquet(out))
+    rows_ = latest(changes, list(keys), list(order), [c for c in cols if c not in keys] + [BUCKET])
+    newest = now.get("newest")
+    if deleted is not None and retention_seconds is not None:
+        seen = spark.read.schema(schema).parquet(staged).agg(F.max(F.unix_micros(F.col(order[0]).cast("timestamp")))).first()[0]
+        newest = max([x for x in (newest, seen) if x is not None], default=None)
+        if newest is not None:
+            old_ = F.unix_micros(F.col(order[0]).cast("timestamp")) < newest - retention_seconds * 1_000_000
+            rows_ = rows_.filter(~(F.col(deleted).isNull() & F.coalesce(old_, F.lit(False))))
+    rows_.write.partitionBy(BUCKET).parquet(out)
     written = _buckets_written(spark, out)
     # one number per bucket written
     rows = {str(r[BUCKET]): r["n"] for r in spark.read.schema(schema).parquet(out)
             .groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
     fresh = {str(b): f"{out}/{BUCKET}={b}" for b in written}
     keep = now if n == now["buckets"] else {"folders": {}, "rows": {}}
+    if n == now["buckets"]:  # a bucket of which nothing is left has no folder
+        keep = {k: {b: v for b, v in now[k].items() if int(b) not in touched} for k in ("folders", "rows")}
     _publish(spark, path, (numbers[-1] if numbers else 0) + 1, {
         "buckets": n, "folders": {**keep["folders"], **fresh}, "rows": {**keep["rows"], **rows},
-        "merged": {**now["merged"], query: batch_id}})
+        "merged": {**now["merged"], query: batch_id}, "deleted": deleted, "newest": newest,
+        "schema": batch.schema.jsonValue()})
     _drop_old(spark, path)
 
 
@@ -128,12 +146,13 @@ def _drop_old(spark: SparkSession, path: str) -> None:
 
 
 def upsert_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str,
-                  query_name: str, buckets: int = 8, **run_kw):
+                  query_name: str, buckets: int = 8, deleted: str | None = None,
+                  retention_seconds: int | None = None, **run_kw):
     """Run a change stream into a latest-value table at ``path``."""
     spark = df.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(spark, batch, keys, order, path, buckets, batch_id, query_name)
+        merge_batch(spark, batch, keys, order, path, buckets, batch_id, query_name, deleted, retention_seconds)
 
     return run_available(df, query_name, foreach_batch=merge, **run_kw)
 
@@ -143,4 +162,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     numbers = _manifests(spark, path)
     if not numbers:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.parquet(*_load(spark, path, numbers[-1])["folders"].values())
+    now = _load(spark, path, numbers[-1])
+    if not now["folders"]:
+        return spark.createDataFrame([], StructType.fromJson(now["schema"]))
+    rows = spark.read.parquet(*now["folders"].values())
+    return rows if now.get("deleted") is None else rows.filter(F.col(now["deleted"]).isNotNull())
