@@ -43,17 +43,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import per_chunk, shared_folder, text_buffer
+from eventloom.llm.common import input_bytes, per_chunk, shared_folder, text_buffer
 from eventloom.llm.words import LOWER, Words, mix
 
 #: Times a phrase must occur, words of the longest, and rows reported per language.
 LEAST, LONGEST, TOP = 10, 3, 2000
 #: A candidate is dropped if a longer one has this percentage of its occurrences.
 COVERED = 50
-SHARDS = 3
+SHARDS = 2
 #: Bits of a cell's number, and cells of an activation map: at most (two bytes each), and per phrase.
 BITS = 23
 CELLS, PER = 1 << BITS, 8
+#: Bytes of the texts' files per task of the last scan.
+TASK_BYTES = 1 << 30
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -219,10 +221,12 @@ class Counter:
                 # words are counted after one cycle, pairs one cycle after the last word got frequent
                 open_ = [k for k in range(1, longest) if self.scans <= shards + (self.last[1] if k > 1 else 0)]
                 maps = {**maps, **self._activate(open_)}
-            found = self._activate(list(range(1, longest + 1)))
+            found = {**maps, **self._activate([longest])}
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        named = self.texts.select("lang", "text").mapInArrow(_namer(found), NAMED)
+        # large tasks, as each gives every frequent phrase that it meets once
+        tasks = max(2 * self.spark.sparkContext.defaultParallelism, input_bytes(self.texts) // TASK_BYTES)
+        named = self.texts.select("lang", "text").coalesce(tasks).mapInArrow(_namer(found), NAMED)
         (named.groupBy("lang", "len", "phrase").agg(F.sum("n").alias("f"))
          .filter((F.col("len") == 0) | (F.col("f") >= least)).write.parquet(f"{self.folder}/named"))
         self.named = self.spark.read.schema("lang string, len int, phrase string, f long").parquet(f"{self.folder}/named")
@@ -232,7 +236,7 @@ class Counter:
         found = texts.mapInArrow(_scanner(self.scans, self.shards, maps), "len int, h long, n long")
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (found.groupBy("len", "h").agg(F.sum("n").alias("n")).withColumn("scan", F.lit(self.scans))
-         .write.mode("append").bucketBy(buckets, "len", "h").option("path", f"{self.folder}/counts")
+         .write.mode("append").partitionBy("len").bucketBy(buckets, "h").option("path", f"{self.folder}/counts")
          .saveAsTable(self.table))
         self.scans += 1
 
