@@ -74,3 +74,16 @@ def top_k_array(df: DataFrame, keys, value: str, k: int, alias: str = "topk") ->
     return rows.groupBy(*_keys(keys)).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", F.col(value)))),
                     lambda e: e.getField(value)).alias(alias))
+
+
+def histogram_stream(df: DataFrame, ts: str, key: str, value: str, amount: str, size: str, round_to: int = 2) -> DataFrame:
+    """Per key and window of a watermarked stream: how often each ``value``
+    occurs (one row per entry) next to the key's total ``amount``. Two chained
+    aggregations: (window, key, value) first, so that a key's rows are summed
+    apart and in parallel, then (window, key) over one row per value. Append mode."""
+    parts = (df.groupBy(F.window(F.col(ts), size).alias("_p"), key, value)
+             .agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_s")))
+    whole = (parts.groupBy(F.window(F.col("_p"), size).alias("_w"), key)
+             .agg(F.collect_list(F.struct(value, "_n")).alias("_h"), F.round(F.sum("_s"), round_to).alias("total")))
+    return (whole.select(F.col("_w.start").cast("timestamp_ntz").alias("window_start"), key, "total", F.explode("_h").alias("_e"))
+            .select("window_start", key, F.col(f"_e.{value}").alias(value), F.col("_e._n").alias("occurrences"), "total"))

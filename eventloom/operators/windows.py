@@ -59,6 +59,17 @@ def hopping_count(df, ts, keys, size, slide, alias="n", panes=False):
     return _from_panes(df, ts, keys, size, slide, F.count(F.lit(1)), lambda c: F.sum(c).cast("long"), alias)
 
 
+def hopping_sum_stream(df, ts, keys, value, size, slide, alias="total", round_to=2, ntz_out: bool = True) -> DataFrame:
+    """Sum per key per hopping window of a watermarked stream, as two chained
+    aggregations: panes as long as the slide first, then windows of panes. A
+    row reaches one pane, and only closed panes (one row each) go on to the
+    windows they belong to. Append mode."""
+    ks = [str(k) for k in _keys(keys)]
+    panes = df.groupBy(F.window(F.col(ts), slide).alias("_p"), *ks).agg(F.sum(value).alias("_s"))
+    w = panes.groupBy(F.window(F.col("_p"), size, slide).alias("_w"), *ks).agg(F.round(F.sum("_s"), round_to).alias(alias))
+    return w.select(*_bounds(F.col("_w"), ntz_out), *ks, alias)
+
+
 def _from_panes(df, ts, keys, size, slide, pane_agg: Column, combine, alias):
     ks = [str(k) for k in _keys(keys)]
     size_s, slide_s = _seconds(size), _seconds(slide)

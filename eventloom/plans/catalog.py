@@ -8,8 +8,6 @@ sink of its own and keeps a checkpoint named after it).
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -37,10 +35,21 @@ def derive(spark: SparkSession, query_name: str, sql: str, sink, **sink_kwargs):
     return sink(spark.sql(sql), query_name=query_name, **sink_kwargs)
 
 
+def views_of(plan) -> set[str]:
+    """Names of the views that an analysed plan reads, found by walking its nodes."""
+    found, todo = set(), [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "View":
+            found.add(node.desc().identifier().table().lower())
+        for below in (node.children(), node.subqueries()):
+            todo += [below.apply(i) for i in range(below.size())]
+    return found
+
+
 def reads(query: StreamingQuery) -> set[str]:
-    """Names of the views a running query reads, from its analysed plan."""
-    plan = query._jsq.streamingQuery().analyzedPlan().toString()
-    return {m.lower() for m in re.findall(r"SubqueryAlias (?:\w+\.)*(\w+)", plan)}
+    """Names of the views a running query reads."""
+    return views_of(query._jsq.streamingQuery().analyzedPlan())
 
 
 def list_views(spark: SparkSession, names: list[str] | None = None) -> DataFrame:

@@ -27,15 +27,18 @@ from eventloom.operators import tables as T
 from eventloom.operators import windows as W
 from eventloom.plans import catalog as C
 from eventloom.plans import feeds as FD
+from eventloom.plans import persistent as PQ
 from eventloom.schemas import (ARRIVAL, CLICK_EVENT, CUSTOMER_RECORD, LOCATION_RECORD,
                                RISK_EVENT)
 from eventloom.session import configure, derived_path, scratch_path
 from eventloom.sources import files as FS
 from eventloom.sources import following as FW
 from eventloom.sources import incremental as INC
-from eventloom.sources.topics import read_topic, replay, replay_slices, write_topic
+from eventloom.sources.topics import publish_slice, read_topic, stage_slices, time_slices, write_topic
 from eventloom.streaming import compaction as CP
+from eventloom.streaming import late as LT
 from eventloom.streaming import runner as RN
+from eventloom.streaming import running as RG
 from eventloom.streaming import sinks as SK
 from eventloom.streaming import tables as ST
 
@@ -858,6 +861,17 @@ def agg_histogram(spark, sf):
                     F.round(F.sum("s").over(Window.partitionBy("user_id")), 2).alias("total"))
 
 
+@q("agg_histogram_stream", """
+WITH h AS (SELECT time_bucket(INTERVAL '1 day', ts, TIMESTAMP '1970-01-01') AS window_start, user_id, event_type,
+                  count(*) AS occurrences, sum(value) AS s FROM events GROUP BY 1, 2, 3)
+SELECT window_start, user_id, event_type, occurrences, round(sum(s) OVER (PARTITION BY window_start, user_id), 2) AS total
+FROM h WHERE window_start + INTERVAL '1 day' <= (SELECT max(ts) FROM events) - INTERVAL '10 seconds'""")
+def agg_histogram_stream(spark, sf):
+    """The histogram and total of each user's day, as a stream; closed days."""
+    return _run_and_read(spark, A.histogram_stream(_timed_clicks(spark, sf), "ts", "user_id", "event_type", "value", "1 day"),
+                         "histogram")
+
+
 @q("agg_topk", """
 SELECT event_type, CAST(pos AS INTEGER) AS pos, value FROM (
   SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS pos
@@ -947,6 +961,19 @@ def win_current(spark, sf):
     return r.select("event_id", "event_type", "window_start", "current")
 
 
+@q("win_current_stream", f"""
+SELECT event_id, event_type, {_bucket(86400)} AS window_start,
+       round(sum(value) OVER (PARTITION BY event_type, {_bucket(86400)} ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS current
+FROM events WHERE {_bucket(3600)} + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '10 seconds'""")
+def win_current_stream(spark, sf):
+    """After each event, the running value of its own day, from a stream whose
+    events aren't in order; those of the hours that the watermark closed."""
+    s = clicks(spark, sf, stream=True).select("event_id", "ts", "event_type", "value")
+    r = RG.running_in_window_ordered(s, "ts", "event_type", "value", "event_id", 86400, 3600)
+    return _run_and_read(spark, r, "running", settings=RG.SETTINGS).select("event_id", "event_type", "window_start", "current")
+
+
 @q("win_late", """
 WITH w AS (SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start, event_type,
                   count(*) AS n FROM events GROUP BY 1, 2)
@@ -957,18 +984,47 @@ def win_late(spark, sf):
     window is emitted once the watermark passes its end, later rows are
     dropped by the engine. The topic is replayed in slices of event time, each
     one micro-batch of the same checkpointed query."""
-    slices = replay_slices(_topic(spark, sf, FD.CLICKS), scratch_path(spark, _uid("slices")), 4)
+    env, staging = _topic(spark, sf, FD.CLICKS), scratch_path(spark, _uid("slices"))
+    stage_slices(env, staging, time_slices(env, 4))
     topic, name = scratch_path(spark, _uid("replay")), _uid("late")
     out = scratch_path(spark, name)
-
-    def step() -> None:
+    for i in range(4):
+        publish_slice(spark, staging, i, topic)
         s = D.parse_json(read_topic(spark, topic, topics=FD.CLICKS, stream=True), "value", CLICK_EVENT)
         s = W.event_time(s, "ts", "10 seconds")
         agg = W.windowed_agg(s, "ts", "event_type", [F.count(F.lit(1)).alias("n")], "1 hour")
         RN.run_available(agg, name, path=out, state_partitions=_parallelism(spark))
-
-    replay(slices, topic, step)
-    return spark.read.parquet(out)
+    RN.drop_checkpoint(spark, name)
+    return spark.read.schema(agg.schema).parquet(out)
+
+
+#: Ends of the slices in which late rows are looked for; every 50th event comes a slice late.
+SLICE_ENDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
+SLICE_SQL = " + ".join(f"CAST(ts >= TIMESTAMP '{t}' AS INTEGER)" for t in SLICE_ENDS)
+
+
+@q("win_late_rows", f"""
+WITH s AS (SELECT *, least(3, {SLICE_SQL} + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END) AS slice FROM events),
+w AS (SELECT a.slice, max(b.ts) AS mark FROM (SELECT DISTINCT slice FROM s) a JOIN s b ON b.slice < a.slice GROUP BY 1)
+SELECT event_id, ts, event_type, coalesce(ts < mark - INTERVAL '10 seconds', false) AS is_late
+FROM s LEFT JOIN w USING (slice)""")
+def win_late_rows(spark, sf):
+    """Rows that come after the watermark as an output of their own, each
+    compared with the watermark of its own micro-batch; all rows are returned."""
+    at, delayed = F.col("timestamp"), F.when(F.col("offset") % 50 == 0, 1).otherwise(0)
+    slice_no = delayed
+    for end in SLICE_ENDS:
+        slice_no = slice_no + F.when(at >= F.lit(end).cast("timestamp"), 1).otherwise(0)
+    staging, topic, name = scratch_path(spark, _uid("slices")), scratch_path(spark, _uid("delayed")), _uid("routed")
+    stage_slices(_topic(spark, sf, FD.CLICKS), staging, F.least(F.lit(3), slice_no))
+    out = scratch_path(spark, name)
+    for i in range(4):
+        publish_slice(spark, staging, i, topic)
+        s = D.parse_json(read_topic(spark, topic, topics=FD.CLICKS, stream=True), "value", CLICK_EVENT)
+        s = s.select("event_id", "ts", "event_type")
+        LT.route_late(s, "ts", 10, name, out, state_partitions=_parallelism(spark))
+    RN.drop_checkpoint(spark, name)
+    return LT.read_routed(spark, out, s.schema).drop("batch_id")
 
 
 CLOSED = "(SELECT max(ts) FROM events) - INTERVAL '10 seconds'"
@@ -995,8 +1051,8 @@ SELECT window_start, window_start + INTERVAL '60 seconds' AS window_end, event_t
 FROM e WHERE window_start + INTERVAL '60 seconds' <= {CLOSED} GROUP BY 1, 2, 3""")
 def win_hopping_stream(spark, sf):
     """Streaming sum per key in 60-second windows every 10 seconds; closed windows."""
-    return _run_and_read(spark, W.hopping_sum(_timed_clicks(spark, sf), "ts", "event_type", "value",
-                                              "60 seconds", "10 seconds"), "hopping")
+    return _run_and_read(spark, W.hopping_sum_stream(_timed_clicks(spark, sf), "ts", "event_type", "value",
+                                                     "60 seconds", "10 seconds"), "hopping")
 
 
 @q("win_session_stream", f"""
@@ -1211,6 +1267,34 @@ def cat_derive(spark, sf):
     return D.parse_json(read_topic(spark, path, topics="popular-values"), "value", schema)
 
 
+@q("cat_restore", """
+SELECT event_id, event_type, value FROM events WHERE value >= 100""")
+def cat_restore(spark, sf):
+    """A persistent query that outlives its session: created over the first
+    part of a topic, stopped with everything else, then restored from the log
+    in a new session, where it goes on with what was added since."""
+    base = scratch_path(spark, _uid("persistent"))
+    stream, name = _uid("clicks_logged"), _uid("large_values")
+    env, before = _topic(spark, sf, FD.CLICKS), F.col("timestamp") < F.lit(FD.DRIFT_START).cast("timestamp")
+    write_topic(env.filter(before), f"{base}/in")
+    first = PQ.Catalog(spark, f"{base}/catalog", _parallelism(spark))
+    first.create_stream(stream, f"{base}/in", FD.CLICKS, CLICK_EVENT)
+    query = first.create_query(name, f"SELECT event_id, event_type, value FROM `{stream}` WHERE value >= 100", "event_type",
+                               "large-values", f"{base}/out", "event_id")
+    query.processAllAvailable()
+    query.stop()
+    spark.catalog.dropTempView(stream)
+    write_topic(env.filter(~before), f"{base}/in")
+
+    again = PQ.Catalog(configure(spark.newSession()), f"{base}/catalog", _parallelism(spark))
+    again.restore()[name].processAllAvailable()
+    again.terminate(name)
+    again.drop_stream(stream)
+    RN.drop_checkpoint(spark, name)
+    schema = StructType([f for f in CLICK_EVENT.fields if f.name in ("event_id", "event_type", "value")])
+    return D.parse_json(read_topic(spark, f"{base}/out", topics="large-values"), "value", schema)
+
+
 @q("cat_drop", """
 SELECT 'drop_while_running' AS step, 'refused' AS outcome
 UNION ALL SELECT 'drop_after_terminate', 'dropped'

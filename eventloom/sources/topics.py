@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventloom.schemas import ENVELOPE
+from eventloom.session import _fs
 
 ENVELOPE_COLUMNS = [f.name for f in ENVELOPE.fields]
 
@@ -171,15 +172,10 @@ def replay_slices(envelopes: DataFrame, staging: str, pieces: int) -> list[DataF
 
     Bounds are quantiles computed by Spark (bounded memory); the topic is
     written once, a folder per slice. Messages without a time go first."""
-    at = F.col("timestamp").cast("double")
-    bounds = envelopes.select(at.alias("t")).approxQuantile("t", [i / pieces for i in range(1, pieces)], 0.001)
-    slice_no = F.lit(0)
-    for b in sorted(set(bounds)):
-        slice_no = slice_no + F.when(at >= b, 1).otherwise(0)
-    envelopes.withColumn("_slice", slice_no).write.mode("overwrite").partitionBy("_slice").parquet(staging)
+    envelopes.withColumn("_slice", time_slices(envelopes, pieces)).write.mode("overwrite").partitionBy("_slice").parquet(staging)
     spark = envelopes.sparkSession
     cut = spark.read.parquet(staging)
-    return [cut.filter(F.col("_slice") == i).select(*ENVELOPE_COLUMNS) for i in range(len(set(bounds)) + 1)]
+    return [cut.filter(F.col("_slice") == i).select(*ENVELOPE_COLUMNS) for i in range(pieces)]
 
 
 def replay(slices: Iterable[DataFrame], path: str, step) -> None:
@@ -192,3 +188,35 @@ def replay(slices: Iterable[DataFrame], path: str, step) -> None:
     for one in slices:
         write_topic(one, path)
         step()
+
+
+def stage_slices(envelopes: DataFrame, staging: str, slice_no: Column) -> None:
+    """Write a topic once, apart by slice; :func:`publish_slice` puts the slices
+    into a topic folder one by one, by renaming their files."""
+    (envelopes.select(*ENVELOPE_COLUMNS, slice_no.alias("_slice"))
+     .write.mode("overwrite").partitionBy("_slice", "topic").parquet(staging))
+
+
+def publish_slice(spark: SparkSession, staging: str, number: int, path: str) -> None:
+    """Move one staged slice's files into a topic folder (no file is copied)."""
+    root, fs = _fs(spark, f"{staging}/_slice={number}")
+    if not fs.exists(root):
+        return
+    for topic in fs.listStatus(root):
+        target, _ = _fs(spark, f"{path}/{topic.getPath().getName()}")
+        fs.mkdirs(target)
+        for f in fs.listStatus(topic.getPath()):
+            name = f.getPath().getName()
+            if not name.startswith(("_", ".")) and not fs.rename(f.getPath(), _fs(spark, f"{target}/{number}-{name}")[0]):
+                raise RuntimeError(f"cannot publish {f.getPath()}")
+
+
+def time_slices(envelopes: DataFrame, pieces: int) -> Column:
+    """A message's slice when the topic is cut by message time into about equal
+    ``pieces`` (quantiles computed by Spark); messages without a time go first."""
+    at = F.col("timestamp").cast("double")
+    bounds = envelopes.select(at.alias("t")).approxQuantile("t", [i / pieces for i in range(1, pieces)], 0.001)
+    slice_no = F.lit(0)
+    for b in sorted(set(bounds)):
+        slice_no = slice_no + F.when(at >= b, 1).otherwise(0)
+    return slice_no

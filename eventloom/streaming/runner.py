@@ -41,14 +41,16 @@ def start(df: DataFrame, query_name: str, fmt: str = "parquet",
           output_mode: str = "append", partition_by: Sequence[str] = (),
           options: Mapping[str, str] | None = None,
           foreach_batch: Callable | None = None, trigger: Mapping | None = None,
-          path: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+          path: str | None = None, state_partitions: int | None = None,
+          settings: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start ``df`` (a stream) and return its handle; it runs until it is
     stopped, or until all input is processed if the trigger is ``availableNow``.
 
     ``foreach_batch`` takes the place of a file sink (side effects, ``update``
     mode tables). ``state_partitions`` sets the shuffle (and state store)
-    partition count that the query's checkpoint is created with; queries that
-    set it start one at a time."""
+    partition count that the query's checkpoint is created with, ``settings``
+    other session settings that it starts with; queries that set any start one
+    at a time."""
     spark = df.sparkSession
     w = df.writeStream.queryName(query_name).outputMode(output_mode) \
         .option("checkpointLocation", checkpoint_for(spark, query_name))
@@ -63,17 +65,21 @@ def start(df: DataFrame, query_name: str, fmt: str = "parquet",
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w = w.trigger(**dict(trigger or {"availableNow": True}))
-    key = "spark.sql.shuffle.partitions"
-    if not state_partitions:
+    held = dict(settings or {})
+    if state_partitions:
+        held["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if not held:
         return w.start()
-    # a query takes the setting when it starts, so the session's is held for that long only
+    # a query takes the settings when it starts, so the session's are held for that long only
     with _STARTING:
-        before = spark.conf.get(key)
-        spark.conf.set(key, str(state_partitions))
+        before = {k: spark.conf.get(k, None) for k in held}
+        for k, v in held.items():
+            spark.conf.set(k, v)
         try:
             return w.start()
         finally:
-            spark.conf.set(key, before)
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 class NotFinished(RuntimeError):
