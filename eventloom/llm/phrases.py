@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import input_bytes, per_chunk, shared_folder, text_buffer
+from eventloom.llm.common import chunks, input_bytes, per_chunk, shared_folder, text_buffer
 from eventloom.llm.words import LOWER, Words, mix
 
 #: Times a phrase must occur, words of the longest, and rows reported per language.
@@ -54,8 +54,9 @@ SHARDS = 2
 #: Bits of a cell's number, and cells of an activation map: at most (two bytes each), and per phrase.
 BITS = 23
 CELLS, PER = 1 << BITS, 8
-#: Bytes of the texts' files per task of the last scan.
-TASK_BYTES = 1 << 30
+#: Bytes of the texts' files per task, counts that a task sums up before it gives
+#: them out, and bytes of text whose phrases are named at once.
+TASK_BYTES, HELD, NAMED_BYTES = 1 << 30, 1 << 21, 6 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -155,29 +156,57 @@ class _Chunk:
              phrase.cast(pa.string()), pa.array(times.astype(np.int64))], schema=_NAMED)
 
 
-def _hashed(h: np.ndarray, length: int) -> pa.RecordBatch:
-    h, times = np.unique(h, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), length, np.int32)), pa.array(h.view(np.int64)),
-                                       pa.array(times.astype(np.int64))], schema=_HASHED)
+class _Sums:
+    """Counts by hash of one length, summed over a task's chunks."""
+
+    def __init__(self, length: int):
+        self.length, self.parts, self.size = length, [], 0
+
+    def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(np.unique(h, return_counts=True))
+        self.size += len(self.parts[-1][0])
+        if self.size > HELD:
+            yield from self.flush(HELD // 2)
+
+    def flush(self, most: int = 0) -> Iterator[pa.RecordBatch]:
+        """Sum up what is held, and give it out if that leaves more than ``most``."""
+        if not self.size:
+            return
+        h, n = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(h, kind="stable")
+        h, n = h[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        h, n = h[first], np.add.reduceat(n, first)
+        self.parts, self.size = [(h, n)], len(h)
+        if len(h) > most:
+            self.parts, self.size = [], 0
+            for at in range(0, len(h), 1 << 16):
+                part = h[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), self.length, np.int32)), pa.array(part.view(np.int64)),
+                     pa.array(n[at:at + (1 << 16)].astype(np.int64))], schema=_HASHED)
 
 
 def _scanner(scan: int, shards: int, maps: dict):
     """Counts, by hash, of the phrases that are due in a scan."""
-    def count(part: pa.RecordBatch, opened: list):
-        c = _Chunk(part)
-        if scan < shards:
-            yield _hashed(c.hashes, 1)
-        for k, cells in opened:
-            # a phrase of k + 1 words has two parts of k words, one word apart
-            at, h = c.phrases(k)
-            sets = np.zeros(len(c.ids) + 1, np.uint16)
-            sets[at] = _sets(cells, h)
-            at, h = c.phrases(k + 1)
-            yield _hashed(h[_due(sets[at], sets[at + 1], scan, shards)], k + 1)
-
     def run(batches):
         opened = list(_opened(maps))
-        return per_chunk(lambda part: count(part, opened))(batches)
+        sums = {k: _Sums(k) for k in range(1, LONGEST + 1)}
+
+        def count(part: pa.RecordBatch):
+            c = _Chunk(part)
+            if scan < shards:
+                yield from sums[1].add(c.hashes)
+            for k, cells in opened:
+                # a phrase of k + 1 words has two parts of k words, one word apart
+                at, h = c.phrases(k)
+                sets = np.zeros(len(c.ids) + 1, np.uint16)
+                sets[at] = _sets(cells, h)
+                at, h = c.phrases(k + 1)
+                yield from sums[k + 1].add(h[_due(sets[at], sets[at + 1], scan, shards)])
+        yield from per_chunk(count)(batches)
+        for s in sums.values():
+            yield from s.flush()
     return run
 
 
@@ -194,7 +223,9 @@ def _namer(maps: dict):
 
     def run(batches):
         opened = list(_opened(maps))
-        return per_chunk(lambda part: count(part, opened))(batches)
+        for batch in batches:
+            for part in chunks(batch, "text", NAMED_BYTES):
+                yield from count(part, opened)
     return run
 
 
@@ -212,6 +243,8 @@ class Counter:
         docs.select("lang", "text", "doc_id").withColumn("shard", shard).drop("doc_id") \
             .write.partitionBy("shard").parquet(f"{self.folder}/texts")
         self.texts = self.spark.read.schema("lang string, text string, shard int").parquet(f"{self.folder}/texts")
+        # large tasks, as each gives a phrase that it meets often once
+        self.tasks = max(2 * self.spark.sparkContext.defaultParallelism, input_bytes(self.texts) // TASK_BYTES)
         self.scans = 0
         self.last = {1: 0, 2: 0}  # the last scan after which a phrase of a length became frequent
         maps: dict = {}
@@ -224,19 +257,17 @@ class Counter:
             found = {**maps, **self._activate([longest])}
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        # large tasks, as each gives every frequent phrase that it meets once
-        tasks = max(2 * self.spark.sparkContext.defaultParallelism, input_bytes(self.texts) // TASK_BYTES)
-        named = self.texts.select("lang", "text").coalesce(tasks).mapInArrow(_namer(found), NAMED)
+        named = self.texts.select("lang", "text").coalesce(self.tasks).mapInArrow(_namer(found), NAMED)
         (named.groupBy("lang", "len", "phrase").agg(F.sum("n").alias("f"))
          .filter((F.col("len") == 0) | (F.col("f") >= least)).write.parquet(f"{self.folder}/named"))
         self.named = self.spark.read.schema("lang string, len int, phrase string, f long").parquet(f"{self.folder}/named")
 
     def _scan(self, maps: dict) -> None:
         texts = self.texts.filter(F.col("shard") == self.scans % self.shards).select("lang", "text")
-        found = texts.mapInArrow(_scanner(self.scans, self.shards, maps), "len int, h long, n long")
+        found = texts.coalesce(self.tasks).mapInArrow(_scanner(self.scans, self.shards, maps), "len int, h long, n long")
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (found.groupBy("len", "h").agg(F.sum("n").alias("n")).withColumn("scan", F.lit(self.scans))
-         .write.mode("append").partitionBy("len").bucketBy(buckets, "h").option("path", f"{self.folder}/counts")
+         .write.mode("append").option("parquet.enable.dictionary#h", "false").partitionBy("len").bucketBy(buckets, "h").option("path", f"{self.folder}/counts")
          .saveAsTable(self.table))
         self.scans += 1
 
