@@ -76,6 +76,16 @@ def top_k_array(df: DataFrame, keys, value: str, k: int, alias: str = "topk") ->
                     lambda e: e.getField(value)).alias(alias))
 
 
+def histogram_with_total(df: DataFrame, key: str, value: str, amount: str, round_to: int = 2) -> DataFrame:
+    """Per key: how often each ``value`` occurs (one row per entry) next to the
+    key's total ``amount``. Totals are summed from the entries and joined back,
+    one row per key, so a key's entries never have to meet in one window."""
+    parts = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("occurrences"), F.sum(amount).alias("_s"))
+    totals = parts.groupBy(key).agg(F.round(F.sum("_s"), round_to).alias("total")).withColumnRenamed(key, "_of")
+    return (parts.join(totals, F.col(key).eqNullSafe(F.col("_of")))
+            .select(key, value, "occurrences", "total"))
+
+
 def histogram_stream(df: DataFrame, ts: str, key: str, value: str, amount: str, size: str, round_to: int = 2) -> DataFrame:
     """Per key and window of a watermarked stream: how often each ``value``
     occurs (one row per entry) next to the key's total ``amount``. Two chained

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType,
                                StringType, StructField, StructType,
@@ -81,6 +81,11 @@ def _run_and_read(spark, df: DataFrame, name: str, **kw) -> DataFrame:
     return spark.read.schema(df.schema).parquet(out)
 
 
+#: State of stream joins: on disk, one store per partition, written as changes.
+JOIN_STATE = {**RG.SETTINGS, "spark.sql.streaming.join.stateFormatVersion": "3",
+              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
 def clicks(spark, sf, stream=False) -> DataFrame:
     """Decoded click events from the clickevents topic."""
     return D.parse_json(_topic(spark, sf, FD.CLICKS, stream=stream), "value", CLICK_EVENT)
@@ -297,10 +302,8 @@ def src_csv_schema(spark, sf):
     path = derived_path(spark, "customer_csv", FD.table_paths(sf, ["customer"]),
                         lambda p: _t(spark, sf, "customer").write.mode("overwrite")
                         .option("header", True).csv(p))
-    good, rejects = FS.read_csv_table(spark, path, CUSTOMER_TABLE,
-                                      key=["c_custkey"], order_by=["c_custkey"])
-    return (good.withColumn("is_reject", F.lit(False))
-            .unionByName(rejects.select(*good.columns).withColumn("is_reject", F.lit(True))))
+    rows = FS.read_csv_flagged(spark, path, CUSTOMER_TABLE, key=["c_custkey"])
+    return rows.withColumn("is_reject", F.col("reason").isNotNull()).drop("reason")
 
 
 # ---------------------------------------------------------------- sinks
@@ -324,7 +327,7 @@ def sink_topic(spark, sf):
     env = SK.keyed_json(joined, "customer", "risk-information", offset="offset", timestamp="timestamp",
                         cols=["customer", "score", "email", "birthYear"])
     path = scratch_path(spark, _uid("risk_information"))
-    SK.to_topic(env, path, _uid("sink_topic"), state_partitions=_parallelism(spark))
+    SK.to_topic(env, path, _uid("sink_topic"), state_partitions=_parallelism(spark), settings=JOIN_STATE)
     return _read_back(spark, path, "risk-information", RISK_OUT).drop("key")
 
 
@@ -660,7 +663,7 @@ def join_ss_deposits(spark, sf):
     j = J.join(dep, cust, F.col("accountNumber") == F.col("customerNumber"), "inner")
     return _run_and_read(spark, j.select(
         "accountNumber", "amount", S.parse_bank_time("dateAndTime").cast("timestamp_ntz").alias("depositTime"),
-        "customerName", "email"), "deposits")
+        "customerName", "email"), "deposits", settings=JOIN_STATE)
 
 
 @q("join_ss_withdrawals", """
@@ -677,7 +680,7 @@ def join_ss_withdrawals(spark, sf):
     env = SK.keyed_json(j, "accountNumber", "withdrawals-location", offset="offset", cols=fields)
     name = _uid("withdrawals")
     path = scratch_path(spark, name)
-    SK.to_topic(env, path, name, state_partitions=_parallelism(spark))
+    SK.to_topic(env, path, name, state_partitions=_parallelism(spark), settings=JOIN_STATE)
     RN.drop_checkpoint(spark, name)
     out = StructType([f for f in [*WITHDRAWAL.fields, *ATM_VISIT.fields] if f.name in fields])
     return D.parse_json(read_topic(spark, path, topics="withdrawals-location"), "value", out).select(*fields)
@@ -693,13 +696,14 @@ def join_ss_checkin(spark, sf):
     st = D.parse_json(_topic(spark, sf, FD.VEHICLES, stream=True), "value", VEHICLE)
     ck = D.parse_json(_topic(spark, sf, FD.CHECKINS, stream=True), "value", CHECKIN)
     return _run_and_read(spark, J.join(st, ck, F.col("statusTruckNumber") == F.col("checkinTruckNumber"), "inner"),
-                         "checkin")
+                         "checkin", settings=JOIN_STATE)
 
 
 @q("join_ss_risk", RISK_SQL)
 def join_ss_risk(spark, sf):
-    """Flagship: decoded customers × risk events by e-mail (batch form)."""
-    return risk_join(_topic(spark, sf, FD.CUSTOMERS), _topic(spark, sf, FD.RISK))
+    """Flagship: decoded customers × risk events by e-mail, both streams."""
+    joined = risk_join(_topic(spark, sf, FD.CUSTOMERS, stream=True), _topic(spark, sf, FD.RISK, stream=True))
+    return _run_and_read(spark, joined, "risk", settings=JOIN_STATE)
 
 
 def _locations(spark, sf, stream=False) -> DataFrame:
@@ -723,7 +727,7 @@ JOIN customer ON o_custkey = c_custkey LEFT JOIN nation home ON c_nationkey = ho
 @q("join_ss_location", LOCATION_SQL)
 def join_ss_location(spark, sf):
     """Current × home location per account, as streams, after demultiplexing one topic."""
-    return _run_and_read(spark, _locations(spark, sf, stream=True), "location")
+    return _run_and_read(spark, _locations(spark, sf, stream=True), "location", settings=JOIN_STATE)
 
 
 @q("join_travel", f"SELECT * FROM ({LOCATION_SQL}) WHERE location <> homeLocation")
@@ -815,6 +819,30 @@ def join_full(spark, sf):
     return j.select("user_id", "event_id", "event_type", "doc_id", "quality")
 
 
+@q("join_full_stream", """
+WITH v AS (SELECT event_id AS view_id, user_id AS viewer, ts AS viewed_at FROM events WHERE event_type = 'view'),
+p AS (SELECT event_id AS purchase_id, user_id AS buyer, ts AS bought_at FROM events WHERE event_type = 'purchase'),
+w AS (SELECT least((SELECT max(viewed_at) FROM v), (SELECT max(bought_at) FROM p)) - INTERVAL '10 seconds' AS mark)
+SELECT view_id, viewer, viewed_at, purchase_id, buyer, bought_at
+FROM v FULL OUTER JOIN p ON viewer = buyer AND bought_at >= viewed_at AND bought_at <= viewed_at + INTERVAL '2 hours', w
+WHERE (view_id IS NOT NULL AND purchase_id IS NOT NULL) OR viewed_at + INTERVAL '2 hours' < mark
+   OR (view_id IS NULL AND bought_at < mark)""")
+def join_full_stream(spark, sf):
+    """Full outer join of two streams: a user's purchases within two hours of a
+    view. Rows without a partner come out, and leave the state, once the
+    watermarks say that none can come."""
+    s = clicks(spark, sf, stream=True)
+    at = lambda c: F.col("ts").cast("timestamp").alias(c)
+    views = s.filter("event_type = 'view'").select(F.col("event_id").alias("view_id"), F.col("user_id").alias("viewer"), at("viewed_at"))
+    buys = s.filter("event_type = 'purchase'").select(
+        F.col("event_id").alias("purchase_id"), F.col("user_id").alias("buyer"), at("bought_at"))
+    bound = F.expr("bought_at >= viewed_at AND bought_at <= viewed_at + INTERVAL 2 HOURS")
+    j = J.join(views, buys, F.col("viewer") == F.col("buyer"), "full", ("viewed_at", "10 seconds"), ("bought_at", "10 seconds"), bound)
+    return _run_and_read(spark, j.select("view_id", "viewer", F.col("viewed_at").cast("timestamp_ntz").alias("viewed_at"), "purchase_id",
+                                         "buyer", F.col("bought_at").cast("timestamp_ntz").alias("bought_at")),
+                         "full", settings=JOIN_STATE)
+
+
 @q("join_rejects", f"""
 SELECT event_id, {STATION_SQL} AS station_id FROM events
 WHERE {STATION_SQL} NOT IN (SELECT n_nationkey FROM nation)""")
@@ -855,10 +883,7 @@ SELECT user_id, event_type, occurrences, round(sum(s) OVER (PARTITION BY user_id
 def agg_histogram(spark, sf):
     """Per user: how often each event type occurs (the histogram, one row per
     entry) next to the user's total value."""
-    h = clicks(spark, sf).groupBy("user_id", "event_type").agg(
-        F.count(F.lit(1)).alias("occurrences"), F.sum("value").alias("s"))
-    return h.select("user_id", "event_type", "occurrences",
-                    F.round(F.sum("s").over(Window.partitionBy("user_id")), 2).alias("total"))
+    return A.histogram_with_total(clicks(spark, sf), "user_id", "event_type", "value")
 
 
 @q("agg_histogram_stream", """

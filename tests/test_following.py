@@ -4,6 +4,7 @@ import collections
 import datetime as dt
 import json
 import os
+import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -27,7 +28,7 @@ def lines_run(spark, folder, name, out, **kw):
 
 
 def test_lines_arrive_once_as_files_grow_rotate_and_shrink(spark, tmp_path):
-    logs, out, name = tmp_path / "logs", tmp_path / "out", f"tail-{tmp_path.name}"
+    logs, out, name = tmp_path / "logs", tmp_path / "out", f"tail-{uuid.uuid4().hex}"
     logs.mkdir()
     write(logs / "a.log", b"one\ntwo\nhalf a li")
     write(logs / "b.log", "é😀\r\n\n".encode())
@@ -54,7 +55,7 @@ def test_lines_arrive_once_as_files_grow_rotate_and_shrink(spark, tmp_path):
 
 
 def test_lines_of_a_failed_batch_are_read_again_after_a_rotation(spark, tmp_path):
-    logs, name = tmp_path / "logs", f"tail-{tmp_path.name}"
+    logs, name = tmp_path / "logs", f"tail-{uuid.uuid4().hex}"
     logs.mkdir()
     write(logs / "a.log", b"1\n2\n3\n")
     seen, fail = collections.defaultdict(list), [True]
@@ -99,7 +100,7 @@ def envelopes(spark, low, high, files):
 
 
 def test_pulls_hold_n_messages_over_files_and_restarts(spark, tmp_path):
-    path, name = str(tmp_path / "topic"), f"pull-{tmp_path.name}"
+    path, name = str(tmp_path / "topic"), f"pull-{uuid.uuid4().hex}"
     write_topic(envelopes(spark, 0, 95, 2), path)
     sizes, seen = {}, []
 
@@ -124,7 +125,7 @@ def test_increments_of_several_tables_survive_a_crash(spark, tmp_path):
     a.mkdir()
     pq.write_table(pa.table({"id": [1, 2, None], "x": ["p", None, "q"]}), a / "1.parquet")
     pq.write_table(pa.table({"no": pa.array([5, 6], pa.int32()), "y": [0.5, float("nan")]}), b)
-    tables, name = {"ta": (str(a), "id"), "tb": (str(b), "no")}, f"inc-{tmp_path.name}"
+    tables, name = {"ta": (str(a), "id"), "tb": (str(b), "no")}, f"inc-{uuid.uuid4().hex}"
     seen, fail = {}, [True]
 
     def sink(batch, batch_id):

@@ -1,6 +1,8 @@
 """Schema versions: every rule on hand-made messages."""
 
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def test_a_stream_of_versions(spark, tmp_path):
     df = spark.createDataFrame([(1, '{"a": 3}'), (2, '{"a": 0.5}'), (3, "{}")], "n long, payload string")
     df.select(RS.framed(F.col("payload"), F.col("n")).alias("value")).write.parquet(str(tmp_path / "in"))
     stream = RS.read_versions(spark.readStream.schema("value binary").parquet(str(tmp_path / "in")), "value", versions, reader)
-    out, _ = run_available(stream, f"versions-{tmp_path.name}", path=str(tmp_path / "out"))
+    out, _ = run_available(stream, f"versions-{uuid.uuid4().hex}", path=str(tmp_path / "out"))
     assert sorted((r.a, r.reason) for r in spark.read.schema(stream.schema).parquet(out).filter("reason is null").collect()) == [(0.5, None), (3.0, None)]
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def test_running_values_do_not_depend_on_arrival(spark, tmp_path, order):
         mixed = sorted(rows, key=lambda x: x[1] + r.randint(0, 90))
         batches = [mixed[i:i + 30] for i in range(0, 120, 30)]
     batches.append([(999, 5000, "z", 0.0)])  # moves the watermark past all
-    path, out, name = str(tmp_path / "in"), str(tmp_path / "out"), f"run-{tmp_path.name}"
+    path, out, name = str(tmp_path / "in"), str(tmp_path / "out"), f"run-{uuid.uuid4().hex}"
     for b in batches:
         feed(spark, path, b)
         df = RG.running_in_window_ordered(stream(spark, path), "ts", "k", "v", "id", 300, 60, "120 seconds")
@@ -54,7 +55,7 @@ def test_running_values_do_not_depend_on_arrival(spark, tmp_path, order):
 
 
 def test_on_time_and_late_rows_are_the_input(spark, tmp_path):
-    path, out, name = str(tmp_path / "in"), str(tmp_path / "out"), f"late-{tmp_path.name}"
+    path, out, name = str(tmp_path / "in"), str(tmp_path / "out"), f"late-{uuid.uuid4().hex}"
     batches = [[(1, 100, "a", 1.0), (2, 90, "a", 1.0)], [(3, 89, "a", 1.0), (4, 90, "a", 1.0), (5, 300, "a", 1.0), (6, 50, "b", 1.0)],
                [(7, 289, "a", 1.0), (8, 290, "a", 1.0)]]
     for b in batches:
@@ -66,7 +67,7 @@ def test_on_time_and_late_rows_are_the_input(spark, tmp_path):
 
 
 def test_a_batch_that_runs_again_keeps_its_own_watermark(spark, tmp_path, monkeypatch):
-    path, out, name = str(tmp_path / "in"), str(tmp_path / "out"), f"late-{tmp_path.name}"
+    path, out, name = str(tmp_path / "in"), str(tmp_path / "out"), f"late-{uuid.uuid4().hex}"
     feed(spark, path, [(1, 100, "a", 1.0)])
     LT.route_late(stream(spark, path), "ts", 10, name, out)
     feed(spark, path, [(2, 80, "a", 1.0), (3, 500, "a", 1.0)])
@@ -89,7 +90,7 @@ def test_hopping_windows_of_panes_keep_one_row_per_pane(spark, tmp_path):
     rows = [(i, i % 100, "a", 1.0) for i in range(2000)] + [(9999, 100_000, "z", 0.0)]
     feed(spark, path, rows)
     s = W.event_time(stream(spark, path), "ts", "0 seconds")
-    _, progress = RN.run_available(W.hopping_sum_stream(s, "ts", "k", "v", "60 seconds", "10 seconds"), f"hop-{tmp_path.name}",
+    _, progress = RN.run_available(W.hopping_sum_stream(s, "ts", "k", "v", "60 seconds", "10 seconds"), f"hop-{uuid.uuid4().hex}",
                                    path=str(tmp_path / "out"), state_partitions=2)
     got = {r.window_start: r.total for r in spark.read.parquet(str(tmp_path / "out")).filter("k = 'a'").collect()}
     want = {}
@@ -108,7 +109,7 @@ def test_histograms_of_a_stream(spark, tmp_path):
     feed(spark, path, rows)
     s = W.event_time(stream(spark, path), "ts", "0 seconds")
     out = str(tmp_path / "out")
-    RN.run_available(A.histogram_stream(s, "ts", "k", "v", "v", "1 minute"), f"hist-{tmp_path.name}", path=out, state_partitions=2)
+    RN.run_available(A.histogram_stream(s, "ts", "k", "v", "v", "1 minute"), f"hist-{uuid.uuid4().hex}", path=out, state_partitions=2)
     want, total = {}, {}
     for _, at, k, v in rows[:-1]:
         w = (T0 + dt.timedelta(seconds=at // 60 * 60), k)
@@ -137,7 +138,7 @@ def numbers(spark, low, high):
 
 
 def test_queries_survive_the_session(spark, tmp_path):
-    tag = tmp_path.name.replace("-", "_")
+    tag = uuid.uuid4().hex
     folder, topic, out, stream_, name = (str(tmp_path / "log"), str(tmp_path / "in"), str(tmp_path / "out"), f"numbers_{tag}", f"even_{tag}")
     write_topic(numbers(spark, 0, 10), topic)
     one = PQ.Catalog(spark, folder, 2)
