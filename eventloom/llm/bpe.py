@@ -305,8 +305,19 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """The contract's digest of every document's ids and decoded text."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    """The contract's digest of every document's ids and decoded text. Both are
+    made in one pass, so a task needs one Python worker and one vocabulary."""
+    shared = share(docs.sparkSession, path)
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        enc = _encoder(shared)
+        ids = [enc.encode(t) for t in part.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array(ids, pa.binary()), pa.array([enc.decode(x) for x in ids], pa.string())],
+            names=["doc_id", "ids", "decoded"])
+
+    docs = docs.select("doc_id", "text")
+    coded = docs.mapInArrow(per_chunk(run), f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary, decoded string")
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -14,9 +14,10 @@ whose bit is clear matches no item. The bitmap drops nothing that would join.
 Each document also leaves one marker row with a join key of its own, so that
 documents without a hit stay in the outer join.
 
-Nulls and empty texts have no words and no hits. Items without words, or
-without an id, have no windows. Repeated items count once by their id, repeated
-documents each give a row. Long texts are scanned whole. Tables with other
+Nulls and empty texts have no words and no hits. Items without words have no
+windows. Repeated items count once by their id; items without an id hit like
+others and count as one, but aren't in the list of ids. Repeated documents each
+give a row. Long texts are scanned whole. Tables with other
 columns are fine: only doc_id, item_id and text are read.
 """
 
@@ -34,6 +35,9 @@ from eventloom.llm.words import ALNUM, LOWER, Words, gram_hashes, mix, within
 LENGTH, GRAM = 10, 6
 #: Bits of the fingerprint bitmap (fixed, so its broadcast is 512 KB).
 BITS = 1 << 22
+#: Chance at which a short window's words meet in a document of mean length, from
+#: which on the window condemns no document.
+CHANCE = 0.01
 #: The test side is broadcast when its files are smaller than this.
 BROADCAST_BYTES = 2 << 20
 
@@ -65,7 +69,7 @@ def _item_windows(part: pa.RecordBatch) -> pa.RecordBatch:
     rows = ([], [], [], [])
     minima = window_minima(w.hashes)
     for d, (a, b) in enumerate(zip(w.bounds, w.bounds[1:])):
-        if ids[d] is None or a == b:
+        if a == b:
             continue
         n = min(LENGTH, int(b - a))
         at = np.arange(a, b - n + 1)
@@ -156,7 +160,8 @@ def covered(spans: Column) -> Column:
 
 def scan(docs: DataFrame, items: DataFrame, windows: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, n_words, and the confirmed ``spans`` (array of start,
-    n) and ``items`` (sorted array of item ids). ``windows``: those of the items
+    n), ``items`` (sorted array of item ids) and ``nameless`` (1 if an item
+    without an id is among them). ``windows``: those of the items
     that count, if not all."""
     spark = docs.sparkSession
     # Both uses of the windows recompute them: the test side is small next to the documents.
@@ -164,21 +169,22 @@ def scan(docs: DataFrame, items: DataFrame, windows: DataFrame | None = None) ->
     shared = spark.sparkContext.broadcast(fingerprint_bitmap(windows))
     fields = "rid long, doc_id long, n_words long, start long, n int, fp long, window string"
     hits = docs.select("doc_id", "text").mapInArrow(_scanner(shared), fields)
-    test = windows.select("item_id", "n", "fp", "window")
+    test = windows.select("item_id", "n", "fp", "window", F.lit(True).alias("hit"))
     if input_bytes(items) <= BROADCAST_BYTES:
         test = F.broadcast(test)
-    met = hits.join(test, ["n", "fp", "window"], "left").filter("n = 0 or item_id is not null")
+    met = hits.join(test, ["n", "fp", "window"], "left").filter("n = 0 or hit")
     return met.groupBy("rid").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
         F.collect_set(F.when(F.col("n") > 0, F.struct("start", "n"))).alias("spans"),
-        F.array_sort(F.collect_set("item_id")).alias("items"))
+        F.array_sort(F.collect_set("item_id")).alias("items"),
+        F.coalesce(F.max(F.when(F.col("hit") & F.col("item_id").isNull(), 1)), F.lit(0)).alias("nameless"))
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The contract's counts and digest, from the operator's spans and items."""
     return scan(docs, items).select(
         "doc_id", "n_words", covered(F.col("spans")).alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
+        (F.size("items") + F.col("nameless")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"))
 
@@ -216,9 +222,10 @@ def _window_words(part: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def by_chance(docs: DataFrame, short: DataFrame) -> DataFrame:
-    """The windows of ``short`` that the documents would hold at least once if their
-    words were dealt out at random: N times the product of the words' shares, over
-    all N words of all documents, is 1 or more."""
+    """The windows of ``short`` that a document of mean length would hold with a
+    chance of ``CHANCE`` or more if words were dealt out at random: mean words
+    times the product of the words' shares in all documents. Neither depends on
+    the number of documents, so copies of a corpus excuse the same windows."""
     of = short.select("window").distinct().mapInArrow(per_chunk(_window_words, "window"), "window string, h long")
     shared = docs.sparkSession.sparkContext.broadcast(
         fingerprint_bitmap(of.select(F.col("h").alias("fp"), F.lit(1).alias("n")))[0])
@@ -228,26 +235,26 @@ def by_chance(docs: DataFrame, short: DataFrame) -> DataFrame:
         h = Words(*text_buffer(part.column(0)), ALNUM).hashes
         some, uses = np.unique(h[promising(h, shared.value)], return_counts=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array([None, *some.view(np.int64).tolist()], pa.int64()), pa.array([len(h), *uses.tolist()], pa.int64())],
-            names=["h", "uses"])
-
-    counts = materialise(docs.select("text").mapInArrow(per_chunk(count), "h long, uses long")
-                         .groupBy("h").agg(F.sum("uses").alias("uses")), "word-uses")
-    total = float(counts.filter("h is null").agg(F.sum("uses")).first()[0] or 1)
-    share = F.coalesce(F.log(F.col("uses") / F.lit(max(total, 1.0))), F.lit(-1e9))
+            [pa.array([None, *some.view(np.int64).tolist()], pa.int64()), pa.array([len(h), *uses.tolist()], pa.int64()),
+             pa.array([len(part), *[0] * len(some)], pa.int64())], names=["h", "uses", "docs"])
+
+    counts = materialise(docs.select("text").mapInArrow(per_chunk(count), "h long, uses long, docs long")
+                         .groupBy("h").agg(F.sum("uses").alias("uses"), F.sum("docs").alias("docs")), "word-uses")
+    total, rows = counts.filter("h is null").agg(F.sum("uses"), F.sum("docs")).first()
+    total, rows = max(float(total or 0), 1.0), max(float(rows or 0), 1.0)
+    share = F.coalesce(F.log(F.col("uses") / F.lit(total)), F.lit(-1e9))
     return (of.join(counts, "h", "left").groupBy("window").agg(F.sum(share).alias("share"))
-            .filter(F.col("share") + float(np.log(max(total, 1.0))) > -1e-6).select("window"))
+            .filter(F.col("share") + float(np.log(total / rows)) >= float(np.log(CHANCE))).select("window"))
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that hold no window of an item; the same columns.
 
     An item shorter than a window condemns a document like any other, unless
-    its words would meet by chance in these documents (``by_chance``), as a
-    single word always does. Documents keep their row if their id is not among
-    those with a hit; rows that share an id are judged together, and rows with
-    a null id are judged by themselves."""
-    rows = wrapped(docs)
+    its words would meet by chance in a document (``by_chance``), as a single
+    word always does. Rows are judged by their id and text (a 64-bit hash of
+    both), so a clean text keeps its row though it shares its id with another."""
+    rows = wrapped(docs).withColumn("key", F.xxhash64("doc_id", "text"))
     windows = item_windows(items)
     short = windows.filter(F.col("n") < LENGTH)
     if not short.isEmpty():

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import materialise, per_chunk, text_buffer, wrapped
+from eventloom.llm.common import materialise, per_chunk, text_buffer
 from eventloom.llm.words import ALNUM, Words
 
 TRAIN_ROWS = 20_000
@@ -273,11 +273,21 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns, and how many passages were found."""
     scored = detect(docs.select("doc_id", "text"), fit(docs, labels)).drop("text")
     return scored.select(
-        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("toxicity").alias("score"),
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """Documents that score below ``limit``; the same columns."""
-    scored = detect(wrapped(docs).select("row", "text"), fit(docs, labels))
-    return scored.filter(F.col("toxicity") < limit).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    at = docs.columns.index("text")
+
+    def run(part: pa.RecordBatch) -> pa.RecordBatch:
+        m = shared.value
+        w = Words(*text_buffer(part.column(at)), ALNUM)
+        n, keep = w.counts, np.full(len(part), probability(m, 0.0) < limit)
+        for d, segs in _doc_segments(m, w):
+            keep[d] = probability(m, evidence(m, int(n[d]), segs)) < limit
+        return part.filter(pa.array(keep))
+
+    return docs.mapInArrow(per_chunk(run), docs.schema)

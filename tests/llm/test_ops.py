@@ -463,14 +463,15 @@ def plain_hits(text, benchmark):
     for i, t in benchmark:
         v = words(t)
         n = min(10, len(v))
-        if i is None or not n:
+        if not n:
             continue
         wins = {tuple(v[k:k + n]) for k in range(len(v) - n + 1)}
         for k in range(len(w) - n + 1):
             if tuple(w[k:k + n]) in wins:
                 hit.update(range(k, k + n))
-                found.add(str(i))
-    return len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+                found.add(i)
+    ids = ",".join(sorted(str(i) for i in found if i is not None))  # an item without an id counts, but isn't listed
+    return len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)
 
 
 def test_decontamination_equals_plain_windows(spark):
@@ -511,6 +512,32 @@ def test_clean_drops_copies_of_short_items(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(60) if i not in (3, 4)]
 
 
+def test_copies_of_a_corpus_drop_the_same_documents(spark):
+    r, vocabulary = random.Random(15), prose(16, 200).split()
+    texts = [" ".join(r.choices(vocabulary, k=300)) for _ in range(40)]
+    triple = " ".join(vocabulary[:3])
+    texts[7] += f" {triple}"
+    texts[8] += " what is the name of it"
+    bench = spark.createDataFrame([(1, triple), (2, "what is the name of it"), (3, vocabulary[9])], "item_id long, text string")
+
+    def dropped(copies):
+        df = spark.createDataFrame([(n * 100 + i, t) for n in range(copies) for i, t in enumerate(texts)], "doc_id long, text string")
+        kept = {x.doc_id for x in decontam.clean(df, bench).collect()}
+        return {(n, i) for n in range(copies) for i in range(40) if n * 100 + i not in kept}
+    once = {i for _, i in dropped(1)}
+    assert {7, 8} <= once and len(once) < 10
+    assert dropped(10) == {(n, i) for n in range(10) for i in once}
+
+
+def test_items_without_an_id_hit_and_rows_of_one_id_are_judged_apart(spark):
+    text = prose(17, 40)
+    docs = spark.createDataFrame([(1, text), (1, prose(18, 40)), (2, prose(19, 40)), (None, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, " ".join(text.split()[5:17])), (5, " ".join(text.split()[6:18]))], "item_id long, text string")
+    got = {(r.doc_id, r.n_hit, r.n_items) for r in decontam.report(docs, bench).collect()}
+    assert got == {(1, 13, 2), (1, 0, 0), (2, 0, 0), (None, 13, 2)}
+    assert sorted((r.doc_id, r.text) for r in decontam.clean(docs, bench).collect()) == [(1, prose(18, 40)), (2, prose(19, 40))]
+
+
 # --- 9: BPE --------------------------------------------------------------------
 
 def test_bpe_equals_the_library(spark):
