@@ -237,5 +237,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns."""
     scored = score(docs.select("doc_id", "text"), fit(docs, labels)).drop("text")
     return scored.select(
-        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), F.col("quality").alias("score"),
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), F.col("quality").alias("score"),
         (F.col("quality") >= 0.3).cast("int").alias("predicted"))
