@@ -13,8 +13,9 @@ Scans count 64-bit hashes, and tell which are due by an activation map:
 ``CELLS`` cells, each the set of scans after which some phrase hashed to it
 became frequent; a phrase's set is what its two cells share. Phrases that share
 cells or a hash may be counted too early or too often, never too seldom. The
-counts stand in a table bucketed by hash, so that no activation shuffles them
-again. A last scan of all texts counts, as text, the phrases whose hash was
+counts are sorted arrays, a row for each range of hashes that a task met; they
+are summed up per range, of which there are as many as shuffle partitions, and
+stand in a table bucketed by it, so that no activation shuffles them again. A last scan of all texts counts, as text, the phrases whose hash was
 found frequent, and those alone: so the frequencies are exact for all that
 reach LEAST. A map has ``PER`` cells a phrase, up to the fixed ``CELLS``; with
 more frequent phrases than that more is counted than is due, and the results
@@ -37,6 +38,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -56,7 +58,7 @@ BITS = 23
 CELLS, PER = 1 << BITS, 8
 #: Bytes of the texts' files per task, counts that a task sums up before it gives
 #: them out, and bytes of text whose phrases are named at once.
-TASK_BYTES, HELD, NAMED_BYTES = 1 << 30, 1 << 21, 6 << 20
+TASK_BYTES, HELD, NAMED_BYTES = 1 << 30, 1 << 20, 4 << 20
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -67,7 +69,9 @@ _PART[0x20] = False
 
 NAMED = "lang string, len int, phrase string, n long"
 _NAMED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
-_HASHED = pa.schema([("len", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
+#: Sorted hashes of one length and range, and their counts, as arrays of 64-bit integers.
+PACKED = "len int, part int, h binary, n binary"
+_PACKED = pa.schema([("len", pa.int32()), ("part", pa.int32()), ("h", pa.binary()), ("n", pa.binary())])
 
 
 def _lang_hashes(langs: list[str]) -> np.ndarray:
@@ -156,15 +160,25 @@ class _Chunk:
              phrase.cast(pa.string()), pa.array(times.astype(np.int64))], schema=_NAMED)
 
 
+def summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and the sums of their counts."""
+    h, n = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+    return h[first], np.add.reduceat(n, first) if len(first) else n
+
+
 class _Sums:
     """Counts by hash of one length, summed over a task's chunks."""
 
-    def __init__(self, length: int):
-        self.length, self.parts, self.size = length, [], 0
+    def __init__(self, length: int, ranges: int):
+        self.length, self.ranges, self.held, self.size = length, ranges, ([], []), 0
 
     def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(np.unique(h, return_counts=True))
-        self.size += len(self.parts[-1][0])
+        for to, x in zip(self.held, np.unique(h, return_counts=True)):
+            to.append(x)
+        self.size += len(self.held[0][-1])
         if self.size > HELD:
             yield from self.flush(HELD // 2)
 
@@ -172,26 +186,79 @@ class _Sums:
         """Sum up what is held, and give it out if that leaves more than ``most``."""
         if not self.size:
             return
-        h, n = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(h, kind="stable")
-        h, n = h[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        h, n = h[first], np.add.reduceat(n, first)
-        self.parts, self.size = [(h, n)], len(h)
-        if len(h) > most:
-            self.parts, self.size = [], 0
-            for at in range(0, len(h), 1 << 16):
-                part = h[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), self.length, np.int32)), pa.array(part.view(np.int64)),
-                     pa.array(n[at:at + (1 << 16)].astype(np.int64))], schema=_HASHED)
-
-
-def _scanner(scan: int, shards: int, maps: dict):
+        h, n = summed(*self.held)
+        self.held, self.size = ([h], [n]), len(h)
+        if len(h) <= most:
+            return
+        self.held, self.size = ([], []), 0
+        part = _range_of(h, self.ranges)
+        at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        rows = [(part[i], h[i:j].tobytes(), n[i:j].astype(np.int64).tobytes()) for i, j in zip(at, [*at[1:], len(h)])]
+        for i in range(0, len(rows), 256):
+            some = rows[i:i + 256]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([self.length] * len(some), pa.int32()), pa.array([int(r[0]) for r in some], pa.int32()),
+                 pa.array([r[1] for r in some], pa.binary()), pa.array([r[2] for r in some], pa.binary())], schema=_PACKED)
+
+
+def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
+    """The range a hash falls in: ranges are equal parts of the 32 highest bits."""
+    return ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def _arrays(rows: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    return [np.frombuffer(x, np.uint64) for x in rows["h"]], [np.frombuffer(x, np.int64) for x in rows["n"]]
+
+
+def _summed_range(rows: pd.DataFrame) -> pd.DataFrame:
+    h, n = summed(*_arrays(rows))
+    return pd.DataFrame({"len": rows["len"].iloc[:1], "part": rows["part"].iloc[:1], "h": [h.tobytes()], "n": [n.tobytes()]})
+
+
+#: Cells of a map that travel in one row.
+BLOCK = 1 << 12
+CELL_ROWS = "len int, block int, cell binary, acts binary"
+
+
+def _cell_rows(length: int, cell: np.ndarray, acts: np.ndarray) -> pd.DataFrame:
+    """Cells in order, with the union of their sets, a row a block."""
+    order = np.argsort(cell, kind="stable")
+    cell, acts = cell[order], acts[order]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.empty(0, np.int64)
+    cell, acts = cell[first], np.bitwise_or.reduceat(acts, first) if len(first) else acts
+    block = cell // BLOCK
+    at = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(cell) else np.empty(0, np.int64)
+    to = [*at[1:], len(cell)]
+    return pd.DataFrame({"len": np.full(len(at), length, np.int32), "block": block[at].astype(np.int32),
+                         "cell": [cell[i:j].astype(np.int32).tobytes() for i, j in zip(at, to)],
+                         "acts": [acts[i:j].astype(np.uint16).tobytes() for i, j in zip(at, to)]})
+
+
+def _united(rows: pd.DataFrame) -> pd.DataFrame:
+    return _cell_rows(int(rows["len"].iloc[0]), np.concatenate([np.frombuffer(x, np.int32) for x in rows["cell"]]),
+                      np.concatenate([np.frombuffer(x, np.uint16) for x in rows["acts"]]))
+
+
+def _activation(least: int):
+    """The cells of a range's phrases that are frequent, and after which scan they became so."""
+    def activate(rows: pd.DataFrame) -> pd.DataFrame:
+        hashes, counts = _arrays(rows)
+        h, _ = summed(hashes, counts)
+        so_far, act = np.zeros(len(h), np.int64), np.zeros(len(h), np.uint16)
+        for scan, some, n in sorted(zip(rows["scan"], hashes, counts), key=lambda x: x[0]):
+            so_far[np.searchsorted(h, some)] += n
+            act[(act == 0) & (so_far >= least)] = scan + 1
+        h, act = h[act > 0], act[act > 0]
+        cells = np.concatenate([h & np.uint64(CELLS - 1), h >> np.uint64(64 - BITS) & np.uint64(CELLS - 1)]).astype(np.int64)
+        return _cell_rows(int(rows["len"].iloc[0]), cells, np.tile(np.left_shift(np.uint16(1), act), 2))
+    return activate
+
+
+def _scanner(scan: int, shards: int, maps: dict, ranges: int):
     """Counts, by hash, of the phrases that are due in a scan."""
     def run(batches):
         opened = list(_opened(maps))
-        sums = {k: _Sums(k) for k in range(1, LONGEST + 1)}
+        sums = {k: _Sums(k, ranges) for k in range(1, LONGEST + 1)}
 
         def count(part: pa.RecordBatch):
             c = _Chunk(part)
@@ -264,29 +331,27 @@ class Counter:
 
     def _scan(self, maps: dict) -> None:
         texts = self.texts.filter(F.col("shard") == self.scans % self.shards).select("lang", "text")
-        found = texts.coalesce(self.tasks).mapInArrow(_scanner(self.scans, self.shards, maps), "len int, h long, n long")
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (found.groupBy("len", "h").agg(F.sum("n").alias("n")).withColumn("scan", F.lit(self.scans))
-         .write.mode("append").option("parquet.enable.dictionary#h", "false").partitionBy("len").bucketBy(buckets, "h").option("path", f"{self.folder}/counts")
+        ranges = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        found = texts.coalesce(self.tasks).mapInArrow(_scanner(self.scans, self.shards, maps, ranges), PACKED)
+        (found.groupBy("part", "len").applyInPandas(_summed_range, PACKED).withColumn("scan", F.lit(self.scans))
+         .write.mode("append").partitionBy("len").bucketBy(ranges, "part").option("path", f"{self.folder}/counts")
          .saveAsTable(self.table))
         self.scans += 1
 
     def _activate(self, lengths: list[int]) -> dict:
-        """The activation maps of these lengths: at most CELLS rows a length reach the driver."""
+        """The activation maps of these lengths: at most CELLS cells a length reach the driver."""
         if not lengths:
             return {}
-        so_far = [F.sum(F.when(F.col("scan") <= i, F.col("n"))) for i in range(self.scans)]
-        act = F.coalesce(*[F.when(x >= self.least, F.lit(i + 1)) for i, x in enumerate(so_far)])
-        frequent = (self.spark.table(self.table).filter(F.col("len").isin(lengths)).groupBy("len", "h")
-                    .agg(act.alias("act")).filter("act is not null"))
-        both = F.array(F.expr(f"cast(h & {CELLS - 1} as int)"), F.expr(f"cast(shiftrightunsigned(h, {64 - BITS}) as int)"))
-        cells = (frequent.select("len", F.explode(both).alias("cell"), F.expr("shiftleft(1, act)").alias("acts"))
-                 .groupBy("len", "cell").agg(F.bit_or("acts").alias("acts")).toArrow())
-        maps, length, acts = {}, np.asarray(cells["len"]), np.asarray(cells["acts"])
-        for k in np.unique(length).tolist():
-            maps[k] = Map(np.asarray(cells["cell"])[length == k], acts[length == k])
+        cells = (self.spark.table(self.table).filter(F.col("len").isin(lengths)).groupBy("part", "len")
+                 .applyInPandas(_activation(self.least), CELL_ROWS)
+                 .groupBy("len", "block").applyInPandas(_united, CELL_ROWS).toArrow().to_pandas())
+        maps = {}
+        for k, rows in cells.groupby("len"):
+            cell = np.concatenate([np.frombuffer(x, np.int32) for x in rows["cell"]])
+            acts = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["acts"]])
+            maps[int(k)] = Map(cell, acts)
             if k in self.last:
-                self.last[k] = int(np.bitwise_or.reduce(acts[length == k])).bit_length() - 1
+                self.last[int(k)] = int(np.bitwise_or.reduce(acts)).bit_length() - 1
         return maps
 
     def frequencies(self) -> DataFrame:
