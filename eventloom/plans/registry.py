@@ -701,7 +701,13 @@ def join_ss_checkin(spark, sf):
 
 @q("join_ss_risk", RISK_SQL)
 def join_ss_risk(spark, sf):
-    """Flagship: decoded customers × risk events by e-mail, both streams."""
+    """Flagship: decoded customers × risk events by e-mail (batch form)."""
+    return risk_join(_topic(spark, sf, FD.CUSTOMERS), _topic(spark, sf, FD.RISK))
+
+
+@q("join_ss_risk_stream", RISK_SQL)
+def join_ss_risk_stream(spark, sf):
+    """The flagship with both sides as streams."""
     joined = risk_join(_topic(spark, sf, FD.CUSTOMERS, stream=True), _topic(spark, sf, FD.RISK, stream=True))
     return _run_and_read(spark, joined, "risk", settings=JOIN_STATE)
 
