@@ -10,14 +10,16 @@ log10 probability in one byte, each context its back-off weight in another.
 
 Smoothing is by a Dirichlet prior around the shorter context's estimate:
 P(w|c) = (n(cw) + mu P(w|c')) / (n(c) + mu). Level 1 is (n+1)/(N+V+1). Every
-shard picks its mu from ``MU`` by the leave-one-out likelihood of its own counts.
+level has one mu, picked from ``MU`` by the leave-one-out likelihood of all its
+counts, so scores don't depend on how the trie is cut.
 
 The trie is cut into shards by the first word's hash. Shards are built one by
 one; ``VOLUME`` of them then share a file per level in the shared folder, whose
 sequences are asked together. Counting: map tasks sum equal n-grams of many texts and
 send one packed block per shard; one task per shard sums those, so a word or
 pair that holds a third of all rows arrives as one entry per block. The number
-of shards grows with the input, which bounds such a task. Files are written
+of shards grows with the input, but all different n-grams of one frequent first
+word meet in one shard's task. Files are written
 under names of their own and known only from the committed list, so lost tasks
 leave nothing behind that is read. Scoring maps the files and looks up whole
 slices of documents at once. Nothing is pruned.
@@ -311,7 +313,8 @@ def count_grams(docs: DataFrame, shared, level: int) -> DataFrame:
     return docs.mapInArrow(run, "shard int, block binary")
 
 
-FILES = "shard int, path string, entries long, tokens long, widest long"
+#: ``likelihood``: of a level's counts under each mu, to be summed over all shards.
+FILES = "shard int, path string, entries long, tokens long, widest long, likelihood array<double>"
 
 
 def _listed(counted: DataFrame, build, name: str) -> list[dict]:
@@ -334,16 +337,19 @@ def build_words(counted: DataFrame, folder: str) -> list[dict]:
         keys, counts, _ = merged(rows["block"].tolist(), 1)
         path = _file(folder, 1, f"s{shard}")
         write_arrays(path, _sequence("keys", keys, 1 << 64) | {"counts": counts.astype(np.uint32)})
-        return pd.DataFrame([(shard, path, len(keys), int(counts.sum()), 0)],
-                            columns=["shard", "path", "entries", "tokens", "widest"])
+        return _file_row(shard, path, len(keys), int(counts.sum()), 0, [])
 
     return _listed(counted, build, "lm-words")
 
 
-def bind(spark, files: list[dict], folder: str, level: int, reach: int) -> list[dict]:
+def _file_row(*values) -> pd.DataFrame:
+    return pd.DataFrame([values], columns=[c.split()[0] for c in FILES.split(", ")])
+
+
+def bind(spark, files: list[dict], folder: str, level: int, reach: int, mu: float = 0.0) -> list[dict]:
     """Put VOLUME shards' arrays of a level end to end in one file (copied run
     by run, so a task holds little of them), and drop the shards' own files.
-    Level 1 gets its probability bytes here, now that N and V are known."""
+    Probability bytes are made here, now that N, V and the level's mu are known."""
     total, words = sum(f["tokens"] for f in files), sum(f["entries"] for f in files)
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
@@ -362,8 +368,8 @@ def bind(spark, files: list[dict], folder: str, level: int, reach: int) -> list[
             out["counts"] = runs("counts", np.empty(0, np.uint32))
             out["probability"] = [quantise((c.astype(float) + 1) / (total + words + 1)) for c in out["counts"]]
         else:
-            out["probability"] = runs("probability", np.empty(0, np.uint8))
-            out["backoff"] = runs("backoff", np.empty(0, np.uint8))
+            made = [_smoothed(shards[i], mu) if i in shards else (np.empty(0, np.uint8),) * 2 for i in range(VOLUME)]
+            out["probability"], out["backoff"] = [m[0] for m in made], [m[1] for m in made]
             out["context_at"], out["reach"] = ends(out["backoff"]), np.array([reach], np.int64)
         out["entry_at"] = ends(out["probability"])
         path = _file(folder, level, f"v{volume}")
@@ -380,13 +386,27 @@ def bind(spark, files: list[dict], folder: str, level: int, reach: int) -> list[
     return bound
 
 
+def likelihoods(counts: np.ndarray, totals: np.ndarray, lower: np.ndarray, grid: tuple = MU) -> list[float]:
+    """The log-likelihood of the counts, each left out once, under every mu of ``grid``."""
+    return [float((counts * np.log((counts - 1 + mu * lower) / (totals - 1 + mu))).sum()) for mu in grid]
+
+
+def best_mu(files: list[dict], grid: tuple) -> float:
+    """One mu for a level: the likeliest over all shards (a number per shard and mu is summed)."""
+    sums = np.array([f["likelihood"] for f in files]).sum(0)
+    return max(zip(np.round(sums, 3).tolist(), grid))[1]
+
+
 def smooth(counts: np.ndarray, totals: np.ndarray, lower: np.ndarray, grid: tuple = MU) -> float:
     """The mu of ``grid`` under which the counts, each left out once, are likeliest."""
-    best = (-np.inf, grid[0])
-    for mu in grid:
-        p = (counts - 1 + mu * lower) / (totals - 1 + mu)
-        best = max(best, (float((counts * np.log(p)).sum()), mu))
-    return best[1]
+    return best_mu([{"likelihood": likelihoods(counts, totals, lower, grid)}], grid)
+
+
+def _smoothed(shard: dict, mu: float) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a shard's probabilities and of its contexts' back-off weights."""
+    totals, low = shard["totals"].astype(float), 10.0 ** LOG10[shard["lower"]]
+    p = (shard["counts"] + mu * low) / (np.repeat(totals, shard["sizes"]) + mu)
+    return quantise(p), quantise(mu / (totals + mu))
 
 
 def build_grams(counted: DataFrame, folder: str, level: int, reach: int, parents: dict[int, int],
@@ -398,17 +418,16 @@ def build_grams(counted: DataFrame, folder: str, level: int, reach: int, parents
         n = parents[shard]
         totals = np.bincount(context, weights=counts, minlength=n)
         low = 10.0 ** LOG10[lower]
-        mu = smooth(counts, totals[context], low, grid)
-        p = (counts + mu * low) / (totals[context] + mu)
         sizes = np.bincount(context, minlength=n)
         begin = np.concatenate([[0], np.cumsum(sizes)])
         child = keys & np.uint64(0xFFFFFFFF)
         sequence = context.astype(np.uint64) * np.uint64(reach) + child
         path = _file(folder, level, f"s{shard}")
         write_arrays(path, _sequence("keys", sequence, n * reach) | _sequence("begin", begin, len(keys) + 1)
-                     | {"probability": quantise(p), "backoff": quantise(mu / (totals + mu))})
-        return pd.DataFrame([(shard, path, len(keys), int(counts.sum()), int(sizes.max()))],
-                            columns=["shard", "path", "entries", "tokens", "widest"])
+                     | {"counts": counts.astype(np.uint32), "lower": lower, "totals": totals.astype(np.uint64),
+                        "sizes": sizes.astype(np.uint32)})
+        return _file_row(shard, path, len(keys), int(counts.sum()), int(sizes.max()),
+                         likelihoods(counts, totals[context], low, grid))
 
     return _listed(counted, build, f"lm-level{level}")
 
@@ -429,7 +448,7 @@ def train(docs: DataFrame, order: int = ORDER, least_shards: int = LEAST_SHARDS,
         reach = max(1, sum(entries.values()) if level == 2 else max([f["widest"] for f in files], default=1))
         parents = {f["shard"]: f["entries"] for f in files}
         files = build_grams(count_grams(texts, shared, level), folder, level, reach, parents, grid)
-        levels.append(bind(spark, files, folder, level, reach) if files else [])
+        levels.append(bind(spark, files, folder, level, reach, best_mu(files, grid)) if files else [])
     return Trie(shards, levels, entries, tokens)
 
 

@@ -150,6 +150,14 @@ def test_trie_of_many_shards_and_volumes(spark):
     assert one == many
 
 
+def test_lm_scores_do_not_depend_on_the_number_of_shards(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    texts = spark.createDataFrame([(r.text,) for r in docs.collect()], "text string")
+    one, twelve, many = (sorted((r.text, round(r.score, 6)) for r in lm.score(
+        texts, lm.train(texts, 3, least_shards=n)).collect()) for n in (1, 12, 150))
+    assert one == twelve == many
+
+
 def test_lm_report_holds_out_and_beats_the_base(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op2_lm"](spark, SMALL).collect()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 7 == 2) for i, r in got.items())
