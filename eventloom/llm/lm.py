@@ -377,8 +377,10 @@ def bind(spark, files: list[dict], folder: str, level: int, reach: int, mu: floa
         return pd.DataFrame([(volume, path)], columns=["volume", "path"])
 
     listed = spark.createDataFrame([tuple(f[c.split()[0]] for c in FILES.split(", ")) for f in files], FILES)
-    done = materialise(listed.groupBy((F.col("shard") / VOLUME).cast("int").alias("volume"))
-                       .applyInPandas(build, "volume int, path string"), f"lm-volumes{level}")
+    # about a task a volume: a stated number of partitions is not merged for being a few paths
+    volumes = len({f["shard"] // VOLUME for f in files})
+    done = materialise(listed.withColumn("volume", (F.col("shard") / VOLUME).cast("int")).repartition(volumes, "volume")
+                       .groupBy("volume").applyInPandas(build, "volume int, path string"), f"lm-volumes{level}")
     bound = [r.asDict() for r in done.collect()]
     for f in files:
         path, fs = _fs(spark, f["path"])

@@ -235,6 +235,10 @@ def _batch(rows: list[dict], payload: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in kept.items()], names=list(kept))
 
 
+#: Tasks that read bundles, at most.
+TASKS = 20_000
+
+
 def read_bundles(index: DataFrame, payload: bool = True) -> DataFrame:
     """All records of the bundles named in an index, frame by frame."""
     def run(batches):
@@ -251,8 +255,10 @@ def read_bundles(index: DataFrame, payload: bool = True) -> DataFrame:
 
     schema = RECORDS if payload else RECORDS.removesuffix(", payload binary")
     bundles = index.select("bundle").distinct()
-    # one task a bundle: a bundle's size is bounded, their number grows with the data
-    return bundles.repartition("bundle").mapInArrow(run, schema)
+    # about one task a bundle (a bundle's size is bounded, their number grows with the
+    # data); a stated number of partitions is not merged for being a few bytes of names
+    tasks = max(1, min(bundles.count(), TASKS))
+    return bundles.repartition(tasks, "bundle").mapInArrow(run, schema)
 
 
 def lookup(index: DataFrame, ids: DataFrame) -> DataFrame:
