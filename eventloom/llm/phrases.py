@@ -14,10 +14,10 @@ Scans count 64-bit hashes, and tell which are due by an activation map:
 became frequent; a phrase's set is what its two cells share. Phrases that share
 cells or a hash may be counted too early or too often, never too seldom. The
 counts are sorted arrays, a row for each range of hashes that a task met; they
-are summed up per range, of which there are as many as shuffle partitions, and
-stand in a table bucketed by it, so that no activation shuffles them again. A last scan of all texts counts, as text, the phrases whose hash was
-found frequent, and those alone: so the frequencies are exact for all that
-reach LEAST. A map has ``PER`` cells a phrase, up to the fixed ``CELLS``; with
+are summed up per range and stand in a table bucketed by it, so that no
+activation shuffles them again. A last scan of all texts counts, as text, the
+phrases whose hash was found frequent, and those alone: so the frequencies are
+exact for all that reach LEAST. A map has ``PER`` cells a phrase, up to the fixed ``CELLS``; with
 more frequent phrases than that more is counted than is due, and the results
 stay the same.
 
@@ -58,7 +58,10 @@ BITS = 23
 CELLS, PER = 1 << BITS, 8
 #: Bytes of the texts' files per task, counts that a task sums up before it gives
 #: them out, and bytes of text whose phrases are named at once.
-TASK_BYTES, HELD, NAMED_BYTES = 1 << 30, 1 << 20, 4 << 20
+TASK_BYTES, HELD, NAMED_BYTES = 1 << 30, 1 << 20, 3 << 20
+#: Ranges of hashes, at least (a range is what a step holds at once); as many as
+#: shuffle partitions if those are more.
+RANGES = 256
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\x0a\x0b\x0c\x0d")] = True
@@ -331,10 +334,11 @@ class Counter:
 
     def _scan(self, maps: dict) -> None:
         texts = self.texts.filter(F.col("shard") == self.scans % self.shards).select("lang", "text")
-        ranges = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(buckets, RANGES)
         found = texts.coalesce(self.tasks).mapInArrow(_scanner(self.scans, self.shards, maps, ranges), PACKED)
         (found.groupBy("part", "len").applyInPandas(_summed_range, PACKED).withColumn("scan", F.lit(self.scans))
-         .write.mode("append").partitionBy("len").bucketBy(ranges, "part").option("path", f"{self.folder}/counts")
+         .write.mode("append").partitionBy("len").bucketBy(buckets, "part").option("path", f"{self.folder}/counts")
          .saveAsTable(self.table))
         self.scans += 1
 
