@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType,
                                StringType, StructField, StructType,
@@ -36,6 +36,7 @@ from eventloom.sources import following as FW
 from eventloom.sources import incremental as INC
 from eventloom.sources.topics import publish_slice, read_topic, stage_slices, time_slices, write_topic
 from eventloom.streaming import compaction as CP
+from eventloom.streaming import joined as JD
 from eventloom.streaming import late as LT
 from eventloom.streaming import runner as RN
 from eventloom.streaming import running as RG
@@ -81,6 +82,24 @@ def _run_and_read(spark, df: DataFrame, name: str, **kw) -> DataFrame:
     return spark.read.schema(df.schema).parquet(out)
 
 
+def _join_and_read(spark, left: DataFrame, right: DataFrame, on, name: str, finish=lambda df: df) -> DataFrame:
+    """Join two streams over all available input into files, and read them back.
+    History and checkpoint of such a one-off run are dropped."""
+    name = _uid(name)
+    out, _ = JD.join_streams(left, right, on, name, scratch_path(spark, name), finish)
+    RN.drop_checkpoint(spark, name)
+    schema = finish(J.join(left, right, on, "inner")).schema
+    return spark.read.schema(schema).parquet(out).select(*schema.names)
+
+
+def _join_to_topic(spark, left: DataFrame, right: DataFrame, on, name: str, finish) -> str:
+    """Join two streams into a topic of the envelopes that ``finish`` makes; its folder."""
+    name = _uid(name)
+    path, _ = JD.join_streams(left, right, on, name, scratch_path(spark, name), finish, partition_by=("topic",))
+    RN.drop_checkpoint(spark, name)
+    return path
+
+
 #: State of stream joins: on disk, one store per partition, written as changes.
 JOIN_STATE = {**RG.SETTINGS, "spark.sql.streaming.join.stateFormatVersion": "3",
               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
@@ -95,12 +114,17 @@ def risk_join(customer_env: DataFrame, risk_env: DataFrame, keep=()) -> DataFram
     """Flagship: change-record customers (envelope → base64 → JSON) joined with
     risk-score events by e-mail; batch or stream. ``keep``: envelope columns of
     the risk events to carry along."""
+    return J.join(*risk_sides(customer_env, risk_env, keep), "inner")
+
+
+def risk_sides(customer_env: DataFrame, risk_env: DataFrame, keep=()) -> tuple[DataFrame, DataFrame, Column]:
+    """The decoded sides of :func:`risk_join`, events first, and their condition."""
     cust = D.decode_two_level(customer_env, CUSTOMER_RECORD)
     cust = R.not_null(cust, ["email", "birthDay"]).select(
         "email", S.split_item("birthDay", "-", 0).alias("birthYear"))
     risk = D.parse_json(risk_env, "value", RISK_EVENT, keep=list(keep))
     risk = R.not_null(risk, ["customer", "score"]).select("customer", "score", *keep)
-    return J.join(risk, cust, F.col("customer") == F.col("email"), "inner")
+    return risk, cust, F.col("customer") == F.col("email")
 
 
 def _parallelism(spark) -> int:
@@ -323,11 +347,9 @@ def sink_topic(spark, sf):
     checkpoint; the topic is read back and decoded."""
     cust = _topic(spark, sf, FD.CUSTOMERS, stream=True)
     risk = _topic(spark, sf, FD.RISK, stream=True)
-    joined = risk_join(cust, risk, keep=["offset", "timestamp"])
-    env = SK.keyed_json(joined, "customer", "risk-information", offset="offset", timestamp="timestamp",
-                        cols=["customer", "score", "email", "birthYear"])
-    path = scratch_path(spark, _uid("risk_information"))
-    SK.to_topic(env, path, _uid("sink_topic"), state_partitions=_parallelism(spark), settings=JOIN_STATE)
+    path = _join_to_topic(spark, *risk_sides(cust, risk, keep=["offset", "timestamp"]), "risk_information",
+                          lambda j: SK.keyed_json(j, "customer", "risk-information", offset="offset", timestamp="timestamp",
+                                                  cols=["customer", "score", "email", "birthYear"]))
     return _read_back(spark, path, "risk-information", RISK_OUT).drop("key")
 
 
@@ -660,10 +682,9 @@ def join_ss_deposits(spark, sf):
     dep = D.parse_json(_topic(spark, sf, FD.DEPOSITS, stream=True), "value", DEPOSIT)
     cust = D.decode_two_level(_topic(spark, sf, FD.CUSTOMERS, stream=True), CUSTOMER_RECORD).select(
         "customerName", "email", F.col("accountNumber").alias("customerNumber"))
-    j = J.join(dep, cust, F.col("accountNumber") == F.col("customerNumber"), "inner")
-    return _run_and_read(spark, j.select(
+    return _join_and_read(spark, dep, cust, F.col("accountNumber") == F.col("customerNumber"), "deposits", lambda j: j.select(
         "accountNumber", "amount", S.parse_bank_time("dateAndTime").cast("timestamp_ntz").alias("depositTime"),
-        "customerName", "email"), "deposits", settings=JOIN_STATE)
+        "customerName", "email"))
 
 
 @q("join_ss_withdrawals", """
@@ -675,13 +696,9 @@ def join_ss_withdrawals(spark, sf):
     keyed JSON to a topic that is read back."""
     w = D.parse_json(_topic(spark, sf, FD.WITHDRAWALS, stream=True), "value", WITHDRAWAL, keep=["offset"])
     atm = D.parse_json(_topic(spark, sf, FD.ATM, stream=True), "value", ATM_VISIT)
-    j = J.join(w, atm, F.col("transactionId") == F.col("atmTransactionId"), "inner")
     fields = ["transactionId", "l_linenumber", "amount", "accountNumber", "transactionDate"]
-    env = SK.keyed_json(j, "accountNumber", "withdrawals-location", offset="offset", cols=fields)
-    name = _uid("withdrawals")
-    path = scratch_path(spark, name)
-    SK.to_topic(env, path, name, state_partitions=_parallelism(spark), settings=JOIN_STATE)
-    RN.drop_checkpoint(spark, name)
+    path = _join_to_topic(spark, w, atm, F.col("transactionId") == F.col("atmTransactionId"), "withdrawals",
+                          lambda j: SK.keyed_json(j, "accountNumber", "withdrawals-location", offset="offset", cols=fields))
     out = StructType([f for f in [*WITHDRAWAL.fields, *ATM_VISIT.fields] if f.name in fields])
     return D.parse_json(read_topic(spark, path, topics="withdrawals-location"), "value", out).select(*fields)
 
@@ -708,19 +725,21 @@ def join_ss_risk(spark, sf):
 @q("join_ss_risk_stream", RISK_SQL)
 def join_ss_risk_stream(spark, sf):
     """The flagship with both sides as streams."""
-    joined = risk_join(_topic(spark, sf, FD.CUSTOMERS, stream=True), _topic(spark, sf, FD.RISK, stream=True))
-    return _run_and_read(spark, joined, "risk", settings=JOIN_STATE)
+    sides = risk_sides(_topic(spark, sf, FD.CUSTOMERS, stream=True), _topic(spark, sf, FD.RISK, stream=True))
+    return _join_and_read(spark, *sides, "risk")
+
+
+LOCATIONS = ["accountNumber", "location", "homeLocation", "customerName"]
 
 
-def _locations(spark, sf, stream=False) -> DataFrame:
+def _location_sides(spark, sf, stream=False) -> tuple[DataFrame, DataFrame, Column]:
     members = D.decode_change_members(_topic(spark, sf, FD.MIXED, stream=stream))
     cust, loc, _rejects = D.demux(members, "member", "customerName")
     home = D.parse_json(cust, "member", CUSTOMER_RECORD).select(
         "customerName", F.col("accountNumber").alias("homeAccountNumber"),
         F.col("location").alias("homeLocation"))
     cur = D.parse_json(loc, "member", LOCATION_RECORD)
-    j = J.join(cur, home, F.col("accountNumber") == F.col("homeAccountNumber"), "inner")
-    return j.select("accountNumber", "location", "homeLocation", "customerName")
+    return cur, home, F.col("accountNumber") == F.col("homeAccountNumber")
 
 
 LOCATION_SQL = """
@@ -733,13 +752,13 @@ JOIN customer ON o_custkey = c_custkey LEFT JOIN nation home ON c_nationkey = ho
 @q("join_ss_location", LOCATION_SQL)
 def join_ss_location(spark, sf):
     """Current × home location per account, as streams, after demultiplexing one topic."""
-    return _run_and_read(spark, _locations(spark, sf, stream=True), "location", settings=JOIN_STATE)
+    return _join_and_read(spark, *_location_sides(spark, sf, stream=True), "location", lambda j: j.select(*LOCATIONS))
 
 
 @q("join_travel", f"SELECT * FROM ({LOCATION_SQL}) WHERE location <> homeLocation")
 def join_travel(spark, sf):
     """Customers seen outside their home country."""
-    return _locations(spark, sf).filter(F.col("location") != F.col("homeLocation"))
+    return J.join(*_location_sides(spark, sf), "inner").select(*LOCATIONS).filter(F.col("location") != F.col("homeLocation"))
 
 
 @q("join_st_left", """
