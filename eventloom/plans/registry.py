@@ -712,8 +712,7 @@ def join_ss_checkin(spark, sf):
     """Vehicle status × check-ins by truck number, both streams."""
     st = D.parse_json(_topic(spark, sf, FD.VEHICLES, stream=True), "value", VEHICLE)
     ck = D.parse_json(_topic(spark, sf, FD.CHECKINS, stream=True), "value", CHECKIN)
-    return _run_and_read(spark, J.join(st, ck, F.col("statusTruckNumber") == F.col("checkinTruckNumber"), "inner"),
-                         "checkin", settings=JOIN_STATE)
+    return _join_and_read(spark, st, ck, F.col("statusTruckNumber") == F.col("checkinTruckNumber"), "checkin")
 
 
 @q("join_ss_risk", RISK_SQL)

@@ -93,3 +93,7 @@ def _stores(spark, monkeypatch, query):
 @pytest.mark.parametrize("query", ["join_ss_withdrawals", "join_ss_deposits", "join_ss_risk_stream", "join_ss_location", "sink_topic"])
 def test_joins_keep_no_row_in_a_state_store(spark, monkeypatch, query):
     assert _stores(spark, monkeypatch, query) == []
+
+
+def test_checkin_keeps_no_row_in_a_state_store(spark, monkeypatch):
+    assert _stores(spark, monkeypatch, "join_ss_checkin") == []
