@@ -9,18 +9,23 @@ import numpy as np
 _ONE = np.uint64(1)
 
 
+#: Every byte's lowest bit, and its highest.
+_LOWS, _HIGHS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: Place of the k-th set bit of byte b, at 8 b + k.
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for b in range(256) for k in range(8)], np.int64)
+
+
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Place of the k-th (from 0) set bit of each word."""
-    word, k = word.copy(), k.astype(np.int64)
-    at = np.zeros(len(word), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
-        go = k >= below
-        k -= below * go
-        shift = width * go
-        at += shift
-        word >>= shift.astype(np.uint64)
-    return at
+    """Place of the k-th (from 0) set bit of each word: the byte by its bytes'
+    running counts, compared all at once, then a table."""
+    k = k.astype(np.uint64)
+    sums = word - (word >> _ONE & np.uint64(0x5555555555555555))
+    sums = (sums & np.uint64(0x3333333333333333)) + (sums >> np.uint64(2) & np.uint64(0x3333333333333333))
+    sums = (sums + (sums >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _LOWS
+    at = np.bitwise_count((k * _LOWS | _HIGHS) - sums & _HIGHS).astype(np.uint64) << np.uint64(3)
+    k -= sums << np.uint64(8) >> at & np.uint64(255)
+    byte = word >> at & np.uint64(255)
+    return at.astype(np.int64) + _IN_BYTE[(byte << np.uint64(3) | k & np.uint64(7)).astype(np.int64)]
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -72,12 +77,27 @@ class Shelf:
             out[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
         return out & ((_ONE << bits.astype(np.uint64)) - _ONE)
 
-    def _ones_before_zero(self, seq: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """How many values of a sequence have a high part of at most h."""
-        zero = self.zeros_at[seq] + h
+    def _zero(self, zero: np.ndarray) -> np.ndarray:
+        """Where among all bits the clear bits of these numbers are."""
         word = self.zeros.word(zero)
-        place = _select_in_word(~self.high[word], zero - self.zeros.before(word))
-        return np.minimum(word * 64 + place - zero - self.ones_at[seq], self.n[seq])
+        return word * 64 + _select_in_word(~self.high[word], zero - self.zeros.before(word))
+
+    def _bucket(self, seq: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which values of a sequence have the high part h: from, to. Their ones
+        begin after the clear bit before, and mostly end in the same word."""
+        at, lo = self.high_at[seq] * 64, np.zeros(len(h), np.int64)
+        some = np.flatnonzero(h > 0)
+        zero = self.zeros_at[seq[some]] + h[some] - 1
+        place = self._zero(zero)
+        at[some] = place + 1
+        lo[some] = np.minimum(place - zero - self.ones_at[seq[some]], self.n[seq[some]])
+        word = np.minimum(at >> 6, len(self.high) - 1)
+        clear = ~self.high[word] >> (at & 63).astype(np.uint64)
+        hi = lo + np.bitwise_count((clear & (~clear + _ONE)) - _ONE)
+        far = np.flatnonzero((clear == 0) | (at >> 6 > word))
+        zero = self.zeros_at[seq[far]] + h[far]
+        hi[far] = self._zero(zero) - zero - self.ones_at[seq[far]]
+        return lo, np.minimum(hi, self.n[seq])
 
     def access(self, seq: np.ndarray, i: np.ndarray) -> np.ndarray:
         """The i-th value of each sequence asked."""
@@ -96,13 +116,11 @@ class Shelf:
         last = self.zeros_at[seq + 1] - self.zeros_at[seq] - 1  # higher parts hold nothing
         on = np.flatnonzero((self.n[seq] > 0) & (top <= last.astype(np.uint64)))
         h, seq = top[on].astype(np.int64), seq[on]
-        hi = self._ones_before_zero(seq, h)
-        lo = np.zeros(len(h), np.int64)
-        some = np.flatnonzero(h > 0)
-        lo[some] = self._ones_before_zero(seq[some], h[some] - 1)
-        end = hi.copy()
+        lo, hi = self._bucket(seq, h)
+        end = hi
+        hi = hi - 1
         want = values[on] & ((_ONE << bits[on]) - _ONE)
-        # binary search for the successor among values of one high part
+        # binary search for the successor among values of one high part, or its last
         live = np.flatnonzero(lo < hi)
         while len(live):
             mid = (lo[live] + hi[live]) >> 1
@@ -120,7 +138,7 @@ class Zeros:
     """Clear bits before each word, as 64 per word less the set ones; held only
     for every ``STEP``-th word, so that the mapped arrays stay compact."""
 
-    STEP = 64
+    STEP = 16
 
     def __init__(self, ones: np.ndarray):
         self.ones = ones

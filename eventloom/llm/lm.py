@@ -177,7 +177,8 @@ class Trie:
 
     def by_volume(self, shard: np.ndarray):
         """(volume, places) for every volume that occurs; shards of -1 are left out."""
-        volume = np.where(shard < 0, -1, shard // VOLUME)
+        # (numbers of 16 bits are sorted in one sweep)
+        volume = np.where(shard < 0, -1, shard // VOLUME).astype(np.int16 if self.shards <= VOLUME << 15 else np.int64)
         order = np.argsort(volume, kind="stable")
         order = order[np.searchsorted(volume[order], 0):]
         for at in np.split(order, np.flatnonzero(np.diff(volume[order])) + 1):
@@ -206,10 +207,11 @@ class Trie:
         """Shard of each word id; -1 for unknown words."""
         return np.where(ids < 0, -1, np.searchsorted(self.offset, ids, "right") - 1)
 
-    def step(self, level: int, shard: np.ndarray, parent: np.ndarray, child: np.ndarray):
+    def step(self, level: int, shard: np.ndarray, parent: np.ndarray, child: np.ndarray, ranked: bool = True):
         """Successor search: the place of ``child`` among the successors of the
         context ``parent`` of its shard. Returns place in the shard's level, place
-        relative to the context, probability byte, and the context's back-off byte."""
+        relative to the context (-1 unless ``ranked``), probability byte, and the
+        context's back-off byte."""
         place, rank = np.full((2, len(shard)), -1, np.int64)
         byte, back = np.zeros((2, len(shard)), np.uint8)
         known = (parent >= 0) & (shard >= 0)
@@ -232,7 +234,10 @@ class Trie:
             found = a["keys"].find(seq, local.astype(np.uint64) * np.uint64(reach) + succ)
             ok = np.flatnonzero(found >= 0)
             relative = np.full(len(found), -1, np.int64)
-            relative[ok] = found[ok] - a["begin"].access(seq[ok], local[ok]).astype(np.int64)
+            if ranked and len(ok):  # neighbours of one context share its begin
+                new = np.concatenate([[True], np.diff(context[ok]) != 0])
+                begin = a["begin"].access(seq[ok[new]], local[ok[new]]).astype(np.int64)
+                relative[ok] = found[ok] - begin[np.cumsum(new) - 1]
             bytes_ = np.zeros(len(found), np.uint8)
             bytes_[ok] = a["probability"][a["entry_at"][seq[ok]] + found[ok]]
             place[at], rank[at], byte[at] = found[inverse], relative[inverse], bytes_[inverse]
@@ -254,7 +259,7 @@ class Trie:
             context[none] = owner[none] = -1
             names = ids if level == 2 else rank
             if level <= len(self.files):
-                place, rank, byte, back = self.step(level, owner, context, names)
+                place, rank, byte, back = self.step(level, owner, context, names, level < upto)
             else:
                 place = rank = byte = back = None
             out.append((owner, context, names, place, byte, back))

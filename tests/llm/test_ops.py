@@ -193,6 +193,36 @@ def test_elias_fano_finds_what_it_holds():
     assert got.tolist() == [want[i] for i in mixed]
 
 
+def test_elias_fano_walks_to_a_clear_bit_once_per_question(monkeypatch):
+    from eventloom.llm import eliasfano
+    r = np.random.default_rng(6)
+    # many values of one high part (runs of set bits over several words), and few
+    held = [np.unique(np.concatenate([r.integers(0, 1 << 40, 300), np.arange(5000) + (1 << 39)])).astype(np.uint64),
+            np.arange(1000, dtype=np.uint64), r.integers(0, 90, 64).astype(np.uint64)]
+    held[2].sort()
+    shelf = eliasfano.Shelf.of(*(eliasfano.encode(v, u) for v, u in zip(held, (1 << 40, 1000, 90))))
+    asked, select = [], eliasfano._select_in_word
+    monkeypatch.setattr(eliasfano, "_select_in_word", lambda w, k: asked.append(len(k)) or select(w, k))
+    for i, v in enumerate(held):
+        ask = np.unique(np.concatenate([v, v + np.uint64(1), r.integers(0, 1 << 40, 500).astype(np.uint64)]))
+        at = np.searchsorted(v, ask)
+        want = np.where((at < len(v)) & (v[np.minimum(at, len(v) - 1)] == ask), at, -1)
+        assert shelf.find(np.full(len(ask), i), ask).tolist() == want.tolist()
+    asked.clear()  # a second walk only where the set bits leave their word
+    sparse = eliasfano.Shelf.of(eliasfano.encode(held[1], 1000))
+    assert (sparse.find(np.zeros(1000, int), held[1]) == np.arange(1000)).all() and sum(asked) < 1200
+
+
+def test_bits_are_selected_in_any_word():
+    from eventloom.llm.eliasfano import _select_in_word
+    r = np.random.default_rng(7)
+    words = np.concatenate([r.integers(0, 1 << 64, 200, np.uint64), r.integers(0, 1 << 64, 50, np.uint64) & r.integers(0, 1 << 64, 50, np.uint64),
+                            np.array([1, 1 << 63, 2 ** 64 - 1], np.uint64)])
+    for w in words:
+        places = [i for i in range(64) if int(w) >> i & 1]
+        assert _select_in_word(np.full(len(places), w), np.arange(len(places))).tolist() == places
+
+
 # --- 3: PII ------------------------------------------------------------------
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
