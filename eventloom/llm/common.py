@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Jobs run inside send Python at most ``rows`` rows at once: a batch stands
+    in the executor's memory and again in its worker's."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of the files behind a DataFrame, from the file listing alone."""
     spark = df.sparkSession
@@ -69,11 +85,12 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def per_chunk(fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], text: str = "text"):
+def per_chunk(fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], text: str = "text",
+              max_bytes: int = CHUNK_BYTES):
     """A mapInArrow function that applies ``fn`` to bounded slices."""
     def run(batches):
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, max_bytes):
                 out = fn(part)
                 if isinstance(out, pa.RecordBatch):
                     yield out

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import chunks, input_bytes, per_chunk, shared_folder, text_buffer
+from eventloom.llm.common import chunks, input_bytes, per_chunk, shared_folder, small_batches, text_buffer
 from eventloom.llm.words import LOWER, Words, mix
 
 #: Times a phrase must occur, words of the longest, and rows reported per language.
@@ -57,8 +57,11 @@ SHARDS = 2
 BITS = 23
 CELLS, PER = 1 << BITS, 8
 #: Bytes of the texts' files per task, counts that a task sums up before it gives
-#: them out, and bytes of text whose phrases are named at once.
-TASK_BYTES, HELD, NAMED_BYTES = 1 << 30, 1 << 20, 3 << 20
+#: them out, and named phrases likewise.
+TASK_BYTES, HELD, NAMED = 1 << 30, 1 << 20, 1 << 19
+#: Rows that a worker is sent and gives, and bytes of text that it handles, at once (one
+#: longer text is handled whole): two workers and a full heap share an executor's memory.
+SENT_ROWS, GIVEN_ROWS, TEXT_BYTES = 1000, 1 << 16, 1 << 20
 #: Ranges of hashes, at least (a range is what a step holds at once); as many as
 #: shuffle partitions if those are more.
 RANGES = 256
@@ -70,8 +73,8 @@ _WORD[list(b" \t")] = False
 _PART = np.ones(256, bool)
 _PART[0x20] = False
 
-NAMED = "lang string, len int, phrase string, n long"
-_NAMED = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+NAMES = "lang string, len int, phrase string, n long"
+_NAMES = pa.schema([("lang", pa.string()), ("len", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 #: Sorted hashes of one length and range, and their counts, as arrays of 64-bit integers.
 PACKED = "len int, part int, h binary, n binary"
 _PACKED = pa.schema([("len", pa.int32()), ("part", pa.int32()), ("h", pa.binary()), ("n", pa.binary())])
@@ -160,7 +163,7 @@ class _Chunk:
         phrase = parts[0] if length == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
         return pa.RecordBatch.from_arrays(
             [self.langs.take(pa.array(self.lang[at])).cast(pa.string()), pa.array(np.full(len(at), length, np.int32)),
-             phrase.cast(pa.string()), pa.array(times.astype(np.int64))], schema=_NAMED)
+             phrase.cast(pa.string()), pa.array(times.astype(np.int64))], schema=_NAMES)
 
 
 def summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -274,28 +277,45 @@ def _scanner(scan: int, shards: int, maps: dict, ranges: int):
                 sets[at] = _sets(cells, h)
                 at, h = c.phrases(k + 1)
                 yield from sums[k + 1].add(h[_due(sets[at], sets[at + 1], scan, shards)])
-        yield from per_chunk(count)(batches)
+        yield from per_chunk(count, max_bytes=TEXT_BYTES)(batches)
         for s in sums.values():
             yield from s.flush()
     return run
 
 
+def _merged(rows: list) -> pa.Table:
+    """Equal phrases as one row each."""
+    tables = [pa.Table.from_batches([x]) if isinstance(x, pa.RecordBatch) else x for x in rows]
+    whole = pa.concat_tables(tables).group_by(["lang", "len", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    return whole.select(["lang", "len", "phrase", "n_sum"]).rename_columns(_NAMES.names).cast(_NAMES).combine_chunks()
+
+
 def _namer(maps: dict):
     """Counts, as text, of the phrases whose hash was found frequent; and of all words per language (length 0)."""
     def count(part: pa.RecordBatch, opened: list):
         c = _Chunk(part)
         n = np.bincount(c.lang, minlength=len(c.langs))
         yield pa.RecordBatch.from_arrays([c.langs.cast(pa.string()), pa.array(np.zeros(len(n), np.int32)),
-                                          pa.array([""] * len(n), pa.string()), pa.array(n.astype(np.int64))], schema=_NAMED)
+                                          pa.array([""] * len(n), pa.string()), pa.array(n.astype(np.int64))], schema=_NAMES)
         for k, cells in opened:
             at, h = c.phrases(k)
             yield c.rows(at[_sets(cells, h) != 0], k)
 
     def run(batches):
         opened = list(_opened(maps))
+        held, size = [], 0
         for batch in batches:
-            for part in chunks(batch, "text", NAMED_BYTES):
-                yield from count(part, opened)
+            for part in chunks(batch, "text", TEXT_BYTES):
+                for rows in count(part, opened):
+                    held.append(rows)
+                    size += len(rows)
+                if size > NAMED:
+                    held, size = [whole := _merged(held)], len(whole)
+                    if size > NAMED // 2:
+                        yield from whole.to_batches(GIVEN_ROWS)
+                        held, size = [], 0
+        if held:
+            yield from _merged(held).to_batches(GIVEN_ROWS)
     return run
 
 
@@ -317,20 +337,24 @@ class Counter:
         self.tasks = max(2 * self.spark.sparkContext.defaultParallelism, input_bytes(self.texts) // TASK_BYTES)
         self.scans = 0
         self.last = {1: 0, 2: 0}  # the last scan after which a phrase of a length became frequent
+        with small_batches(self.spark, SENT_ROWS):
+            self._count()
+        self.named = self.spark.read.schema("lang string, len int, phrase string, f long").parquet(f"{self.folder}/named")
+
+    def _count(self) -> None:
         maps: dict = {}
         try:
-            while self.scans < shards or any(a and self.scans < a + shards for a in self.last.values()):
+            while self.scans < self.shards or any(a and self.scans < a + self.shards for a in self.last.values()):
                 self._scan(maps)
                 # words are counted after one cycle, pairs one cycle after the last word got frequent
-                open_ = [k for k in range(1, longest) if self.scans <= shards + (self.last[1] if k > 1 else 0)]
+                open_ = [k for k in range(1, self.longest) if self.scans <= self.shards + (self.last[1] if k > 1 else 0)]
                 maps = {**maps, **self._activate(open_)}
-            found = {**maps, **self._activate([longest])}
+            found = {**maps, **self._activate([self.longest])}
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
-        named = self.texts.select("lang", "text").coalesce(self.tasks).mapInArrow(_namer(found), NAMED)
+        named = self.texts.select("lang", "text").coalesce(self.tasks).mapInArrow(_namer(found), NAMES)
         (named.groupBy("lang", "len", "phrase").agg(F.sum("n").alias("f"))
-         .filter((F.col("len") == 0) | (F.col("f") >= least)).write.parquet(f"{self.folder}/named"))
-        self.named = self.spark.read.schema("lang string, len int, phrase string, f long").parquet(f"{self.folder}/named")
+         .filter((F.col("len") == 0) | (F.col("f") >= self.least)).write.parquet(f"{self.folder}/named"))
 
     def _scan(self, maps: dict) -> None:
         texts = self.texts.filter(F.col("shard") == self.scans % self.shards).select("lang", "text")

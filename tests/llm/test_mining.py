@@ -5,12 +5,15 @@ import html
 import io
 import math
 import re
+import tracemalloc
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventloom.llm import covertree, phrases, wrapper
+from eventloom.llm import words as word_hashes
 from llm.data import SMALL, edge_docs, no_docs, prose
 
 
@@ -242,6 +245,48 @@ def test_a_late_phrase_completes_its_cycle(spark):
         (p, 11) for p in ("rare", "pair", "here", "rare pair", "pair here", "rare pair here")}
 
 
+def test_phrases_hold_little_of_a_batch(monkeypatch):
+    """Scans and naming take a batch in runs of texts, and give equal names of many runs once."""
+    texts = [prose(i, 200) + " Same words everywhere" for i in range(64)] * 100
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    h = phrases._Chunk(batch.slice(0, 64)).phrases(1)[1]
+    maps = {1: phrases.Map(np.concatenate([h & np.uint64(phrases.CELLS - 1), h >> np.uint64(64 - phrases.BITS)]),
+                           np.full(2 * len(h), 2, np.uint16))}
+    for step in (phrases._scanner(0, 2, {}, 16), phrases._namer(maps)):
+        monkeypatch.setattr(word_hashes, "_POW", np.ones(1, np.uint64))
+        monkeypatch.setattr(word_hashes, "_INV", np.ones(1, np.uint64))
+        tracemalloc.start()
+        try:
+            found = list(step(iter([batch])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert peak < 70e6, peak
+    named = pa.Table.from_batches(found).to_pylist()
+    want = collections.Counter(w for t in texts for w in t.lower().split())
+    assert len(named) == len(want) + 1 and {r["phrase"]: r["n"] for r in named if r["len"]} == want
+
+
+def test_phrases_send_workers_few_rows_at_once(spark, monkeypatch):
+    scanner, namer = phrases._scanner, phrases._namer
+
+    def few(step):
+        def run(batches):
+            def checked():
+                for batch in batches:
+                    assert batch.num_rows <= 1000, batch.num_rows
+                    yield batch
+            yield from step(checked())
+        return run
+
+    monkeypatch.setattr(phrases, "_scanner", lambda *a: few(scanner(*a)))
+    monkeypatch.setattr(phrases, "_namer", lambda *a: few(namer(*a)))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = spark.range(5000).selectExpr("id doc_id", "'one two' text", "'en' lang").coalesce(1)
+    assert {(r.phrase, r.f) for r in phrases.Counter(df).frequencies().collect()} == {(p, 5000) for p in ("one", "two", "one two")}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_scores_past_64_bits_are_exact(spark):
     big = 4_000_000_000_000
     f = [("en", 1, "a", big + 3), ("en", 1, "b", big + 7), ("en", 2, "a b", big)]
