@@ -47,6 +47,10 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     return {"n": np.array([n], np.int64), "bits": np.array([bits], np.int64), "low": low, "high": high}
 
 
+#: Questions that are answered at once: the arrays in between stay in a core's cache.
+BLOCK = 1 << 14
+
+
 class Shelf:
     """Encoded sequences side by side. A question names its sequence, so many
     are answered by the same few array operations."""
@@ -54,9 +58,10 @@ class Shelf:
     def __init__(self, n, bits, low_at, low, high_at, high, ones):
         """``low_at`` and ``high_at`` (one entry more) are where each sequence's
         words begin; ``ones`` counts the set bits before each word of ``high``."""
-        self.n, self.bits, self.low_at, self.low = n, bits, low_at, low
-        self.high_at, self.high, self.ones = high_at, high, ones
-        self.zeros = Zeros(ones)
+        # (views of a mapping that are plain arrays)
+        self.n, self.bits, self.low_at, self.low = n, bits, low_at, np.asarray(low)
+        self.high_at, self.high, self.ones = high_at, np.asarray(high), np.asarray(ones)
+        self.zeros = Zeros(self.ones)
         self.ones_at = np.concatenate([[0], np.cumsum(n)])
         self.zeros_at = high_at * 64 - self.ones_at
 
@@ -101,6 +106,12 @@ class Shelf:
 
     def access(self, seq: np.ndarray, i: np.ndarray) -> np.ndarray:
         """The i-th value of each sequence asked."""
+        out = np.empty(len(i), np.uint64)
+        for at in range(0, len(i), BLOCK):
+            out[at:at + BLOCK] = self._access(seq[at:at + BLOCK], i[at:at + BLOCK])
+        return out
+
+    def _access(self, seq: np.ndarray, i: np.ndarray) -> np.ndarray:
         one = self.ones_at[seq] + i
         word = np.searchsorted(self.ones, one.astype(np.uint64), "right") - 1
         place = _select_in_word(self.high[word], one - self.ones[word].astype(np.int64))
@@ -109,28 +120,52 @@ class Shelf:
 
     def find(self, seq: np.ndarray, values: np.ndarray) -> np.ndarray:
         """The place of each value in its sequence, or -1. Quickest if ascending."""
+        out = np.empty(len(values), np.int64)
+        for at in range(0, len(values), BLOCK):
+            out[at:at + BLOCK] = self._find(seq[at:at + BLOCK], values[at:at + BLOCK].astype(np.uint64))
+        return out
+
+    def _find(self, seq: np.ndarray, values: np.ndarray) -> np.ndarray:
         out = np.full(len(values), -1, np.int64)
-        values = values.astype(np.uint64)
-        bits = self.bits[seq].astype(np.uint64)
-        top = values >> bits
+        top = values >> self.bits[seq].astype(np.uint64)
         last = self.zeros_at[seq + 1] - self.zeros_at[seq] - 1  # higher parts hold nothing
         on = np.flatnonzero((self.n[seq] > 0) & (top <= last.astype(np.uint64)))
         h, seq = top[on].astype(np.int64), seq[on]
-        lo, hi = self._bucket(seq, h)
-        end = hi
-        hi = hi - 1
-        want = values[on] & ((_ONE << bits[on]) - _ONE)
-        # binary search for the successor among values of one high part, or its last
+        lo, end = self._bucket(seq, h)
+        some = np.flatnonzero(lo < end)
+        on, seq, lo, hi = on[some], seq[some], lo[some], end[some] - 1
+        base, bits = self.low_at[seq] * 64, self.bits[seq]
+        for width in np.unique(bits).tolist():  # sequences side by side have much the same
+            at = np.flatnonzero(bits == width)
+            want = values[on[at]] & np.uint64((1 << width) - 1)
+            place = self._successor(lo[at], hi[at], base[at], width, want)
+            hit = np.flatnonzero(self._field(base[at] + place * width, width) == want)
+            out[on[at[hit]]] = place[hit]
+        return out
+
+    def _field(self, at: np.ndarray, width: int) -> np.ndarray:
+        """The ``width`` low bits that begin at these bits."""
+        word, shift = at >> 6, at & 63
+        out = self.low.take(word) >> shift.view(np.uint64)
+        over = np.flatnonzero(shift > 64 - width)
+        if len(over):
+            out[over] |= self.low.take(word[over] + 1) << (64 - shift[over]).view(np.uint64)
+        out &= np.uint64((1 << width) - 1)
+        return out
+
+    def _successor(self, lo: np.ndarray, hi: np.ndarray, base: np.ndarray, width: int, want: np.ndarray) -> np.ndarray:
+        """By halving, the first place from lo to hi whose low bits are at least ``want``, or hi."""
+        out = lo.copy()
         live = np.flatnonzero(lo < hi)
+        lo, hi, base, want = (x[live] for x in (lo, hi, base, want))
         while len(live):
-            mid = (lo[live] + hi[live]) >> 1
-            less = self._low(seq[live], mid) < want[live]
-            lo[live[less]] = mid[less] + 1
-            hi[live[~less]] = mid[~less]
-            live = live[lo[live] < hi[live]]
-        at = np.flatnonzero(lo < end)
-        hit = at[self._low(seq[at], lo[at]) == want[at]]
-        out[on[hit]] = lo[hit]
+            mid = (lo + hi) >> 1
+            less = self._field(base + mid * width, width) < want
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+            on = np.flatnonzero(lo < hi)
+            if len(on) < len(live):
+                out[live] = lo
+                live, lo, hi, base, want = (x.take(on) for x in (live, lo, hi, base, want))
         return out
 
 

@@ -213,6 +213,31 @@ def test_elias_fano_walks_to_a_clear_bit_once_per_question(monkeypatch):
     assert (sparse.find(np.zeros(1000, int), held[1]) == np.arange(1000)).all() and sum(asked) < 1200
 
 
+def test_sequences_answer_many_questions_in_blocks():
+    """Many questions of sequences of several widths: right places, in little memory besides the answer."""
+    import tracemalloc
+
+    from eventloom.llm.eliasfano import Shelf, encode
+    rng = np.random.default_rng(5)
+    held = [np.unique(rng.integers(0, u, n).astype(np.uint64)) for u, n in ((1 << 60, 5000), (1 << 20, 9000), (3000, 3000), (1, 1))]
+    held[1] = np.unique(np.concatenate([held[1], np.arange(500_000, 504_000, dtype=np.uint64)]))  # one part is crowded
+    shelf = Shelf.of(*(encode(v, u) for v, u in zip(held, (1 << 60, 1 << 20, 3000, 1))))
+    seq = np.sort(rng.integers(0, 4, 400_000))
+    place = (rng.random(len(seq)) * np.array([len(v) for v in held])[seq]).astype(np.int64)
+    asked = np.concatenate(held)[np.cumsum([0, *map(len, held)])[seq] + place] + (rng.random(len(seq)) < 0.3).astype(np.uint64)
+    want = [{int(x): i for i, x in enumerate(v)} for v in held]
+    tracemalloc.start()
+    try:
+        found = shelf.find(seq, asked)
+        values = shelf.access(seq, place)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found.tolist() == [want[s].get(x, -1) for s, x in zip(seq.tolist(), asked.tolist())]
+    assert [want[s][x] for s, x in zip(seq.tolist(), values.tolist())] == place.tolist()
+    assert peak < 12e6, peak
+
+
 def test_bits_are_selected_in_any_word():
     from eventloom.llm.eliasfano import _select_in_word
     r = np.random.default_rng(7)
