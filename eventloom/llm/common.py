@@ -37,18 +37,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """Jobs run inside send Python at most ``rows`` rows at once: a batch stands
-    in the executor's memory and again in its worker's."""
-    before = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+def small_batches(spark: SparkSession, rows: int | None = None, max_bytes: int | None = None):
+    """Jobs run inside send Python at most ``rows`` rows or ``max_bytes`` (and the
+    row that passes them) at once: a batch stands in the executor's memory and
+    again in its worker's."""
+    before = {k: (spark.conf.get(k), n) for k, n in ((BATCH_ROWS, rows), (BATCH_BYTES, max_bytes)) if n}
+    for k, (old, n) in before.items():
+        held = int(old.rstrip("bB"))
+        spark.conf.set(k, str(min(n, held) if held > 0 else n))
     try:
         yield
     finally:
-        spark.conf.set(BATCH_ROWS, before)
+        for k, (old, _) in before.items():
+            spark.conf.set(k, old)
 
 
 def input_bytes(df: DataFrame) -> int:

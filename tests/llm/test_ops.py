@@ -158,6 +158,43 @@ def test_lm_scores_do_not_depend_on_the_number_of_shards(spark):
     assert one == twelve == many
 
 
+def test_lm_sums_blocks_as_they_come(monkeypatch):
+    """What a task holds follows the different n-grams, not the blocks."""
+    import tracemalloc
+    monkeypatch.setattr(lm, "FOLD", 10_000, raising=False)
+    keys = np.arange(10_000, dtype=np.uint64) * np.uint64(7)
+    ones, lower = np.ones(len(keys), np.uint32), np.arange(len(keys), dtype=np.uint32) % 251
+
+    def peak(n):
+        block = lm.pack(keys, ones, lower)
+        tracemalloc.start()
+        got = lm.merged((block for _ in range(n)), 2)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (got[0] == keys).all() and (got[1] == n).all() and (got[2] == lower).all()
+        return most
+
+    assert peak(100) < 1.5 * peak(5)
+    one, two = lm.merged(iter([lm.pack(keys, ones)] * 7 + [lm.pack(keys[:3], ones[:3])]), 1)[:2]
+    assert (one == keys).all() and two.tolist() == [8] * 3 + [7] * (len(keys) - 3)
+
+
+def test_lm_pieces_are_bounded_whatever_the_first_word(spark):
+    """Different n-grams of one frequent first word are dealt over many pieces."""
+    rows = [(i, " ".join(f"the a{i * 7 + j} b{j}" for j in range(30))) for i in range(80)] + [(None, ""), (99, None)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = (lm.train(texts, 4, least_shards=2, most=n) for n in (1 << 40, 40))
+    # the contexts of a piece occur 40 times together, but for its last, here at most 80 times
+    widest = [np.diff(t.levels[2].offset).max() for t in (one, many)]
+    assert widest[0] > 4000 and widest[1] <= 120
+    assert len(many.levels[2].offset) > lm.VOLUME  # so several volumes too
+    got = [sorted((r.doc_id or -1, r.score) for r in lm.score(texts, t).collect()) for t in (one, many)]
+    assert got[0] == got[1]
+    _, want = plain_lm([tokens(t) for _, t in rows], [tokens(t) for _, t in rows], 4)
+    assert [s for _, s in got[1]] == pytest.approx(
+        [s for _, s in sorted((i or -1, w[3]) for (i, _), w in zip(rows, want))], rel=1e-9)
+
+
 def test_lm_report_holds_out_and_beats_the_base(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op2_lm"](spark, SMALL).collect()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 7 == 2) for i, r in got.items())
