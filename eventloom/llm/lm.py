@@ -118,15 +118,20 @@ def unpack(block: bytes, columns: int) -> tuple[np.ndarray, ...]:
     return (keys, *rest)
 
 
-def _summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Runs of keys, counts and perhaps another column as one run of different keys."""
-    keys = np.concatenate([x[0] for x in held])
-    order = np.argsort(keys, kind="stable")
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, the order of all (equal ones in any), and where in it each begins."""
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], order, first
+
+
+def _summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Runs of keys, counts and perhaps another column as one run of different keys."""
+    keys, order, first = _sorted(np.concatenate([x[0] for x in held]))
     counts = np.add.reduceat(np.concatenate([x[1] for x in held])[order], first, dtype=np.int64)
     rest = [np.concatenate([x[2] for x in held])[order[first]]] if len(held[0]) > 2 else []
-    return (keys[first], counts, *rest)
+    return (keys, counts, *rest)
 
 
 def merged(blocks: Iterable[bytes], columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
@@ -154,8 +159,9 @@ def blocks(piece: np.ndarray, key: np.ndarray, other: np.ndarray | None = None):
     cut = np.flatnonzero(np.diff(piece[order])) + 1
     for at in np.split(order, cut):
         if len(at):
-            keys, first, counts = np.unique(key[at], return_index=True, return_counts=True)
-            cols = [counts] if other is None else [counts, other[at][first]]
+            keys, within, first = _sorted(key[at])
+            counts = np.diff(first, append=len(at))
+            cols = [counts] if other is None else [counts, other[at[within[first]]]]
             yield int(piece[at[0]]), pack(keys, *cols)
 
 
